@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.edit_distance import char_edits, word_edits_exact, words
 from ..functions.normalize import norm_scoring
+from .partitioning import spread
 
 # The model columns of the evaluation sheet, in sheet order.
 MODEL_COLUMNS = ["Model H", "Model i", "Model k", "Model l", "Model m", "Model n"]
@@ -56,7 +57,7 @@ def score_sheet(sheet: DataFrame, models: Sequence[str] = MODEL_COLUMNS,
     still add to corpus numerators), ``"skip"`` drops them, ``"error"`` fails.
     """
     require_columns(sheet, [ref_col, *models])
-    df = sheet.withColumn("ref_norm", norm_scoring(ref_col, null_policy))
+    df = spread(sheet).withColumn("ref_norm", norm_scoring(ref_col, null_policy))
     if on_empty_ref == "skip":
         df = df.where(F.col("ref_norm") != "")
     df = df.withColumn("_rw", words("ref_norm"))
@@ -84,14 +85,14 @@ def score_sheet(sheet: DataFrame, models: Sequence[str] = MODEL_COLUMNS,
 
 def pair_scores(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Long form: one row per (segment, model)."""
-    return scored.select(*keys, F.inline("scores")).select(
+    return scored.select(*keys, F.inline_outer("scores")).select(
         *keys, "model", "model_ord", "word_edits", "ref_words", "char_edits", "ref_chars", "wer", "cer")
 
 
 def corpus_metrics(scored: DataFrame) -> DataFrame:
     """Micro-averaged WER/CER per model: sum of edits over sum of reference
     units, never the mean of row rates (SURVEY W3)."""
-    return (scored.select(F.inline("scores"))
+    return (scored.select(F.inline_outer("scores"))
             .groupBy("model", "model_ord")
             .agg(F.sum("word_edits").alias("word_edits"), F.sum("ref_words").alias("ref_words"),
                  F.sum("char_edits").alias("char_edits"), F.sum("ref_chars").alias("ref_chars"),

@@ -68,3 +68,58 @@ def q_win_counts(spark, sf_dir):
 def q_eval_summary(spark, sf_dir):
     """Best model summary row."""
     return _evaluation(spark, sf_dir).summary
+
+
+# ---------------------------------------------------------------- normalization
+
+def _docs(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def _norm_query(profile):
+    from ..functions.normalize import normalize
+
+    def q(spark, sf_dir):
+        return _docs(spark, sf_dir).select("doc_id", normalize(F.col("text"), profile).alias("text_norm"))
+    q.__name__ = f"q_norm_{profile}"
+    q.__doc__ = f"N-profile {profile!r} over every document."
+    return register(q)
+
+
+for _p in ("asr_basic", "disfluency", "word", "scoring"):
+    _norm_query(_p)
+
+
+# ---------------------------------------------------------------- spelling
+
+def _labels(spark, sf_dir):
+    from ..operators import spelling as O
+    words = X.hindi_words(_docs(spark, sf_dir))
+    return O.label_words(O.distinct_words(words))
+
+
+@register
+def q_distinct_words(spark, sf_dir):
+    """O1: unique normalized words."""
+    from ..operators import spelling as O
+    return O.distinct_words(X.hindi_words(_docs(spark, sf_dir)))
+
+
+@register
+def q_spelling_labels(spark, sf_dir):
+    """Label and reason per unique word."""
+    return _labels(spark, sf_dir)
+
+
+@register
+def q_reason_counts(spark, sf_dir):
+    """Reason histogram."""
+    from ..operators import spelling as O
+    return O.reason_counts(_labels(spark, sf_dir))
+
+
+@register
+def q_spelling_summary(spark, sf_dir):
+    """Totals."""
+    from ..operators import spelling as O
+    return O.spelling_summary(_labels(spark, sf_dir))

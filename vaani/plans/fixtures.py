@@ -50,3 +50,20 @@ def model_sheet(conversations: DataFrame) -> DataFrame:
 
 
 SHEET_KEYS = ["conv_id", "turn", "sent_idx", "segment_url_link"]
+
+
+# Fixed transliteration used to turn Latin test text into Devanagari words so
+# every orthography rule is reachable: consonants for most letters, vowel
+# signs for a e i o u, halant for h, nukta for q, anusvara for w, visarga for x.
+LATIN = "abcdefghijklmnopqrstuvwxyz"
+DEVANAGARI_MAP = "ाबचदेफग्िजकलमनोप़रसतुवंःयह"
+
+
+def hindi_words(documents: DataFrame) -> DataFrame:
+    """(doc_id, word_idx, word): every whitespace-separated token of every
+    document, lower-cased and transliterated letter by letter."""
+    from ..functions.pyregex import PY_WS_RUN
+    t = documents.select("doc_id", F.posexplode(F.split("text", PY_WS_RUN)).alias("word_idx", "token"))
+    t = t.where(F.col("token") != "")
+    return t.select("doc_id", "word_idx",
+                    F.translate(F.lower("token"), LATIN, DEVANAGARI_MAP).alias("word"))

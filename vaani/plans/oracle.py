@@ -60,3 +60,23 @@ ORACLE["q_eval_summary"] = (
     f"WITH m AS ({_METRICS}), r AS (SELECT *, row_number() OVER (ORDER BY wer, cer, model_ord) AS rank FROM m) "
     "SELECT max(segments) AS input_rows, arg_min(model, rank) AS best_model, "
     "arg_min(wer, rank) AS best_model_wer, arg_min(cer, rank) AS best_model_cer FROM r")
+
+
+# ---------------------------------------------------------------- normalization
+from . import sqlparts as P  # noqa: E402
+
+for _p, _f in (("asr_basic", P.norm_asr_basic), ("disfluency", P.norm_disfluency),
+               ("word", P.norm_word), ("scoring", P.norm_scoring)):
+    ORACLE[f"q_norm_{_p}"] = f"SELECT doc_id, {_f('text')} AS text_norm FROM documents"
+
+# ---------------------------------------------------------------- spelling
+_DISTINCT = f"SELECT DISTINCT {P.norm_word('word')} AS word FROM ({P.hindi_words_sql()}) WHERE word IS NOT NULL"
+_LABELS = (f"SELECT word, CASE WHEN reason = 'valid_orthography' THEN 'correct spelling' "
+           f"ELSE 'incorrect spelling' END AS spelling_label, reason FROM "
+           f"(SELECT word, {P.orthography_reason_sql('word')} AS reason FROM ({_DISTINCT}))")
+ORACLE["q_distinct_words"] = _DISTINCT
+ORACLE["q_spelling_labels"] = _LABELS
+ORACLE["q_reason_counts"] = f"SELECT reason, spelling_label, count(*) AS words FROM ({_LABELS}) GROUP BY ALL"
+ORACLE["q_spelling_summary"] = (
+    f"SELECT count(*) AS total_unique_words, count_if(spelling_label = 'correct spelling') AS correct_spelling_words, "
+    f"count_if(spelling_label = 'incorrect spelling') AS incorrect_spelling_words FROM ({_LABELS})")

@@ -118,3 +118,34 @@ def pairs_sql() -> str:
     return (f"WITH sheet AS ({sheet_sql()}), p AS ({union}) "
             f"SELECT *, {list_edit_distance(words('r'), words('h'))} AS word_edits, len({words('r')}) AS ref_words, "
             f"{char_edit_distance('r', 'h')} AS char_edits, length(r) AS ref_chars FROM p")
+
+
+def hindi_words_sql() -> str:
+    from .fixtures import DEVANAGARI_MAP, LATIN
+    return (f"SELECT doc_id, word_idx, translate(lower(token), {q(LATIN)}, {q(DEVANAGARI_MAP)}) AS word FROM ("
+            f"SELECT doc_id, unnest(p) AS token, unnest(range(0, len(p))) AS word_idx FROM ("
+            f"SELECT doc_id, regexp_split_to_array(text, {q(WS_RUN)}) AS p FROM documents)) WHERE token <> ''")
+
+
+def orthography_reason_sql(w: str) -> str:
+    from ..functions import orthography as O
+    core = f"regexp_replace({w}, {q(O.CLEANUP_CLASS)}, '', 'g')"
+    seq = f"regexp_extract({core}, {q(O.SEQUENCE_RULES)}, 0)"
+    first = f"substring({seq}, 1, 1)"
+    # a run of four equal characters, checked position by position
+    run4 = (f"list_bool_or(list_transform(range(1, length({core}) - 2), lambda i: "
+            f"substring({core}, i, 1) = substring({core}, i + 1, 1) AND substring({core}, i, 1) = substring({core}, i + 2, 1) "
+            f"AND substring({core}, i, 1) = substring({core}, i + 3, 1)))")
+    return (f"CASE WHEN {w} = '' THEN 'empty' "
+            f"WHEN NOT regexp_full_match({w}, {q(O.ALLOWED_CLASS + '+')}) THEN 'contains_non_devanagari' "
+            f"WHEN {core} = '' THEN 'empty_after_cleanup' "
+            f"WHEN NOT regexp_full_match({core}, {q('[' + O.DEV + ']+')}) THEN 'non_devanagari_chars' "
+            f"WHEN regexp_matches({core}, {q('^' + O.START_BAD_CLASS)}) THEN 'invalid_start' "
+            f"WHEN regexp_matches({core}, {q(O.END_BAD_CLASS + '$')}) THEN 'invalid_end' "
+            f"WHEN contains({core}, {q(O.HALANT * 2)}) THEN 'double_halant' "
+            f"WHEN contains({core}, {q(O.NUKTA * 2)}) THEN 'double_nukta' "
+            f"WHEN {first} = {q(O.HALANT)} THEN 'matra_after_halant' "
+            f"WHEN {first} = {q(O.NUKTA)} THEN 'matra_after_nukta' "
+            f"WHEN {seq} <> '' THEN 'consecutive_matras' "
+            f"WHEN coalesce({run4}, false) THEN 'long_repetition_noise' "
+            f"ELSE 'valid_orthography' END")
