@@ -123,3 +123,162 @@ def q_spelling_summary(spark, sf_dir):
     """Totals."""
     from ..operators import spelling as O
     return O.spelling_summary(_labels(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- transcripts & segments
+
+def _conv(spark, sf_dir):
+    return table(spark, sf_dir, "conversations")
+
+
+def _prepared(spark, sf_dir):
+    from .preparation import prepare_segments
+    c = _conv(spark, sf_dir)
+    return prepare_segments(X.recordings(c), X.transcripts(c))
+
+
+def _extracted(spark, sf_dir):
+    from ..operators import disfluency as D
+    from .preparation import extract_disfluencies
+    c = _conv(spark, sf_dir)
+    lex = D.build_lexicon(D.wide_lexicon_to_long(X.lexicon_wide(spark)))
+    return extract_disfluencies(X.recordings(c), X.transcripts(c), X.object_manifest(c),
+                                X.audio_listing(c), lex)
+
+
+@register
+def q_language_filter(spark, sf_dir):
+    """Exact and case-insensitive language filters side by side."""
+    from .preparation import language_filter
+    r = X.recordings(_conv(spark, sf_dir))
+    exact = language_filter(r, "hi").select("recording_id", F.lit("exact").alias("filter"))
+    ci = language_filter(r, "hi", ignore_case=True).select("recording_id", F.lit("ignore_case").alias("filter"))
+    return exact.unionByName(ci)
+
+
+@register
+def q_folder_id(spark, sf_dir):
+    """Folder id from the first URL column/pattern that matches."""
+    from ..operators import urls as U
+    r = X.recordings(_conv(spark, sf_dir))
+    return r.select("recording_id", U.folder_id(r, U.DISFLUENCY_URL_COLUMNS).alias("folder_id"))
+
+
+@register
+def q_build_urls(spark, sf_dir):
+    """Canonical URLs for recordings with a folder id."""
+    from ..operators import urls as U
+    r = X.recordings(_conv(spark, sf_dir))
+    r = r.withColumn("folder_id", U.folder_id(r, U.PREPARE_URL_COLUMNS)).where(F.col("folder_id").isNotNull())
+    b = U.built_urls(F.col("folder_id"), F.col("recording_id"))
+    return r.select("recording_id", "folder_id", *[v.alias(k) for k, v in b.items()])
+
+
+@register
+def q_resolve_candidates(spark, sf_dir):
+    """transcript/audio URL resolution against the object manifest."""
+    from ..operators import urls as U
+    c = _conv(spark, sf_dir)
+    resolved, failures = U.resolve_candidates(X.recordings(c), X.object_manifest(c))
+    return resolved
+
+
+@register
+def q_segments_valid(spark, sf_dir):
+    """Prepared training segments."""
+    return _prepared(spark, sf_dir).segments.select(
+        "id", "recording_id", "user_id", "language", "segment_idx", "sentence", "start", "end",
+        "duration_sec", "start_sample", "end_sample", "audio_url", "transcription_url")
+
+
+@register
+def q_failures(spark, sf_dir):
+    """Recordings rejected by preparation, with the reason."""
+    return _prepared(spark, sf_dir).failures
+
+
+@register
+def q_exact_split(spark, sf_dir):
+    """Exact seeded split of the prepared segments."""
+    from ..operators.split import exact_split
+    return exact_split(_prepared(spark, sf_dir).segments.select("id"), "id", 0.1, 42)
+
+
+@register
+def q_split_counts(spark, sf_dir):
+    """R2."""
+    from ..operators.split import exact_split, split_counts
+    return split_counts(exact_split(_prepared(spark, sf_dir).segments.select("id"), "id", 0.1, 42))
+
+
+# ---------------------------------------------------------------- disfluency
+
+@register
+def q_lexicon_long(spark, sf_dir):
+    """The wide lexicon, long, normalized, de-duplicated."""
+    from ..operators import disfluency as D
+    return D.build_lexicon(D.wide_lexicon_to_long(X.lexicon_wide(spark)))
+
+
+def _doc_matches(spark, sf_dir, pattern, group):
+    """Every non-overlapping match of one detection rule over every
+    normalized (N2) document, with its ordinal."""
+    from ..functions.normalize import norm_disfluency
+    d = _docs(spark, sf_dir).select("doc_id", norm_disfluency(F.col("text")).alias("t"))
+    return d.select("doc_id", F.posexplode(F.regexp_extract_all("t", F.lit(pattern), group))
+                    .alias("match_idx", "matched_text"))
+
+
+@register
+def q_repetition(spark, sf_dir):
+    """Repetition matches over whole documents."""
+    from ..operators import disfluency as D
+    return _doc_matches(spark, sf_dir, D.REPETITION, 0)
+
+
+@register
+def q_prolongation(spark, sf_dir):
+    """Prolongation matches over whole documents."""
+    from ..operators import disfluency as D
+    return _doc_matches(spark, sf_dir, D.PROLONGATION, 0)
+
+
+@register
+def q_false_start(spark, sf_dir):
+    """False-start matches over whole documents."""
+    from ..operators import disfluency as D
+    return _doc_matches(spark, sf_dir, D.FALSE_START, 1)
+
+
+def _rule_hits(spark, sf_dir, rule):
+    """Hits of one rule per segment, in hit order (after de-duplication)."""
+    segs = _extracted(spark, sf_dir).detected
+    hits = segs.select("recording_id", "segment_idx", F.posexplode("hits").alias("hit_idx", "h"))
+    return hits.where(F.col("h.match_rule") == rule).select(
+        "recording_id", "segment_idx", "hit_idx", F.col("h.disfluency_type").alias("disfluency_type"),
+        F.col("h.matched_text").alias("matched_text"))
+
+
+@register
+def q_lexicon_hits(spark, sf_dir):
+    """Lexicon phrase hits."""
+    return _rule_hits(spark, sf_dir, "lexicon")
+
+
+@register
+def q_occurrences(spark, sf_dir):
+    """One row per occurrence, 16 columns."""
+    return _extracted(spark, sf_dir).occurrences
+
+
+@register
+def q_type_counts(spark, sf_dir):
+    """A3: occurrences per type."""
+    from ..operators import disfluency as D
+    return D.type_counts(_extracted(spark, sf_dir).occurrences)
+
+
+@register
+def q_disfluency_failures(spark, sf_dir):
+    """Recordings the disfluency job could not process."""
+    return _extracted(spark, sf_dir).failures

@@ -9,7 +9,7 @@ SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.scoring import MODEL_COLUMNS
@@ -67,3 +67,94 @@ def hindi_words(documents: DataFrame) -> DataFrame:
     t = t.where(F.col("token") != "")
     return t.select("doc_id", "word_idx",
                     F.translate(F.lower("token"), LATIN, DEVANAGARI_MAP).alias("word"))
+
+
+# ---------------------------------------------------------------- recordings
+
+def recordings(conversations: DataFrame) -> DataFrame:
+    """One recording per conversation turn.  ``language`` is "HI" for
+    assistant turns (exact vs case-insensitive filters), "hi" otherwise.
+    User turns carry their folder in a media URL, assistant turns in an
+    upload-bucket transcript URL, system turns longer than 100 characters in
+    a metadata URL; shorter system turns carry none (no folder id)."""
+    rid = F.concat(F.lit("r"), F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string"))
+    folder = F.concat(F.lit("u"), F.col("conv_id").cast("string"))
+    role = F.col("role")
+    return conversations.select(
+        F.col("conv_id").cast("string").alias("user_id"), rid.alias("recording_id"),
+        F.when(role == "assistant", "HI").otherwise("hi").alias("language"),
+        F.when(role == "user", F.concat(F.lit("https://media.example.org/hi/"), folder, F.lit("/"), rid,
+                                          F.lit(".wav"))).alias("rec_url_gcp"),
+        F.when(role == "assistant", F.concat(F.lit("https://storage.example.com/uploads/"), folder, F.lit("/"),
+                                               rid, F.lit("_transcription.json"))).alias("transcription_url_gcp"),
+        F.when((role == "system") & (F.length("text") > 100),
+               F.concat(F.lit("https://meta.example.org/hi/"), folder, F.lit("/"), rid, F.lit(".json")))
+         .alias("metadata_url_gcp"))
+
+
+def _json_string(c: Column) -> Column:
+    return F.regexp_extract(F.to_json(F.struct(c.alias("t"))), r'^\{"t":(.*)\}$', 1)
+
+
+def transcripts(conversations: DataFrame) -> DataFrame:
+    """(recording_id, payload): the turn's text cut at full stops/newlines
+    into timed entries, entry k spanning [2k, 2k + chars/15] seconds.
+    Loose typing as found in real payloads: the second entry's start is a
+    JSON string; an empty piece has no "text" key; a blank piece has
+    "text": null; a piece of exactly one character has "start": null.
+    System turns are wrapped in an object instead of a list."""
+    from pyspark.sql import Column  # noqa: F401
+    rid = F.concat(F.lit("r"), F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string"))
+    pieces = F.split(F.col("text"), SENTENCE_SPLIT)
+
+    def entry(p, k):
+        start = k.cast("double") * 2.0
+        end = start + F.length(p) / 15.0
+        start_json = (F.when(F.length(p) == 1, F.lit("null"))
+                      .when(k == 1, F.concat(F.lit('"'), start.cast("string"), F.lit('"')))
+                      .otherwise(start.cast("string")))
+        text_json = (F.when(p == "", F.lit(""))
+                     .when(F.trim(p) == "", F.lit(',"text":null'))
+                     .otherwise(F.concat(F.lit(',"text":'), _json_string(p))))
+        return F.concat(F.lit('{"start":'), start_json, F.lit(',"end":'), end.cast("string"), text_json, F.lit("}"))
+
+    arr = F.concat(F.lit("["), F.array_join(F.transform(pieces, entry), ","), F.lit("]"))
+    payload = F.when(F.col("role") == "system", F.concat(F.lit('{"segments":'), arr, F.lit("}"))).otherwise(arr)
+    return conversations.select(transcript_url().alias("url"), payload.alias("payload"))
+
+
+def transcript_url(base: str = "https://storage.example.com/uploads") -> Column:
+    rid = F.concat(F.lit("r"), F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string"))
+    return F.concat(F.lit(base + "/u"), F.col("conv_id").cast("string"), F.lit("/"), rid, F.lit("_transcription.json"))
+
+
+def object_manifest(conversations: DataFrame, base: str = "https://storage.example.com/uploads") -> DataFrame:
+    """(url, ok, is_json): the staged transcript objects, one per turn, stored
+    under the canonical upload-bucket URL."""
+    return conversations.select(transcript_url(base).alias("url"), F.lit(True).alias("ok"), F.lit(True).alias("is_json"))
+
+
+def audio_listing(conversations: DataFrame) -> DataFrame:
+    """(recording_id): recordings whose raw audio object exists -- turns
+    with at least 20 characters of text."""
+    rid = F.concat(F.lit("r"), F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string"))
+    return conversations.where(F.length("text") >= 20).select(rid.alias("recording_id"))
+
+
+# A small disfluency lexicon (a parameter of the job, like the sheet it
+# stands in for): wide, one column per type, ragged, with a duplicate after
+# normalization and an all-empty column.
+LEXICON_WIDE = {
+    "Filler ": ["the", "and the", " The "],
+    "Hesitation": ["er", "of", None],
+    "Discourse Marker": ["und", "la", "de la"],
+    "Hyphenated": ["re-do", "ing-the", None],
+    "Unused": [None, None, None],
+}
+
+
+def lexicon_wide(spark) -> DataFrame:
+    names = list(LEXICON_WIDE)
+    rows = [tuple([i] + [LEXICON_WIDE[n][i] for n in names]) for i in range(3)]
+    schema = "row_ord int, " + ", ".join(f"`{n}` string" for n in names)
+    return spark.createDataFrame(rows, schema)

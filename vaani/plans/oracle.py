@@ -80,3 +80,86 @@ ORACLE["q_reason_counts"] = f"SELECT reason, spelling_label, count(*) AS words F
 ORACLE["q_spelling_summary"] = (
     f"SELECT count(*) AS total_unique_words, count_if(spelling_label = 'correct spelling') AS correct_spelling_words, "
     f"count_if(spelling_label = 'incorrect spelling') AS incorrect_spelling_words FROM ({_LABELS})")
+
+
+# ---------------------------------------------------------------- recordings, urls, segments
+from ..operators.urls import DISFLUENCY_URL_COLUMNS, PREPARE_URL_COLUMNS  # noqa: E402
+
+ORACLE["q_language_filter"] = (
+    f"SELECT recording_id, 'exact' AS filter FROM ({P.RECORDINGS}) WHERE language = 'hi' UNION ALL "
+    f"SELECT recording_id, 'ignore_case' AS filter FROM ({P.RECORDINGS}) WHERE lower(language) = 'hi'")
+
+ORACLE["q_folder_id"] = (
+    f"SELECT recording_id, {P.folder_sql(['rec_url_gcp', 'transcription_url_gcp', 'metadata_url_gcp'])} "
+    f"AS folder_id FROM ({P.RECORDINGS})")
+
+_BUILT = (f"SELECT recording_id, folder_id, '{P.BASE}' || folder_id || '/' || recording_id || '_audio.wav' AS audio_url, "
+          f"'{P.BASE}' || folder_id || '/' || recording_id || '_transcription.json' AS transcription_url, "
+          f"'{P.BASE}' || folder_id || '/' || recording_id || '_metadata.json' AS metadata_url FROM "
+          f"(SELECT *, {P.folder_sql(PREPARE_URL_COLUMNS)} AS folder_id FROM ({P.RECORDINGS})) "
+          f"WHERE folder_id IS NOT NULL")
+ORACLE["q_build_urls"] = _BUILT
+
+# manifest = every canonical transcript URL; sheet candidates never point at
+# a listed object except the built one, so the first listed candidate wins
+_MANIFEST = f"SELECT '{P.BASE}u' || conv_id || '/' || {P.RID} || '_transcription.json' AS url FROM conversations"
+_CANDS = (f"SELECT recording_id, folder_id, prio, url, '{P.BASE}' || folder_id || '/' || recording_id || '_audio.wav' "
+          f"AS built_audio, coalesce(nullif(trim(rec_url_gcp), ''), '{P.BASE}' || folder_id || '/' || recording_id "
+          f"|| '_audio.wav') AS first_audio FROM (SELECT *, {P.folder_sql(DISFLUENCY_URL_COLUMNS[:3])} AS folder_id "
+          f"FROM ({P.RECORDINGS})), (SELECT 1 AS prio) WHERE folder_id IS NOT NULL AND 1 = 0 ")
+ORACLE["q_resolve_candidates"] = (
+    f"WITH r AS (SELECT *, {P.folder_sql(DISFLUENCY_URL_COLUMNS[:3])} AS folder_id FROM ({P.RECORDINGS})), "
+    f"c AS (SELECT recording_id, folder_id, rec_url_gcp, 1 AS prio, nullif(trim(transcription_url_gcp), '') AS url FROM r "
+    f"WHERE folder_id IS NOT NULL UNION ALL SELECT recording_id, folder_id, rec_url_gcp, 2 AS prio, "
+    f"'{P.BASE}' || folder_id || '/' || recording_id || '_transcription.json' AS url FROM r WHERE folder_id IS NOT NULL), "
+    f"h AS (SELECT c.* FROM c WHERE url IN ({_MANIFEST})) "
+    f"SELECT recording_id, folder_id, arg_min(url, prio) AS transcription_url, "
+    f"CASE WHEN contains(arg_min(url, prio), 'uploads') THEN '{P.BASE}' || folder_id || '/' || recording_id || '_audio.wav' "
+    f"ELSE coalesce(nullif(trim(any_value(rec_url_gcp)), ''), '{P.BASE}' || folder_id || '/' || recording_id || '_audio.wav') END "
+    f"AS audio_url FROM h GROUP BY recording_id, folder_id")
+
+_PREP_REC = (f"SELECT r.*, b.audio_url, b.transcription_url, e.error FROM ({P.RECORDINGS}) r "
+             f"JOIN ({_BUILT}) b USING (recording_id) JOIN ({P.recording_error_sql('prepare')}) e USING (recording_id) "
+             f"WHERE r.language = 'hi'")
+ORACLE["q_failures"] = (
+    f"SELECT recording_id, 'Could not infer folder id for recording_id=' || recording_id AS error FROM "
+    f"(SELECT *, {P.folder_sql(PREPARE_URL_COLUMNS)} AS folder_id FROM ({P.RECORDINGS})) "
+    f"WHERE language = 'hi' AND folder_id IS NULL UNION ALL "
+    f"SELECT recording_id, error FROM ({_PREP_REC}) WHERE error IS NOT NULL")
+
+_SEGS = (f"SELECT printf('%s_%04d', s.recording_id, s.segment_idx) AS id, s.recording_id, r.user_id, r.language, "
+         f"CAST(s.segment_idx AS INTEGER) AS segment_idx, {P.norm_asr_basic('s.text_v')} AS sentence, s.start_v AS start, "
+         f"s.end_v AS \"end\", round(s.end_v - s.start_v, 3) AS duration_sec, "
+         f"greatest(0, CAST(trunc(s.start_v * 16000) AS BIGINT)) AS start_sample, "
+         f"CAST(trunc(s.end_v * 16000) AS BIGINT) AS end_sample, r.audio_url, r.transcription_url "
+         f"FROM ({P.PIECES}) s JOIN ({_PREP_REC}) r USING (recording_id) WHERE r.error IS NULL "
+         f"AND {P.norm_asr_basic('s.text_v')} <> '' AND s.end_v > s.start_v "
+         f"AND s.end_v - s.start_v >= 0.4 AND s.end_v - s.start_v <= 30.0")
+ORACLE["q_segments_valid"] = _SEGS
+
+_SPLIT = (f"SELECT id, CASE WHEN row_number() OVER (ORDER BY md5('42:' || id)) <= ceil(0.1 * count(*) OVER ()) "
+          f"THEN 'validation' ELSE 'train' END AS split FROM ({_SEGS})")
+ORACLE["q_exact_split"] = _SPLIT
+ORACLE["q_split_counts"] = f"SELECT split, count(*) AS rows FROM ({_SPLIT}) GROUP BY split"
+
+# ---------------------------------------------------------------- disfluency lexicon and rules
+from ..plans.fixtures import LEXICON_WIDE  # noqa: E402
+
+
+def _lexicon_sql() -> str:
+    names = list(LEXICON_WIDE)
+    kept = {}
+    for i, n in enumerate(names):
+        kept[n.strip()] = i
+    rows = []
+    for name, ti in sorted(kept.items(), key=lambda kv: kv[1]):
+        for ri, v in enumerate(LEXICON_WIDE[names[ti]]):
+            if v is not None:
+                rows.append(f"({P.q(name)}, {ti}, {P.q(v)}, {ri})")
+    vals = ", ".join(rows)
+    return (f"SELECT type, type_ord, phrase, CAST(min(phrase_ord) AS INTEGER) AS phrase_ord FROM "
+            f"(SELECT type, CAST(type_ord AS INTEGER) AS type_ord, {P.norm_disfluency('raw')} AS phrase, phrase_ord "
+            f"FROM (VALUES {vals}) t(type, type_ord, raw, phrase_ord)) WHERE phrase <> '' GROUP BY ALL")
+
+
+ORACLE["q_lexicon_long"] = _lexicon_sql()

@@ -149,3 +149,49 @@ def orthography_reason_sql(w: str) -> str:
             f"WHEN {seq} <> '' THEN 'consecutive_matras' "
             f"WHEN coalesce({run4}, false) THEN 'long_repetition_noise' "
             f"ELSE 'valid_orthography' END")
+
+
+# ---------------------------------------------------------------- recordings and transcripts
+
+RID = "('r' || conv_id || '_' || turn)"
+RECORDINGS = f"""
+  SELECT CAST(conv_id AS VARCHAR) AS user_id, {RID} AS recording_id,
+    CASE WHEN role = 'assistant' THEN 'HI' ELSE 'hi' END AS language,
+    CASE WHEN role = 'user' THEN 'https://media.example.org/hi/u' || conv_id || '/' || {RID} || '.wav' END AS rec_url_gcp,
+    CASE WHEN role = 'assistant' THEN 'https://storage.example.com/uploads/u' || conv_id || '/' || {RID}
+         || '_transcription.json' END AS transcription_url_gcp,
+    CASE WHEN role = 'system' AND length(text) > 100 THEN 'https://meta.example.org/hi/u' || conv_id || '/'
+         || {RID} || '.json' END AS metadata_url_gcp,
+    conv_id, turn, role, text
+  FROM conversations
+"""
+
+
+def folder_sql(cols) -> str:
+    from ..operators.urls import DEFAULT_FOLDER_PATTERNS
+    tries = [f"nullif(regexp_extract(trim({c}), {q(p)}, 1), '')" for c in cols for p in DEFAULT_FOLDER_PATTERNS]
+    return "coalesce(" + ", ".join(tries) + ")"
+
+
+BASE = "https://storage.example.com/uploads/"
+
+# one row per transcript piece with the parsed entry semantics:
+# start null for one-character pieces, text missing for empty pieces,
+# text null for blank pieces; system turns are not lists
+PIECES = f"""
+  SELECT recording_id, conv_id, turn, role, k AS segment_idx, p,
+    CASE WHEN length(p) = 1 THEN NULL ELSE k * 2.0::DOUBLE END AS start_v,
+    k * 2.0::DOUBLE + length(p) / 15.0::DOUBLE AS end_v,
+    CASE WHEN p = '' THEN '' WHEN trim(p) = '' THEN NULL ELSE p END AS text_v,
+    (trim(p) = '' AND p <> '') AS text_null
+  FROM (SELECT {RID} AS recording_id, conv_id, turn, role, unnest(ps) AS p, unnest(range(0, len(ps))) AS k
+        FROM (SELECT *, regexp_split_to_array(text, '[.\\n]') AS ps FROM conversations))
+"""
+
+# first error per recording for a given mode, null when the recording is fine
+def recording_error_sql(mode: str) -> str:
+    text_rule = ("WHEN bool_or(text_null) THEN 'segment text is null or not a string' " if mode == "prepare" else "")
+    return (f"SELECT recording_id, CASE WHEN any_value(role) = 'system' THEN "
+            f"'unexpected transcript payload type: OBJECT' "
+            f"WHEN bool_or(start_v IS NULL) THEN 'segment time is null or not a number' {text_rule}END AS error "
+            f"FROM ({PIECES}) GROUP BY recording_id")
