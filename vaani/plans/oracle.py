@@ -163,3 +163,97 @@ def _lexicon_sql() -> str:
 
 
 ORACLE["q_lexicon_long"] = _lexicon_sql()
+
+_DOCS_T = P.with_tokens(f"SELECT doc_id, {P.norm_disfluency('text')} AS t FROM documents")
+
+
+def _doc_rule(expr):
+    return (f"SELECT doc_id, CAST(i - 1 AS INTEGER) AS match_idx, m[i] AS matched_text FROM "
+            f"(SELECT doc_id, m, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, {expr} AS m FROM ({_DOCS_T})))")
+
+
+ORACLE["q_repetition"] = _doc_rule(P.repetition_list())
+ORACLE["q_prolongation"] = _doc_rule(P.prolongation_list("t"))
+ORACLE["q_false_start"] = _doc_rule(P.false_start_list())
+
+
+def _py_norm_disfluency(s: str) -> str:
+    """Normalized lexicon phrase, for writing the oracle's literal patterns."""
+    import re as _re
+    import unicodedata as _u
+    t = _u.normalize("NFC", s).strip().lower().replace("\n", " ").replace("\r", " ")
+    for d in "–—―‑":
+        t = t.replace(d, "-")
+    return _re.sub(r"\s+", " ", t)
+
+
+def _lexicon_entries():
+    names = list(LEXICON_WIDE)
+    kept = {}
+    for i, n in enumerate(names):
+        kept[n.strip()] = i
+    out = []
+    for name, ti in sorted(kept.items(), key=lambda kv: kv[1]):
+        seen = []
+        for v in LEXICON_WIDE[names[ti]]:
+            if v is None:
+                continue
+            p = _py_norm_disfluency(v)
+            if p and p not in seen:
+                seen.append(p)
+        out += [(name, p) for p in seen]
+    return out
+
+
+def _hit(t, text, rule):
+    return f"{{'disfluency_type': {P.q(t)}, 'matched_text': {text}, 'match_rule': {P.q(rule)}}}"
+
+
+def _hits_sql(t: str) -> str:
+    lex = ", ".join(f"CASE WHEN regexp_matches({t}, {P.q(P.phrase_regex_re2(p))}) THEN {_hit(ty, P.q(p), 'lexicon')} END"
+                    for ty, p in _lexicon_entries())
+    allh = (f"list_concat(list_filter([{lex}], lambda x: x IS NOT NULL), "
+            f"list_transform({P.repetition_list()}, lambda m: {_hit('Repetition', 'm', 'regex_repetition')}), "
+            f"list_transform({P.prolongation_list(t)}, lambda m: {_hit('Prolongation', 'm', 'regex_prolongation')}), "
+            f"list_transform({P.false_start_list()}, lambda m: {_hit('False Start', 'm', 'regex_false_start')}))")
+    return allh
+
+
+_DIS_REC = (f"SELECT r.*, '{P.BASE}' || folder_id || '/' || recording_id || '_audio.wav' AS audio_url, "
+            f"'{P.BASE}' || folder_id || '/' || recording_id || '_transcription.json' AS transcription_url, e.error "
+            f"FROM (SELECT *, {P.folder_sql(DISFLUENCY_URL_COLUMNS[:3])} AS folder_id FROM ({P.RECORDINGS})) r "
+            f"JOIN ({P.recording_error_sql('disfluency')}) e USING (recording_id) "
+            f"WHERE lower(r.language) = 'hi' AND length(r.text) >= 20 AND r.folder_id IS NOT NULL")
+_DIS_SEG = (f"SELECT s.recording_id, s.segment_idx, coalesce(s.start_v, 0.0) AS start, s.end_v AS \"end\", "
+            f"coalesce(s.text_v, '') AS raw_text, r.audio_url, r.transcription_url, r.user_id, r.language "
+            f"FROM ({P.PIECES}) s JOIN ({_DIS_REC}) r USING (recording_id) WHERE r.error IS NULL")
+_DIS_SEG_T = P.with_tokens(f"SELECT *, {P.norm_disfluency('raw_text')} AS t FROM ({_DIS_SEG})")
+_DETECTED = (f"SELECT *, list_filter(h0, lambda x, i: list_position(h0, x) = i) AS hits FROM "
+             f"(SELECT *, {_hits_sql('t')} AS h0 FROM ({_DIS_SEG_T}))")
+_HITROWS = (f"SELECT *, hits[i] AS h, CAST(i - 1 AS INTEGER) AS hit_idx FROM "
+            f"(SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM ({_DETECTED}))")
+
+
+def _rule_rows(rule):
+    return (f"SELECT recording_id, segment_idx, hit_idx, h.disfluency_type AS disfluency_type, "
+            f"h.matched_text AS matched_text FROM ({_HITROWS}) WHERE h.match_rule = {P.q(rule)}")
+
+
+ORACLE["q_lexicon_hits"] = _rule_rows("lexicon")
+_OCC = (f"SELECT printf('%s_%04d_%02d', recording_id, segment_idx, hit_idx) AS occurrence_id, recording_id, "
+        f"CAST(segment_idx AS INTEGER) AS segment_idx, h.disfluency_type AS disfluency_type, "
+        f"h.matched_text AS matched_text, h.match_rule AS match_rule, round(start, 3) AS segment_start_sec, "
+        f"round(\"end\", 3) AS segment_end_sec, round(\"end\" - start, 3) AS clip_duration_sec, "
+        f"'clips/' || recording_id || '/' || printf('%s_%04d_%02d', recording_id, segment_idx, hit_idx) || '.wav' AS clip_path, "
+        f"'clips/' || recording_id || '/' || printf('%s_%04d_%02d', recording_id, segment_idx, hit_idx) || '.wav' AS clip_rel_path, "
+        f"raw_text AS transcription_snippet, transcription_url, audio_url, user_id, language "
+        f"FROM ({_HITROWS}) WHERE \"end\" > start")
+ORACLE["q_occurrences"] = _OCC
+ORACLE["q_type_counts"] = f"SELECT disfluency_type, count(*) AS occurrences FROM ({_OCC}) GROUP BY ALL"
+ORACLE["q_disfluency_failures"] = (
+    f"SELECT recording_id, 'Missing raw audio: ' || recording_id || '.wav' AS error FROM ({P.RECORDINGS}) "
+    f"WHERE lower(language) = 'hi' AND NOT coalesce(length(text) >= 20, false) UNION ALL "
+    f"SELECT recording_id, 'Unable to infer folder_id for recording_id=' || recording_id AS error FROM "
+    f"(SELECT *, {P.folder_sql(DISFLUENCY_URL_COLUMNS[:3])} AS folder_id FROM ({P.RECORDINGS})) "
+    f"WHERE lower(language) = 'hi' AND length(text) >= 20 AND folder_id IS NULL UNION ALL "
+    f"SELECT recording_id, error FROM ({_DIS_REC}) WHERE error IS NOT NULL")

@@ -195,3 +195,58 @@ def recording_error_sql(mode: str) -> str:
             f"'unexpected transcript payload type: OBJECT' "
             f"WHEN bool_or(start_v IS NULL) THEN 'segment time is null or not a number' {text_rule}END AS error "
             f"FROM ({PIECES}) GROUP BY recording_id")
+
+
+# ---------------------------------------------------------------- disfluency rules (RE2 restatements)
+# RE2 has neither look-arounds nor back-references.  The restatements below
+# work on the word runs of the text: they equal the Java patterns whenever
+# every word character of the text is also a Python \w character (true for
+# all Latin text; Devanagari signs are the exception the parity patterns
+# exist for, and are covered by the unit fixtures instead).
+
+DW = r"[\p{L}\p{N}_\x{0900}-\x{097F}]"
+NOT_DW = r"[^\p{L}\p{N}_\x{0900}-\x{097F}]"
+SEP_CLASS = WS[:-1] + r"\-]"
+
+
+def with_tokens(sub: str, t: str = "t") -> str:
+    """Wrap a query so each row also has its word runs ``tk``, the gaps
+    around them ``gp`` (``gp[i]`` precedes ``tk[i]``) and ``lk[i]`` = token i
+    repeats as token i+1 across a whitespace/hyphen gap."""
+    inner = (f"SELECT *, regexp_extract_all({t}, {q(DW + '+')}) AS tk, "
+             f"regexp_split_to_array({t}, {q(DW + '+')}) AS gp FROM ({sub})")
+    return (f"SELECT *, list_transform(range(1, len(tk)), lambda i: tk[i] = tk[i + 1] "
+            f"AND regexp_full_match(gp[i + 1], {q(SEP_CLASS + '+')})) AS lk FROM ({inner})")
+
+
+def repetition_list() -> str:
+    """List of repetition matches (chains of equal tokens joined by
+    whitespace/hyphen runs), in text order; needs :func:`with_tokens`."""
+    starts = "list_filter(range(1, len(tk)), lambda i: lk[i] AND (i = 1 OR NOT lk[i - 1]))"
+    end = "(s + coalesce(list_position(list_slice(lk, s, len(tk) - 1), false), len(tk) - s + 1) - 1)"
+    return (f"list_transform({starts}, lambda s: array_to_string(list_transform(range(s, {end} + 1), "
+            f"lambda j: CASE WHEN j = s THEN tk[j] ELSE gp[j] || tk[j] END), ''))")
+
+
+def prolongation_list(t: str) -> str:
+    chars = [chr(c) for c in range(ord("a"), ord("z") + 1)] + [chr(c) for c in range(0x0900, 0x0980)]
+    alt = "|".join(ch + "{3,}" for ch in chars)
+    return f"regexp_extract_all({t}, {q(alt)})"
+
+
+def false_start_list() -> str:
+    return "list_transform(list_filter(range(1, len(tk)), lambda i: gp[i + 1] = '-'), lambda i: tk[i] || '-')"
+
+
+def phrase_regex_re2(phrase_norm: str) -> str:
+    body = []
+    for ch in phrase_norm:
+        if ch == " ":
+            body.append(WS_RUN)
+        elif ch == "-":
+            body.append(SEP_CLASS + "*")
+        elif ch.isascii() and not ch.isalnum() and ch != "_":
+            body.append("\\" + ch)
+        else:
+            body.append(ch)
+    return "(?:^|" + NOT_DW + ")" + "".join(body) + "(?:" + NOT_DW + "|$)"
