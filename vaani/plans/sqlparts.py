@@ -76,6 +76,16 @@ def list_edit_distance(a: str, b: str) -> str:
             f"range(0, len({b}) + 1))[-1]")
 
 
+def word_edit_distance(r: str, h: str) -> str:
+    """Word edit distance: distinct words of the pair mapped to single bytes
+    for the built-in levenshtein when there are at most 127 of them, else
+    the exact list programme."""
+    alpha = f"list_distinct({words(r)} || {words(h)})"
+    enc = lambda x: f"array_to_string(list_transform({words(x)}, lambda w: chr(list_position({alpha}, w))), '')"
+    return (f"(CASE WHEN len({alpha}) <= 127 THEN levenshtein({enc(r)}, {enc(h)}) "
+            f"ELSE {list_edit_distance(words(r), words(h))} END)")
+
+
 def char_edit_distance(r: str, h: str) -> str:
     """Code-point edit distance.  DuckDB's levenshtein counts bytes, so the
     distinct characters of the pair are mapped to single bytes 1..127 first;
@@ -109,15 +119,24 @@ def sheet_sql() -> str:
 
 
 def pairs_sql() -> str:
-    """One row per (segment, model) with normalized texts and edit counts."""
+    """One row per (segment, model) with normalized texts and edit counts.
+    Word and character alphabets are columns, computed once per pair."""
     parts = []
     for i, m in enumerate(MODEL_COLUMNS):
         parts.append(f"SELECT conv_id, turn, sent_idx, segment_url_link, {q(m)} AS model, {i} AS model_ord, "
                      f"{norm_scoring('\"Human\"')} AS r, {norm_scoring(f'\"{m}\"')} AS h FROM sheet")
     union = " UNION ALL ".join(parts)
-    return (f"WITH sheet AS ({sheet_sql()}), p AS ({union}) "
-            f"SELECT *, {list_edit_distance(words('r'), words('h'))} AS word_edits, len({words('r')}) AS ref_words, "
-            f"{char_edit_distance('r', 'h')} AS char_edits, length(r) AS ref_chars FROM p")
+    lists = (f"SELECT *, {words('r')} AS rw, {words('h')} AS hw, {chars('r')} AS rc, {chars('h')} AS hc FROM p")
+    alpha = "SELECT *, list_distinct(rw || hw) AS wa, list_distinct(rc || hc) AS ca FROM l"
+    enc = lambda x, a: f"array_to_string(list_transform({x}, lambda w: chr(list_position({a}, w))), '')"
+    wdist = (f"CASE WHEN len(wa) <= 127 THEN levenshtein({enc('rw', 'wa')}, {enc('hw', 'wa')}) "
+             f"ELSE {list_edit_distance('rw', 'hw')} END")
+    cdist = (f"CASE WHEN len(ca) <= 127 THEN levenshtein({enc('rc', 'ca')}, {enc('hc', 'ca')}) "
+             f"ELSE {list_edit_distance('rc', 'hc')} END")
+    return (f"WITH sheet AS ({sheet_sql()}), p AS ({union}), l AS ({lists}), a AS ({alpha}) "
+            f"SELECT conv_id, turn, sent_idx, segment_url_link, model, model_ord, r, h, "
+            f"{wdist} AS word_edits, len(rw) AS ref_words, {cdist} AS char_edits, length(r) AS ref_chars FROM a")
+
 
 
 def hindi_words_sql() -> str:
