@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.edit_distance import char_edits, word_edits_exact, words
+from ..functions.edit_distance import char_edits, coded_edits_exact, encode_words, words
 from ..functions.normalize import norm_scoring
 from .partitioning import spread
 
@@ -64,11 +64,17 @@ def score_sheet(sheet: DataFrame, models: Sequence[str] = MODEL_COLUMNS,
     # one projection normalizes every hypothesis once ...
     df = df.select("*", *[norm_scoring(F.col(f"`{m}`"), null_policy).alias(f"_h{i}")
                           for i, m in enumerate(models)])
-    # ... the next computes edit counts once per (reference, hypothesis) pair
-    # (a separate projection: CollapseProject will not duplicate them)
+    # ... one vocabulary per sheet row encodes the reference once and each
+    # hypothesis once (one code point per word) ...
     n = len(models)
-    df = df.select("*", *[word_edits_exact(F.col("_rw"), words(F.col(f"_h{i}"))).alias(f"_we{i}")
-                          for i in range(n)],
+    df = df.select("*", *[words(F.col(f"_h{i}")).alias(f"_hw{i}") for i in range(n)])
+    df = df.withColumn("_voc", F.array_distinct(F.concat(F.col("_rw"), *[F.col(f"_hw{i}") for i in range(n)])))
+    df = df.select("*", encode_words(F.col("_rw"), F.col("_voc")).alias("_rc"),
+                   *[encode_words(F.col(f"_hw{i}"), F.col("_voc")).alias(f"_hc{i}") for i in range(n)])
+    # ... and the next computes edit counts once per (reference, hypothesis)
+    # pair (a separate projection: CollapseProject will not duplicate them)
+    df = df.select("*", *[coded_edits_exact(F.col("_rc"), F.col(f"_hc{i}"), F.col("_rw"), F.col(f"_hw{i}"),
+                                            F.col("_voc")).alias(f"_we{i}") for i in range(n)],
                    *[char_edits(F.col("ref_norm"), F.col(f"_h{i}")).alias(f"_ce{i}") for i in range(n)])
     nw, nc = F.size("_rw"), F.length("ref_norm")
     entries = []
@@ -79,8 +85,8 @@ def score_sheet(sheet: DataFrame, models: Sequence[str] = MODEL_COLUMNS,
             we.alias("word_edits"), nw.alias("ref_words"), ce.alias("char_edits"), nc.alias("ref_chars"),
             _rate(we, nw, on_empty_ref).alias("wer"), _rate(ce, nc, on_empty_ref).alias("cer")))
     df = df.withColumn("scores", F.array(*entries))
-    tmp = [f"_{p}{i}" for p in ("h", "we", "ce") for i in range(n)]
-    return df.drop("_rw", *tmp)
+    tmp = [f"_{p}{i}" for p in ("h", "hw", "hc", "we", "ce") for i in range(n)]
+    return df.drop("_rw", "_voc", "_rc", *tmp)
 
 
 def pair_scores(scored: DataFrame, keys: Sequence[str]) -> DataFrame:

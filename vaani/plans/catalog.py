@@ -73,7 +73,8 @@ def q_eval_summary(spark, sf_dir):
 # ---------------------------------------------------------------- normalization
 
 def _docs(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    from ..operators.partitioning import spread
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def _norm_query(profile):
@@ -128,7 +129,8 @@ def q_spelling_summary(spark, sf_dir):
 # ---------------------------------------------------------------- transcripts & segments
 
 def _conv(spark, sf_dir):
-    return table(spark, sf_dir, "conversations")
+    from ..operators.partitioning import spread
+    return spread(table(spark, sf_dir, "conversations"))
 
 
 def _prepared(spark, sf_dir):
