@@ -26,6 +26,16 @@ def words(col) -> Column:
     return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(c, " "))
 
 
+def wer_words(col) -> Column:
+    """Word list as the common WER tooling builds it: runs of two or more
+    whitespace characters become one space, ends are stripped, then the text
+    is split on single spaces."""
+    from .normalize import py_strip
+    from .pyregex import PY_WS_CLASS
+    c = F.col(col) if isinstance(col, str) else col
+    return words(py_strip(F.regexp_replace(c, PY_WS_CLASS + "{2,}", " ")))
+
+
 def _encode(arr: Column, vocab: Column) -> Column:
     code = lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(vocab, w) + (CODE_BASE - 1)), 8, "0")), "UTF-32")
     return F.array_join(F.transform(arr, code), "")

@@ -17,8 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.edit_distance import char_edits, coded_edits_exact, encode_words, words
-from ..functions.normalize import norm_scoring
+from ..functions.edit_distance import char_edits, coded_edits_exact, encode_words, wer_words
+from ..functions.normalize import norm_scoring, norm_strip, null_to_text
 from .partitioning import spread
 
 # The model columns of the evaluation sheet, in sheet order.
@@ -39,6 +39,14 @@ def require_columns(df: DataFrame, cols: Sequence[str]) -> None:
         raise ValueError(f"Missing required columns: {missing}")
 
 
+def _normalizer(profile: str, null_policy: str):
+    """``scoring`` (N4, the multi-model sheet) or ``strip_only`` (N5, the
+    public evaluation split); both turn missing cells into text first."""
+    if profile == "scoring":
+        return lambda c: norm_scoring(c, null_policy)
+    return lambda c: norm_strip(null_to_text(c, null_policy))
+
+
 def _rate(num: Column, den: Column, on_empty_ref: str) -> Column:
     if on_empty_ref == "error":
         return F.when(den == 0, F.raise_error(F.lit("empty reference"))).otherwise(num / den)
@@ -48,7 +56,7 @@ def _rate(num: Column, den: Column, on_empty_ref: str) -> Column:
 
 def score_sheet(sheet: DataFrame, models: Sequence[str] = MODEL_COLUMNS,
                 ref_col: str = REFERENCE_COLUMN, null_policy: str = "empty",
-                on_empty_ref: str = "count") -> DataFrame:
+                on_empty_ref: str = "count", profile: str = "scoring") -> DataFrame:
     """Add ``ref_norm`` and ``scores`` (one struct per model, in sheet order).
 
     ``null_policy``: ``"empty"`` treats a missing cell as "" (default);
@@ -57,17 +65,18 @@ def score_sheet(sheet: DataFrame, models: Sequence[str] = MODEL_COLUMNS,
     still add to corpus numerators), ``"skip"`` drops them, ``"error"`` fails.
     """
     require_columns(sheet, [ref_col, *models])
-    df = spread(sheet).withColumn("ref_norm", norm_scoring(ref_col, null_policy))
+    norm = _normalizer(profile, null_policy)
+    df = spread(sheet).withColumn("ref_norm", norm(F.col(f"`{ref_col}`")))
     if on_empty_ref == "skip":
         df = df.where(F.col("ref_norm") != "")
-    df = df.withColumn("_rw", words("ref_norm"))
+    df = df.withColumn("_rw", wer_words("ref_norm"))
     # one projection normalizes every hypothesis once ...
-    df = df.select("*", *[norm_scoring(F.col(f"`{m}`"), null_policy).alias(f"_h{i}")
+    df = df.select("*", *[norm(F.col(f"`{m}`")).alias(f"_h{i}")
                           for i, m in enumerate(models)])
     # ... one vocabulary per sheet row encodes the reference once and each
     # hypothesis once (one code point per word) ...
     n = len(models)
-    df = df.select("*", *[words(F.col(f"_h{i}")).alias(f"_hw{i}") for i in range(n)])
+    df = df.select("*", *[wer_words(F.col(f"_h{i}")).alias(f"_hw{i}") for i in range(n)])
     df = df.withColumn("_voc", F.array_distinct(F.concat(F.col("_rw"), *[F.col(f"_hw{i}") for i in range(n)])))
     df = df.select("*", encode_words(F.col("_rw"), F.col("_voc")).alias("_rc"),
                    *[encode_words(F.col(f"_hw{i}"), F.col("_voc")).alias(f"_hc{i}") for i in range(n)])

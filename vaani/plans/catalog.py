@@ -284,3 +284,79 @@ def q_type_counts(spark, sf_dir):
 def q_disfluency_failures(spark, sf_dir):
     """Recordings the disfluency job could not process."""
     return _extracted(spark, sf_dir).failures
+
+
+# ---------------------------------------------------------------- summaries, report, checkpoints
+
+@register
+def q_system_compare(spark, sf_dir):
+    """Baseline ("Model k") vs tuned ("Model i") on the public-split
+    path: strip-only normalization, empty references skipped, x100 rates."""
+    from ..operators.summary import system_comparison
+    sheet = X.model_sheet(_conv(spark, sf_dir))
+    scored = S.score_sheet(sheet, on_empty_ref="skip", profile="strip_only")
+    return system_comparison(S.corpus_metrics(scored), "Model k", "Model i")
+
+
+@register
+def q_best_checkpoint(spark, sf_dir):
+    """Best (min WER) and latest checkpoint per run of a metrics log
+    (events: run = event type, step = event id, WER = value)."""
+    from ..operators.summary import best_checkpoints
+    log = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("run"), F.concat(F.lit("checkpoint-"), F.col("event_id").cast("string")).alias("checkpoint"),
+        F.col("event_id").alias("step"), F.col("value").alias("wer"))
+    return best_checkpoints(log)
+
+
+def _prepare_rows(spark, sf_dir):
+    from ..operators.split import exact_split
+    from ..operators.summary import count_of, metric_rows
+    p = _prepared(spark, sf_dir)
+    split = exact_split(p.segments.select("id"), "id", 0.1, 42)
+    return metric_rows("prepare", [
+        ("input_rows_hi", count_of(p.input_rows)), ("prepared_rows", count_of(p.segments)),
+        ("train_rows", count_of(split.where("split = 'train'"))),
+        ("validation_rows", count_of(split.where("split = 'validation'"))),
+        ("failures", count_of(p.failures))])
+
+
+def _disfluency_rows(spark, sf_dir):
+    from ..operators.summary import count_of, metric_rows
+    e = _extracted(spark, sf_dir)
+    return metric_rows("disfluency", [
+        ("input_rows_hi", count_of(e.input_rows)), ("detected_disfluency_rows", count_of(e.occurrences)),
+        ("unique_recordings_with_hits", e.occurrences.agg(F.count_distinct("recording_id"))),
+        ("failures", count_of(e.failures))])
+
+
+@register
+def q_prepare_summary(spark, sf_dir):
+    """A1, R2: preparation run summary as metric rows."""
+    return _prepare_rows(spark, sf_dir)
+
+
+@register
+def q_disfluency_summary(spark, sf_dir):
+    """A1, A2: disfluency run summary as metric rows."""
+    return _disfluency_rows(spark, sf_dir)
+
+
+@register
+def q_failure_examples(spark, sf_dir):
+    """A4: first 20 disfluency failures by recording id."""
+    from ..operators.summary import failure_examples
+    return failure_examples(_extracted(spark, sf_dir).failures, 20)
+
+
+@register
+def q_report_table(spark, sf_dir):
+    """A5: every task's headline numbers side by side."""
+    from ..operators import spelling as O
+    from ..operators.summary import metric_rows
+    sp = O.spelling_summary(_labels(spark, sf_dir))
+    ev = _evaluation(spark, sf_dir).summary
+    spelling = metric_rows("spelling", [(c, sp.select(c)) for c in sp.columns])
+    evaluation = metric_rows("evaluation", [(c, ev.select(c)) for c in ("input_rows", "best_model_wer", "best_model_cer")])
+    return (_prepare_rows(spark, sf_dir).unionByName(_disfluency_rows(spark, sf_dir))
+            .unionByName(spelling).unionByName(evaluation))

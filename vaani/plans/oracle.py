@@ -257,3 +257,50 @@ ORACLE["q_disfluency_failures"] = (
     f"(SELECT *, {P.folder_sql(DISFLUENCY_URL_COLUMNS[:3])} AS folder_id FROM ({P.RECORDINGS})) "
     f"WHERE lower(language) = 'hi' AND length(text) >= 20 AND folder_id IS NULL UNION ALL "
     f"SELECT recording_id, error FROM ({_DIS_REC}) WHERE error IS NOT NULL")
+
+# ---------------------------------------------------------------- summaries, report, checkpoints
+_CMP = (f"WITH pairs AS ({P.pairs_sql('strip_only', skip_empty=True)}), m AS (SELECT model, count(*) AS segments, "
+        f"sum(word_edits) / sum(ref_words) AS wer, sum(char_edits) / sum(ref_chars) AS cer FROM pairs "
+        f"WHERE model IN ('Model k', 'Model i') GROUP BY model), "
+        f"x AS (SELECT *, (max(CASE WHEN model = 'Model k' THEN wer END) OVER () - "
+        f"max(CASE WHEN model = 'Model i' THEN wer END) OVER ()) / max(CASE WHEN model = 'Model k' THEN wer END) OVER () "
+        f"AS imp FROM m) "
+        f"SELECT CASE WHEN model = 'Model k' THEN 'baseline' ELSE 'tuned' END AS system, model, "
+        f"segments AS samples_evaluated, wer * 100.0 AS wer, cer * 100.0 AS cer, 1 - wer AS accuracy, "
+        f"imp AS relative_improvement, printf('%.2f%%', imp * 100) AS improvement_pct FROM x")
+ORACLE["q_system_compare"] = _CMP
+
+ORACLE["q_best_checkpoint"] = (
+    "SELECT event_type AS run, arg_min('checkpoint-' || event_id, (value, event_id)) AS best_checkpoint, "
+    "min(value) AS best_wer, arg_max('checkpoint-' || event_id, event_id) AS latest_checkpoint, "
+    "max(event_id) AS latest_step FROM events GROUP BY event_type")
+
+
+def _rows(task, pairs):
+    return " UNION ALL ".join(f"SELECT '{task}' AS task, '{m}' AS metric, CAST(({sql}) AS DOUBLE) AS value"
+                              for m, sql in pairs)
+
+
+_PREP_ROWS = _rows("prepare", [
+    ("input_rows_hi", f"SELECT count(*) FROM ({P.RECORDINGS}) WHERE language = 'hi'"),
+    ("prepared_rows", f"SELECT count(*) FROM ({_SEGS})"),
+    ("train_rows", f"SELECT count(*) FROM ({_SPLIT}) WHERE split = 'train'"),
+    ("validation_rows", f"SELECT count(*) FROM ({_SPLIT}) WHERE split = 'validation'"),
+    ("failures", f"SELECT count(*) FROM ({ORACLE['q_failures']})")])
+_DIS_ROWS = _rows("disfluency", [
+    ("input_rows_hi", f"SELECT count(*) FROM ({P.RECORDINGS}) WHERE lower(language) = 'hi'"),
+    ("detected_disfluency_rows", f"SELECT count(*) FROM ({_OCC})"),
+    ("unique_recordings_with_hits", f"SELECT count(DISTINCT recording_id) FROM ({_OCC})"),
+    ("failures", f"SELECT count(*) FROM ({ORACLE['q_disfluency_failures']})")])
+ORACLE["q_prepare_summary"] = _PREP_ROWS
+ORACLE["q_disfluency_summary"] = _DIS_ROWS
+ORACLE["q_failure_examples"] = (f"SELECT * FROM ({ORACLE['q_disfluency_failures']}) "
+                                f"ORDER BY recording_id, error LIMIT 20")
+_SP = ORACLE["q_spelling_summary"]
+_EV = ORACLE["q_eval_summary"]
+ORACLE["q_report_table"] = " UNION ALL ".join([
+    _PREP_ROWS, _DIS_ROWS,
+    _rows("spelling", [(c, f"SELECT {c} FROM ({_SP})") for c in
+                       ("total_unique_words", "correct_spelling_words", "incorrect_spelling_words")]),
+    _rows("evaluation", [(c, f"SELECT {c} FROM ({_EV})") for c in ("input_rows", "best_model_wer", "best_model_cer")]),
+])

@@ -35,8 +35,8 @@ def language_filter(recordings: DataFrame, language: str = "hi", ignore_case: bo
 def prepare_segments(recordings: DataFrame, transcripts: DataFrame, language: str = "hi",
                      min_sec: float = 0.4, max_sec: float = 30.0) -> Prepared:
     require_columns(recordings, ["user_id", "recording_id", "language"])
-    r = language_filter(recordings, language)
-    r = r.withColumn("folder_id", U.folder_id(r, U.PREPARE_URL_COLUMNS))
+    filtered = language_filter(recordings, language)
+    r = filtered.withColumn("folder_id", U.folder_id(filtered, U.PREPARE_URL_COLUMNS))
     no_folder = r.where(F.col("folder_id").isNull()).select(
         "recording_id", F.concat(F.lit("Could not infer folder id for recording_id="),
                                  F.col("recording_id")).alias("error"))
@@ -48,7 +48,7 @@ def prepare_segments(recordings: DataFrame, transcripts: DataFrame, language: st
     ok, bad = T.split_valid(T.parse_payload(j), "prepare")
     segs = T.explode_segments(ok, ["recording_id", "user_id", "language", "audio_url", "transcription_url"])
     prepared = T.prepared_segments(segs, min_sec, max_sec)
-    return Prepared(prepared, no_folder.unionByName(bad), r)
+    return Prepared(prepared, no_folder.unionByName(bad), filtered)
 
 
 @dataclass

@@ -118,15 +118,26 @@ def sheet_sql() -> str:
             f"AS segment_url_link, sentence AS \"Human\", {cols} FROM ({SENTENCES})")
 
 
-def pairs_sql() -> str:
+def norm_strip_only(x: str) -> str:
+    return strip(f"coalesce({x}, '')")
+
+
+def wer_words(x: str) -> str:
+    return words(strip(f"regexp_replace({x}, {q(WS + '{2,}')}, ' ', 'g')"))
+
+
+def pairs_sql(profile: str = "scoring", skip_empty: bool = False) -> str:
     """One row per (segment, model) with normalized texts and edit counts.
     Word and character alphabets are columns, computed once per pair."""
+    norm = norm_scoring if profile == "scoring" else norm_strip_only
     parts = []
     for i, m in enumerate(MODEL_COLUMNS):
         parts.append(f"SELECT conv_id, turn, sent_idx, segment_url_link, {q(m)} AS model, {i} AS model_ord, "
-                     f"{norm_scoring('\"Human\"')} AS r, {norm_scoring(f'\"{m}\"')} AS h FROM sheet")
+                     f"{norm('\"Human\"')} AS r, {norm(f'\"{m}\"')} AS h FROM sheet")
     union = " UNION ALL ".join(parts)
-    lists = (f"SELECT *, {words('r')} AS rw, {words('h')} AS hw, {chars('r')} AS rc, {chars('h')} AS hc FROM p")
+    if skip_empty:
+        union = f"SELECT * FROM ({union}) WHERE r <> ''"
+    lists = (f"SELECT *, {wer_words('r')} AS rw, {wer_words('h')} AS hw, {chars('r')} AS rc, {chars('h')} AS hc FROM p")
     alpha = "SELECT *, list_distinct(rw || hw) AS wa, list_distinct(rc || hc) AS ca FROM l"
     enc = lambda x, a: f"array_to_string(list_transform({x}, lambda w: chr(list_position({a}, w))), '')"
     wdist = (f"CASE WHEN len(wa) <= 127 THEN levenshtein({enc('rw', 'wa')}, {enc('hw', 'wa')}) "
