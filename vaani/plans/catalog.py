@@ -360,3 +360,41 @@ def q_report_table(spark, sf_dir):
     evaluation = metric_rows("evaluation", [(c, ev.select(c)) for c in ("input_rows", "best_model_wer", "best_model_cer")])
     return (_prepare_rows(spark, sf_dir).unionByName(_disfluency_rows(spark, sf_dir))
             .unionByName(spelling).unionByName(evaluation))
+
+
+# ---------------------------------------------------------------- audio (rows-only checks)
+
+@register
+def q_resample(spark, sf_dir):
+    """Decode, down-mix and resample every recording to 16 kHz."""
+    from ..operators import audio as A
+    return A.resample_audio(X.synthetic_audio(_conv(spark, sf_dir))).drop("audio")
+
+
+def _clips(spark, sf_dir):
+    from ..operators import audio as A
+    p = _prepared(spark, sf_dir).segments
+    clips = A.cut_clips(p.select("id", "recording_id", "start", "end"), X.synthetic_audio(_conv(spark, sf_dir)))
+    return clips.join(p.select("id", "sentence"), "id")
+
+
+@register
+def q_clip_cut(spark, sf_dir):
+    """One clip per prepared segment, cut from its decoded recording."""
+    return _clips(spark, sf_dir).select("id", "recording_id", "sample_rate", "n_samples", "error")
+
+
+@register
+def q_logmel(spark, sf_dir):
+    """Log-mel features and label ids per clip (shape and statistics
+    reported; the feature matrix stays in the feature table)."""
+    from ..operators import audio as A
+    f = A.features(_clips(spark, sf_dir), keep_matrix=False)
+    return f.select("id", "n_frames", "mel_mean", "mel_max", F.size("labels").alias("n_labels"))
+
+
+@register
+def q_batch_transcribe(spark, sf_dir):
+    """Batch transcription of every clip with the stand-in model."""
+    from ..operators import audio as A
+    return A.transcribe(_clips(spark, sf_dir), A.tone_model)

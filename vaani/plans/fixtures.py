@@ -158,3 +158,39 @@ def lexicon_wide(spark) -> DataFrame:
     rows = [tuple([i] + [LEXICON_WIDE[n][i] for n in names]) for i in range(3)]
     schema = "row_ord int, " + ", ".join(f"`{n}` string" for n in names)
     return spark.createDataFrame(rows, schema)
+
+
+def synthetic_audio(conversations: DataFrame, sample_rate: int = 8000) -> DataFrame:
+    """(recording_id, content): a WAV per turn, long enough for its
+    transcript (2 s per piece + 1 s), a tone whose pitch follows the
+    conversation id; user turns are stereo so down-mixing is exercised.
+    Built by ``mapInPandas`` from the table rows."""
+    import numpy as np
+    import pandas as pd
+
+    from ..operators.audio import small_batches
+    small_batches(conversations.sparkSession)
+
+    def run(batches):
+        import io
+        import wave
+        for b in batches:
+            rows = []
+            for cid, turn, role, text in zip(b["conv_id"], b["turn"], b["role"], b["text"]):
+                pieces = len(__import__("re").split(r"[.\n]", text or ""))
+                n = int((2.0 * pieces + 1.0) * sample_rate)
+                t = np.arange(n) / sample_rate
+                x = 0.4 * np.sin(2 * np.pi * (200.0 + 10.0 * (int(cid) % 50)) * t)
+                ch = 2 if role == "user" else 1
+                pcm = (np.repeat(x[:, None], ch, axis=1) * 32767).astype("<i2")
+                buf = io.BytesIO()
+                with wave.open(buf, "wb") as w:
+                    w.setnchannels(ch)
+                    w.setsampwidth(2)
+                    w.setframerate(sample_rate)
+                    w.writeframes(pcm.tobytes())
+                rows.append((f"r{cid}_{turn}", buf.getvalue()))
+            yield pd.DataFrame(rows, columns=["recording_id", "content"])
+
+    return conversations.select("conv_id", "turn", "role", "text").mapInPandas(
+        run, "recording_id string, content binary")
