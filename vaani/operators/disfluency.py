@@ -141,8 +141,10 @@ def detect(segments: DataFrame, phrases: Sequence[tuple[str, str]], text_col: st
 def occurrences(detected: DataFrame, clips_root: str = "clips") -> DataFrame:
     """One row per hit with the 16 output columns; ids
     ``{recording}_{segment:04d}_{hit:02d}``; times rounded to 3 places."""
-    d = detected.where((F.col("end") > F.col("start")) & (F.size("hits") > 0))
-    e = d.select("*", F.posexplode("hits").alias("hit_idx", "_h"))
+    d = detected.where(F.col("end") > F.col("start"))
+    # outer form + null filter on the generated index: a filter on ``hits``
+    # itself would be pushed below the projection and re-run every regex
+    e = d.select("*", F.posexplode_outer("hits").alias("hit_idx", "_h")).where(F.col("hit_idx").isNotNull())
     occ = F.format_string("%s_%04d_%02d", F.col("recording_id"), F.col("segment_idx"), F.col("hit_idx"))
     parent = clips_root.rstrip("/").rsplit("/", 1)[-1]
     rel = F.concat_ws("/", F.lit(parent), F.col("recording_id"), F.concat(occ, F.lit(".wav")))
@@ -193,7 +195,7 @@ def detect_join(segments: DataFrame, lexicon: DataFrame, text_col: str = "raw_te
     toks = F.regexp_extract_all(F.col("text_norm"), F.lit(W + "+"), 0)
     # n-gram keys carry only the segment key, never the text
     grams = (s.select(*keys, toks.alias("_t"))
-             .select(*keys, "_t", F.posexplode("_t").alias("_i", "_x"))
+             .select(*keys, "_t", F.posexplode_outer("_t").alias("_i", "_x")).where(F.col("_i").isNotNull())
              .select(*keys, "_t", "_i", F.explode(F.sequence(
                  F.lit(1), F.least(F.lit(max_n), F.size("_t") - F.col("_i")))).alias("_n"))
              .select(*keys, F.array_join(F.slice("_t", F.col("_i") + 1, F.col("_n")), "").alias("k")))

@@ -155,17 +155,19 @@ def segment_analysis(scored: DataFrame, models: Sequence[str] = MODEL_COLUMNS,
 def win_counts(analysis: DataFrame, models: Sequence[str] = MODEL_COLUMNS) -> DataFrame:
     """Per model: segments won (sheet-order tie-break) and unique wins
     (``best_tie_count == 1``), zero-filled over all models (SURVEY W8).
-    The model list is a literal of bounded size; the counts side has at most
-    one row per model, so broadcasting it is size-safe."""
+
+    The zero fill is a union with the (bounded) model list followed by a
+    grouped sum, not an outer join: a join key derived from the scores
+    would let Catalyst infer an ``isnotnull`` filter and push it below the
+    projections, recomputing every edit distance."""
     spark = analysis.sparkSession
-    model_list = spark.createDataFrame([(m, i) for i, m in enumerate(models)], "model string, model_ord int")
-    counts = analysis.groupBy(F.col("best_model").alias("model")).agg(
-        F.count(F.lit(1)).alias("wins"),
-        F.count_if(F.col("best_tie_count") == 1).alias("unique_wins"))
-    return (model_list.join(F.broadcast(counts), "model", "left")
-            .select("model", "model_ord",
-                    F.coalesce("wins", F.lit(0)).alias("wins"),
-                    F.coalesce("unique_wins", F.lit(0)).alias("unique_wins")))
+    zeros = spark.createDataFrame([(m, i, 0, 0) for i, m in enumerate(models)],
+                                  "model string, model_ord int, w int, u int")
+    order = F.create_map(*[x for i, m in enumerate(models) for x in (F.lit(m), F.lit(i))])
+    won = analysis.select(F.col("best_model").alias("model"), order[F.col("best_model")].alias("model_ord"),
+                          F.lit(1).alias("w"), (F.col("best_tie_count") == 1).cast("int").alias("u"))
+    return (zeros.unionByName(won).groupBy("model", "model_ord")
+            .agg(F.sum("w").cast("long").alias("wins"), F.sum("u").cast("long").alias("unique_wins")))
 
 
 def evaluation_summary(ranked: DataFrame) -> DataFrame:

@@ -76,7 +76,10 @@ def recording_error(mode: str) -> Column:
 def explode_segments(ok: DataFrame, keep: list[str]) -> DataFrame:
     """One row per array entry with its original index (X1) and defaults
     for missing keys (P8).  Index counts entries that are later rejected."""
-    e = ok.select(*keep, F.posexplode("_segs").alias("segment_idx", "_seg"))
+    # outer form + null filter: a plain posexplode would make Catalyst infer
+    # size(_segs) > 0 and push it below the projection, parsing JSON twice
+    e = ok.select(*keep, F.posexplode_outer("_segs").alias("segment_idx", "_seg"))
+    e = e.where(F.col("segment_idx").isNotNull())
     s = F.col("_seg")
     return e.select(*keep, "segment_idx",
                     F.coalesce(_get(s, "start", "double"), F.lit(0.0)).alias("start"),

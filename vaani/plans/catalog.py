@@ -227,8 +227,9 @@ def _doc_matches(spark, sf_dir, pattern, group):
     normalized (N2) document, with its ordinal."""
     from ..functions.normalize import norm_disfluency
     d = _docs(spark, sf_dir).select("doc_id", norm_disfluency(F.col("text")).alias("t"))
-    return d.select("doc_id", F.posexplode(F.regexp_extract_all("t", F.lit(pattern), group))
-                    .alias("match_idx", "matched_text"))
+    m = d.select("doc_id", F.posexplode_outer(F.regexp_extract_all("t", F.lit(pattern), group))
+                 .alias("match_idx", "matched_text"))
+    return m.where(F.col("match_idx").isNotNull())
 
 
 @register
@@ -255,7 +256,8 @@ def q_false_start(spark, sf_dir):
 def _rule_hits(spark, sf_dir, rule):
     """Hits of one rule per segment, in hit order (after de-duplication)."""
     segs = _extracted(spark, sf_dir).detected
-    hits = segs.select("recording_id", "segment_idx", F.posexplode("hits").alias("hit_idx", "h"))
+    hits = segs.select("recording_id", "segment_idx", F.posexplode_outer("hits").alias("hit_idx", "h"))
+    hits = hits.where(F.col("hit_idx").isNotNull())
     return hits.where(F.col("h.match_rule") == rule).select(
         "recording_id", "segment_idx", "hit_idx", F.col("h.disfluency_type").alias("disfluency_type"),
         F.col("h.matched_text").alias("matched_text"))

@@ -22,9 +22,9 @@ HAS_ALNUM = r"[\p{L}\p{N}]"
 
 def sentences(conversations: DataFrame) -> DataFrame:
     """(conv_id, turn, sent_idx, sentence) for every sentence of every turn."""
-    s = conversations.select("conv_id", "turn", F.posexplode(F.split("text", SENTENCE_SPLIT))
+    s = conversations.select("conv_id", "turn", F.posexplode_outer(F.split("text", SENTENCE_SPLIT))
                              .alias("sent_idx", "sentence"))
-    return s.where(F.col("sentence").rlike(HAS_ALNUM))
+    return s.where(F.col("sent_idx").isNotNull() & F.col("sentence").rlike(HAS_ALNUM))
 
 
 def model_sheet(conversations: DataFrame) -> DataFrame:
@@ -63,8 +63,8 @@ def hindi_words(documents: DataFrame) -> DataFrame:
     """(doc_id, word_idx, word): every whitespace-separated token of every
     document, lower-cased and transliterated letter by letter."""
     from ..functions.pyregex import PY_WS_RUN
-    t = documents.select("doc_id", F.posexplode(F.split("text", PY_WS_RUN)).alias("word_idx", "token"))
-    t = t.where(F.col("token") != "")
+    t = documents.select("doc_id", F.posexplode_outer(F.split("text", PY_WS_RUN)).alias("word_idx", "token"))
+    t = t.where(F.col("word_idx").isNotNull() & (F.col("token") != ""))
     return t.select("doc_id", "word_idx",
                     F.translate(F.lower("token"), LATIN, DEVANAGARI_MAP).alias("word"))
 
