@@ -15,6 +15,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 BUCKET_HEX = 4
 
 
@@ -24,29 +26,32 @@ def split_key(id_col: Column, seed: int) -> Column:
 
 def exact_split(df: DataFrame, id_col: str = "id", ratio: float = 0.1, seed: int = 42,
                 names=("train", "validation")) -> DataFrame:
-    keyed = df.withColumn("_key", split_key(F.col(id_col), seed))
-    n = keyed.count()
+    key = split_key(F.col(id_col), seed)
+    # the key column alone is written to the shared checkpoint folder, so the
+    # histogram and the boundary top-k read it back instead of recomputing
+    # the upstream plan (and survive executor loss)
+    checkpoint_dir(df.sparkSession)
+    keys = df.select(key.alias("_key")).checkpoint(eager=True)
+    bucket = F.substring("_key", 1, BUCKET_HEX)
+    hist = sorted((r[0], r[1]) for r in keys.groupBy(bucket.alias("b")).count().collect())
+    n = sum(c for _, c in hist)
     k = math.ceil(ratio * n)
-    if k <= 0:
-        threshold = None
-    elif k >= n:
+    threshold = None
+    if k >= n and n > 0:
         threshold = "g" * 32          # above every hex key
-    else:
-        bucket = F.substring("_key", 1, BUCKET_HEX)
-        hist = sorted((r[0], r[1]) for r in keyed.groupBy(bucket.alias("b")).count().collect())
+    elif k > 0:
         cum = 0
         for b, c in hist:
             if cum + c >= k:
-                r = k - cum
-                threshold = (keyed.where(bucket == b).select("_key").orderBy("_key").limit(r)
+                threshold = (keys.where(bucket == b).orderBy("_key").limit(k - cum)
                              .agg(F.max("_key")).first()[0])
                 break
             cum += c
     if threshold is None:
         split = F.lit(names[0])
     else:
-        split = F.when(F.col("_key") <= F.lit(threshold), names[1]).otherwise(names[0])
-    return keyed.withColumn("split", split).drop("_key")
+        split = F.when(key <= F.lit(threshold), names[1]).otherwise(names[0])
+    return df.withColumn("split", split)
 
 
 def split_counts(split_df: DataFrame) -> DataFrame:
