@@ -61,3 +61,14 @@ def test_word_distance_matches_dp(spark):
     for row in got:
         want = _dp(row["r"].split() if row["r"] else [], row["h"].split() if row["h"] else [])
         assert row["d"] == want and row["e"] == want
+
+
+def test_arrow_fallback_equals_jvm_path(spark, monkeypatch):
+    from vaani.functions import edit_distance as ED
+    rows = [("u1", "a b c d e", "a b x d e", "a b", "", "e d c b a", "a a a a", "b c d e f"),
+            ("u2", "one two", "one two", "two one", "one", "x y z w v", "one two three", "")]
+    sh = sheet(spark, rows)
+    fast = sorted(tuple(r) for r in S.pair_scores(S.score_sheet(sh), ["segment_url_link"]).collect())
+    monkeypatch.setattr(ED, "MAX_CODED_WORDS", 3)
+    slow = sorted(tuple(r) for r in S.pair_scores(S.score_sheet(sh), ["segment_url_link"]).collect())
+    assert fast == slow

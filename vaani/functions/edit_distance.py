@@ -52,7 +52,9 @@ def vocab_size(ref_words: Column, hyp_words: Column) -> Column:
 
 
 def char_edits(ref: Column, hyp: Column) -> Column:
-    return F.levenshtein(ref, hyp)
+    """Code-point edit distance; identical pairs (common when a model gets a
+    segment right) skip the dynamic programme."""
+    return F.when(ref == hyp, F.lit(0)).otherwise(F.levenshtein(ref, hyp))
 
 
 def _dp(a, b) -> int:
@@ -92,6 +94,30 @@ def word_edits_arrow(ref: Column, hyp: Column) -> Column:
     return _ARROW_UDF(ref, hyp)
 
 
+def _many_edits_batch(pairs: pd.Series) -> pd.Series:
+    """``pairs`` holds, per row, [ref, hyp_1, ..., hyp_k] word lists or null."""
+    out = []
+    for p in pairs:
+        if p is None:
+            out.append(None)
+        else:
+            ref = list(p[0])
+            out.append([_dp(ref, list(h)) for h in p[1:]])
+    return pd.Series(out)
+
+
+_MANY_UDF = None
+
+
+def many_word_edits_arrow(pairs: Column) -> Column:
+    """Arrow fallback for one row's reference against several hypotheses in
+    one call (one column crosses to Python, null for every ordinary row)."""
+    global _MANY_UDF
+    if _MANY_UDF is None:
+        _MANY_UDF = F.pandas_udf(_many_edits_batch, "array<long>")
+    return _MANY_UDF(pairs)
+
+
 def encode_words(arr: Column, vocab: Column) -> Column:
     """Each word as one code point (its 1-based position in ``vocab``)."""
     return _encode(arr, vocab)

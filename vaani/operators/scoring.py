@@ -17,7 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.edit_distance import char_edits, coded_edits_exact, encode_words, wer_words
+from ..functions import edit_distance as ED
+from ..functions.edit_distance import char_edits, encode_words, many_word_edits_arrow, wer_words
 from ..functions.normalize import norm_scoring, norm_strip, null_to_text
 from .partitioning import spread
 
@@ -82,8 +83,15 @@ def score_sheet(sheet: DataFrame, models: Sequence[str] = MODEL_COLUMNS,
                    *[encode_words(F.col(f"_hw{i}"), F.col("_voc")).alias(f"_hc{i}") for i in range(n)])
     # ... and the next computes edit counts once per (reference, hypothesis)
     # pair (a separate projection: CollapseProject will not duplicate them)
-    df = df.select("*", *[coded_edits_exact(F.col("_rc"), F.col(f"_hc{i}"), F.col("_rw"), F.col(f"_hw{i}"),
-                                            F.col("_voc")).alias(f"_we{i}") for i in range(n)],
+    # rows whose vocabulary exceeds the code-point budget go to the exact
+    # Arrow fallback in one call per row; every other row sends a null
+    big = F.size("_voc") > ED.MAX_CODED_WORDS
+    df = df.withColumn("_slow", many_word_edits_arrow(
+        F.when(big, F.array(F.col("_rw"), *[F.col(f"_hw{i}") for i in range(n)]))))
+    coded = lambda i: F.when(F.col("_rc") == F.col(f"_hc{i}"), F.lit(0)).otherwise(
+        F.levenshtein(F.col("_rc"), F.col(f"_hc{i}")))
+    df = df.select("*", *[F.when(big, F.col("_slow")[i]).otherwise(coded(i)).cast("long").alias(f"_we{i}")
+                          for i in range(n)],
                    *[char_edits(F.col("ref_norm"), F.col(f"_h{i}")).alias(f"_ce{i}") for i in range(n)])
     nw, nc = F.size("_rw"), F.length("ref_norm")
     entries = []
@@ -95,7 +103,7 @@ def score_sheet(sheet: DataFrame, models: Sequence[str] = MODEL_COLUMNS,
             _rate(we, nw, on_empty_ref).alias("wer"), _rate(ce, nc, on_empty_ref).alias("cer")))
     df = df.withColumn("scores", F.array(*entries))
     tmp = [f"_{p}{i}" for p in ("h", "hw", "hc", "we", "ce") for i in range(n)]
-    return df.drop("_rw", "_voc", "_rc", *tmp)
+    return df.drop("_rw", "_voc", "_rc", "_slow", *tmp)
 
 
 def pair_scores(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
