@@ -40,3 +40,14 @@ def test_failure_reasons(spark):
     segs = T.explode_segments(prep_ok, ["recording_id"]).orderBy("recording_id", "segment_idx").collect()
     assert [(s["recording_id"], s["segment_idx"], s["start"], s["end"], s["raw_text"]) for s in segs] == [
         ("ok", 0, 0.0, 1.5, "नमस्ते दुनिया"), ("ok", 1, 0.0, 2.0, ""), ("str_time", 0, 0.5, 1.5, "y")]
+
+
+def test_valid_segments_single_pass(spark):
+    rows = [("ok", '[{"start": 0, "end": 1, "text": "a"}, {"start": 1, "end": 2}]'),
+            ("bad", '[{"start": null, "end": 1}]'), ("obj", '{"x": 1}')]
+    df = T.parse_payload(spark.createDataFrame(rows, "recording_id string, payload string"))
+    segs, bad = T.valid_segments(df, "prepare", ["recording_id"])
+    assert [(r["recording_id"], r["segment_idx"]) for r in segs.orderBy("segment_idx").collect()] == [("ok", 0), ("ok", 1)]
+    assert {r["recording_id"] for r in bad.collect()} == {"bad", "obj"}
+    plan = segs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parseJson") == 1

@@ -41,14 +41,17 @@ def _bad_time(seg: Column, key: str) -> Column:
 
 def parse_payload(df: DataFrame, payload_col: str = "payload") -> DataFrame:
     """Add ``_segs`` (array<variant>, null when the payload is not a JSON list)
-    and ``payload_error``."""
-    v = F.try_parse_json(F.col(payload_col))
+    and ``payload_error``.  The payload is parsed once, into its own column;
+    the projection using it twice is kept separate so the parse is not
+    duplicated when Catalyst collapses projections."""
+    d = df.withColumn("_v", F.try_parse_json(F.col(payload_col)))
+    v = F.col("_v")
     arr = F.try_variant_get(v, "$", "array<variant>")
     err = (F.when(F.col(payload_col).isNull(), "missing transcript")
            .when(v.isNull(), "transcript is not valid JSON")
            .when(arr.isNull(), F.concat(F.lit("unexpected transcript payload type: "),
                                         F.split(F.schema_of_variant(v), "<")[0])))
-    return df.withColumn("_segs", arr).withColumn("payload_error", err)
+    return d.select("*", arr.alias("_segs"), err.alias("payload_error")).drop("_v")
 
 
 def recording_error(mode: str) -> Column:
@@ -87,6 +90,25 @@ def explode_segments(ok: DataFrame, keep: list[str]) -> DataFrame:
                     F.coalesce(_get(s, "text", "string"), F.lit("")).alias("raw_text"))
 
 
+def valid_segments(parsed: DataFrame, mode: str, keep: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(segments of valid recordings, failures) in one pass over the parse.
+
+    Only valid recordings' arrays are exploded (``when(error is null)``) and
+    the filter is on the generated index.  A filter on the error column
+    itself would be pushed below the projection and parse every payload
+    twice."""
+    d = parsed.withColumn("_error", recording_error(mode))
+    failures = d.where(F.col("_error").isNotNull()).select("recording_id", F.col("_error").alias("error"))
+    g = d.select(*keep, F.posexplode_outer(F.when(F.col("_error").isNull(), F.col("_segs")))
+                 .alias("segment_idx", "_seg")).where(F.col("segment_idx").isNotNull())
+    s = F.col("_seg")
+    segs = g.select(*keep, "segment_idx",
+                    F.coalesce(_get(s, "start", "double"), F.lit(0.0)).alias("start"),
+                    F.coalesce(_get(s, "end", "double"), F.lit(0.0)).alias("end"),
+                    F.coalesce(_get(s, "text", "string"), F.lit("")).alias("raw_text"))
+    return segs, failures
+
+
 def split_valid(df: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
     """(ok recordings with ``_segs``, failures ``recording_id, error``)."""
     df = df.withColumn("_error", recording_error(mode))

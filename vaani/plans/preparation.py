@@ -45,8 +45,8 @@ def prepare_segments(recordings: DataFrame, transcripts: DataFrame, language: st
         "recording_id", "user_id", "language", b["audio_url"].alias("audio_url"),
         b["transcription_url"].alias("transcription_url"))
     j = r.join(transcripts.withColumnRenamed("url", "transcription_url"), "transcription_url", "left")
-    ok, bad = T.split_valid(T.parse_payload(j), "prepare")
-    segs = T.explode_segments(ok, ["recording_id", "user_id", "language", "audio_url", "transcription_url"])
+    segs, bad = T.valid_segments(T.parse_payload(j), "prepare",
+                                 ["recording_id", "user_id", "language", "audio_url", "transcription_url"])
     prepared = T.prepared_segments(segs, min_sec, max_sec)
     return Prepared(prepared, no_folder.unionByName(bad), filtered)
 
@@ -71,8 +71,8 @@ def extract_disfluencies(recordings: DataFrame, transcripts: DataFrame, manifest
                              F.col("language").cast("string").alias("language"))
     j = (resolved.join(meta, "recording_id")
          .join(transcripts.withColumnRenamed("url", "transcription_url"), "transcription_url", "left"))
-    ok, bad = T.split_valid(T.parse_payload(j), "disfluency")
-    segs = T.explode_segments(ok, ["recording_id", "user_id", "language", "audio_url", "transcription_url"])
+    segs, bad = T.valid_segments(T.parse_payload(j), "disfluency",
+                                 ["recording_id", "user_id", "language", "audio_url", "transcription_url"])
     phrases = D.collect_lexicon(lexicon)
     if phrases is None:
         detected = D.detect_join(segs, lexicon, mode=mode)
