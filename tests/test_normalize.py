@@ -48,3 +48,13 @@ def test_profiles_match_python(spark):
         assert r["d"] == py_dis(r["s"]), repr(r["s"])
         assert r["w"] == py_word(r["s"]), repr(r["s"])
         assert r["c"] == py_scoring(r["s"]), repr(r["s"])
+
+
+def test_nfc_fast_path_is_exact(spark):
+    from vaani.functions.normalize import nfc
+    rng = random.Random(11)
+    dev = [chr(c) for c in range(0x900, 0x980)] + ["a", "é", "é", "́", " "]
+    texts = ["".join(rng.choices(dev, k=rng.randint(1, 10))) for _ in range(2000)]
+    got = one_col(spark, texts).select("s", nfc(F.col("s")).alias("n")).collect()
+    for r in got:
+        assert r["n"] == unicodedata.normalize("NFC", r["s"]), repr(r["s"])

@@ -34,6 +34,13 @@ def py_boundary(word_class: str = PY_WORD_CLASS) -> str:
 
 PY_B = py_boundary()
 
-# A string whose code points are all below U+0300 is already in NFC: every
-# such character has NFC_Quick_Check=Yes and canonical combining class 0.
-NFC_SAFE = r"^[\x00-\x{2FF}]*$"
+# Strings over this class are already in NFC, so the normalizer skips them:
+# code points below U+0300 (NFC_Quick_Check=Yes, combining class 0) and the
+# Devanagari block without the nukta (U+093C, composes with a preceding
+# consonant), the stress signs (U+0951-0954, non-zero combining class) and
+# the nukta letters U+0958-095F (excluded from composition).  The halant's
+# non-zero class only matters next to another such mark, and all of those
+# are outside the class.  Checked exhaustively on single characters and
+# pairs against Python's unicodedata.
+NFC_SAFE = (r"^[\x00-\x{2FF}\x{0900}-\x{093B}\x{093D}-\x{0950}\x{0955}-\x{0957}"
+            r"\x{0960}-\x{097F}]*$")
