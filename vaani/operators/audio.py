@@ -237,3 +237,33 @@ def tone_model():
             out.append(f" tone {int(round(np.argmax(spec) * TARGET_SR / len(x), -1))} ")
         return out
     return predict
+
+
+def segment_clips(detected: DataFrame, audio: DataFrame) -> DataFrame:
+    """Disfluency clips: one clip per segment with at least one hit, cut with
+    half-even rounding of the sample index at the recording's own rate
+    (no resampling).  Every hit of a segment refers to the same audio, so it
+    is stored once per segment rather than once per hit."""
+    seg = (detected.where((F.col("end") > F.col("start")) & (F.size("hits") > 0))
+           .select(F.format_string("%s_%04d", F.col("recording_id"), F.col("segment_idx")).alias("id"),
+                   "recording_id", "start", "end"))
+    return cut_clips(seg, audio, rounding="round", target_sr=None)
+
+
+def write_clip_files(clips: DataFrame, root: str, overwrite: bool = True) -> None:
+    """K3: export clips as ``{root}/{recording}/{id}.wav`` files from the
+    executors (``root`` must be storage every executor can write)."""
+    import os
+
+    def write(rows):
+        for r in rows:
+            if r["clip"] is None:
+                continue
+            d = os.path.join(root, r["recording_id"])
+            os.makedirs(d, exist_ok=True)
+            path = os.path.join(d, f"{r['id']}.wav")
+            if overwrite or not os.path.exists(path):
+                with open(path, "wb") as f:
+                    f.write(bytes(r["clip"]))
+
+    clips.select("id", "recording_id", "clip").foreachPartition(write)

@@ -32,19 +32,32 @@ def language_filter(recordings: DataFrame, language: str = "hi", ignore_case: bo
     return recordings.where(F.lower(c) == language.lower() if ignore_case else c == language)
 
 
+def cap_rows(df: DataFrame, max_rows: int | None, key: str = "recording_id") -> DataFrame:
+    """Optional debug cap, deterministic (first ``max_rows`` by id)."""
+    return df.orderBy(key).limit(max_rows) if max_rows else df
+
+
 def prepare_segments(recordings: DataFrame, transcripts: DataFrame, language: str = "hi",
-                     min_sec: float = 0.4, max_sec: float = 30.0) -> Prepared:
+                     min_sec: float = 0.4, max_sec: float = 30.0, join_on: str = "url",
+                     max_rows: int | None = None, base: str = U.DEFAULT_BASE) -> Prepared:
+    """``transcripts`` is ``(url, payload)`` joined on the canonical
+    transcript URL, or ``(recording_id, payload)`` for files staged by
+    recording id (``join_on="recording_id"``)."""
     require_columns(recordings, ["user_id", "recording_id", "language"])
-    filtered = language_filter(recordings, language)
+    filtered = cap_rows(language_filter(recordings, language), max_rows)
     r = filtered.withColumn("folder_id", U.folder_id(filtered, U.PREPARE_URL_COLUMNS))
     no_folder = r.where(F.col("folder_id").isNull()).select(
         "recording_id", F.concat(F.lit("Could not infer folder id for recording_id="),
                                  F.col("recording_id")).alias("error"))
-    b = U.built_urls(F.col("folder_id"), F.col("recording_id"))
+    b = U.built_urls(F.col("folder_id"), F.col("recording_id"), base)
     r = r.where(F.col("folder_id").isNotNull()).select(
-        "recording_id", "user_id", "language", b["audio_url"].alias("audio_url"),
+        "recording_id", F.col("user_id").cast("string").alias("user_id"),
+        F.col("language").cast("string").alias("language"), b["audio_url"].alias("audio_url"),
         b["transcription_url"].alias("transcription_url"))
-    j = r.join(transcripts.withColumnRenamed("url", "transcription_url"), "transcription_url", "left")
+    if join_on == "url":
+        j = r.join(transcripts.select(F.col("url").alias("transcription_url"), "payload"), "transcription_url", "left")
+    else:
+        j = r.join(transcripts.select("recording_id", "payload"), "recording_id", "left")
     segs, bad = T.valid_segments(T.parse_payload(j), "prepare",
                                  ["recording_id", "user_id", "language", "audio_url", "transcription_url"])
     prepared = T.prepared_segments(segs, min_sec, max_sec)
@@ -61,16 +74,24 @@ class Extracted:
 
 def extract_disfluencies(recordings: DataFrame, transcripts: DataFrame, manifest: DataFrame,
                          audio_listing: DataFrame, lexicon: DataFrame, language: str = "hi",
-                         mode: str = "parity", clips_root: str = "clips") -> Extracted:
+                         mode: str = "parity", clips_root: str = "clips", join_on: str = "url",
+                         max_rows: int | None = None, base: str = U.DEFAULT_BASE) -> Extracted:
+    """``manifest`` lists the transcript objects that exist and parse; with
+    files staged by recording id (``join_on="recording_id"``) the staged
+    transcript is used whatever URL the resolution chose."""
     require_columns(recordings, ["recording_id", "language"])
-    r = language_filter(recordings, language, ignore_case=True)
+    r = cap_rows(language_filter(recordings, language, ignore_case=True), max_rows)
     no_audio = U.missing_audio(r, audio_listing)
     with_audio = r.join(audio_listing.select("recording_id"), "recording_id", "left_semi")
-    resolved, unresolved = U.resolve_candidates(with_audio, manifest)
-    meta = with_audio.select("recording_id", F.coalesce(F.col("user_id").cast("string"), F.lit("")).alias("user_id"),
+    resolved, unresolved = U.resolve_candidates(with_audio, manifest, base)
+    uid = F.col("user_id").cast("string") if "user_id" in with_audio.columns else F.lit(None).cast("string")
+    meta = with_audio.select("recording_id", F.coalesce(uid, F.lit("")).alias("user_id"),
                              F.col("language").cast("string").alias("language"))
-    j = (resolved.join(meta, "recording_id")
-         .join(transcripts.withColumnRenamed("url", "transcription_url"), "transcription_url", "left"))
+    j = resolved.join(meta, "recording_id")
+    if join_on == "url":
+        j = j.join(transcripts.select(F.col("url").alias("transcription_url"), "payload"), "transcription_url", "left")
+    else:
+        j = j.join(transcripts.select("recording_id", "payload"), "recording_id", "left")
     segs, bad = T.valid_segments(T.parse_payload(j), "disfluency",
                                  ["recording_id", "user_id", "language", "audio_url", "transcription_url"])
     phrases = D.collect_lexicon(lexicon)
