@@ -51,3 +51,16 @@ def test_valid_segments_single_pass(spark):
     assert {r["recording_id"] for r in bad.collect()} == {"bad", "obj"}
     plan = segs._jdf.queryExecution().executedPlan().toString()
     assert plan.count("parseJson") == 1
+
+
+def test_split_refines_boundary_bucket(spark, monkeypatch):
+    import vaani.operators.split as SP
+    monkeypatch.setattr(SP, "TOPK_ROWS", 2)
+    df = spark.range(3000).select(F.col("id").cast("string").alias("id"))
+    got = {r["split"]: r["rows"] for r in SP.split_counts(SP.exact_split(df, "id", 0.37, 5)).collect()}
+    assert got == {"validation": 1110, "train": 1890}
+    monkeypatch.setattr(SP, "TOPK_ROWS", 50_000)
+    base = {r["id"]: r["split"] for r in SP.exact_split(df, "id", 0.37, 5).collect()}
+    monkeypatch.setattr(SP, "TOPK_ROWS", 2)
+    refined = {r["id"]: r["split"] for r in SP.exact_split(df, "id", 0.37, 5).collect()}
+    assert base == refined

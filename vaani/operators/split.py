@@ -1,11 +1,13 @@
 """Exact, seeded train/validation split without a global sort.
 
 Validation = the ``ceil(ratio * n)`` rows with the smallest key, where key =
-``md5(seed:id)``.  The cut is found from a 65,536-bucket histogram of the
-key's first four hex digits (bounded, collected), then a top-k inside the
-single boundary bucket; every other row is classified by comparison alone.
-Size is exact, membership is repeatable for a given seed, and no task ever
-holds more than one bucket.
+``md5(seed:id)`` (16 bytes, compared as unsigned bytes -- the same order as
+its hex text).  The cut is found top-down: a 65,536-bucket histogram of the
+key's first two bytes (bounded, collected), then, only inside the boundary
+bucket, a histogram of the next two bytes, and so on until the boundary
+bucket holds at most ``TOPK_ROWS`` rows, which one top-k resolves.  Every
+other row is classified by one comparison.  Size is exact, membership is
+repeatable for a seed, and no task holds more than one small bucket.
 """
 
 from __future__ import annotations
@@ -17,36 +19,28 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
-BUCKET_HEX = 4
+LEVEL_BYTES = 2
+TOPK_ROWS = 50_000
 
 
 def split_key(id_col: Column, seed: int) -> Column:
+    """Hex key (what the DuckDB oracle restates)."""
     return F.md5(F.concat(F.lit(f"{seed}:"), id_col.cast("string")))
 
 
+def _binary_key(id_col: Column, seed: int) -> Column:
+    return F.unhex(split_key(id_col, seed))
+
+
 def exact_split(df: DataFrame, id_col: str = "id", ratio: float = 0.1, seed: int = 42,
                 names=("train", "validation")) -> DataFrame:
-    key = split_key(F.col(id_col), seed)
-    # the key column alone is written to the shared checkpoint folder, so the
-    # histogram and the boundary top-k read it back instead of recomputing
-    # the upstream plan (and survive executor loss)
+    key = _binary_key(F.col(id_col), seed)
+    # the 16-byte key alone is written to the shared checkpoint folder; the
+    # histograms and the top-k read it instead of recomputing the upstream
+    # plan (and survive executor loss)
     checkpoint_dir(df.sparkSession)
-    keys = df.select(key.alias("_key")).checkpoint(eager=True)
-    bucket = F.substring("_key", 1, BUCKET_HEX)
-    hist = sorted((r[0], r[1]) for r in keys.groupBy(bucket.alias("b")).count().collect())
-    n = sum(c for _, c in hist)
-    k = math.ceil(ratio * n)
-    threshold = None
-    if k >= n and n > 0:
-        threshold = "g" * 32          # above every hex key
-    elif k > 0:
-        cum = 0
-        for b, c in hist:
-            if cum + c >= k:
-                threshold = (keys.where(bucket == b).orderBy("_key").limit(k - cum)
-                             .agg(F.max("_key")).first()[0])
-                break
-            cum += c
+    keys = df.select(key.alias("_k")).checkpoint(eager=True)
+    threshold = _threshold(keys, ratio)
     if threshold is None:
         split = F.lit(names[0])
     else:
@@ -54,6 +48,35 @@ def exact_split(df: DataFrame, id_col: str = "id", ratio: float = 0.1, seed: int
     return df.withColumn("split", split)
 
 
+def _threshold(keys: DataFrame, ratio: float):
+    """Largest key in the validation part (None when it is empty)."""
+    prefix, cum, n_total, k = b"", 0, None, None
+    scope = keys
+    for level in range(1, 16 // LEVEL_BYTES + 1):
+        width = level * LEVEL_BYTES
+        b = F.substring("_k", 1, width)
+        hist = sorted((bytes(r[0]), r[1]) for r in scope.groupBy(b.alias("b")).count().collect())
+        if n_total is None:
+            n_total = sum(c for _, c in hist)
+            k = math.ceil(ratio * n_total)
+            if k <= 0 or n_total == 0:
+                return None
+            if k >= n_total:
+                return b"\xff" * 16
+        for bucket, c in hist:
+            if cum + c >= k:
+                prefix = bucket
+                break
+            cum += c
+        scope = keys.where(F.substring("_k", 1, width) == F.lit(prefix))
+        if c <= TOPK_ROWS:
+            r = k - cum
+            return bytes(scope.orderBy("_k").limit(r).agg(F.max("_k")).first()[0])
+    # identical 16-byte keys only (duplicate ids): every row of the last
+    # bucket shares the key, so the cut falls on it
+    return prefix
+
+
 def split_counts(split_df: DataFrame) -> DataFrame:
     """R2."""
     return split_df.groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
