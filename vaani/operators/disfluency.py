@@ -135,7 +135,7 @@ def detect(segments: DataFrame, phrases: Sequence[tuple[str, str]], text_col: st
     """Add ``text_norm`` and ordered, de-duplicated ``hits``."""
     s = segments.withColumn("text_norm", norm_disfluency(F.coalesce(F.col(text_col), F.lit(""))))
     hits = F.concat(lexicon_hits_literal(F.col("text_norm"), phrases), regex_hits(F.col("text_norm"), mode))
-    return s.withColumn("hits", F.array_distinct(hits))
+    return s.withColumn("hits", F.array_distinct(hits)).withColumn("has_disfluency", F.size("hits") > 0)
 
 
 def occurrences(detected: DataFrame, clips_root: str = "clips") -> DataFrame:
@@ -217,7 +217,8 @@ def detect_join(segments: DataFrame, lexicon: DataFrame, text_col: str = "raw_te
         "array<struct<type_ord:int,phrase_ord:int,type:string,phrase:string>>")))
     lex_hits = F.transform(every, lambda h: _hit_col(h["type"], h["phrase"]))
     hits = F.concat(lex_hits, regex_hits(F.col("text_norm"), mode))
-    return out.withColumn("hits", F.array_distinct(hits)).drop("_lex", "_cand")
+    return (out.withColumn("hits", F.array_distinct(hits)).withColumn("has_disfluency", F.size("hits") > 0)
+            .drop("_lex", "_cand"))
 
 
 def _hit_col(t: Column, text: Column) -> Column:

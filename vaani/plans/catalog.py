@@ -400,3 +400,18 @@ def q_batch_transcribe(spark, sf_dir):
     """Batch transcription of every clip with the stand-in model."""
     from ..operators import audio as A
     return A.transcribe(_clips(spark, sf_dir), A.tone_model)
+
+
+@register
+def q_public_eval(spark, sf_dir):
+    """A public-style split (clip audio + its sentence)
+    transcribed by two stand-in systems and compared."""
+    from ..operators import audio as A
+    from .public_eval import evaluate_public_split
+    split = _clips(spark, sf_dir).select("id", F.col("clip").alias("audio"), F.col("sentence").alias("transcription"))
+
+    def tuned():
+        tone = A.tone_model()
+        return lambda arrays: [t + " " + t for t in tone(arrays)]
+    cmp, _ = evaluate_public_split(split, A.tone_model, tuned)
+    return cmp
