@@ -133,15 +133,17 @@ CLIP_SCHEMA = ("id string, recording_id string, sample_rate int, n_samples long,
 
 
 def cut_clips(segments: DataFrame, audio: DataFrame, rounding: str = "truncate",
-              target_sr: int | None = TARGET_SR) -> DataFrame:
+              target_sr: int | None = TARGET_SR, carry: tuple[str, ...] = ()) -> DataFrame:
     """U3 (+U1, U2): one row per clip.  Segments (``id, recording_id, start,
     end``) are grouped per recording -- a recording's segments already form
     one transcript array -- and joined to its audio (``recording_id,
     content``): the only shuffle that carries audio bytes.  A recording
-    that fails to decode yields one row with ``error`` set (E1)."""
+    that fails to decode yields one row with ``error`` set (E1).  ``carry``
+    names string columns of ``segments`` passed through to each clip row, so
+    callers need no second pass over the segments."""
     small_batches(segments.sparkSession)
     per_rec = segments.groupBy("recording_id").agg(
-        F.collect_list(F.struct("id", "start", "end")).alias("segs"))
+        F.collect_list(F.struct("id", "start", "end", *carry)).alias("segs"))
     j = per_rec.join(audio.select("recording_id", "content"), "recording_id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -153,16 +155,17 @@ def cut_clips(segments: DataFrame, audio: DataFrame, rounding: str = "truncate",
                     if target_sr:
                         x, sr = resample(x, sr, target_sr), target_sr
                 except Exception as exc:  # noqa: BLE001 - isolate the recording
-                    out.append((None, rec, None, None, None, f"recording_id={rec}: {exc}"))
+                    out.append((None, rec, None, None, None, f"recording_id={rec}: {exc}", *[None] * len(carry)))
                     continue
                 for s in segs:
                     lo, hi = sample_range(s["start"], s["end"], sr, len(x), rounding)
                     if hi <= lo:
                         continue
-                    out.append((s["id"], rec, sr, hi - lo, encode_wav(x[lo:hi], sr), None))
-            yield pd.DataFrame(out, columns=["id", "recording_id", "sample_rate", "n_samples", "clip", "error"])
+                    out.append((s["id"], rec, sr, hi - lo, encode_wav(x[lo:hi], sr), None, *[s[c] for c in carry]))
+            yield pd.DataFrame(out, columns=["id", "recording_id", "sample_rate", "n_samples", "clip", "error", *carry])
 
-    return j.mapInPandas(run, CLIP_SCHEMA)
+    schema = CLIP_SCHEMA + "".join(f", {c} string" for c in carry)
+    return j.mapInPandas(run, schema)
 
 
 def resample_audio(audio: DataFrame, target_sr: int = TARGET_SR) -> DataFrame:

@@ -15,3 +15,18 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+def where_after(df: DataFrame, condition) -> DataFrame:
+    """``df.where(condition)`` evaluated once, after ``df``'s projections.
+
+    A plain filter on a computed column is pushed below the projection that
+    computes it, with the expression substituted, so an expensive column
+    (a JSON parse, a regex pass) would be evaluated by the filter and again
+    by the projection.  A filter on a generated column cannot be pushed
+    below its generator: ``condition`` becomes a one-element array that is
+    exploded, and rows where it does not hold produce no element.
+    """
+    from pyspark.sql import functions as F
+    g = df.withColumn("_keep", F.explode_outer(F.when(condition, F.array(F.lit(True)))))
+    return g.where(F.col("_keep").isNotNull()).drop("_keep")

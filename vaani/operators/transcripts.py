@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.normalize import norm_asr_basic
+from .partitioning import where_after
 
 SEGMENT_FIELDS = ("start", "end", "text")
 
@@ -98,7 +99,7 @@ def valid_segments(parsed: DataFrame, mode: str, keep: list[str]) -> tuple[DataF
     itself would be pushed below the projection and parse every payload
     twice."""
     d = parsed.withColumn("_error", recording_error(mode))
-    failures = d.where(F.col("_error").isNotNull()).select("recording_id", F.col("_error").alias("error"))
+    failures = where_after(d, F.col("_error").isNotNull()).select("recording_id", F.col("_error").alias("error"))
     g = d.select(*keep, F.posexplode_outer(F.when(F.col("_error").isNull(), F.col("_segs")))
                  .alias("segment_idx", "_seg")).where(F.col("segment_idx").isNotNull())
     s = F.col("_seg")

@@ -376,8 +376,8 @@ def q_resample(spark, sf_dir):
 def _clips(spark, sf_dir):
     from ..operators import audio as A
     p = _prepared(spark, sf_dir).segments
-    clips = A.cut_clips(p.select("id", "recording_id", "start", "end"), X.synthetic_audio(_conv(spark, sf_dir)))
-    return clips.join(p.select("id", "sentence"), "id")
+    return A.cut_clips(p.select("id", "recording_id", "start", "end", "sentence"),
+                       X.synthetic_audio(_conv(spark, sf_dir)), carry=("sentence",))
 
 
 @register

@@ -49,17 +49,21 @@ def run_prepare(spark: SparkSession, metadata_csv: str, transcripts_dir: str, au
     audio = IO.read_audio(spark, audio_dir)
     p = PR.prepare_segments(recs, transcripts, language, min_segment_sec, max_segment_sec,
                             join_on="recording_id", max_rows=max_rows)
-    clips = A.cut_clips(p.segments.select("id", "recording_id", "start", "end"), audio)
-    no_audio = (p.segments.select("recording_id").distinct()
+    # segments are staged first; clip cutting and the final join read them
+    # from storage instead of re-running the transcript plan
+    staged_path = os.path.join(output_dir, "_segments")
+    p.segments.drop("raw_text").write.mode("overwrite").parquet(staged_path)
+    staged = spark.read.parquet(staged_path)
+    clips = A.cut_clips(staged.select("id", "recording_id", "start", "end"), audio)
+    no_audio = (staged.select("recording_id").distinct()
                 .join(audio.select("recording_id"), "recording_id", "left_anti")
                 .select("recording_id", F.concat(F.lit("Missing raw audio: "), F.col("recording_id"),
                                                  F.lit(".wav")).alias("error")))
-    bad_audio = clips.where(F.col("error").isNotNull()).select("recording_id", "error")
-    rows = (p.segments.join(clips.where(F.col("error").isNull()).select("id", F.col("clip").alias("audio")), "id")
-            .drop("raw_text"))
-    staged = os.path.join(output_dir, "_segments")
-    rows.write.mode("overwrite").parquet(staged)
-    written = spark.read.parquet(staged)
+    clips_path = os.path.join(output_dir, "_clips")
+    clips.write.mode("overwrite").parquet(clips_path)
+    cut = spark.read.parquet(clips_path)
+    bad_audio = cut.where(F.col("error").isNotNull()).select("recording_id", "error")
+    written = staged.join(cut.where(F.col("error").isNull()).select("id", F.col("clip").alias("audio")), "id")
     if written.isEmpty():                                  # S9
         raise RuntimeError("No valid segment records were prepared.")
     IO.write_dataset(exact_split(written, "id", val_ratio, seed), os.path.join(output_dir, "dataset"))
