@@ -4,7 +4,7 @@ Audio is ``BINARY`` (WAV) at rest.  Decoding, down-mixing, resampling,
 cutting and featurizing run in ``mapInPandas`` over Arrow batches with the
 standard-library ``wave`` module and numpy; each recording is decoded once
 and emits one row per clip.  Arrow batches are kept small (audio rows are
-large) via ``spark.sql.execution.arrow.maxRecordsPerBatch``.
+large) by ``spark.sql.execution.arrow.maxBytesPerBatch``.
 """
 
 from __future__ import annotations
@@ -19,11 +19,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TARGET_SR = 16000
-AUDIO_BATCH_ROWS = "16"
+# Arrow batches are capped by size, so batches of large audio rows stay
+# small while batches of short text rows keep their usual row count.
+ARROW_BATCH_BYTES = str(64 * 1024 * 1024)
 
 
 def small_batches(spark) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", AUDIO_BATCH_ROWS)
+    """Cap Arrow batch bytes unless the session already chose a cap."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    cur = spark.conf.get(key, None)
+    if cur is None or int(str(cur).rstrip("bB") or 0) > int(ARROW_BATCH_BYTES):
+        spark.conf.set(key, ARROW_BATCH_BYTES)
 
 
 # ---------------------------------------------------------------- codecs (per-row helpers)
