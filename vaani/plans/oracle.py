@@ -78,8 +78,9 @@ ORACLE["q_distinct_words"] = _DISTINCT
 ORACLE["q_spelling_labels"] = _LABELS
 ORACLE["q_reason_counts"] = f"SELECT reason, spelling_label, count(*) AS words FROM ({_LABELS}) GROUP BY ALL"
 ORACLE["q_spelling_summary"] = (
-    f"SELECT count(*) AS total_unique_words, count_if(spelling_label = 'correct spelling') AS correct_spelling_words, "
-    f"count_if(spelling_label = 'incorrect spelling') AS incorrect_spelling_words FROM ({_LABELS})")
+    f"SELECT count(*) AS total_unique_words, "
+    f"CAST(count_if(spelling_label = 'correct spelling') AS BIGINT) AS correct_spelling_words, "
+    f"CAST(count_if(spelling_label = 'incorrect spelling') AS BIGINT) AS incorrect_spelling_words FROM ({_LABELS})")
 
 
 # ---------------------------------------------------------------- recordings, urls, segments

@@ -98,7 +98,7 @@ def char_edit_distance(r: str, h: str) -> str:
 
 SENTENCES = r"""
   SELECT conv_id, turn, sent_idx, sentence FROM (
-    SELECT conv_id, turn, unnest(p) AS sentence, unnest(range(0, len(p))) AS sent_idx
+    SELECT conv_id, turn, unnest(p) AS sentence, CAST(unnest(range(0, len(p))) AS INTEGER) AS sent_idx
     FROM (SELECT conv_id, turn, regexp_split_to_array(text, '[.\n]') AS p FROM conversations)
   ) WHERE regexp_matches(sentence, '[\p{L}\p{N}]')
 """
@@ -214,7 +214,7 @@ PIECES = f"""
     k * 2.0::DOUBLE + length(p) / 15.0::DOUBLE AS end_v,
     CASE WHEN p = '' THEN '' WHEN trim(p) = '' THEN NULL ELSE p END AS text_v,
     (trim(p) = '' AND p <> '') AS text_null
-  FROM (SELECT {RID} AS recording_id, conv_id, turn, role, unnest(ps) AS p, unnest(range(0, len(ps))) AS k
+  FROM (SELECT {RID} AS recording_id, conv_id, turn, role, unnest(ps) AS p, CAST(unnest(range(0, len(ps))) AS INTEGER) AS k
         FROM (SELECT *, regexp_split_to_array(text, '[.\\n]') AS ps FROM conversations))
 """
 
