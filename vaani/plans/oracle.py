@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .sqlparts import pairs_sql
+from .sqlparts import pairs_sql, sheet_sql
 
 ORACLE: dict[str, str] = {}
 
@@ -40,10 +40,6 @@ _SEG = (f"WITH pairs AS ({pairs_sql()}), s AS (SELECT *, "
         "t AS (SELECT s.segment_url_link, list_sort(list(s.model)) AS tied FROM s JOIN b USING (segment_url_link) "
         "WHERE abs(coalesce(s.wer, 'inf'::DOUBLE) - b.min_wer) < 1e-12 GROUP BY s.segment_url_link), "
         "h AS (SELECT DISTINCT segment_url_link, \"Human\" AS human_text FROM (" )
-ORACLE["q_best_model"] = None  # filled below
-
-from .sqlparts import sheet_sql  # noqa: E402
-
 ORACLE["q_best_model"] = (
     _SEG + sheet_sql() + ")) SELECT b.conv_id, b.turn, b.sent_idx, b.segment_url_link, h.human_text, "
     "b.best_model, b.best_model_wer, b.best_model_cer, array_to_string(t.tied, '|') AS best_tie_models, "
@@ -104,10 +100,6 @@ ORACLE["q_build_urls"] = _BUILT
 # manifest = every canonical transcript URL; sheet candidates never point at
 # a listed object except the built one, so the first listed candidate wins
 _MANIFEST = f"SELECT '{P.BASE}u' || conv_id || '/' || {P.RID} || '_transcription.json' AS url FROM conversations"
-_CANDS = (f"SELECT recording_id, folder_id, prio, url, '{P.BASE}' || folder_id || '/' || recording_id || '_audio.wav' "
-          f"AS built_audio, coalesce(nullif(trim(rec_url_gcp), ''), '{P.BASE}' || folder_id || '/' || recording_id "
-          f"|| '_audio.wav') AS first_audio FROM (SELECT *, {P.folder_sql(DISFLUENCY_URL_COLUMNS[:3])} AS folder_id "
-          f"FROM ({P.RECORDINGS})), (SELECT 1 AS prio) WHERE folder_id IS NOT NULL AND 1 = 0 ")
 ORACLE["q_resolve_candidates"] = (
     f"WITH r AS (SELECT *, {P.folder_sql(DISFLUENCY_URL_COLUMNS[:3])} AS folder_id FROM ({P.RECORDINGS})), "
     f"c AS (SELECT recording_id, folder_id, rec_url_gcp, 1 AS prio, nullif(trim(transcription_url_gcp), '') AS url FROM r "
