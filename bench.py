@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "q_model_rank", "q_best_model", "q_segment_scores", "q_norm_scoring", "q_spelling_labels",
     "q_reason_counts", "q_repetition", "q_occurrences", "q_segments_valid", "q_exact_split",
-    "q_resolve_candidates",
+    "q_resolve_candidates", "q_benchmark_phrases",
 ]
 
 

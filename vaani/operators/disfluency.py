@@ -58,10 +58,7 @@ def _escape(ch: str) -> str:
     return "\\" + ch if (ch.isascii() and not ch.isalnum() and ch != "_") else ch
 
 
-def phrase_pattern(phrase_norm: str) -> str:
-    """Literal phrase; a space matches any whitespace run, a hyphen any
-    run of hyphens/whitespace; guarded so it never starts or ends inside a
-    word (word = Python ``\\w`` or Devanagari)."""
+def _phrase_body(phrase_norm: str) -> str:
     body = []
     for ch in phrase_norm:
         if ch == " ":
@@ -70,7 +67,23 @@ def phrase_pattern(phrase_norm: str) -> str:
             body.append(PY_WS_CLASS[:-1] + r"\-]*")
         else:
             body.append(_escape(ch))
-    return "(?<!" + W + ")" + "".join(body) + "(?!" + W + ")"
+    return "".join(body)
+
+
+def phrase_pattern(phrase_norm: str) -> str:
+    """Literal phrase; a space matches any whitespace run, a hyphen any
+    run of hyphens/whitespace; guarded so it never starts or ends inside a
+    word (word = Python ``\w`` or Devanagari).
+
+    When the phrase starts with a word character the start guard is placed
+    after that character (``c(?<!W.)`` instead of ``(?<!W)c``): the same
+    condition, but the pattern then begins with a literal, which lets the
+    regex engine skip ahead to occurrences of it instead of testing the
+    guard at every position of the text."""
+    guard_end = "(?!" + W + ")"
+    if phrase_norm and re.match(r"[\w\u0900-\u097f]", phrase_norm[0]):
+        return phrase_norm[0] + "(?<!" + W + ".)" + _phrase_body(phrase_norm[1:]) + guard_end
+    return "(?<!" + W + ")" + _phrase_body(phrase_norm) + guard_end
 
 
 def wide_lexicon_to_long(wide: DataFrame, order_col: str = "row_ord") -> DataFrame:
@@ -191,14 +204,22 @@ def detect_join(segments: DataFrame, lexicon: DataFrame, text_col: str = "raw_te
                lex.where(F.col("k") == "").orderBy("type_ord", "phrase_ord").limit(MAX_LITERAL_PHRASES + 1).collect()]
     if len(keyless) > MAX_LITERAL_PHRASES:
         raise ValueError("lexicon has more than %d phrases without word characters" % MAX_LITERAL_PHRASES)
-    max_n = lex.agg(F.max("n_runs")).first()[0] or 1
+    # a phrase spans between (space-separated parts with word characters)
+    # and (word runs) text tokens: spaces never glue, hyphens may
+    parts = F.size(F.filter(F.split(F.col("phrase"), " "), lambda x: x.rlike(W)))
+    bounds = lex.where(F.col("k") != "").agg(F.min(parts).alias("lo"), F.max("n_runs").alias("hi")).first()
+    min_n, max_n = max(bounds["lo"] or 1, 1), bounds["hi"] or 1
     toks = F.regexp_extract_all(F.col("text_norm"), F.lit(W + "+"), 0)
-    # n-gram keys carry only the segment key, never the text
+    # n-gram keys are built inside one array per segment (no per-token copy
+    # of the token array) and de-duplicated before exploding, so a phrase
+    # repeated throughout a long text yields one candidate row
+    def grams_of(n):
+        return F.when(F.size("_t") >= n, F.transform(
+            F.sequence(F.lit(0), F.size("_t") - n),
+            lambda i: F.array_join(F.slice("_t", i + 1, n), ""))).otherwise(F.array().cast("array<string>"))
+    keys_arr = F.array_distinct(F.flatten(F.array(*[grams_of(n) for n in range(min_n, max_n + 1)])))
     grams = (s.select(*keys, toks.alias("_t"))
-             .select(*keys, "_t", F.posexplode_outer("_t").alias("_i", "_x")).where(F.col("_i").isNotNull())
-             .select(*keys, "_t", "_i", F.explode(F.sequence(
-                 F.lit(1), F.least(F.lit(max_n), F.size("_t") - F.col("_i")))).alias("_n"))
-             .select(*keys, F.array_join(F.slice("_t", F.col("_i") + 1, F.col("_n")), "").alias("k")))
+             .select(*keys, F.explode_outer(keys_arr).alias("k")).where(F.col("k").isNotNull()))
     cand = (grams.join(lex.where(F.col("k") != "").select("k", "type", "type_ord", "phrase", "phrase_ord"), "k")
             .select(*keys, "type_ord", "phrase_ord", "type", "phrase").distinct())
     # candidates per segment are bounded by the lexicon size; one join brings
@@ -231,8 +252,14 @@ def _quote_repl(s: str) -> str:
 
 def _matches(text: Column, phrase: Column) -> Column:
     """:func:`phrase_pattern` built from a phrase column, then matched."""
-    esc = F.regexp_replace(phrase, r"([!-,./:-@\[-^`{-~])", r"\\$1")
-    body = F.regexp_replace(esc, "-", _quote_repl(PY_WS_CLASS[:-1] + r"\-]*"))
-    body = F.regexp_replace(body, " ", _quote_repl(PY_WS_RUN))
-    pat = F.concat(F.lit("(?<!" + W + ")"), body, F.lit("(?!" + W + ")"))
+    def body(p):
+        esc = F.regexp_replace(p, r"([!-,./:-@\[-^`{-~])", r"\\$1")
+        b = F.regexp_replace(esc, "-", _quote_repl(PY_WS_CLASS[:-1] + r"\-]*"))
+        return F.regexp_replace(b, " ", _quote_repl(PY_WS_RUN))
+    guard_end = F.lit("(?!" + W + ")")
+    literal_first = F.concat(F.substring(phrase, 1, 1), F.lit("(?<!" + W + ".)"),
+                             body(F.substring(phrase, 2, 1 << 30)),
+                             guard_end)
+    plain = F.concat(F.lit("(?<!" + W + ")"), body(phrase), guard_end)
+    pat = F.when(F.substring(phrase, 1, 1).rlike("^" + W + "$"), literal_first).otherwise(plain)
     return F.regexp_like(text, pat)

@@ -415,3 +415,16 @@ def q_public_eval(spark, sf_dir):
         return lambda arrays: [t + " " + t for t in tone(arrays)]
     cmp, _ = evaluate_public_split(split, A.tone_model, tuned)
     return cmp
+
+
+@register
+def q_benchmark_phrases(spark, sf_dir):
+    """D3 form (b): a lexicon of every benchmark word bigram (thousands of
+    phrases) matched over whole documents by the n-gram equi-join, each hit
+    verified with its exact phrase pattern."""
+    from ..operators import disfluency as D
+    lex = X.benchmark_bigram_lexicon(table(spark, sf_dir, "benchmark"))
+    det = D.detect_join(_docs(spark, sf_dir), lex, text_col="text", seg_keys=("doc_id",))
+    hits = det.select("doc_id", F.posexplode_outer("hits").alias("hit_idx", "h")).where(F.col("hit_idx").isNotNull())
+    return hits.where(F.col("h.match_rule") == "lexicon").select(
+        "doc_id", "hit_idx", F.col("h.matched_text").alias("phrase"))

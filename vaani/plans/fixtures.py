@@ -194,3 +194,16 @@ def synthetic_audio(conversations: DataFrame, sample_rate: int = 8000) -> DataFr
 
     return conversations.select("conv_id", "turn", "role", "text").mapInPandas(
         run, "recording_id string, content binary")
+
+
+def benchmark_bigram_lexicon(benchmark: DataFrame) -> DataFrame:
+    """A large phrase lexicon derived from the benchmark table: every pair of
+    adjacent word runs of every normalized passage, one type."""
+    from ..functions.normalize import norm_disfluency
+    from ..operators.disfluency import W
+    toks = F.regexp_extract_all(norm_disfluency(F.col("text")), F.lit(W + "+"), 0)
+    grams = benchmark.select(toks.alias("t")).select(F.explode(F.transform(
+        F.sequence(F.lit(0), F.size("t") - 2), lambda i: F.concat(F.col("t")[i], F.lit(" "), F.col("t")[i + 1])))
+        .alias("phrase")).where(F.col("phrase").isNotNull())
+    return grams.distinct().select(F.lit("Benchmark").alias("type"), F.lit(0).alias("type_ord"), "phrase",
+                                   F.lit(0).alias("phrase_ord"))

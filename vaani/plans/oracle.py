@@ -297,3 +297,15 @@ ORACLE["q_report_table"] = " UNION ALL ".join([
                        ("total_unique_words", "correct_spelling_words", "incorrect_spelling_words")]),
     _rows("evaluation", [(c, f"SELECT {c} FROM ({_EV})") for c in ("input_rows", "best_model_wer", "best_model_cer")]),
 ])
+
+# benchmark bigram lexicon matched over documents: adjacent word runs joined
+# by a whitespace-only gap, equi-joined with the lexicon
+_BENCH_T = P.with_tokens(f"SELECT item_id, {P.norm_disfluency('text')} AS t FROM benchmark")
+_BENCH_LEX = (f"SELECT DISTINCT tk[i] || ' ' || tk[i + 1] AS phrase FROM "
+              f"(SELECT tk, unnest(range(1, len(tk))) AS i FROM ({_BENCH_T}))")
+_DOC_BIGRAMS = (f"SELECT DISTINCT doc_id, tk[i] || ' ' || tk[i + 1] AS phrase FROM "
+                f"(SELECT doc_id, tk, gp, unnest(range(1, len(tk))) AS i FROM ({_DOCS_T})) "
+                f"WHERE regexp_full_match(gp[i + 1], {P.q(P.WS_RUN)})")
+ORACLE["q_benchmark_phrases"] = (
+    f"SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY phrase) - 1 AS INTEGER) AS hit_idx, phrase "
+    f"FROM ({_DOC_BIGRAMS}) WHERE phrase IN ({_BENCH_LEX})")
