@@ -73,7 +73,7 @@ def _phrase_body(phrase_norm: str) -> str:
 def phrase_pattern(phrase_norm: str) -> str:
     """Literal phrase; a space matches any whitespace run, a hyphen any
     run of hyphens/whitespace; guarded so it never starts or ends inside a
-    word (word = Python ``\w`` or Devanagari).
+    word (word = Python word character or Devanagari).
 
     When the phrase starts with a word character the start guard is placed
     after that character (``c(?<!W.)`` instead of ``(?<!W)c``): the same
