@@ -78,6 +78,9 @@ def test_prepare_job(spark, inputs):
     assert s["train_rows"] + s["validation_rows"] == 4 and s["validation_rows"] == 1
     errs = "\n".join(s["failure_examples"])
     assert "103" in errs and "105" in errs and s["failures"] == 2
+    from vaani.sources.files import read_summaries
+    back = read_summaries(spark, os.path.join(out, "prepare_summary")).first()
+    assert back["prepared_rows"] == 4 and back["failures"] == 2
     ds = spark.read.parquet(os.path.join(out, "dataset"))
     r = ds.where("id = '101_0002'").first()
     assert r["sentence"] == "अच्छााा हाँ" and r["duration_sec"] == 1.5 and len(r["audio"]) > 44

@@ -123,15 +123,6 @@ def encode_words(arr: Column, vocab: Column) -> Column:
     return _encode(arr, vocab)
 
 
-def coded_edits_exact(ref_code: Column, hyp_code: Column, ref_words: Column, hyp_words: Column,
-                      vocab: Column) -> Column:
-    """Word edit distance from pre-encoded strings (shared ``vocab``), with
-    the exact Arrow fallback for vocabularies beyond the code-point budget."""
-    big = F.size(vocab) > MAX_CODED_WORDS
-    slow = word_edits_arrow(F.when(big, ref_words), F.when(big, hyp_words))
-    return F.when(big, slow).otherwise(F.levenshtein(ref_code, hyp_code))
-
-
 def word_edits_exact(ref_words: Column, hyp_words: Column) -> Column:
     """Word edit distance for any pair size.
 

@@ -76,26 +76,6 @@ def list_edit_distance(a: str, b: str) -> str:
             f"range(0, len({b}) + 1))[-1]")
 
 
-def word_edit_distance(r: str, h: str) -> str:
-    """Word edit distance: distinct words of the pair mapped to single bytes
-    for the built-in levenshtein when there are at most 127 of them, else
-    the exact list programme."""
-    alpha = f"list_distinct({words(r)} || {words(h)})"
-    enc = lambda x: f"array_to_string(list_transform({words(x)}, lambda w: chr(list_position({alpha}, w))), '')"
-    return (f"(CASE WHEN len({alpha}) <= 127 THEN levenshtein({enc(r)}, {enc(h)}) "
-            f"ELSE {list_edit_distance(words(r), words(h))} END)")
-
-
-def char_edit_distance(r: str, h: str) -> str:
-    """Code-point edit distance.  DuckDB's levenshtein counts bytes, so the
-    distinct characters of the pair are mapped to single bytes 1..127 first;
-    larger alphabets use the list programme."""
-    alpha = f"list_distinct({chars(r)} || {chars(h)})"
-    enc = lambda x: f"array_to_string(list_transform({chars(x)}, lambda c: chr(list_position({alpha}, c))), '')"
-    return (f"(CASE WHEN len({alpha}) <= 127 THEN levenshtein({enc(r)}, {enc(h)}) "
-            f"ELSE {list_edit_distance(chars(r), chars(h))} END)")
-
-
 SENTENCES = r"""
   SELECT conv_id, turn, sent_idx, sentence FROM (
     SELECT conv_id, turn, unnest(p) AS sentence, CAST(unnest(range(0, len(p))) AS INTEGER) AS sent_idx
