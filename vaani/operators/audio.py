@@ -249,6 +249,8 @@ def tone_model():
 
 
 def segment_clips(detected: DataFrame, audio: DataFrame) -> DataFrame:
+    # ``audio``: ``recording_id, content`` (in-table WAV) or ``recording_id,
+    # path`` (files read from storage by window)
     """Disfluency clips: one clip per segment with at least one hit, cut with
     half-even rounding of the sample index at the recording's own rate
     (no resampling).  Every hit of a segment refers to the same audio, so it
@@ -256,7 +258,9 @@ def segment_clips(detected: DataFrame, audio: DataFrame) -> DataFrame:
     seg = (detected.where((F.col("end") > F.col("start")) & (F.size("hits") > 0))
            .select(F.format_string("%s_%04d", F.col("recording_id"), F.col("segment_idx")).alias("id"),
                    "recording_id", "start", "end"))
-    return cut_clips(seg, audio, rounding="round", target_sr=None)
+    if "content" in audio.columns:
+        return cut_clips(seg, audio, rounding="round", target_sr=None)
+    return cut_clips_from_storage(seg, audio, rounding="round", target_sr=None)
 
 
 def write_clip_files(clips: DataFrame, root: str, overwrite: bool = True) -> None:
@@ -276,3 +280,77 @@ def write_clip_files(clips: DataFrame, root: str, overwrite: bool = True) -> Non
                     f.write(bytes(r["clip"]))
 
     clips.select("id", "recording_id", "clip").foreachPartition(write)
+
+
+# ---------------------------------------------------------------- windowed cutting from storage
+
+WINDOW_SEC = 600.0
+PATH_CLIP_SCHEMA = ("id string, recording_id string, sample_rate int, n_samples long, clip binary, "
+                    "error string")
+
+
+def _open(path: str):
+    """Random-access reader for a local or remote path (Hadoop-style
+    ``file:`` URIs included)."""
+    from pyarrow import fs
+    if path.startswith("file:"):
+        path = path[5:].lstrip("/")
+        path = "/" + path
+    filesystem, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    return filesystem.open_input_file(inner)
+
+
+def _read_window(f, first: int, last: int) -> tuple[np.ndarray, int, int]:
+    """Frames [first, last) of a PCM WAV as mono float32, plus rate and
+    total frame count; only those frames are read."""
+    with wave.open(f, "rb") as w:
+        ch, width, sr, n = w.getnchannels(), w.getsampwidth(), w.getframerate(), w.getnframes()
+        first, last = max(0, min(first, n)), max(0, min(last, n))
+        w.setpos(first)
+        raw = w.readframes(last - first)
+    dtype = {2: "<i2", 4: "<i4", 1: np.uint8}[width]
+    x = np.frombuffer(raw, dtype=dtype).astype(np.float32)
+    x = (x - 128.0) / 128.0 if width == 1 else x / float(2 ** (8 * width - 1))
+    if ch > 1:
+        x = x.reshape(-1, ch).mean(axis=1)
+    return x, sr, n
+
+
+def cut_clips_from_storage(segments: DataFrame, audio_index: DataFrame, rounding: str = "truncate",
+                           target_sr: int | None = TARGET_SR, window_sec: float = WINDOW_SEC) -> DataFrame:
+    """U3 at scale: segments (``id, recording_id, start, end``) are grouped
+    by recording *and* a ``window_sec`` window of their start time, so no
+    group grows with the recording's length (a recording with a third of
+    all segments becomes many small groups).  Only the audio path travels
+    through the shuffle; each task seeks into the file and reads the frames
+    its segments need.  Sample indices are taken at ``target_sr`` (as if
+    the whole file had been resampled), and each clip is resampled to
+    exactly that length."""
+    per = segments.groupBy("recording_id", F.floor(F.col("start") / window_sec).alias("_w")).agg(
+        F.collect_list(F.struct("id", "start", "end")).alias("segs"))
+    j = per.join(audio_index.select("recording_id", "path"), "recording_id")
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for rec, segs, path in zip(b["recording_id"], b["segs"], b["path"]):
+                try:
+                    with _open(path) as f:
+                        with wave.open(f, "rb") as w:
+                            sr, n = w.getframerate(), w.getnframes()
+                        out_sr = target_sr or sr
+                        total = int(round(n * out_sr / sr))
+                        for s in segs:
+                            lo, hi = sample_range(s["start"], s["end"], out_sr, total, rounding)
+                            if hi <= lo:
+                                continue
+                            f.seek(0)
+                            x, _, _ = _read_window(f, int(np.floor(lo * sr / out_sr)), int(np.ceil(hi * sr / out_sr)))
+                            y = resample(x, sr, out_sr) if out_sr != sr else x
+                            y = y[:hi - lo] if len(y) >= hi - lo else np.pad(y, (0, hi - lo - len(y)))
+                            out.append((s["id"], rec, out_sr, hi - lo, encode_wav(y, out_sr), None))
+                except Exception as exc:  # noqa: BLE001 - isolate the recording
+                    out.append((None, rec, None, None, None, f"recording_id={rec}: {exc}"))
+            yield pd.DataFrame(out, columns=["id", "recording_id", "sample_rate", "n_samples", "clip", "error"])
+
+    return j.mapInPandas(run, PATH_CLIP_SCHEMA)

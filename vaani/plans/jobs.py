@@ -54,7 +54,10 @@ def run_prepare(spark: SparkSession, metadata_csv: str, transcripts_dir: str, au
     staged_path = os.path.join(output_dir, "_segments")
     p.segments.drop("raw_text").write.mode("overwrite").parquet(staged_path)
     staged = spark.read.parquet(staged_path)
-    clips = A.cut_clips(staged.select("id", "recording_id", "start", "end"), audio)
+    # audio bytes never enter a shuffle: clips are read from the files by
+    # (recording, time window) groups
+    clips = A.cut_clips_from_storage(staged.select("id", "recording_id", "start", "end"),
+                                     audio.select("recording_id", "path"))
     no_audio = (staged.select("recording_id").distinct()
                 .join(audio.select("recording_id"), "recording_id", "left_anti")
                 .select("recording_id", F.concat(F.lit("Missing raw audio: "), F.col("recording_id"),
@@ -102,7 +105,7 @@ def run_disfluency(spark: SparkSession, metadata_csv: str, lexicon_csv: str, tra
     e.occurrences.write.mode("overwrite").parquet(os.path.join(output_dir, "occurrences"))
     occ = spark.read.parquet(os.path.join(output_dir, "occurrences"))
     IO.write_sheet(occ.select(*D.OUTPUT_COLUMNS), os.path.join(output_dir, "occurrences_csv"))
-    clips = A.segment_clips(e.detected, audio)
+    clips = A.segment_clips(e.detected, audio.select("recording_id", "path"))
     clips.write.mode("overwrite").parquet(os.path.join(output_dir, "segment_clips"))
     if export_clips:
         A.write_clip_files(spark.read.parquet(os.path.join(output_dir, "segment_clips")), clips_root)
