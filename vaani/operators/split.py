@@ -8,6 +8,10 @@ bucket, a histogram of the next two bytes, and so on until the boundary
 bucket holds at most ``TOPK_ROWS`` rows, which one top-k resolves.  Every
 other row is classified by one comparison.  Size is exact, membership is
 repeatable for a seed, and no task holds more than one small bucket.
+
+Copies of one id share a key, so they always land on the same side (no
+train/validation leakage); when ids repeat, the validation part can exceed
+``ceil(ratio * n)`` by the copies of the boundary id.
 """
 
 from __future__ import annotations
