@@ -13,6 +13,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # text work is CPU-bound per byte: smaller input splits give more tasks
+    "spark.sql.files.maxPartitionBytes": "64m",
+    # AQE keeps coalescing parallelism-first: several stages after a shuffle
+    # (phrase verification, distance computation) are CPU-heavy but small
+    # in bytes, and coalescing them by size would serialize them
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
