@@ -85,3 +85,10 @@ def test_recordings_are_conserved(spark):
         "recording_id"))
     ok = {r["recording_id"] for r in parsed.where(T.recording_error("prepare").isNull()).collect()} & inputs
     assert failed.isdisjoint(ok) and (failed | ok) == inputs
+
+
+def test_empty_later_header_does_not_replace(spark):
+    wide = spark.createDataFrame([(0, "um", None, "x"), (1, "er", " ", None)],
+                                 "row_ord int, `A` string, `A ` string, `B` string")
+    lex = D.build_lexicon(D.wide_lexicon_to_long(wide)).orderBy("type_ord", "phrase_ord").collect()
+    assert [(r["type"], r["type_ord"], r["phrase"]) for r in lex] == [("A", 0, "um"), ("A", 0, "er"), ("B", 2, "x")]

@@ -17,7 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.normalize import norm_disfluency
@@ -87,27 +87,32 @@ def phrase_pattern(phrase_norm: str) -> str:
 
 
 def wide_lexicon_to_long(wide: DataFrame, order_col: str = "row_ord") -> DataFrame:
-    """A wide sheet (one column per type) to ``type, type_ord, phrase_raw,
-    phrase_ord``.  Headers are stripped; when two headers strip to the same
-    name the later column wins, as a dict keyed by name would."""
+    """A wide sheet (one column per type) to ``type, col_idx, phrase_raw,
+    phrase_ord``; headers are stripped, empty cells dropped."""
     cols = [c for c in wide.columns if c != order_col]
-    names = {}
-    for i, c in enumerate(cols):
-        names[c.strip()] = (i, c)            # later duplicate replaces earlier
-    kept = sorted(names.items(), key=lambda kv: kv[1][0])
-    stack = F.array(*[F.struct(F.lit(name).alias("type"), F.lit(i).alias("type_ord"),
+    stack = F.array(*[F.struct(F.lit(c.strip()).alias("type"), F.lit(i).alias("col_idx"),
                                F.col(f"`{c}`").cast("string").alias("phrase_raw"))
-                      for name, (i, c) in kept])
-    return (wide.select(F.col(order_col).alias("phrase_ord"), F.inline(stack))
+                      for i, c in enumerate(cols)])
+    return (wide.select(F.col(order_col).alias("phrase_ord"), F.inline_outer(stack))
             .where(F.col("phrase_raw").isNotNull()))
 
 
 def build_lexicon(long: DataFrame) -> DataFrame:
     """Normalize (N2), drop empty phrases, keep the first occurrence of a
-    phrase within its type.  Types left without phrases disappear."""
+    phrase within its type; types left without phrases disappear.
+
+    Columns whose stripped headers coincide resolve like a dict keyed by
+    type that is only assigned non-empty columns: the type keeps the
+    position of its first non-empty column and the phrases of its last.
+    The window spans one type's phrases, so it is bounded by the lexicon."""
     n = long.withColumn("phrase", norm_disfluency(F.col("phrase_raw"))).where(F.col("phrase") != "")
+    by_type = Window.partitionBy("type")
+    n = (n.withColumn("type_ord", F.min("col_idx").over(by_type))
+          .withColumn("_last", F.max("col_idx").over(by_type))
+          .where(F.col("col_idx") == F.col("_last")))
     return (n.groupBy("type", "type_ord", "phrase").agg(F.min("phrase_ord").alias("phrase_ord"))
-            .select("type", "type_ord", "phrase", "phrase_ord"))
+            .select("type", F.col("type_ord").cast("int").alias("type_ord"), "phrase",
+                    F.col("phrase_ord").cast("int").alias("phrase_ord")))
 
 
 def collect_lexicon(lexicon: DataFrame, limit: int = MAX_LITERAL_PHRASES) -> list[tuple[str, str]] | None:

@@ -217,9 +217,10 @@ def q_split_counts(spark, sf_dir):
 
 @register
 def q_lexicon_long(spark, sf_dir):
-    """The wide lexicon, long, normalized, de-duplicated."""
+    """A wide lexicon sheet (derived from the benchmark table) made
+    long, normalized and de-duplicated."""
     from ..operators import disfluency as D
-    return D.build_lexicon(D.wide_lexicon_to_long(X.lexicon_wide(spark)))
+    return D.build_lexicon(D.wide_lexicon_to_long(X.lexicon_sheet(table(spark, sf_dir, "benchmark"))))
 
 
 def _doc_matches(spark, sf_dir, pattern, group):

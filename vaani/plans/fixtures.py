@@ -207,3 +207,21 @@ def benchmark_bigram_lexicon(benchmark: DataFrame) -> DataFrame:
         .alias("phrase")).where(F.col("phrase").isNotNull())
     return grams.distinct().select(F.lit("Benchmark").alias("type"), F.lit(0).alias("type_ord"), "phrase",
                                    F.lit(0).alias("phrase_ord"))
+
+
+def lexicon_sheet(benchmark: DataFrame) -> DataFrame:
+    """A wide lexicon sheet derived from the benchmark table, one row per
+    item (``row_ord`` = item id): its first word ("Opener"), its first two
+    words under a header that strips to the same name (the later column
+    replaces the earlier), its third word when shorter than four characters
+    (ragged), its first two words joined by a hyphen, its last word, and a
+    blank column (dropped after normalization)."""
+    w = F.split("text", " ")
+    return benchmark.select(
+        F.col("item_id").alias("row_ord"),
+        F.get(w, 0).alias("Opener"),
+        F.concat_ws(" ", F.slice(w, 1, 2)).alias("Opener "),
+        F.when(F.length(F.get(w, 2)) < 4, F.get(w, 2)).alias("Hedge"),
+        F.concat(F.get(w, 0), F.lit("-"), F.get(w, 1)).alias("Joined"),
+        F.element_at(w, -1).alias("Closer"),
+        F.lit(" ").alias("Blank"))

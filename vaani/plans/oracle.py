@@ -140,19 +140,17 @@ from ..plans.fixtures import LEXICON_WIDE  # noqa: E402
 
 
 def _lexicon_sql() -> str:
-    names = list(LEXICON_WIDE)
-    kept = {}
-    for i, n in enumerate(names):
-        kept[n.strip()] = i
-    rows = []
-    for name, ti in sorted(kept.items(), key=lambda kv: kv[1]):
-        for ri, v in enumerate(LEXICON_WIDE[names[ti]]):
-            if v is not None:
-                rows.append(f"({P.q(name)}, {ti}, {P.q(v)}, {ri})")
-    vals = ", ".join(rows)
-    return (f"SELECT type, type_ord, phrase, CAST(min(phrase_ord) AS INTEGER) AS phrase_ord FROM "
-            f"(SELECT type, CAST(type_ord AS INTEGER) AS type_ord, {P.norm_disfluency('raw')} AS phrase, phrase_ord "
-            f"FROM (VALUES {vals}) t(type, type_ord, raw, phrase_ord)) WHERE phrase <> '' GROUP BY ALL")
+    cells = [("Opener", 0, "w[1]"), ("Opener", 1, "array_to_string(w[1:2], ' ')"),
+             ("Hedge", 2, "CASE WHEN length(w[3]) < 4 THEN w[3] END"), ("Joined", 3, "w[1] || '-' || w[2]"),
+             ("Closer", 4, "w[-1]"), ("Blank", 5, "' '")]
+    union = " UNION ALL ".join(f"SELECT '{t}' AS type, {i} AS col_idx, {e} AS raw, item_id FROM b" for t, i, e in cells)
+    return (f"WITH b AS (SELECT item_id, string_split(text, ' ') AS w FROM benchmark), c AS ({union}), "
+            f"f AS (SELECT type, col_idx, {P.norm_disfluency('raw')} AS phrase, item_id FROM c "
+            f"WHERE raw IS NOT NULL AND {P.norm_disfluency('raw')} <> ''), "
+            f"t AS (SELECT type, min(col_idx) AS first_idx, max(col_idx) AS last_idx FROM f GROUP BY type) "
+            f"SELECT f.type, CAST(t.first_idx AS INTEGER) AS type_ord, f.phrase, CAST(min(f.item_id) AS INTEGER) "
+            f"AS phrase_ord FROM f JOIN t ON f.type = t.type AND f.col_idx = t.last_idx "
+            f"GROUP BY f.type, t.first_idx, f.phrase")
 
 
 ORACLE["q_lexicon_long"] = _lexicon_sql()
@@ -181,21 +179,21 @@ def _py_norm_disfluency(s: str) -> str:
 
 
 def _lexicon_entries():
-    names = list(LEXICON_WIDE)
-    kept = {}
-    for i, n in enumerate(names):
-        kept[n.strip()] = i
-    out = []
-    for name, ti in sorted(kept.items(), key=lambda kv: kv[1]):
+    """The job lexicon in hit order: a type keeps the position of its first
+    non-empty column and the phrases of its last."""
+    order, content = [], {}
+    for col, values in LEXICON_WIDE.items():
         seen = []
-        for v in LEXICON_WIDE[names[ti]]:
-            if v is None:
-                continue
-            p = _py_norm_disfluency(v)
+        for v in values:
+            p = _py_norm_disfluency(v) if v is not None else ""
             if p and p not in seen:
                 seen.append(p)
-        out += [(name, p) for p in seen]
-    return out
+        if seen:
+            name = col.strip()
+            if name not in content:
+                order.append(name)
+            content[name] = seen
+    return [(name, p) for name in order for p in content[name]]
 
 
 def _hit(t, text, rule):
