@@ -222,16 +222,26 @@ def features(clips: DataFrame, tokenize: Callable[[str], list[int]] | None = Non
 def transcribe(clips: DataFrame, load_model: Callable[[], Callable[[list[np.ndarray]], list[str]]]) -> DataFrame:
     """Batch transcription; ``load_model`` runs once per task and returns
     a function from a list of 16 kHz arrays to texts.  Results are stripped."""
-    small_batches(clips.sparkSession)
+    return transcribe_many(clips, {"prediction": load_model})
+
+
+def transcribe_many(clips: DataFrame, loaders: dict, carry: tuple[str, ...] = ()) -> DataFrame:
+    """U6 for several systems in one pass: each clip is decoded once and fed
+    to every model; one output column per system name.  ``carry`` names
+    string columns passed through unchanged (no second pass to join them)."""
+    names = list(loaders)
 
     def run(batches):
-        model = load_model()
+        models = {n: loaders[n]() for n in names}
         for b in batches:
             arrays = [decode_wav(bytes(c))[0] for c in b["clip"]]
-            preds = [str(p).strip() for p in model(arrays)]
-            yield pd.DataFrame({"id": b["id"], "prediction": preds})
+            out = {"id": b["id"], **{c: b[c] for c in carry}}
+            for n in names:
+                out[n] = [str(p).strip() for p in models[n](arrays)]
+            yield pd.DataFrame(out)
 
-    return clips.select("id", "clip").mapInPandas(run, "id string, prediction string")
+    schema = ", ".join(["id string", *[f"`{c}` string" for c in carry], *[f"`{n}` string" for n in names]])
+    return clips.select("id", "clip", *carry).mapInPandas(run, schema)
 
 
 def tone_model():

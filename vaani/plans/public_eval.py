@@ -15,11 +15,10 @@ from ..operators.summary import system_comparison
 def evaluate_public_split(split: DataFrame, load_baseline, load_tuned) -> tuple[DataFrame, DataFrame]:
     """``split``: ``id, audio BINARY (WAV), transcription``.  Returns
     (comparison rows, per-sample predictions)."""
-    clips = split.select("id", F.col("audio").alias("clip"))
-    base = A.transcribe(clips, load_baseline).withColumnRenamed("prediction", "baseline")
-    tuned = A.transcribe(clips, load_tuned).withColumnRenamed("prediction", "tuned")
-    sheet = (split.select("id", F.col("transcription").alias("Human"))
-             .join(base, "id").join(tuned, "id"))
+    # the references travel with the clips, so the split is read once and
+    # every clip is decoded once for both systems
+    rows = split.select("id", F.col("audio").alias("clip"), F.col("transcription").alias("Human"))
+    sheet = A.transcribe_many(rows, {"baseline": load_baseline, "tuned": load_tuned}, carry=("Human",))
     scored = S.score_sheet(sheet, models=["baseline", "tuned"], on_empty_ref="skip", profile="strip_only")
     cmp = system_comparison(S.corpus_metrics(scored), "baseline", "tuned")
     return cmp, sheet
