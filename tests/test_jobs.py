@@ -43,7 +43,7 @@ def inputs():
     seg = lambda s, e, t: {"start": s, "end": e, "text": t}
     payloads = {
         "101": [seg(0.0, 1.0, "मैं घर घर जाना"), seg(1.0, 1.2, "छोटा"), seg(2.0, 3.5, "अच्छााा हाँ"), seg(3.0, 2.0, "x")],
-        "102": [seg(0.5, 2.0, "um  the\nstart"), {"end": 4.0, "text": "re-do"}],
+        "102": [seg(0.5, 2.0, "um  the\nstart"), {"end": 4.0, "text": "re-do"}, seg(9.0, 9.5, "um um")],
         "104": [seg(0.0, 1.0, "english")],
         "105": {"segments": []},
         "106": [seg(0.0, 1.0, "घर घर")],
@@ -96,6 +96,7 @@ def test_disfluency_job(spark, inputs):
     assert ("101_0002_00", "Hesitation", "हाँ") in got
     assert ("101_0002_01", "Prolongation", "ााा") in got
     assert ("102_0000_00", "Filler", "um") in got and ("102_0000_01", "Hesitation", "the") in got
+    assert not any(o[0].startswith("102_0002") for o in got)      # starts after the 5 s of audio
     assert s["failures"] == 3            # 103 no folder, 105 not a list, 106 no audio
     assert os.path.exists(os.path.join(out, "clips", "101", "101_0000.wav"))
 

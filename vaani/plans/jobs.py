@@ -102,14 +102,25 @@ def run_disfluency(spark: SparkSession, metadata_csv: str, lexicon_csv: str, tra
     clips_root = os.path.join(output_dir, "clips")
     e = PR.extract_disfluencies(recs, transcripts, manifest, audio.select("recording_id"), lexicon, language,
                                 mode, clips_root, join_on="recording_id", max_rows=max_rows)
-    e.occurrences.write.mode("overwrite").parquet(os.path.join(output_dir, "occurrences"))
+    # clips first (one per segment with hits); as in the source, a segment
+    # whose clip is empty yields no rows, and a recording whose audio cannot
+    # be decoded yields no rows and one failure
+    e.detected.write.mode("overwrite").parquet(os.path.join(output_dir, "_detected"))
+    detected = spark.read.parquet(os.path.join(output_dir, "_detected"))
+    A.segment_clips(detected, audio.select("recording_id", "path")).write.mode("overwrite").parquet(
+        os.path.join(output_dir, "segment_clips"))
+    clips = spark.read.parquet(os.path.join(output_dir, "segment_clips"))
+    if export_clips:
+        A.write_clip_files(clips, clips_root)
+    good = clips.where(F.col("error").isNull()).select(
+        "recording_id", F.regexp_extract("id", r"_(\d+)$", 1).cast("int").alias("segment_idx"))
+    bad_audio = clips.where(F.col("error").isNotNull()).select("recording_id", "error")
+    occ_all = D.occurrences(detected, clips_root)
+    occ_all.join(good, ["recording_id", "segment_idx"], "left_semi").write.mode("overwrite").parquet(
+        os.path.join(output_dir, "occurrences"))
     occ = spark.read.parquet(os.path.join(output_dir, "occurrences"))
     IO.write_sheet(occ.select(*D.OUTPUT_COLUMNS), os.path.join(output_dir, "occurrences_csv"))
-    clips = A.segment_clips(e.detected, audio.select("recording_id", "path"))
-    clips.write.mode("overwrite").parquet(os.path.join(output_dir, "segment_clips"))
-    if export_clips:
-        A.write_clip_files(spark.read.parquet(os.path.join(output_dir, "segment_clips")), clips_root)
-    e.failures.write.mode("overwrite").parquet(os.path.join(output_dir, "failures"))
+    e.failures.unionByName(bad_audio).write.mode("overwrite").parquet(os.path.join(output_dir, "failures"))
     fails = spark.read.parquet(os.path.join(output_dir, "failures"))
     types = {r["disfluency_type"]: r["occurrences"] for r in D.type_counts(occ).collect()}
     return _summary(spark, os.path.join(output_dir, "disfluency_summary"), {
