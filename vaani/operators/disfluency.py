@@ -43,6 +43,7 @@ PROLONGATION_TYPE, PROLONGATION_RULE = "Prolongation", "regex_prolongation"
 FALSE_START_TYPE, FALSE_START_RULE = "False Start", "regex_false_start"
 LEXICON_RULE = "lexicon"
 
+# The occurrence sheet's columns, in sheet order.
 OUTPUT_COLUMNS = [
     "occurrence_id", "recording_id", "segment_idx", "disfluency_type", "matched_text", "match_rule",
     "segment_start_sec", "segment_end_sec", "clip_duration_sec", "clip_path", "clip_rel_path",
