@@ -27,6 +27,12 @@ W = WORD_OR_DEV_CLASS                       # [\wऀ-ॿ]
 NOT_W = "[^" + W[1:]                        # its complement
 SEP = PY_WS_CLASS[:-1] + r"\-]+"            # [\s\-]+
 
+# The detection rules as Python regular expressions (matched
+# on the normalized text; the false start reports group 1):
+#   repetition    \b([\w\u0900-\u097f]+)(?:[\s\-]+\1){1,}\b
+#   prolongation  ([\u0900-\u097fa-z])\1{2,}
+#   false start   \b([\w\u0900-\u097f]+-)\b
+# Restated below for the JVM with explicit classes for Python's \w, \s, \b.
 REPETITION = PY_B + "(" + W + "+)(?:" + SEP + r"\1)+" + PY_B
 PROLONGATION = r"([\x{0900}-\x{097F}a-z])\1{2,}"
 FALSE_START = PY_B + "(" + W + "+-)" + PY_B
