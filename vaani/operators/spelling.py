@@ -17,9 +17,11 @@ def distinct_words(words: DataFrame, col: str = "word") -> DataFrame:
     distinct is a hash aggregate with map-side combine, so a word repeated
     in a third of all rows collapses to one row per task before the shuffle.
     """
-    return (words.where(F.col(col).isNotNull())
-            .select(norm_word(F.col(col)).alias("word"))
-            .distinct())
+    # raw spellings repeat far more than they vary: de-duplicate them first
+    # (hash aggregate, map-side combine) so normalization runs once per
+    # distinct raw word, then de-duplicate the normalized forms
+    raw = words.where(F.col(col).isNotNull()).select(F.col(col).alias("_raw")).distinct()
+    return raw.select(norm_word(F.col("_raw")).alias("word")).distinct()
 
 
 def label_words(unique: DataFrame) -> DataFrame:
