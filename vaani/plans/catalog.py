@@ -429,3 +429,23 @@ def q_benchmark_phrases(spark, sf_dir):
     hits = det.select("doc_id", F.posexplode_outer("hits").alias("hit_idx", "h")).where(F.col("hit_idx").isNotNull())
     return hits.where(F.col("h.match_rule") == "lexicon").select(
         "doc_id", "hit_idx", F.col("h.matched_text").alias("phrase"))
+
+
+@register
+def q_devanagari_rules(spark, sf_dir):
+    """D4-D6 in parity mode over every document transliterated letter by
+    letter into Devanagari (vowel signs, halant, nukta, nasal signs), where
+    Python's \\w and \\b differ from a naive reading.  RE2 cannot restate
+    these patterns; the test suite checks this query against Python's own
+    regular expressions on the smallest tables."""
+    from ..functions.normalize import norm_disfluency
+    from ..operators import disfluency as D
+    d = _docs(spark, sf_dir).select(
+        "doc_id", norm_disfluency(F.translate(F.lower("text"), X.LATIN, X.DEVANAGARI_MAP)).alias("t"))
+    rules = F.array(
+        F.struct(F.lit("repetition").alias("rule"), F.regexp_extract_all("t", F.lit(D.REPETITION), 0).alias("m")),
+        F.struct(F.lit("prolongation").alias("rule"), F.regexp_extract_all("t", F.lit(D.PROLONGATION), 0).alias("m")),
+        F.struct(F.lit("false_start").alias("rule"), F.regexp_extract_all("t", F.lit(D.FALSE_START), 1).alias("m")))
+    r = d.select("doc_id", F.inline_outer(rules))
+    m = r.select("doc_id", "rule", F.posexplode_outer("m").alias("match_idx", "matched_text"))
+    return m.where(F.col("match_idx").isNotNull())
