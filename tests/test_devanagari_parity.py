@@ -40,3 +40,38 @@ def test_devanagari_rules_match_python(spark):
                 want.append((doc_id, rule, i, m.group(g)))
     assert len(want) > 100
     assert got == sorted(want)
+
+
+def _phrase_regex(phrase):
+    """The source's phrase pattern: escaped, a space matches any whitespace
+    run, a hyphen any hyphen/whitespace run, guarded by word/Devanagari."""
+    escaped = re.escape(phrase).replace(r"\ ", r"\s+").replace(r"\-", r"[\-\s]*")
+    return re.compile(rf"(?<![\wऀ-ॿ]){escaped}(?![\wऀ-ॿ])")
+
+
+def test_devanagari_phrase_join_matches_python(spark):
+    import duckdb
+    from pyspark.sql import functions as F
+    from vaani.functions.normalize import norm_disfluency
+    from vaani.operators import disfluency as D
+    from vaani.plans import fixtures as X
+    from vaani.sources.tables import table
+    dev = lambda c: F.translate(F.lower(c), X.LATIN, X.DEVANAGARI_MAP)
+    bench = table(spark, SF, "benchmark").select(dev(F.col("text")).alias("text"))
+    lex = X.benchmark_bigram_lexicon(bench)
+    docs = table(spark, SF, "documents").select("doc_id", dev(F.col("text")).alias("text"))
+    det = D.detect_join(docs, lex, text_col="text", seg_keys=("doc_id",))
+    got = {(r["doc_id"], h["matched_text"]) for r in det.select("doc_id", "hits").collect()
+           for h in r["hits"] if h["match_rule"] == "lexicon"}
+    phrases = [r["phrase"] for r in lex.collect()]
+    assert len(phrases) > D.MAX_LITERAL_PHRASES            # the join form is the one under test
+    pats = [(p, _phrase_regex(p)) for p in phrases]
+    table_ = str.maketrans(X.LATIN, X.DEVANAGARI_MAP)
+    want = set()
+    for doc_id, text in duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall():
+        t = _norm((text or "").lower().translate(table_))
+        for p, pat in pats:
+            if pat.search(t):
+                want.add((doc_id, p))
+    assert len(want) > 100
+    assert got == want
