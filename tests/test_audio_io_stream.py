@@ -44,6 +44,7 @@ def test_cut_clips_and_transcribe(spark):
     assert preds["r1_0000"] == "tone 500"
     feats = A.features(ok.withColumn("sentence", F.lit("नमस्ते"))).collect()
     assert all(len(f["input_features"]) == 80 and len(f["labels"]) == 18 for f in feats)
+    assert all(f["n_frames"] == 3000 and len(f["input_features"][0]) == 3000 for f in feats)
 
 
 def test_readers_writers(spark):

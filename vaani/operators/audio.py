@@ -196,10 +196,12 @@ def resample_audio(audio: DataFrame, target_sr: int = TARGET_SR) -> DataFrame:
 
 
 def features(clips: DataFrame, tokenize: Callable[[str], list[int]] | None = None,
-             max_label_length: int = 448, keep_matrix: bool = True) -> DataFrame:
+             max_label_length: int = 448, keep_matrix: bool = True, chunk_sec: float | None = 30.0) -> DataFrame:
     """``input_features`` (80 x frames log-mel) per clip and ``labels``
-    (token ids of ``sentence`` cut at ``max_label_length``).  The tokenizer
-    is pluggable; the default uses UTF-8 bytes."""
+    (token ids of ``sentence`` cut at ``max_label_length``).  Audio is
+    padded with zeros or cut to ``chunk_sec`` first (30 s gives the model's
+    fixed 80 x 3000 input); ``chunk_sec=None`` keeps the clip's own length.
+    The tokenizer is pluggable; the default uses UTF-8 bytes."""
     small_batches(clips.sparkSession)
     tok = tokenize or (lambda s: list((s or "").encode("utf-8")))
 
@@ -208,6 +210,9 @@ def features(clips: DataFrame, tokenize: Callable[[str], list[int]] | None = Non
             rows = []
             for cid, clip, sentence in zip(b["id"], b["clip"], b["sentence"]):
                 x, _ = decode_wav(bytes(clip))
+                if chunk_sec:
+                    n = int(chunk_sec * TARGET_SR)
+                    x = np.pad(x[:n], (0, max(0, n - len(x))))
                 m = log_mel(x)
                 ids = tok(sentence)[:max_label_length]
                 rows.append((cid, m.shape[1], float(m.mean()), float(m.max()),
