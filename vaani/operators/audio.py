@@ -115,18 +115,20 @@ _MEL = None
 
 
 def log_mel(x: np.ndarray, n_fft: int = 400, hop: int = 160) -> np.ndarray:
-    """Log-mel spectrogram (80 x frames), log10, clamped to 8 below the
-    maximum, scaled as (v + 4) / 4."""
+    """Log-mel spectrogram (80 x frames): centred frames (reflect
+    padding), periodic Hann window, power spectrum, mel projection, log10,
+    clamped to 8 below the maximum, scaled as (v + 4) / 4; the last frame is
+    dropped."""
     global _MEL
     if _MEL is None:
-        _MEL = _mel_filters()
+        _MEL = _mel_filters().astype(np.float32)
     pad = n_fft // 2
-    xp = np.pad(x.astype(np.float64), (pad, pad), mode="reflect") if len(x) > pad else np.pad(x, (pad, pad))
-    n_frames = 1 + (len(xp) - n_fft) // hop
-    idx = np.arange(n_fft)[None, :] + hop * np.arange(n_frames)[:, None]
-    frames = xp[idx] * np.hanning(n_fft + 1)[:-1]
-    power = np.abs(np.fft.rfft(frames, axis=1)) ** 2
-    mel = _MEL @ power[:-1].T if n_frames > 1 else _MEL @ power.T
+    x = x.astype(np.float32)
+    xp = np.pad(x, (pad, pad), mode="reflect") if len(x) > pad else np.pad(x, (pad, pad))
+    frames = np.lib.stride_tricks.sliding_window_view(xp, n_fft)[::hop]
+    spec = np.fft.rfft(frames * np.hanning(n_fft + 1)[:-1].astype(np.float32), axis=1)
+    power = (spec.real ** 2 + spec.imag ** 2).astype(np.float32)
+    mel = _MEL @ (power[:-1] if power.shape[0] > 1 else power).T
     lg = np.log10(np.maximum(mel, 1e-10))
     lg = np.maximum(lg, lg.max() - 8.0)
     return ((lg + 4.0) / 4.0).astype(np.float32)
@@ -134,6 +136,11 @@ def log_mel(x: np.ndarray, n_fft: int = 400, hop: int = 160) -> np.ndarray:
 
 # ---------------------------------------------------------------- Spark jobs
 
+def _task_count(df: DataFrame) -> int:
+    """Tasks for CPU-heavy audio stages: twice the cluster's cores."""
+    return max(2 * df.sparkSession.sparkContext.defaultParallelism, 1)
+
+
 CLIP_SCHEMA = ("id string, recording_id string, sample_rate int, n_samples long, "
                "clip binary, error string")
 
@@ -148,9 +155,14 @@ def cut_clips(segments: DataFrame, audio: DataFrame, rounding: str = "truncate",
     names string columns of ``segments`` passed through to each clip row, so
     callers need no second pass over the segments."""
     small_batches(segments.sparkSession)
+    n = _task_count(segments)
     per_rec = segments.groupBy("recording_id").agg(
         F.collect_list(F.struct("id", "start", "end", *carry)).alias("segs"))
-    j = per_rec.join(audio.select("recording_id", "content"), "recording_id")
+    # both sides explicitly hash-partitioned by recording with a fixed count:
+    # the join reuses that partitioning (audio bytes move once) and AQE does
+    # not coalesce the small but CPU-heavy groups into a single task
+    j = per_rec.repartition(n, "recording_id").join(
+        audio.select("recording_id", "content").repartition(n, "recording_id"), "recording_id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -343,7 +355,10 @@ def cut_clips_from_storage(segments: DataFrame, audio_index: DataFrame, rounding
     exactly that length."""
     per = segments.groupBy("recording_id", F.floor(F.col("start") / window_sec).alias("_w")).agg(
         F.collect_list(F.struct("id", "start", "end")).alias("segs"))
-    j = per.join(audio_index.select("recording_id", "path"), "recording_id")
+    # groups are small in bytes but heavy in CPU: spread them round-robin
+    # over a fixed task count (never coalesced by AQE), which also spreads
+    # the windows of one long recording
+    j = per.join(audio_index.select("recording_id", "path"), "recording_id").repartition(_task_count(segments))
 
     def run(batches):
         for b in batches:
