@@ -17,7 +17,9 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": "64m",
     # AQE keeps coalescing parallelism-first: several stages after a shuffle
     # (phrase verification, distance computation) are CPU-heavy but small
-    # in bytes, and coalescing them by size would serialize them
+    # in bytes, and coalescing them by size would serialize them; a small
+    # minimum partition size keeps about one task per core for them
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
