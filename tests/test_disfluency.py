@@ -73,3 +73,13 @@ def test_join_form_equals_literal_form(spark):
     b = {r["recording_id"]: r["hits"] for r in D.detect_join(seg, lex).collect()}
     assert a == b
     assert [h["matched_text"] for h in a["r1"]] == ["and the", "re-do", "the"]
+
+
+def test_long_repetition_chains_do_not_exhaust_the_stack(spark):
+    import re
+    texts = ["ha " * 20000 + "x y y", "ab-" * 5000 + "c", "ok ok"]
+    df = one_col(spark, texts, "t")
+    got = [r["r"] for r in df.select(D.repetition_matches(F.col("t")).alias("r")).collect()]
+    pat = re.compile(D._PY_REPETITION["parity"])
+    assert got == [[m.group(0) for m in pat.finditer(t)] for t in texts]
+    assert got[2] == ["ok ok"]

@@ -58,3 +58,9 @@ def test_nfc_fast_path_is_exact(spark):
     got = one_col(spark, texts).select("s", nfc(F.col("s")).alias("n")).collect()
     for r in got:
         assert r["n"] == unicodedata.normalize("NFC", r["s"]), repr(r["s"])
+
+
+def test_long_whitespace_runs(spark):
+    text = "a" + " \t.," * 20000 + "b" + "\n" * 50000
+    got = one_col(spark, [text]).select(norm_scoring(F.col("s")).alias("c"), norm_asr_basic(F.col("s")).alias("a")).first()
+    assert got["c"] == "a b" and got["a"] == py_asr(text)

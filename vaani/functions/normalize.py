@@ -58,35 +58,39 @@ def null_to_text(col, null_policy: str = "empty") -> Column:
     return F.coalesce(_c(col), F.lit(fill))
 
 
+def _collapse_trim(c: Column, extra_class: str = "") -> Column:
+    """Every run of Python whitespace (and of ``extra_class`` characters)
+    becomes one space, then the edge spaces go.  Equal to Python's
+    ``strip`` followed by collapsing whitespace runs (or the reverse), because
+    after the collapse the only whitespace left is single spaces."""
+    # one character class (no alternation inside the repetition, which the
+    # JVM engine would match recursively on long runs)
+    cls = PY_WS_CLASS[:-1] + extra_class[1:] if extra_class else PY_WS_CLASS
+    run = cls + "+"
+    return F.trim(F.regexp_replace(c, run, " "))
+
+
 def norm_asr_basic(col) -> Column:
     """Newline to space, strip, collapse whitespace.  No NFC, no lower."""
-    t = F.regexp_replace(_c(col), "\n", " ")
-    return collapse_ws(py_strip(t))
+    return _collapse_trim(_c(col))
 
 
 def norm_disfluency(col) -> Column:
     """NFC, strip, lower, CR/LF to space, dashes to "-", collapse."""
-    t = F.lower(py_strip(nfc(col)))
-    t = F.regexp_replace(t, "[\n\r]", " ")
-    t = _dashes(t, DASHES_DISFLUENCY)
-    return collapse_ws(t)
+    return _dashes(F.lower(_collapse_trim(nfc(col))), DASHES_DISFLUENCY)
 
 
 def norm_word(col) -> Column:
-    """NFC, strip, dashes to "-", delete every whitespace character."""
-    t = py_strip(nfc(col))
-    t = _dashes(t, DASHES_WORD)
-    return F.regexp_replace(t, PY_WS_CLASS, "")
+    """NFC, strip, dashes to "-", delete every whitespace character
+    (the strip is implied by the deletion)."""
+    return _dashes(F.regexp_replace(nfc(col), PY_WS_CLASS, ""), DASHES_WORD)
 
 
 def norm_scoring(col, null_policy: str = "empty") -> Column:
-    """NFC, LF to space, dashes, punctuation to space, collapse, strip, lower."""
-    t = nfc(null_to_text(col, null_policy))
-    t = F.regexp_replace(t, "\n", " ")
-    t = _dashes(t, DASHES_SCORING)
-    t = F.regexp_replace(t, SCORING_PUNCT_CLASS, " ")
-    t = py_strip(collapse_ws(t))
-    return F.lower(t)
+    """NFC, LF to space, dashes, punctuation to space, collapse, strip,
+    lower -- with punctuation and whitespace replaced in one pass."""
+    t = _dashes(nfc(null_to_text(col, null_policy)), DASHES_SCORING)
+    return F.lower(_collapse_trim(t, SCORING_PUNCT_CLASS))
 
 
 def norm_strip(col) -> Column:

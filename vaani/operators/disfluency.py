@@ -144,12 +144,45 @@ def lexicon_hits_literal(text_norm: Column, phrases: Sequence[tuple[str, str]])
     return F.filter(F.array(*cands), lambda h: h.isNotNull())
 
 
+# Java matches each iteration of ``(?:sep\1)+`` recursively, so a chain of
+# many thousands of repeated words would exhaust the thread stack.  A guard
+# with exactly LONG_CHAIN repeats (bounded depth) finds such rows; only they
+# are matched by Python's engine, which does not recurse per repetition.
+LONG_CHAIN = 400
+_PY_REPETITION = {
+    "parity": r"\b([\w\u0900-\u097f]+)(?:[\s\-]+\1){1,}\b",
+    "strict_tokens": r"(?<![\w\u0900-\u097f])([\w\u0900-\u097f]+)(?:[\s\-]+\1)+(?![\w\u0900-\u097f])",
+}
+_REP_UDF = {}
+
+
+def _python_repetition(mode: str):
+    if mode not in _REP_UDF:
+        source = _PY_REPETITION[mode]
+
+        def run(texts):
+            import pandas as pd
+            pat = re.compile(source)
+            return pd.Series([None if t is None else [m.group(0) for m in pat.finditer(t)] for t in texts])
+        _REP_UDF[mode] = F.pandas_udf(run, "array<string>")
+    return _REP_UDF[mode]
+
+
+def repetition_matches(text_norm: Column, mode: str = "parity") -> Column:
+    """Every non-overlapping repetition match, safe for any chain length."""
+    rep = REPETITION if mode == "parity" else STRICT_REPETITION
+    head = rep[: rep.index(r"\1)+") + 3]                       # pattern up to the repeated group
+    guard = head + "{%d}" % LONG_CHAIN
+    long_chain = text_norm.rlike(guard)
+    slow = _python_repetition(mode)(F.when(long_chain, text_norm))
+    return F.when(long_chain, slow).otherwise(F.regexp_extract_all(text_norm, F.lit(rep), 0))
+
+
 def regex_hits(text_norm: Column, mode: str = "parity") -> Column:
     """All non-overlapping matches, in rule order."""
-    rep = REPETITION if mode == "parity" else STRICT_REPETITION
     fs = FALSE_START if mode == "parity" else STRICT_FALSE_START
     return F.concat(
-        F.transform(F.regexp_extract_all(text_norm, F.lit(rep), 0), lambda m: _hit(REPETITION_TYPE, m, REPETITION_RULE)),
+        F.transform(repetition_matches(text_norm, mode), lambda m: _hit(REPETITION_TYPE, m, REPETITION_RULE)),
         F.transform(F.regexp_extract_all(text_norm, F.lit(PROLONGATION), 0),
                     lambda m: _hit(PROLONGATION_TYPE, m, PROLONGATION_RULE)),
         F.transform(F.regexp_extract_all(text_norm, F.lit(fs), 1), lambda m: _hit(FALSE_START_TYPE, m, FALSE_START_RULE)))

@@ -227,9 +227,11 @@ def _doc_matches(spark, sf_dir, pattern, group):
     """Every non-overlapping match of one detection rule over every
     normalized (N2) document, with its ordinal."""
     from ..functions.normalize import norm_disfluency
+    from ..operators import disfluency as D
     d = _docs(spark, sf_dir).select("doc_id", norm_disfluency(F.col("text")).alias("t"))
-    m = d.select("doc_id", F.posexplode_outer(F.regexp_extract_all("t", F.lit(pattern), group))
-                 .alias("match_idx", "matched_text"))
+    found = (D.repetition_matches(F.col("t")) if pattern == D.REPETITION
+             else F.regexp_extract_all("t", F.lit(pattern), group))
+    m = d.select("doc_id", F.posexplode_outer(found).alias("match_idx", "matched_text"))
     return m.where(F.col("match_idx").isNotNull())
 
 
@@ -443,7 +445,7 @@ def q_devanagari_rules(spark, sf_dir):
     d = _docs(spark, sf_dir).select(
         "doc_id", norm_disfluency(F.translate(F.lower("text"), X.LATIN, X.DEVANAGARI_MAP)).alias("t"))
     rules = F.array(
-        F.struct(F.lit("repetition").alias("rule"), F.regexp_extract_all("t", F.lit(D.REPETITION), 0).alias("m")),
+        F.struct(F.lit("repetition").alias("rule"), D.repetition_matches(F.col("t")).alias("m")),
         F.struct(F.lit("prolongation").alias("rule"), F.regexp_extract_all("t", F.lit(D.PROLONGATION), 0).alias("m")),
         F.struct(F.lit("false_start").alias("rule"), F.regexp_extract_all("t", F.lit(D.FALSE_START), 1).alias("m")))
     r = d.select("doc_id", F.inline_outer(rules))
