@@ -94,3 +94,12 @@ def test_cut_from_storage_matches_in_memory(spark, tmp_path):
         ya, yb = A.decode_wav(a[k]["clip"])[0], A.decode_wav(b[k]["clip"])[0]
         core = slice(200, len(ya) - 200)            # edges differ by resampling scope only
         assert np.max(np.abs(ya[core] - yb[core])) < 0.02
+
+
+def test_array_audio_becomes_wav(spark):
+    from pyspark.sql import functions as F
+    x = (0.25 * np.sin(2 * np.pi * 200 * np.arange(4000) / 8000)).tolist()
+    df = spark.createDataFrame([("a", x, 8000), ("b", None, 8000)], "id string, samples array<float>, rate int")
+    rows = {r["id"]: r["audio"] for r in df.select("id", A.array_to_wav(F.col("samples"), F.col("rate")).alias("audio")).collect()}
+    y, sr = A.decode_wav(rows["a"])
+    assert sr == 8000 and len(y) == 4000 and rows["b"] is None

@@ -384,3 +384,19 @@ def cut_clips_from_storage(segments: DataFrame, audio_index: DataFrame, rounding
             yield pd.DataFrame(out, columns=["id", "recording_id", "sample_rate", "n_samples", "clip", "error"])
 
     return j.mapInPandas(run, PATH_CLIP_SCHEMA)
+
+
+_ARRAY_WAV_UDF = None
+
+
+def array_to_wav(samples, rate) -> "Column":
+    """U4: audio given as a float array plus its sampling rate (the third
+    accepted form besides WAV bytes and file paths), as canonical mono
+    16-bit WAV bytes (Arrow UDF; null in, null out)."""
+    global _ARRAY_WAV_UDF
+    if _ARRAY_WAV_UDF is None:
+        def run(xs: pd.Series, rates: pd.Series) -> pd.Series:
+            return pd.Series([None if x is None or r is None else encode_wav(np.asarray(x, dtype=np.float32), int(r))
+                              for x, r in zip(xs, rates)])
+        _ARRAY_WAV_UDF = F.pandas_udf(run, "binary")
+    return _ARRAY_WAV_UDF(samples, rate)
