@@ -10,9 +10,13 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     its current split count is lower (a small file scanned as one split
     would otherwise run all text work in one task).  Large inputs already
     have more splits than cores and are returned unchanged: no shuffle."""
-    sc = df.sparkSession.sparkContext
-    target = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        sc = df.sparkSession.sparkContext
+        target = min_partitions or sc.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target)
 
