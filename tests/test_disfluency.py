@@ -63,16 +63,18 @@ def test_hit_order_and_dedup(spark):
 
 
 def test_join_form_equals_literal_form(spark):
-    texts = ["and the re-do", "redo and  the", "the-end of it", "nothing here", "re do", "and-the"]
+    texts = ["and the re-do", "redo and  the", "the-end of it", "nothing here ?!", "re do", "and-the"]
     seg = spark.createDataFrame([(f"r{i}", i, 0.0, 1.0, t) for i, t in enumerate(texts)],
                                 "recording_id string, segment_idx int, start double, end double, raw_text string")
-    lex = spark.createDataFrame([("A", 0, "and the", 0), ("A", 0, "re-do", 1), ("B", 1, "the", 0), ("B", 1, "of it", 1)],
+    lex = spark.createDataFrame([("A", 0, "and the", 0), ("A", 0, "re-do", 1), ("B", 1, "the", 0), ("B", 1, "of it", 1),
+                                 ("C", 2, "?!", 0)],
                                 "type string, type_ord int, phrase string, phrase_ord int")
     phrases = D.collect_lexicon(lex)
     a = {r["recording_id"]: r["hits"] for r in D.detect(seg, phrases).collect()}
     b = {r["recording_id"]: r["hits"] for r in D.detect_join(seg, lex).collect()}
     assert a == b
     assert [h["matched_text"] for h in a["r1"]] == ["and the", "re-do", "the"]
+    assert [h["matched_text"] for h in a["r3"]] == ["?!"]
 
 
 def test_long_repetition_chains_do_not_exhaust_the_stack(spark):

@@ -243,16 +243,19 @@ def detect_join(segments: DataFrame, lexicon: DataFrame, text_col: str = "raw_te
     s = segments.withColumn("text_norm", norm_disfluency(F.coalesce(F.col(text_col), F.lit(""))))
     lex = lexicon.withColumn("k", _key(F.col("phrase"))).withColumn(
         "n_runs", F.size(F.regexp_extract_all(F.col("phrase"), F.lit(W + "+"), 0)))
-    # keyless phrases (no word characters) are few by construction; they are
-    # matched literally like form (a)
-    keyless = [(r["type"], r["phrase"], r["type_ord"], r["phrase_ord"]) for r in
-               lex.where(F.col("k") == "").orderBy("type_ord", "phrase_ord").limit(MAX_LITERAL_PHRASES + 1).collect()]
-    if len(keyless) > MAX_LITERAL_PHRASES:
-        raise ValueError("lexicon has more than %d phrases without word characters" % MAX_LITERAL_PHRASES)
     # a phrase spans between (space-separated parts with word characters)
-    # and (word runs) text tokens: spaces never glue, hyphens may
+    # and (word runs) text tokens: spaces never glue, hyphens may.  One small
+    # job over the lexicon gives both bounds and the number of key-less
+    # phrases (no word characters), which are matched literally like form (a)
     parts = F.size(F.filter(F.split(F.col("phrase"), " "), lambda x: x.rlike(W)))
-    bounds = lex.where(F.col("k") != "").agg(F.min(parts).alias("lo"), F.max("n_runs").alias("hi")).first()
+    keyed = F.col("k") != ""
+    bounds = lex.agg(F.min(F.when(keyed, parts)).alias("lo"), F.max(F.when(keyed, F.col("n_runs"))).alias("hi"),
+                     F.count_if(~keyed).alias("keyless")).first()
+    if bounds["keyless"] > MAX_LITERAL_PHRASES:
+        raise ValueError("lexicon has more than %d phrases without word characters" % MAX_LITERAL_PHRASES)
+    keyless = [] if not bounds["keyless"] else [
+        (r["type"], r["phrase"], r["type_ord"], r["phrase_ord"])
+        for r in lex.where(~keyed).orderBy("type_ord", "phrase_ord").collect()]
     min_n, max_n = max(bounds["lo"] or 1, 1), bounds["hi"] or 1
     toks = F.regexp_extract_all(F.col("text_norm"), F.lit(W + "+"), 0)
     # n-gram keys are built inside one array per segment (no per-token copy
