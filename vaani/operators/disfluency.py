@@ -173,7 +173,10 @@ def repetition_matches(text_norm: Column, mode: str = "parity") -> Column:
     rep = REPETITION if mode == "parity" else STRICT_REPETITION
     head = rep[: rep.index(r"\1)+") + 3]                       # pattern up to the repeated group
     guard = head + "{%d}" % LONG_CHAIN
-    long_chain = text_norm.rlike(guard)
+    # a chain of LONG_CHAIN + 1 words has at least LONG_CHAIN separators: the
+    # cheap count keeps the guard regex off almost every text
+    seps = F.length(text_norm) - F.length(F.regexp_replace(text_norm, SEP, ""))
+    long_chain = (seps >= LONG_CHAIN) & text_norm.rlike(guard)
     slow = _python_repetition(mode)(F.when(long_chain, text_norm))
     return F.when(long_chain, slow).otherwise(F.regexp_extract_all(text_norm, F.lit(rep), 0))
 
