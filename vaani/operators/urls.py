@@ -67,7 +67,9 @@ def resolve_candidates(recordings: DataFrame, manifest: DataFrame, base: str = D
     audio = F.coalesce(col_or_null("audio_url"), col_or_null("rec_url_gcp"), b["audio_url"])
     r = r.select("recording_id", "folder_id", audio.alias("_audio"), b["audio_url"].alias("_built_audio"),
                  F.inline(t_cands)).where(F.col("url").isNotNull())
-    good = manifest.where(F.col("ok") & F.col("is_json")).select("url").distinct()
+    # a semi join ignores duplicate manifest rows: no distinct (and no
+    # shuffle of the whole object listing) is needed before it
+    good = manifest.where(F.col("ok") & F.col("is_json")).select("url")
     hit = r.join(good, "url", "left_semi")
     best = hit.groupBy("recording_id", "folder_id", "_audio", "_built_audio").agg(
         F.min_by("url", "prio").alias("transcription_url"))
