@@ -233,7 +233,7 @@ def _key(col: Column) -> Column:
 
 
 def detect_join(segments: DataFrame, lexicon: DataFrame, text_col: str = "raw_text",
-                mode: str = "parity", seg_keys=("recording_id", "segment_idx")) -> DataFrame:
+                mode: str = "parity", seg_keys=("recording_id", "segment_idx"), rules: bool = True) -> DataFrame:
     """D3 form (b) for lexicons too large for literal patterns.
 
     Each segment emits the keys of its 1..k token n-grams (k = most word
@@ -288,7 +288,8 @@ def detect_join(segments: DataFrame, lexicon: DataFrame, text_col: str = "raw_te
         F.filter(F.array(*keyless_hits), lambda h: h.isNotNull()) if keyless_hits else F.array().cast(
         "array<struct<type_ord:int,phrase_ord:int,type:string,phrase:string>>")))
     lex_hits = F.transform(every, lambda h: _hit_col(h["type"], h["phrase"]))
-    hits = F.concat(lex_hits, regex_hits(F.col("text_norm"), mode))
+    # ``rules=False``: lexicon hits only (the regex rules are not evaluated)
+    hits = F.concat(lex_hits, regex_hits(F.col("text_norm"), mode)) if rules else lex_hits
     return (out.withColumn("hits", F.array_distinct(hits)).withColumn("has_disfluency", F.size("hits") > 0)
             .drop("_lex", "_cand"))
 

@@ -427,7 +427,7 @@ def q_benchmark_phrases(spark, sf_dir):
     verified with its exact phrase pattern."""
     from ..operators import disfluency as D
     lex = X.benchmark_bigram_lexicon(table(spark, sf_dir, "benchmark"))
-    det = D.detect_join(_docs(spark, sf_dir), lex, text_col="text", seg_keys=("doc_id",))
+    det = D.detect_join(_docs(spark, sf_dir), lex, text_col="text", seg_keys=("doc_id",), rules=False)
     hits = det.select("doc_id", F.posexplode_outer("hits").alias("hit_idx", "h")).where(F.col("hit_idx").isNotNull())
     return hits.where(F.col("h.match_rule") == "lexicon").select(
         "doc_id", "hit_idx", F.col("h.matched_text").alias("phrase"))
