@@ -3,8 +3,9 @@
 Runs the main queries of each job on ``$BENCH_SF_DIR`` (default
 /root/testdata/sf0.1) with ``local[$BENCH_CPUS]`` and prints one JSON line.
 Each query is executed in full through the ``noop`` sink (no driver
-collection); one untimed warm-up pass over the smallest tables compiles the same plans
-and code paths first, so the timings are steady-state.
+collection); one untimed warm-up pass over the sf0.01 tables (different data; no results
+are cached across queries) compiles the same plans and code paths first,
+so the timings are steady-state.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ def main():
     spark = get_spark("vaani-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
                       extra={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("OFF")
-    warm = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
+    warm = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.01")
     for name in HEADLINE:
         QUERIES[name](spark, warm).write.format("noop").mode("overwrite").save()
     times = {}
