@@ -111,3 +111,5 @@ def test_evaluation_job(spark, inputs):
     s = jobs.run_evaluation(spark, os.path.join(inputs, "sheet.csv"), os.path.join(inputs, "out_ev"))
     assert s["input_rows"] == 2 and s["best_model"] == "Model H" and s["best_model_wer"] == 0.0
     assert s["per_segment_best_model_counts"] == {"Model H": 2}
+    rows = spark.read.option("header", True).csv(os.path.join(inputs, "out_ev", "segment_analysis")).collect()
+    assert sorted((r["segment_idx"], r["segment_url_link"]) for r in rows) == [("0", "s1"), ("1", "s2")]

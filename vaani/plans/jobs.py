@@ -146,12 +146,16 @@ def run_spelling(spark: SparkSession, words_csv: str, output_dir: str, na_values
 
 def run_evaluation(spark: SparkSession, sheet_csv: str, output_dir: str, null_policy: str = "empty") -> dict:
     """Model ranking, per-segment analysis (CSV + Parquet) and summary."""
-    sheet = IO.read_csv(spark, sheet_csv, IO.MODEL_SHEET_SCHEMA)
-    ev = evaluate_models(sheet, ["segment_url_link"], null_policy=null_policy)
+    # row number of the sheet: a multiLine CSV file is read as one partition,
+    # so the generated id follows the file order; it is fixed once the
+    # scored frame below is written
+    sheet = IO.read_csv(spark, sheet_csv, IO.MODEL_SHEET_SCHEMA).withColumn(
+        "segment_idx", F.monotonically_increasing_id().cast("int"))
+    ev = evaluate_models(sheet, ["segment_idx", "segment_url_link"], null_policy=null_policy)
     ev.scored.drop("ref_norm").write.mode("overwrite").parquet(os.path.join(output_dir, "scored"))
     scored = spark.read.parquet(os.path.join(output_dir, "scored"))
     metrics = S.rank_models(S.corpus_metrics(scored))
-    analysis = S.segment_analysis(scored, keys=["segment_url_link"])
+    analysis = S.segment_analysis(scored, keys=["segment_idx", "segment_url_link"])
     IO.write_sheet(metrics.select("rank", "model", "wer", "cer"), os.path.join(output_dir, "model_metrics"))
     IO.write_sheet(analysis, os.path.join(output_dir, "segment_analysis"))
     ranking = [r.asDict() for r in metrics.orderBy("rank").select("rank", "model", "wer", "cer").collect()]
