@@ -103,7 +103,6 @@ def transcripts(conversations: DataFrame) -> DataFrame:
     JSON string; an empty piece has no "text" key; a blank piece has
     "text": null; a piece of exactly one character has "start": null.
     System turns are wrapped in an object instead of a list."""
-    from pyspark.sql import Column  # noqa: F401
     rid = F.concat(F.lit("r"), F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string"))
     pieces = F.split(F.col("text"), SENTENCE_SPLIT)
 
@@ -173,11 +172,12 @@ def synthetic_audio(conversations: DataFrame, sample_rate: int = 8000) -> DataFr
 
     def run(batches):
         import io
+        import re
         import wave
         for b in batches:
             rows = []
             for cid, turn, role, text in zip(b["conv_id"], b["turn"], b["role"], b["text"]):
-                pieces = len(__import__("re").split(r"[.\n]", text or ""))
+                pieces = len(re.split(r"[.\n]", text or ""))
                 n = int((2.0 * pieces + 1.0) * sample_rate)
                 t = np.arange(n) / sample_rate
                 x = 0.4 * np.sin(2 * np.pi * (200.0 + 10.0 * (int(cid) % 50)) * t)
