@@ -451,3 +451,22 @@ def q_devanagari_rules(spark, sf_dir):
     r = d.select("doc_id", F.inline_outer(rules))
     m = r.select("doc_id", "rule", F.posexplode_outer("m").alias("match_idx", "matched_text"))
     return m.where(F.col("match_idx").isNotNull())
+
+
+@register
+def q_strict_rules(spark, sf_dir):
+    """D4-D6 in ``strict_tokens`` mode (whole tokens, as the rules'
+    comments describe) over every document transliterated into
+    Devanagari."""
+    from ..functions.normalize import norm_disfluency
+    from ..operators import disfluency as D
+    d = _docs(spark, sf_dir).select(
+        "doc_id", norm_disfluency(F.translate(F.lower("text"), X.LATIN, X.DEVANAGARI_MAP)).alias("t"))
+    rules = F.array(
+        F.struct(F.lit("repetition").alias("rule"), D.repetition_matches(F.col("t"), "strict_tokens").alias("m")),
+        F.struct(F.lit("prolongation").alias("rule"), F.regexp_extract_all("t", F.lit(D.PROLONGATION), 0).alias("m")),
+        F.struct(F.lit("false_start").alias("rule"),
+                 F.regexp_extract_all("t", F.lit(D.STRICT_FALSE_START), 1).alias("m")))
+    m = d.select("doc_id", F.inline_outer(rules)).select(
+        "doc_id", "rule", F.posexplode_outer("m").alias("match_idx", "matched_text"))
+    return m.where(F.col("match_idx").isNotNull())

@@ -307,3 +307,25 @@ _DOC_BIGRAMS = (f"SELECT DISTINCT doc_id, tk[i] || ' ' || tk[i + 1] AS phrase FR
 ORACLE["q_benchmark_phrases"] = (
     f"SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY phrase) - 1 AS INTEGER) AS hit_idx, phrase "
     f"FROM ({_DOC_BIGRAMS}) WHERE phrase IN ({_BENCH_LEX})")
+
+# strict_tokens mode over Devanagari-transliterated documents: whole word
+# runs, so the chain restatement is exact for any script
+from .fixtures import DEVANAGARI_MAP, LATIN  # noqa: E402
+
+_DEV_DOCS_T = P.with_tokens(
+    f"SELECT doc_id, {P.norm_disfluency(f'translate(lower(text), {P.q(LATIN)}, {P.q(DEVANAGARI_MAP)})')} AS t "
+    f"FROM documents")
+_STRICT_FS = (f"list_transform(list_filter(range(1, len(tk) + 1), lambda i: starts_with(gp[i + 1], '-') AND "
+              f"(regexp_matches(substr(gp[i + 1], 2, 1), {P.q(P.WS)}) OR (gp[i + 1] = '-' AND i = len(tk)))), "
+              f"lambda i: tk[i] || '-')")
+
+
+def _strict_rule(rule, expr):
+    return (f"SELECT doc_id, '{rule}' AS rule, CAST(i - 1 AS INTEGER) AS match_idx, m[i] AS matched_text FROM "
+            f"(SELECT doc_id, m, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, {expr} AS m FROM ({_DEV_DOCS_T})))")
+
+
+ORACLE["q_strict_rules"] = " UNION ALL ".join([
+    _strict_rule("repetition", P.repetition_list()),
+    _strict_rule("prolongation", P.prolongation_list("t")),
+    _strict_rule("false_start", _STRICT_FS)])
