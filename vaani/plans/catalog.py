@@ -139,13 +139,13 @@ def _prepared(spark, sf_dir):
     return prepare_segments(X.recordings(c), X.transcripts(c))
 
 
-def _extracted(spark, sf_dir):
+def _extracted(spark, sf_dir, devanagari: bool = False, mode: str = "parity"):
     from ..operators import disfluency as D
     from .preparation import extract_disfluencies
     c = _conv(spark, sf_dir)
-    lex = D.build_lexicon(D.wide_lexicon_to_long(X.lexicon_wide(spark)))
-    return extract_disfluencies(X.recordings(c), X.transcripts(c), X.object_manifest(c),
-                                X.audio_listing(c), lex)
+    lex = D.build_lexicon(D.wide_lexicon_to_long(X.lexicon_wide(spark, devanagari)))
+    return extract_disfluencies(X.recordings(c), X.transcripts(c, devanagari), X.object_manifest(c),
+                                X.audio_listing(c), lex, mode=mode)
 
 
 @register
@@ -470,3 +470,11 @@ def q_strict_rules(spark, sf_dir):
     m = d.select("doc_id", F.inline_outer(rules)).select(
         "doc_id", "rule", F.posexplode_outer("m").alias("match_idx", "matched_text"))
     return m.where(F.col("match_idx").isNotNull())
+
+
+@register
+def q_strict_occurrences(spark, sf_dir):
+    """D1-D9 end to end in ``strict_tokens`` mode on Devanagari transcripts
+    (conversation turns transliterated letter by letter) with the job
+    lexicon transliterated the same way."""
+    return _extracted(spark, sf_dir, devanagari=True, mode="strict_tokens").occurrences

@@ -96,15 +96,17 @@ def _json_string(c: Column) -> Column:
     return F.regexp_extract(F.to_json(F.struct(c.alias("t"))), r'^\{"t":(.*)\}$', 1)
 
 
-def transcripts(conversations: DataFrame) -> DataFrame:
+def transcripts(conversations: DataFrame, devanagari: bool = False) -> DataFrame:
     """(recording_id, payload): the turn's text cut at full stops/newlines
     into timed entries, entry k spanning [2k, 2k + chars/15] seconds.
     Loose typing as found in real payloads: the second entry's start is a
     JSON string; an empty piece has no "text" key; a blank piece has
     "text": null; a piece of exactly one character has "start": null.
-    System turns are wrapped in an object instead of a list."""
-    rid = F.concat(F.lit("r"), F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string"))
-    pieces = F.split(F.col("text"), SENTENCE_SPLIT)
+    System turns are wrapped in an object instead of a list.
+    ``devanagari=True`` transliterates the lower-cased text letter by letter
+    first (lengths, and so timings, are unchanged)."""
+    text = F.translate(F.lower("text"), LATIN, DEVANAGARI_MAP) if devanagari else F.col("text")
+    pieces = F.split(text, SENTENCE_SPLIT)
 
     def entry(p, k):
         start = k.cast("double") * 2.0
@@ -152,9 +154,11 @@ LEXICON_WIDE = {
 }
 
 
-def lexicon_wide(spark) -> DataFrame:
+def lexicon_wide(spark, devanagari: bool = False) -> DataFrame:
     names = list(LEXICON_WIDE)
-    rows = [tuple([i] + [LEXICON_WIDE[n][i] for n in names]) for i in range(3)]
+    conv = (lambda v: None if v is None else v.lower().translate(str.maketrans(LATIN, DEVANAGARI_MAP))) \
+        if devanagari else (lambda v: v)
+    rows = [tuple([i] + [conv(LEXICON_WIDE[n][i]) for n in names]) for i in range(3)]
     schema = "row_ord int, " + ", ".join(f"`{n}` string" for n in names)
     return spark.createDataFrame(rows, schema)
 

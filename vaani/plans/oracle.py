@@ -136,7 +136,7 @@ ORACLE["q_exact_split"] = _SPLIT
 ORACLE["q_split_counts"] = f"SELECT split, count(*) AS rows FROM ({_SPLIT}) GROUP BY split"
 
 # ---------------------------------------------------------------- disfluency lexicon and rules
-from ..plans.fixtures import LEXICON_WIDE  # noqa: E402
+from ..plans.fixtures import DEVANAGARI_MAP, LATIN, LEXICON_WIDE  # noqa: E402
 
 
 def _lexicon_sql() -> str:
@@ -178,13 +178,16 @@ def _py_norm_disfluency(s: str) -> str:
     return _re.sub(r"\s+", " ", t)
 
 
-def _lexicon_entries():
+def _lexicon_entries(devanagari: bool = False):
     """The job lexicon in hit order: a type keeps the position of its first
     non-empty column and the phrases of its last."""
+    table = str.maketrans(LATIN, DEVANAGARI_MAP)
     order, content = [], {}
     for col, values in LEXICON_WIDE.items():
         seen = []
         for v in values:
+            if v is not None and devanagari:
+                v = v.lower().translate(table)
             p = _py_norm_disfluency(v) if v is not None else ""
             if p and p not in seen:
                 seen.append(p)
@@ -200,13 +203,14 @@ def _hit(t, text, rule):
     return f"{{'disfluency_type': {P.q(t)}, 'matched_text': {text}, 'match_rule': {P.q(rule)}}}"
 
 
-def _hits_sql(t: str) -> str:
+def _hits_sql(t: str, devanagari: bool = False, mode: str = "parity") -> str:
     lex = ", ".join(f"CASE WHEN regexp_matches({t}, {P.q(P.phrase_regex_re2(p))}) THEN {_hit(ty, P.q(p), 'lexicon')} END"
-                    for ty, p in _lexicon_entries())
+                    for ty, p in _lexicon_entries(devanagari))
+    fs = P.false_start_list() if mode == "parity" else P.strict_false_start_list()
     allh = (f"list_concat(list_filter([{lex}], lambda x: x IS NOT NULL), "
             f"list_transform({P.repetition_list()}, lambda m: {_hit('Repetition', 'm', 'regex_repetition')}), "
             f"list_transform({P.prolongation_list(t)}, lambda m: {_hit('Prolongation', 'm', 'regex_prolongation')}), "
-            f"list_transform({P.false_start_list()}, lambda m: {_hit('False Start', 'm', 'regex_false_start')}))")
+            f"list_transform({fs}, lambda m: {_hit('False Start', 'm', 'regex_false_start')}))")
     return allh
 
 
@@ -215,14 +219,32 @@ _DIS_REC = (f"SELECT r.*, '{P.BASE}' || folder_id || '/' || recording_id || '_au
             f"FROM (SELECT *, {P.folder_sql(DISFLUENCY_URL_COLUMNS[:3])} AS folder_id FROM ({P.RECORDINGS})) r "
             f"JOIN ({P.recording_error_sql('disfluency')}) e USING (recording_id) "
             f"WHERE lower(r.language) = 'hi' AND length(r.text) >= 20 AND r.folder_id IS NOT NULL")
-_DIS_SEG = (f"SELECT s.recording_id, s.segment_idx, coalesce(s.start_v, 0.0) AS start, s.end_v AS \"end\", "
-            f"coalesce(s.text_v, '') AS raw_text, r.audio_url, r.transcription_url, r.user_id, r.language "
-            f"FROM ({P.PIECES}) s JOIN ({_DIS_REC}) r USING (recording_id) WHERE r.error IS NULL")
-_DIS_SEG_T = P.with_tokens(f"SELECT *, {P.norm_disfluency('raw_text')} AS t FROM ({_DIS_SEG})")
-_DETECTED = (f"SELECT *, list_filter(h0, lambda x, i: list_position(h0, x) = i) AS hits FROM "
-             f"(SELECT *, {_hits_sql('t')} AS h0 FROM ({_DIS_SEG_T}))")
-_HITROWS = (f"SELECT *, hits[i] AS h, CAST(i - 1 AS INTEGER) AS hit_idx FROM "
-            f"(SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM ({_DETECTED}))")
+
+
+def _hitrows_sql(devanagari: bool = False, mode: str = "parity") -> str:
+    seg = (f"SELECT s.recording_id, s.segment_idx, coalesce(s.start_v, 0.0) AS start, s.end_v AS \"end\", "
+           f"coalesce(s.text_v, '') AS raw_text, r.audio_url, r.transcription_url, r.user_id, r.language "
+           f"FROM ({P.pieces_sql(devanagari)}) s JOIN ({_DIS_REC}) r USING (recording_id) WHERE r.error IS NULL")
+    seg_t = P.with_tokens(f"SELECT *, {P.norm_disfluency('raw_text')} AS t FROM ({seg})")
+    detected = (f"SELECT *, list_filter(h0, lambda x, i: list_position(h0, x) = i) AS hits FROM "
+                f"(SELECT *, {_hits_sql('t', devanagari, mode)} AS h0 FROM ({seg_t}))")
+    return (f"SELECT *, hits[i] AS h, CAST(i - 1 AS INTEGER) AS hit_idx FROM "
+            f"(SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM ({detected}))")
+
+
+def _occ_sql(devanagari: bool = False, mode: str = "parity") -> str:
+    occ = "printf('%s_%04d_%02d', recording_id, segment_idx, hit_idx)"
+    return (f"SELECT {occ} AS occurrence_id, recording_id, "
+            f"CAST(segment_idx AS INTEGER) AS segment_idx, h.disfluency_type AS disfluency_type, "
+            f"h.matched_text AS matched_text, h.match_rule AS match_rule, round(start, 3) AS segment_start_sec, "
+            f"round(\"end\", 3) AS segment_end_sec, round(\"end\" - start, 3) AS clip_duration_sec, "
+            f"'clips/' || recording_id || '/' || {occ} || '.wav' AS clip_path, "
+            f"'clips/' || recording_id || '/' || {occ} || '.wav' AS clip_rel_path, "
+            f"raw_text AS transcription_snippet, transcription_url, audio_url, user_id, language "
+            f"FROM ({_hitrows_sql(devanagari, mode)}) WHERE \"end\" > start")
+
+
+_HITROWS = _hitrows_sql()
 
 
 def _rule_rows(rule):
@@ -231,14 +253,7 @@ def _rule_rows(rule):
 
 
 ORACLE["q_lexicon_hits"] = _rule_rows("lexicon")
-_OCC = (f"SELECT printf('%s_%04d_%02d', recording_id, segment_idx, hit_idx) AS occurrence_id, recording_id, "
-        f"CAST(segment_idx AS INTEGER) AS segment_idx, h.disfluency_type AS disfluency_type, "
-        f"h.matched_text AS matched_text, h.match_rule AS match_rule, round(start, 3) AS segment_start_sec, "
-        f"round(\"end\", 3) AS segment_end_sec, round(\"end\" - start, 3) AS clip_duration_sec, "
-        f"'clips/' || recording_id || '/' || printf('%s_%04d_%02d', recording_id, segment_idx, hit_idx) || '.wav' AS clip_path, "
-        f"'clips/' || recording_id || '/' || printf('%s_%04d_%02d', recording_id, segment_idx, hit_idx) || '.wav' AS clip_rel_path, "
-        f"raw_text AS transcription_snippet, transcription_url, audio_url, user_id, language "
-        f"FROM ({_HITROWS}) WHERE \"end\" > start")
+_OCC = _occ_sql()
 ORACLE["q_occurrences"] = _OCC
 ORACLE["q_type_counts"] = f"SELECT disfluency_type, count(*) AS occurrences FROM ({_OCC}) GROUP BY ALL"
 ORACLE["q_disfluency_failures"] = (
@@ -310,14 +325,11 @@ ORACLE["q_benchmark_phrases"] = (
 
 # strict_tokens mode over Devanagari-transliterated documents: whole word
 # runs, so the chain restatement is exact for any script
-from .fixtures import DEVANAGARI_MAP, LATIN  # noqa: E402
 
 _DEV_DOCS_T = P.with_tokens(
     f"SELECT doc_id, {P.norm_disfluency(f'translate(lower(text), {P.q(LATIN)}, {P.q(DEVANAGARI_MAP)})')} AS t "
     f"FROM documents")
-_STRICT_FS = (f"list_transform(list_filter(range(1, len(tk) + 1), lambda i: starts_with(gp[i + 1], '-') AND "
-              f"(regexp_matches(substr(gp[i + 1], 2, 1), {P.q(P.WS)}) OR (gp[i + 1] = '-' AND i = len(tk)))), "
-              f"lambda i: tk[i] || '-')")
+_STRICT_FS = P.strict_false_start_list()
 
 
 def _strict_rule(rule, expr):
@@ -329,3 +341,5 @@ ORACLE["q_strict_rules"] = " UNION ALL ".join([
     _strict_rule("repetition", P.repetition_list()),
     _strict_rule("prolongation", P.prolongation_list("t")),
     _strict_rule("false_start", _STRICT_FS)])
+
+ORACLE["q_strict_occurrences"] = _occ_sql(devanagari=True, mode="strict_tokens")

@@ -198,6 +198,16 @@ PIECES = f"""
         FROM (SELECT *, regexp_split_to_array(text, '[.\\n]') AS ps FROM conversations))
 """
 
+def pieces_sql(devanagari: bool = False) -> str:
+    """PIECES over the turn text, or over its letter-by-letter Devanagari
+    transliteration (same lengths, so the same times and failures)."""
+    if not devanagari:
+        return PIECES
+    from .fixtures import DEVANAGARI_MAP, LATIN
+    text = f"translate(lower(text), {q(LATIN)}, {q(DEVANAGARI_MAP)})"
+    return PIECES.replace("regexp_split_to_array(text,", f"regexp_split_to_array({text},")
+
+
 # first error per recording for a given mode, null when the recording is fine
 def recording_error_sql(mode: str) -> str:
     text_rule = ("WHEN bool_or(text_null) THEN 'segment text is null or not a string' " if mode == "prepare" else "")
@@ -244,6 +254,14 @@ def prolongation_list(t: str) -> str:
     return f"regexp_extract_all({t}, {q(alt)})"
 
 
+def strict_false_start_list() -> str:
+    """Strict false starts: a word run followed by "-" and then whitespace
+    or the end of the text; needs :func:`with_tokens`."""
+    return (f"list_transform(list_filter(range(1, len(tk) + 1), lambda i: starts_with(gp[i + 1], '-') AND "
+            f"(regexp_matches(substr(gp[i + 1], 2, 1), {q(WS)}) OR (gp[i + 1] = '-' AND i = len(tk)))), "
+            f"lambda i: tk[i] || '-')")
+
+
 def false_start_list() -> str:
     return "list_transform(list_filter(range(1, len(tk)), lambda i: gp[i + 1] = '-'), lambda i: tk[i] || '-')"
 
