@@ -478,3 +478,12 @@ def q_strict_occurrences(spark, sf_dir):
     (conversation turns transliterated letter by letter) with the job
     lexicon transliterated the same way."""
     return _extracted(spark, sf_dir, devanagari=True, mode="strict_tokens").occurrences
+
+
+@register
+def q_model_rank_devanagari(spark, sf_dir):
+    """W1-W5 on the evaluation sheet transliterated into Devanagari: NFC
+    through ICU (nukta compositions), code-point distances on multi-byte
+    text."""
+    sheet = X.model_sheet(_conv(spark, sf_dir), devanagari=True)
+    return evaluate_models(sheet, X.SHEET_KEYS).ranking.select("rank", "model", "wer", "cer")

@@ -27,7 +27,7 @@ def sentences(conversations: DataFrame) -> DataFrame:
     return s.where(F.col("sent_idx").isNotNull() & F.col("sentence").rlike(HAS_ALNUM))
 
 
-def model_sheet(conversations: DataFrame) -> DataFrame:
+def model_sheet(conversations: DataFrame, devanagari: bool = False) -> DataFrame:
     """The multi-model evaluation sheet: ``segment_url_link, Human`` plus six
     hypotheses, each a deterministic edit of the human sentence:
     identity; every 5th word dropped; "e" swapped for "a"; first word
@@ -44,9 +44,12 @@ def model_sheet(conversations: DataFrame) -> DataFrame:
     ]
     link = F.concat(F.lit("conv://"), F.col("conv_id").cast("string"), F.lit("/"),
                     F.col("turn").cast("string"), F.lit("/"), F.col("sent_idx").cast("string"))
+    # devanagari: every column transliterated after the edits (lower-cased
+    # letter by letter, so the upper-case model becomes a copy)
+    dev = (lambda c: F.translate(F.lower(c), LATIN, DEVANAGARI_MAP)) if devanagari else (lambda c: c)
     return s.select("conv_id", "turn", "sent_idx", link.alias("segment_url_link"),
-                    F.col("sentence").alias("Human"),
-                    *[h.alias(m) for h, m in zip(hyps, MODEL_COLUMNS)])
+                    dev(F.col("sentence")).alias("Human"),
+                    *[dev(h).alias(m) for h, m in zip(hyps, MODEL_COLUMNS)])
 
 
 SHEET_KEYS = ["conv_id", "turn", "sent_idx", "segment_url_link"]

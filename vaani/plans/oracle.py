@@ -343,3 +343,10 @@ ORACLE["q_strict_rules"] = " UNION ALL ".join([
     _strict_rule("false_start", _STRICT_FS)])
 
 ORACLE["q_strict_occurrences"] = _occ_sql(devanagari=True, mode="strict_tokens")
+
+_METRICS_DEV = (f"WITH pairs AS ({P.pairs_sql(devanagari=True)}) SELECT model, model_ord, "
+                "sum(word_edits) / sum(ref_words) AS wer, sum(char_edits) / sum(ref_chars) AS cer "
+                "FROM pairs GROUP BY model, model_ord")
+ORACLE["q_model_rank_devanagari"] = (
+    f"WITH m AS ({_METRICS_DEV}) SELECT CAST(row_number() OVER (ORDER BY wer, cer, model_ord) AS INTEGER) AS rank, "
+    "model, wer, cer FROM m")

@@ -84,7 +84,7 @@ SENTENCES = r"""
 """
 
 
-def sheet_sql() -> str:
+def sheet_sql(devanagari: bool = False) -> str:
     hyps = [
         "sentence",
         "array_to_string(list_filter(string_split(sentence, ' '), lambda x, i: i % 5 <> 0), ' ')",
@@ -93,9 +93,14 @@ def sheet_sql() -> str:
         "array_to_string(list_slice(string_split(sentence, ' '), 1, len(string_split(sentence, ' ')) - 1), ' ')",
         "translate(sentence, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')",
     ]
-    cols = ", ".join(f'{h} AS "{m}"' for h, m in zip(hyps, MODEL_COLUMNS))
+    if devanagari:
+        from .fixtures import DEVANAGARI_MAP, LATIN
+        dev = lambda x: f"translate(lower({x}), {q(LATIN)}, {q(DEVANAGARI_MAP)})"
+    else:
+        dev = lambda x: x
+    cols = ", ".join(f'{dev(h)} AS "{m}"' for h, m in zip(hyps, MODEL_COLUMNS))
     return (f"SELECT conv_id, turn, sent_idx, 'conv://' || conv_id || '/' || turn || '/' || sent_idx "
-            f"AS segment_url_link, sentence AS \"Human\", {cols} FROM ({SENTENCES})")
+            f"AS segment_url_link, {dev('sentence')} AS \"Human\", {cols} FROM ({SENTENCES})")
 
 
 def norm_strip_only(x: str) -> str:
@@ -106,7 +111,7 @@ def wer_words(x: str) -> str:
     return words(strip(f"regexp_replace({x}, {q(WS + '{2,}')}, ' ', 'g')"))
 
 
-def pairs_sql(profile: str = "scoring", skip_empty: bool = False) -> str:
+def pairs_sql(profile: str = "scoring", skip_empty: bool = False, devanagari: bool = False) -> str:
     """One row per (segment, model) with normalized texts and edit counts.
     Word and character alphabets are columns, computed once per pair."""
     norm = norm_scoring if profile == "scoring" else norm_strip_only
@@ -124,7 +129,7 @@ def pairs_sql(profile: str = "scoring", skip_empty: bool = False) -> str:
              f"ELSE {list_edit_distance('rw', 'hw')} END")
     cdist = (f"CASE WHEN len(ca) <= 127 THEN levenshtein({enc('rc', 'ca')}, {enc('hc', 'ca')}) "
              f"ELSE {list_edit_distance('rc', 'hc')} END")
-    return (f"WITH sheet AS ({sheet_sql()}), p AS ({union}), l AS ({lists}), a AS ({alpha}) "
+    return (f"WITH sheet AS ({sheet_sql(devanagari)}), p AS ({union}), l AS ({lists}), a AS ({alpha}) "
             f"SELECT conv_id, turn, sent_idx, segment_url_link, model, model_ord, r, h, "
             f"{wdist} AS word_edits, len(rw) AS ref_words, {cdist} AS char_edits, length(r) AS ref_chars FROM a")
 
