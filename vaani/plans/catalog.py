@@ -487,3 +487,13 @@ def q_model_rank_devanagari(spark, sf_dir):
     text."""
     sheet = X.model_sheet(_conv(spark, sf_dir), devanagari=True)
     return evaluate_models(sheet, X.SHEET_KEYS).ranking.select("rank", "model", "wer", "cer")
+
+
+@register
+def q_norm_devanagari(spark, sf_dir):
+    """N1-N4 on every document transliterated into Devanagari (NFC through
+    ICU where nukta compositions occur)."""
+    from ..functions.normalize import normalize
+    t = F.translate(F.lower("text"), X.LATIN, X.DEVANAGARI_MAP)
+    return _docs(spark, sf_dir).select(
+        "doc_id", *[normalize(t, p).alias(p) for p in ("asr_basic", "disfluency", "word", "scoring")])

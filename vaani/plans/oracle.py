@@ -350,3 +350,8 @@ _METRICS_DEV = (f"WITH pairs AS ({P.pairs_sql(devanagari=True)}) SELECT model, m
 ORACLE["q_model_rank_devanagari"] = (
     f"WITH m AS ({_METRICS_DEV}) SELECT CAST(row_number() OVER (ORDER BY wer, cer, model_ord) AS INTEGER) AS rank, "
     "model, wer, cer FROM m")
+
+_DEV_TEXT = f"translate(lower(text), {P.q(LATIN)}, {P.q(DEVANAGARI_MAP)})"
+ORACLE["q_norm_devanagari"] = (
+    f"SELECT doc_id, {P.norm_asr_basic(_DEV_TEXT)} AS asr_basic, {P.norm_disfluency(_DEV_TEXT)} AS disfluency, "
+    f"{P.norm_word(_DEV_TEXT)} AS word, {P.norm_scoring(_DEV_TEXT)} AS scoring FROM documents")
