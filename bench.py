@@ -33,6 +33,8 @@ def main():
                       extra={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("OFF")
     warm = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.01")
+    if not os.path.isdir(warm):
+        warm = sf_dir
     for name in HEADLINE:
         QUERIES[name](spark, warm).write.format("noop").mode("overwrite").save()
     times = {}
