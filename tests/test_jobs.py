@@ -113,3 +113,17 @@ def test_evaluation_job(spark, inputs):
     assert s["per_segment_best_model_counts"] == {"Model H": 2}
     rows = spark.read.option("header", True).csv(os.path.join(inputs, "out_ev", "segment_analysis")).collect()
     assert sorted((r["segment_idx"], r["segment_url_link"]) for r in rows) == [("0", "s1"), ("1", "s2")]
+
+
+def test_public_eval_job(spark, inputs):
+    from vaani.operators.audio import encode_wav
+    sr = 16000
+    tone = lambda hz: encode_wav((0.3 * np.sin(2 * np.pi * hz * np.arange(sr) / sr)).astype(np.float32), sr)
+    split = spark.createDataFrame([("a", tone(300), " tone 300 "), ("b", tone(500), "tone 500"), ("c", tone(700), "  ")],
+                                  "id string, audio binary, transcription string")
+    path = os.path.join(inputs, "public_split")
+    split.write.mode("overwrite").parquet(path)
+    s = jobs.run_public_eval(spark, path, os.path.join(inputs, "out_pub"),
+                             "vaani.operators.audio:tone_model", "vaani.operators.audio:tone_model")
+    assert s["baseline"]["samples_evaluated"] == 2            # the blank reference is skipped
+    assert s["baseline"]["wer"] == 0.0 and s["finetuned"]["cer"] == 0.0

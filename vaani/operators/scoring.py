@@ -120,8 +120,9 @@ def corpus_metrics(scored: DataFrame) -> DataFrame:
             .agg(F.sum("word_edits").alias("word_edits"), F.sum("ref_words").alias("ref_words"),
                  F.sum("char_edits").alias("char_edits"), F.sum("ref_chars").alias("ref_chars"),
                  F.count(F.lit(1)).alias("segments"))
-            .withColumn("wer", F.col("word_edits") / F.col("ref_words"))
-            .withColumn("cer", F.col("char_edits") / F.col("ref_chars")))
+            # a corpus without reference units has no rate (null), not an error
+            .withColumn("wer", F.try_divide(F.col("word_edits").cast("double"), F.col("ref_words")))
+            .withColumn("cer", F.try_divide(F.col("char_edits").cast("double"), F.col("ref_chars"))))
 
 
 def rank_models(metrics: DataFrame) -> DataFrame:

@@ -49,10 +49,10 @@ def system_comparison(metrics: DataFrame, baseline: str, tuned: str, scale: floa
     allrows = Window.partitionBy()
     base = F.max(F.when(F.col("model") == baseline, F.col("wer"))).over(allrows)
     new = F.max(F.when(F.col("model") == tuned, F.col("wer"))).over(allrows)
-    imp = (base - new) / base
+    imp = F.try_divide(base - new, base)            # undefined (null) for a perfect baseline
     return m.select(
         F.when(F.col("model") == baseline, "baseline").otherwise("tuned").alias("system"),
         "model", F.col("segments").alias("samples_evaluated"),
         (F.col("wer") * scale).alias("wer"), (F.col("cer") * scale).alias("cer"),
         (1 - F.col("wer")).alias("accuracy"), imp.alias("relative_improvement"),
-        F.format_string("%.2f%%", imp * 100).alias("improvement_pct"))
+        F.when(imp.isNotNull(), F.format_string("%.2f%%", imp * 100)).alias("improvement_pct"))

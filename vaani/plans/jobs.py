@@ -166,3 +166,30 @@ def run_evaluation(spark: SparkSession, sheet_csv: str, output_dir: str, null_po
         "best_model_cer": best["cer"],
         "per_segment_best_model_counts": {w["model"]: w["wins"] for w in wins if w["wins"]},
         "per_segment_unique_best_model_counts": {w["model"]: w["unique_wins"] for w in wins if w["unique_wins"]}})
+
+
+def _load_callable(spec: str):
+    """``package.module:function`` -> the function (a model loader)."""
+    import importlib
+    mod, _, fn = spec.partition(":")
+    return getattr(importlib.import_module(mod), fn)
+
+
+def run_public_eval(spark: SparkSession, split_path: str, output_dir: str, baseline: str, tuned: str,
+                    max_samples: int | None = None) -> dict:
+    """Public-split comparison of two systems: ``split_path`` is Parquet with
+    ``id, audio (WAV bytes), transcription``; ``baseline``/``tuned`` name
+    model loaders as ``module:function`` (each returns a function from a
+    list of 16 kHz arrays to texts).  Rates are reported x100."""
+    from .public_eval import evaluate_public_split
+    split = IO.read_prepared(spark, split_path).select("id", "audio", "transcription")
+    if max_samples:
+        split = split.orderBy("id").limit(max_samples)
+    cmp, sheet = evaluate_public_split(split, _load_callable(baseline), _load_callable(tuned))
+    sheet.write.mode("overwrite").parquet(os.path.join(output_dir, "predictions"))
+    rows = {r["system"]: r.asDict() for r in cmp.collect()}
+    return _summary(spark, os.path.join(output_dir, "public_eval_summary"), {
+        "baseline_model": baseline, "finetuned_model": tuned,
+        "baseline": {k: rows["baseline"][k] for k in ("samples_evaluated", "wer", "cer")},
+        "finetuned": {k: rows["tuned"][k] for k in ("samples_evaluated", "wer", "cer")},
+        "relative_improvement_pct": rows["tuned"]["improvement_pct"]})
