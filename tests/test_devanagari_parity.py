@@ -75,3 +75,31 @@ def test_devanagari_phrase_join_matches_python(spark):
                 want.add((doc_id, p))
     assert len(want) > 100
     assert got == want
+
+
+def test_random_strings_match_python(spark):
+    """SURVEY 5.1: parity of the JVM patterns with Python's on random strings
+    over Devanagari letters and signs, Latin, hyphen and whitespace."""
+    import random
+    from pyspark.sql import functions as F
+    from vaani.operators import disfluency as D
+    alphabet = ["क", "ख", "र", "ा", "ि", "ं", "्", "़", "ँ", "a", "b", "ab", " ", " ", "-", "--", " ", "x1", "_"]
+    rng = random.Random(2024)
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(1, 14))) for _ in range(4000)]
+    phrases = ["a", "क-र", "ab b", "ि"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(
+        "t", D.repetition_matches(F.col("t")).alias("rep"),
+        F.regexp_extract_all("t", F.lit(D.PROLONGATION), 0).alias("pro"),
+        F.regexp_extract_all("t", F.lit(D.FALSE_START), 1).alias("fs"),
+        *[F.col("t").rlike(D.phrase_pattern(p)).alias(f"p{i}") for i, p in enumerate(phrases)]).collect()
+    pats = [_phrase_regex(p) for p in phrases]
+    bad = []
+    for r in got:
+        t = r["t"]
+        want = ([m.group(0) for m in REPETITION.finditer(t)], [m.group(0) for m in PROLONGATION.finditer(t)],
+                [m.group(1) for m in FALSE_START.finditer(t)], [bool(p.search(t)) for p in pats])
+        have = (r["rep"], r["pro"], r["fs"], [r[f"p{i}"] for i in range(len(phrases))])
+        if want != have:
+            bad.append((t, want, have))
+    assert not bad, bad[:5]
