@@ -44,3 +44,48 @@ def test_distinct_and_labels(spark):
     df = one_col(spark, ["घर", " घर ", None, "hello", "घ र"], "word")
     out = {r["word"]: r["spelling_label"] for r in label_words(distinct_words(df)).collect()}
     assert out == {"घर": "correct spelling", "hello": "incorrect spelling"}
+
+
+def _py_reason(word):
+    """Independent Python statement of the rules."""
+    import re
+    import unicodedata
+    vowel, nasal = set("ािीुूृॄॅेैॉोौ"), set("ंँः")
+    matras, halant, nukta = vowel | nasal, "्", "़"
+    w = re.sub(r"\s+", "", unicodedata.normalize("NFC", word).strip().replace("–", "-").replace("—", "-").replace("―", "-"))
+    if not w:
+        return "empty"
+    if re.fullmatch(r"[ऀ-ॿ।॥'’\-]+", w) is None:
+        return "contains_non_devanagari"
+    core = re.sub(r"[।॥'’\-]", "", w)
+    if not core:
+        return "empty_after_cleanup"
+    if core[0] in matras or core[0] in (halant, nukta):
+        return "invalid_start"
+    if core[-1] in (halant, nukta):
+        return "invalid_end"
+    if halant * 2 in core:
+        return "double_halant"
+    if nukta * 2 in core:
+        return "double_nukta"
+    for a, b in zip(core, core[1:]):
+        if a == halant and b in matras:
+            return "matra_after_halant"
+        if a in vowel and b in vowel:
+            return "consecutive_matras"
+        if a == nukta and b in matras:
+            return "matra_after_nukta"
+    if re.search(r"(.)\1{3,}", core):
+        return "long_repetition_noise"
+    return "valid_orthography"
+
+
+def test_random_words_match_python(spark):
+    import random
+    pool = list("कखगनरज़ािीेैोंँः़्।-'") + ["क़", "ड़", " ", "a", "2"]
+    rng = random.Random(11)
+    words = ["".join(rng.choices(pool, k=rng.randint(0, 8))) for _ in range(6000)] + ["हहहह", "कककक", "क्क्"]
+    w, r = classify(F.col("s"))
+    got = one_col(spark, words).select("s", r.alias("r")).collect()
+    bad = [(x["s"], x["r"], _py_reason(x["s"])) for x in got if x["r"] != _py_reason(x["s"])]
+    assert not bad, bad[:5]
