@@ -92,3 +92,15 @@ def test_empty_later_header_does_not_replace(spark):
                                  "row_ord int, `A` string, `A ` string, `B` string")
     lex = D.build_lexicon(D.wide_lexicon_to_long(wide)).orderBy("type_ord", "phrase_ord").collect()
     assert [(r["type"], r["type_ord"], r["phrase"]) for r in lex] == [("A", 0, "um"), ("A", 0, "er"), ("B", 2, "x")]
+
+
+def test_char_distance_counts_code_points(spark):
+    from vaani.functions.edit_distance import char_edits
+    rng = random.Random(13)
+    alphabet = ["a", "é", "क", "ि", "़", " ", "😀", "𐀀"]
+    rows = [("".join(rng.choices(alphabet, k=rng.randint(0, 10))), "".join(rng.choices(alphabet, k=rng.randint(0, 10))))
+            for _ in range(500)]
+    got = spark.createDataFrame(rows, "a string, b string").select(
+        "a", "b", char_edits(F.col("a"), F.col("b")).alias("d"), F.length("a").alias("n")).collect()
+    for r in got:
+        assert r["d"] == _dp(list(r["a"]), list(r["b"])) and r["n"] == len(r["a"])
