@@ -497,3 +497,32 @@ def q_norm_devanagari(spark, sf_dir):
     t = F.translate(F.lower("text"), X.LATIN, X.DEVANAGARI_MAP)
     return _docs(spark, sf_dir).select(
         "doc_id", *[normalize(t, p).alias(p) for p in ("asr_basic", "disfluency", "word", "scoring")])
+
+
+# ---------------------------------------------------------------- focused views named in the survey
+
+@register
+def q_segment_bounds(spark, sf_dir):
+    """Id, rounded duration and sample range of each prepared segment."""
+    return _prepared(spark, sf_dir).segments.select("id", "duration_sec", "start_sample", "end_sample")
+
+
+@register
+def q_ties(spark, sf_dir):
+    """Per-segment tie set on WER (names sorted, "|"-joined) and its size."""
+    return _evaluation(spark, sf_dir).analysis.select("segment_url_link", "best_tie_models", "best_tie_count")
+
+
+@register
+def q_unique_wins(spark, sf_dir):
+    """Segments each model wins without a tie, zero-filled."""
+    return _evaluation(spark, sf_dir).wins.select("model", "unique_wins")
+
+
+@register
+def q_missing_audio(spark, sf_dir):
+    """Hindi recordings whose raw audio object is absent (anti-join)."""
+    from ..operators import urls as U
+    from .preparation import language_filter
+    c = _conv(spark, sf_dir)
+    return U.missing_audio(language_filter(X.recordings(c), "hi", ignore_case=True), X.audio_listing(c))

@@ -138,11 +138,15 @@ def object_manifest(conversations: DataFrame, base: str = "https://storage.examp
     return conversations.select(transcript_url(base).alias("url"), F.lit(True).alias("ok"), F.lit(True).alias("is_json"))
 
 
+# turns shorter than this have no raw audio object (missing-audio failures)
+AUDIO_MIN_CHARS = 60
+
+
 def audio_listing(conversations: DataFrame) -> DataFrame:
     """(recording_id): recordings whose raw audio object exists -- turns
-    with at least 20 characters of text."""
+    with at least AUDIO_MIN_CHARS characters of text."""
     rid = F.concat(F.lit("r"), F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string"))
-    return conversations.where(F.length("text") >= 20).select(rid.alias("recording_id"))
+    return conversations.where(F.length("text") >= AUDIO_MIN_CHARS).select(rid.alias("recording_id"))
 
 
 # A small disfluency lexicon (a parameter of the job, like the sheet it
