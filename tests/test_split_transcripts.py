@@ -28,6 +28,8 @@ def test_failure_reasons(spark):
         ("null_text", '[{"start": 0, "end": 1, "text": null}]'),
         ("bad_time", '[{"start": "abc", "end": 1, "text": "x"}]'),
         ("str_time", '[{"start": "0.5", "end": "1.5", "text": "y"}]'),
+        ("no_payload", None),
+        ("bad_json", "[{"),
     ]
     df = spark.createDataFrame(rows, "recording_id string, payload string")
     prep_ok, prep_bad = T.split_valid(T.parse_payload(df), "prepare")
@@ -37,6 +39,7 @@ def test_failure_reasons(spark):
     errs = {r["recording_id"]: r["error"] for r in prep_bad.collect()}
     assert errs["not_list"].startswith("unexpected transcript payload type")
     assert errs["null_text"] == "segment text is null or not a string"
+    assert errs["no_payload"] == "missing transcript" and errs["bad_json"] == "transcript is not valid JSON"
     segs = T.explode_segments(prep_ok, ["recording_id"]).orderBy("recording_id", "segment_idx").collect()
     assert [(s["recording_id"], s["segment_idx"], s["start"], s["end"], s["raw_text"]) for s in segs] == [
         ("ok", 0, 0.0, 1.5, "नमस्ते दुनिया"), ("ok", 1, 0.0, 2.0, ""), ("str_time", 0, 0.5, 1.5, "y")]
