@@ -49,6 +49,7 @@ def get_spark(app: str = "vaani", master: str | None = None,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -69,3 +70,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="vaani-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by the Python workers that run Arrow
+    UDFs and ``mapInPandas`` (on any executor, whatever its working
+    directory): zip the package once per SparkContext and ``addPyFile`` it."""
+    import zipfile
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg)
+    path = os.path.join(tempfile.mkdtemp(prefix="vaani-pkg-"), "vaani.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
