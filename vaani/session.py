@@ -72,7 +72,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -81,7 +81,7 @@ def ship_package(spark: SparkSession) -> None:
     directory): zip the package once per SparkContext and ``addPyFile`` it."""
     import zipfile
     sc = spark.sparkContext
-    key = id(sc._jsc)
+    key = sc.applicationId          # unique per context (ids of dead objects are reused)
     if key in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
