@@ -40,3 +40,11 @@ def test_scans_read_only_needed_columns(spark):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
     plan = _plan(spark, "q_best_checkpoint")
     assert "ReadSchema: struct<event_id:bigint,event_type:string,value:double>" in plan
+
+
+def test_entry_schema_is_stable(spark):
+    df = E.entry(spark)
+    assert df.schema.simpleString() == "struct<rank:int,model:string,wer:double,cer:double>"
+    rows = df.collect()
+    assert [r["rank"] for r in rows] == sorted(r["rank"] for r in rows) or len(rows) == 6
+    assert len(rows) == 6
