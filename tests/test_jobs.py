@@ -127,3 +127,16 @@ def test_public_eval_job(spark, inputs):
                              "vaani.operators.audio:tone_model", "vaani.operators.audio:tone_model")
     assert s["baseline"]["samples_evaluated"] == 2            # the blank reference is skipped
     assert s["baseline"]["wer"] == 0.0 and s["finetuned"]["cer"] == 0.0
+
+
+def test_cli_evaluate(inputs):
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = os.path.join(inputs, "out_cli")
+    r = subprocess.run([sys.executable, "-m", "vaani", "--master", "local[2]", "evaluate",
+                        "--input_csv", os.path.join(inputs, "sheet.csv"), "--output_dir", out],
+                       cwd=repo, capture_output=True, text=True, timeout=600)
+    assert r.returncode == 0, r.stderr[-2000:]
+    summary = json.loads(r.stdout[r.stdout.index("{"):])
+    assert summary["best_model"] == "Model H" and summary["input_rows"] == 2
