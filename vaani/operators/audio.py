@@ -136,6 +136,23 @@ def log_mel(x: np.ndarray, n_fft: int = 400, hop: int = 160) -> np.ndarray:
 
 # ---------------------------------------------------------------- Spark jobs
 
+# Output batches are cut by size: input batches are small rows (segment
+# lists, paths, text) but each may expand into megabytes of audio.
+OUT_BATCH_BYTES = 32 * 1024 * 1024
+
+
+def chunked_frames(rows, columns, max_bytes: int = OUT_BATCH_BYTES):
+    """Group ``(row, nbytes)`` pairs into DataFrames of about ``max_bytes``."""
+    buf, size = [], 0
+    for row, nbytes in rows:
+        buf.append(row)
+        size += nbytes
+        if size >= max_bytes:
+            yield pd.DataFrame(buf, columns=columns)
+            buf, size = [], 0
+    if buf:
+        yield pd.DataFrame(buf, columns=columns)
+
 def _task_count(df: DataFrame) -> int:
     """Tasks for CPU-heavy audio stages: twice the cluster's cores."""
     return max(2 * df.sparkSession.sparkContext.defaultParallelism, 1)
@@ -164,44 +181,50 @@ def cut_clips(segments: DataFrame, audio: DataFrame, rounding: str = "truncate",
     j = per_rec.repartition(n, "recording_id").join(
         audio.select("recording_id", "content").repartition(n, "recording_id"), "recording_id")
 
+    cols = ["id", "recording_id", "sample_rate", "n_samples", "clip", "error", *carry]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for rec, segs, content in zip(b["recording_id"], b["segs"], b["content"]):
-                try:
-                    x, sr = decode_wav(bytes(content))
-                    if target_sr:
-                        x, sr = resample(x, sr, target_sr), target_sr
-                except Exception as exc:  # noqa: BLE001 - isolate the recording
-                    out.append((None, rec, None, None, None, f"recording_id={rec}: {exc}", *[None] * len(carry)))
-                    continue
-                for s in segs:
-                    lo, hi = sample_range(s["start"], s["end"], sr, len(x), rounding)
-                    if hi <= lo:
+        def rows():
+            for b in batches:
+                for rec, segs, content in zip(b["recording_id"], b["segs"], b["content"]):
+                    try:
+                        x, sr = decode_wav(bytes(content))
+                        if target_sr:
+                            x, sr = resample(x, sr, target_sr), target_sr
+                    except Exception as exc:  # noqa: BLE001 - isolate the recording
+                        yield (None, rec, None, None, None, f"recording_id={rec}: {exc}", *[None] * len(carry)), 0
                         continue
-                    out.append((s["id"], rec, sr, hi - lo, encode_wav(x[lo:hi], sr), None, *[s[c] for c in carry]))
-            yield pd.DataFrame(out, columns=["id", "recording_id", "sample_rate", "n_samples", "clip", "error", *carry])
+                    for s in segs:
+                        lo, hi = sample_range(s["start"], s["end"], sr, len(x), rounding)
+                        if hi <= lo:
+                            continue
+                        w = encode_wav(x[lo:hi], sr)
+                        yield (s["id"], rec, sr, hi - lo, w, None, *[s[c] for c in carry]), len(w)
+        yield from chunked_frames(rows(), cols)
 
     schema = CLIP_SCHEMA + "".join(f", {c} string" for c in carry)
     return j.mapInPandas(run, schema)
 
 
-def resample_audio(audio: DataFrame, target_sr: int = TARGET_SR) -> DataFrame:
-    """Canonical 16 kHz mono WAV per recording."""
+def resample_audio(audio: DataFrame, target_sr: int = TARGET_SR, keep_audio: bool = True) -> DataFrame:
+    """Canonical 16 kHz mono WAV per recording (``keep_audio=False``
+    reports rates and lengths only)."""
     small_batches(audio.sparkSession)
 
+    cols = ["recording_id", "source_rate", "source_samples", "sample_rate", "n_samples", "audio", "error"]
+
     def run(batches):
-        for b in batches:
-            rows = []
-            for rec, content in zip(b["recording_id"], b["content"]):
-                try:
-                    x, sr = decode_wav(bytes(content))
-                    y = resample(x, sr, target_sr)
-                    rows.append((rec, sr, len(x), target_sr, len(y), encode_wav(y, target_sr), None))
-                except Exception as exc:  # noqa: BLE001
-                    rows.append((rec, None, None, None, None, None, str(exc)))
-            yield pd.DataFrame(rows, columns=["recording_id", "source_rate", "source_samples", "sample_rate",
-                                              "n_samples", "audio", "error"])
+        def rows():
+            for b in batches:
+                for rec, content in zip(b["recording_id"], b["content"]):
+                    try:
+                        x, sr = decode_wav(bytes(content))
+                        y = resample(x, sr, target_sr)
+                        w = encode_wav(y, target_sr) if keep_audio else None
+                        yield (rec, sr, len(x), target_sr, len(y), w, None), len(w or b"")
+                    except Exception as exc:  # noqa: BLE001
+                        yield (rec, None, None, None, None, None, str(exc)), 0
+        yield from chunked_frames(rows(), cols)
 
     return audio.mapInPandas(run, "recording_id string, source_rate int, source_samples long, sample_rate int, "
                                   "n_samples long, audio binary, error string")
@@ -217,19 +240,22 @@ def features(clips: DataFrame, tokenize: Callable[[str], list[int]] | None = Non
     small_batches(clips.sparkSession)
     tok = tokenize or (lambda s: list((s or "").encode("utf-8")))
 
+    cols = ["id", "n_frames", "mel_mean", "mel_max", "input_features", "labels"]
+
     def run(batches):
-        for b in batches:
-            rows = []
-            for cid, clip, sentence in zip(b["id"], b["clip"], b["sentence"]):
-                x, _ = decode_wav(bytes(clip))
-                if chunk_sec:
-                    n = int(chunk_sec * TARGET_SR)
-                    x = np.pad(x[:n], (0, max(0, n - len(x))))
-                m = log_mel(x)
-                ids = tok(sentence)[:max_label_length]
-                rows.append((cid, m.shape[1], float(m.mean()), float(m.max()),
-                             [r.tolist() for r in m] if keep_matrix else None, ids))
-            yield pd.DataFrame(rows, columns=["id", "n_frames", "mel_mean", "mel_max", "input_features", "labels"])
+        def rows():
+            for b in batches:
+                for cid, clip, sentence in zip(b["id"], b["clip"], b["sentence"]):
+                    x, _ = decode_wav(bytes(clip))
+                    if chunk_sec:
+                        n = int(chunk_sec * TARGET_SR)
+                        x = np.pad(x[:n], (0, max(0, n - len(x))))
+                    m = log_mel(x)
+                    ids = tok(sentence)[:max_label_length]
+                    yield ((cid, m.shape[1], float(m.mean()), float(m.max()),
+                            [r.tolist() for r in m] if keep_matrix else None, ids),
+                           (m.nbytes if keep_matrix else 0) + 8 * len(ids))
+        yield from chunked_frames(rows(), cols)
 
     return clips.select("id", "clip", "sentence").mapInPandas(
         run, "id string, n_frames int, mel_mean double, mel_max double, "
@@ -361,27 +387,28 @@ def cut_clips_from_storage(segments: DataFrame, audio_index: DataFrame, rounding
     j = per.join(audio_index.select("recording_id", "path"), "recording_id").repartition(_task_count(segments))
 
     def run(batches):
-        for b in batches:
-            out = []
-            for rec, segs, path in zip(b["recording_id"], b["segs"], b["path"]):
-                try:
-                    with _open(path) as f:
-                        with wave.open(f, "rb") as w:
-                            sr, n = w.getframerate(), w.getnframes()
-                        out_sr = target_sr or sr
-                        total = int(round(n * out_sr / sr))
-                        for s in segs:
-                            lo, hi = sample_range(s["start"], s["end"], out_sr, total, rounding)
-                            if hi <= lo:
-                                continue
-                            f.seek(0)
-                            x, _, _ = _read_window(f, int(np.floor(lo * sr / out_sr)), int(np.ceil(hi * sr / out_sr)))
-                            y = resample(x, sr, out_sr) if out_sr != sr else x
-                            y = y[:hi - lo] if len(y) >= hi - lo else np.pad(y, (0, hi - lo - len(y)))
-                            out.append((s["id"], rec, out_sr, hi - lo, encode_wav(y, out_sr), None))
-                except Exception as exc:  # noqa: BLE001 - isolate the recording
-                    out.append((None, rec, None, None, None, f"recording_id={rec}: {exc}"))
-            yield pd.DataFrame(out, columns=["id", "recording_id", "sample_rate", "n_samples", "clip", "error"])
+        def rows():
+            for b in batches:
+                for rec, segs, path in zip(b["recording_id"], b["segs"], b["path"]):
+                    try:
+                        with _open(path) as f:
+                            with wave.open(f, "rb") as w:
+                                sr, n = w.getframerate(), w.getnframes()
+                            out_sr = target_sr or sr
+                            total = int(round(n * out_sr / sr))
+                            for s in segs:
+                                lo, hi = sample_range(s["start"], s["end"], out_sr, total, rounding)
+                                if hi <= lo:
+                                    continue
+                                f.seek(0)
+                                x, _, _ = _read_window(f, int(np.floor(lo * sr / out_sr)), int(np.ceil(hi * sr / out_sr)))
+                                y = resample(x, sr, out_sr) if out_sr != sr else x
+                                y = y[:hi - lo] if len(y) >= hi - lo else np.pad(y, (0, hi - lo - len(y)))
+                                w = encode_wav(y, out_sr)
+                                yield (s["id"], rec, out_sr, hi - lo, w, None), len(w)
+                    except Exception as exc:  # noqa: BLE001 - isolate the recording
+                        yield (None, rec, None, None, None, f"recording_id={rec}: {exc}"), 0
+        yield from chunked_frames(rows(), ["id", "recording_id", "sample_rate", "n_samples", "clip", "error"])
 
     return j.mapInPandas(run, PATH_CLIP_SCHEMA)
 

@@ -373,7 +373,7 @@ def q_report_table(spark, sf_dir):
 def q_resample(spark, sf_dir):
     """Decode, down-mix and resample every recording to 16 kHz."""
     from ..operators import audio as A
-    return A.resample_audio(X.synthetic_audio(_conv(spark, sf_dir))).drop("audio")
+    return A.resample_audio(X.synthetic_audio(_conv(spark, sf_dir)), keep_audio=False).drop("audio")
 
 
 def _clips(spark, sf_dir):

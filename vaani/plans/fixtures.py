@@ -185,23 +185,28 @@ def synthetic_audio(conversations: DataFrame, sample_rate: int = 8000) -> DataFr
         import io
         import re
         import wave
-        for b in batches:
-            rows = []
-            for cid, turn, role, text in zip(b["conv_id"], b["turn"], b["role"], b["text"]):
-                pieces = len(re.split(r"[.\n]", text or ""))
-                n = int((2.0 * pieces + 1.0) * sample_rate)
-                t = np.arange(n) / sample_rate
-                x = 0.4 * np.sin(2 * np.pi * (200.0 + 10.0 * (int(cid) % 50)) * t)
-                ch = 2 if role == "user" else 1
-                pcm = (np.repeat(x[:, None], ch, axis=1) * 32767).astype("<i2")
-                buf = io.BytesIO()
-                with wave.open(buf, "wb") as w:
-                    w.setnchannels(ch)
-                    w.setsampwidth(2)
-                    w.setframerate(sample_rate)
-                    w.writeframes(pcm.tobytes())
-                rows.append((f"r{cid}_{turn}", buf.getvalue()))
-            yield pd.DataFrame(rows, columns=["recording_id", "content"])
+
+        from ..operators.audio import chunked_frames
+
+        def rows():
+            for b in batches:
+                for cid, turn, role, text in zip(b["conv_id"], b["turn"], b["role"], b["text"]):
+                    pieces = len(re.split(r"[.\n]", text or ""))
+                    n = int((2.0 * pieces + 1.0) * sample_rate)
+                    t = np.arange(n) / sample_rate
+                    x = 0.4 * np.sin(2 * np.pi * (200.0 + 10.0 * (int(cid) % 50)) * t)
+                    ch = 2 if role == "user" else 1
+                    pcm = (np.repeat(x[:, None], ch, axis=1) * 32767).astype("<i2")
+                    buf = io.BytesIO()
+                    with wave.open(buf, "wb") as w:
+                        w.setnchannels(ch)
+                        w.setsampwidth(2)
+                        w.setframerate(sample_rate)
+                        w.writeframes(pcm.tobytes())
+                    data = buf.getvalue()
+                    yield (f"r{cid}_{turn}", data), len(data)
+        # one WAV per small text row: output batches are cut by size
+        yield from chunked_frames(rows(), ["recording_id", "content"])
 
     return conversations.select("conv_id", "turn", "role", "text").mapInPandas(
         run, "recording_id string, content binary")
