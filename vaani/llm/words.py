@@ -154,3 +154,51 @@ def whole_groups(batches, key: int = 0):
         held.append(batch.slice(cut))
     if held:
         yield pa.Table.from_batches(held)
+
+
+def span_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each ``words[start:end]``, independent of :func:`gram_hashes`."""
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * _powers(_BASE, len(words)), out=sums[1:])
+    h = (sums[ends] - sums[starts]) * _powers(_BASE_INVERSE, len(words) + 1)[starts]
+    return mix(h ^ ((ends - starts).astype(np.uint64) * _MUL))
+
+
+def lowest(values: np.ndarray, width: int) -> np.ndarray:
+    """For each i the place of the first smallest of ``values[i:i + width]``."""
+    n = max(0, len(values) - width + 1)
+    best, at = values[:n].copy(), np.arange(n)
+    for j in range(1, width):
+        less = values[j:j + n] < best
+        best[less] = values[j:j + n][less]
+        at[less] = np.flatnonzero(less) + j
+    return at
+
+
+def packed(columns: int):
+    """A ``mapInArrow`` function that compresses the text in the last of ``columns`` columns.
+
+    Texts that have to be shuffled travel as zstd frames, a third of their size.
+    """
+    def pack(batches):
+        import zstandard
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            for part in slices(batch, columns - 1):
+                texts = part.column(columns - 1).to_pylist()
+                yield pa.record_batch([*(part.column(i) for i in range(columns - 1)),
+                                       pa.array([None if t is None else squeeze(t.encode()) for t in texts], pa.binary())],
+                                      names=part.schema.names)
+    return pack
+
+
+def unpacked(col: pa.Array) -> list[str | None]:
+    import zstandard
+    open_ = zstandard.ZstdDecompressor().decompress
+    return [None if z is None else open_(z).decode() for z in col.to_pylist()]
+
+
+def frames(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES // 3):
+    """Slices of a batch whose text is packed, with the texts as an Arrow column."""
+    for part in slices(batch, column, limit):
+        yield part, pa.array(unpacked(part.column(column)), pa.string())
