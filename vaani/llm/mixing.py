@@ -26,7 +26,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
 #: Hexadecimal digits of a hash and how many one pass refines.
-DIGITS, STEP = 32, 4
+DIGITS, STEP = 32, 3
 #: Up to so many sources their thresholds are sent to all tasks (80 bytes each).
 SENT_SOURCES = 50_000
 
