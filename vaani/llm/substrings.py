@@ -64,12 +64,16 @@ class Paths:
         return gram_hashes(self.words, self.k)[self.start] if len(self.start) else np.zeros(0, np.uint64)
 
 
+def _tag(rows: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """One value for each pair of a row and a value."""
+    return mix(values + (rows.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+
+
 def _marked(rows: np.ndarray, values: np.ndarray, lists: pa.Array) -> np.ndarray:
     """Whether each value is in the list of its row."""
     lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
     wanted = pc.list_flatten(lists).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-    tag = lambda r, v: mix(v + (r.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))     # noqa: E731
-    return np.isin(tag(rows, values), tag(np.repeat(np.arange(len(lists)), lengths), wanted))
+    return np.isin(_tag(rows, values), _tag(np.repeat(np.arange(len(lists)), lengths), wanted))
 
 
 def _paths(k: int, m: int):
@@ -77,7 +81,9 @@ def _paths(k: int, m: int):
         for batch in batches:
             for part in slices(batch, 1):
                 p = Paths(part.column(1), k, m)
-                yield pa.record_batch([long_column(p.minimizer), long_column(p.context), part.column(0).take(pa.array(p.path_row))],
+                # a path that a text repeats is sent once
+                _, one = np.unique(_tag(p.path_row, p.context), return_index=True)
+                yield pa.record_batch([long_column(p.minimizer[one]), long_column(p.context[one]), part.column(0).take(pa.array(p.path_row[one]))],
                                       ["minimizer", "context", "doc"])
     return cut
 
