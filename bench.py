@@ -30,7 +30,7 @@ def main():
     from vaani.session import get_spark
     from vaani.plans.catalog import QUERIES
     spark = get_spark("vaani-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
-                      extra={"spark.driver.memory": "16g"})
+                      extra={"spark.driver.memory": "16g", "vaani.input.partitions": cpus})
     spark.sparkContext.setLogLevel("OFF")
     warm = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.01")
     if not os.path.isdir(warm):

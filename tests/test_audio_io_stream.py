@@ -4,6 +4,7 @@ import os
 import tempfile
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from vaani.operators import audio as A
@@ -12,14 +13,10 @@ from vaani.sources import files as IO
 from vaani.streaming import detect as S
 
 
-def test_wav_roundtrip_and_resample():
+def test_wav_roundtrip():
     x = (0.5 * np.sin(2 * np.pi * 440 * np.arange(8000) / 8000)).astype(np.float32)
     y, sr = A.decode_wav(A.encode_wav(x, 8000))
     assert sr == 8000 and np.max(np.abs(x - y)) < 1e-3
-    z = A.resample(y, 8000, 16000)
-    assert len(z) == 16000
-    peak = np.argmax(np.abs(np.fft.rfft(z))) * 16000 / len(z)
-    assert abs(peak - 440) < 2
 
 
 def test_sample_ranges():
@@ -28,7 +25,7 @@ def test_sample_ranges():
     assert A.sample_range(0.05, 0.15, 10, 100, "round") == (0, 2)   # half-even
 
 
-def test_cut_clips_and_transcribe(spark):
+def test_cut_clips(spark):
     x = (0.3 * np.sin(2 * np.pi * 500 * np.arange(16000 * 3) / 16000)).astype(np.float32)
     audio = spark.createDataFrame([("r1", A.encode_wav(x, 16000)), ("bad", b"not a wav")],
                                   "recording_id string, content binary")
@@ -39,12 +36,6 @@ def test_cut_clips_and_transcribe(spark):
     got = {r["id"] or r["recording_id"]: r for r in clips.collect()}
     assert got["r1_0000"]["n_samples"] == 16000 and got["r1_0001"]["n_samples"] == 8000
     assert "r1_0002" not in got and got["bad"]["error"].startswith("recording_id=bad")
-    ok = clips.where(F.col("error").isNull())
-    preds = {r["id"]: r["prediction"] for r in A.transcribe(ok, A.tone_model).collect()}
-    assert preds["r1_0000"] == "tone 500"
-    feats = A.features(ok.withColumn("sentence", F.lit("नमस्ते"))).collect()
-    assert all(len(f["input_features"]) == 80 and len(f["labels"]) == 18 for f in feats)
-    assert all(f["n_frames"] == 3000 and len(f["input_features"][0]) == 3000 for f in feats)
 
 
 def test_readers_writers(spark):
@@ -70,8 +61,8 @@ def test_streaming_detection(spark):
     schema = ("recording_id string, segment_idx int, start double, end double, raw_text string, "
               "transcription_url string, audio_url string, user_id string, language string")
     spark.createDataFrame([("r1", 0, 0.0, 1.0, "um um yes", "t", "a", "u", "hi")], schema).write.parquet(src)
-    stream = S.detect_stream(S.segment_stream(spark, src, schema), [("Filler", "um")])
-    S.run_available(stream, os.path.join(d, "out"), os.path.join(d, "ckpt"))
+    lexicon = spark.createDataFrame([("Filler", 0, "um", 0)], "type string, type_ord int, phrase string, phrase_ord int")
+    S.run_detection(S.segment_stream(spark, src, schema), lexicon, os.path.join(d, "out"), os.path.join(d, "ckpt"))
     out = spark.read.parquet(os.path.join(d, "out")).orderBy("occurrence_id").collect()
     assert [(r["disfluency_type"], r["matched_text"]) for r in out] == [("Filler", "um"), ("Repetition", "um um")]
 
@@ -92,14 +83,21 @@ def test_cut_from_storage_matches_in_memory(spark, tmp_path):
     for k in a:
         assert a[k]["n_samples"] == b[k]["n_samples"]
         ya, yb = A.decode_wav(a[k]["clip"])[0], A.decode_wav(b[k]["clip"])[0]
-        core = slice(200, len(ya) - 200)            # edges differ by resampling scope only
-        assert np.max(np.abs(ya[core] - yb[core])) < 0.02
+        assert np.max(np.abs(ya - yb)) < 1e-3
 
 
-def test_array_audio_becomes_wav(spark):
-    from pyspark.sql import functions as F
-    x = (0.25 * np.sin(2 * np.pi * 200 * np.arange(4000) / 8000)).tolist()
-    df = spark.createDataFrame([("a", x, 8000), ("b", None, 8000)], "id string, samples array<float>, rate int")
-    rows = {r["id"]: r["audio"] for r in df.select("id", A.array_to_wav(F.col("samples"), F.col("rate")).alias("audio")).collect()}
-    y, sr = A.decode_wav(rows["a"])
-    assert sr == 8000 and len(y) == 4000 and rows["b"] is None
+def test_columns_are_bound_by_name(spark, tmp_path):
+    p = tmp_path / "sheet.csv"
+    p.write_text("recording_id,extra,language,user_id\n967179,x,hi,825780\n")
+    r = IO.read_csv(spark, str(p), IO.RECORDINGS_SCHEMA, required=["recording_id", "language"]).first()
+    assert (r["recording_id"], r["user_id"], r["language"], r["audio_url"]) == ("967179", "825780", "hi", None)
+    assert IO.read_csv(spark, str(p), IO.RECORDINGS_SCHEMA, multiline=False).first()["user_id"] == "825780"
+    with pytest.raises(ValueError, match="rec_url_gcp"):
+        IO.read_csv(spark, str(p), IO.RECORDINGS_SCHEMA, required=["rec_url_gcp"])
+
+
+def test_row_numbers_over_partitions(spark):
+    from vaani.plans.jobs import row_numbers
+    df = spark.range(100).repartitionByRange(7, "id").sortWithinPartitions("id")
+    assert [r["segment_idx"] for r in row_numbers(df).orderBy("id").collect()] == list(range(100))
+    assert row_numbers(spark.range(0)).count() == 0

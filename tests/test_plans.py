@@ -9,6 +9,7 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 
 import __spark_entry__ as E  # noqa: E402
+from vaani.plans.catalog import QUERIES  # noqa: E402
 
 # queries whose plans run driver-side jobs while being built (split cut)
 _BUILDS_JOBS = {"q_exact_split", "q_split_counts", "q_prepare_summary", "q_report_table"}
@@ -18,7 +19,7 @@ def _plan(spark, name):
     return E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - _BUILDS_JOBS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - _BUILDS_JOBS))
 def test_no_cartesian_or_nested_loop_joins(spark, name):
     plan = _plan(spark, name)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
@@ -27,7 +28,12 @@ def test_no_cartesian_or_nested_loop_joins(spark, name):
 def test_scoring_computes_each_distance_once(spark):
     plan = _plan(spark, "q_model_rank")
     assert plan.count("levenshtein") == 12           # 6 word + 6 character distances
-    assert plan.count("ArrowEvalPython") == 1        # one fallback call per row
+    assert "Python" not in plan
+
+
+@pytest.mark.parametrize("name", ["q_repetition", "q_occurrences", "q_lexicon_hits", "q_benchmark_phrases", "q_best_model"])
+def test_no_python_in_detection_and_scoring(spark, name):
+    assert "Python" not in _plan(spark, name)
 
 
 @pytest.mark.parametrize("name", ["q_segments_valid", "q_failures", "q_disfluency_failures"])

@@ -1,8 +1,6 @@
 """Command line: ``python -m vaani <job> [options]``.
 
-Jobs: ``prepare``, ``disfluency``, ``spelling``, ``evaluate``,
-``public-eval``.  The
-session comes from the launcher (``spark-submit``); ``--master`` is for
+Jobs: ``prepare``, ``disfluency``, ``spelling``, ``evaluate``.  The session comes from the launcher (``spark-submit``); ``--master`` is for
 local runs only.
 """
 
@@ -50,13 +48,6 @@ def main(argv=None):
     e.add_argument("--output_dir", required=True)
     e.add_argument("--null_policy", choices=["empty", "nan_literal"], default="empty")
 
-    v = sub.add_parser("public-eval", help="two systems on a public evaluation split")
-    v.add_argument("--split_parquet", required=True)
-    v.add_argument("--output_dir", required=True)
-    v.add_argument("--baseline", required=True, help="model loader as module:function")
-    v.add_argument("--tuned", required=True, help="model loader as module:function")
-    v.add_argument("--max_samples", type=int, default=None)
-
     a = ap.parse_args(argv)
     from .plans import jobs
     from .session import get_spark
@@ -67,8 +58,6 @@ def main(argv=None):
     elif a.job == "disfluency":
         out = jobs.run_disfluency(spark, a.metadata_csv, a.disfluency_csv, a.transcripts_dir, a.raw_audio_dir,
                                   a.output_dir, a.language, a.mode, a.max_rows, a.export_clips)
-    elif a.job == "public-eval":
-        out = jobs.run_public_eval(spark, a.split_parquet, a.output_dir, a.baseline, a.tuned, a.max_samples)
     elif a.job == "spelling":
         out = jobs.run_spelling(spark, a.input_csv, a.output_dir, a.na_values)
     else:

@@ -5,14 +5,12 @@ Word distance maps the distinct words of one (reference, hypothesis) pair to
 one code point each, joins them into two strings and calls the same
 built-in, so the O(n*m) dynamic programme runs in generated Java code rather
 than in a Python worker.  Code points start at U+10000 (no surrogates, no
-collision with the text) and cover 1,048,575 distinct words per pair; pairs
-beyond that are scored by an exact Arrow-batched dynamic programme.
+collision with the text) and cover 1,048,575 distinct words; a row with more
+fails with a message instead of being scored wrongly.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,8 +35,10 @@ def wer_words(col) -> Column:
 
 
 def _encode(arr: Column, vocab: Column) -> Column:
+    fits = F.size(vocab) <= MAX_CODED_WORDS
     code = lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(vocab, w) + (CODE_BASE - 1)), 8, "0")), "UTF-32")
-    return F.array_join(F.transform(arr, code), "")
+    return F.when(fits, F.array_join(F.transform(arr, code), "")).otherwise(
+        F.raise_error(F.lit(f"more than {MAX_CODED_WORDS} distinct words in one row")))
 
 
 def word_edits(ref_words: Column, hyp_words: Column) -> Column:
@@ -47,89 +47,12 @@ def word_edits(ref_words: Column, hyp_words: Column) -> Column:
     return F.levenshtein(_encode(ref_words, vocab), _encode(hyp_words, vocab))
 
 
-def vocab_size(ref_words: Column, hyp_words: Column) -> Column:
-    return F.size(F.array_distinct(F.concat(ref_words, hyp_words)))
-
-
 def char_edits(ref: Column, hyp: Column) -> Column:
     """Code-point edit distance; identical pairs (common when a model gets a
     segment right) skip the dynamic programme."""
     return F.when(ref == hyp, F.lit(0)).otherwise(F.levenshtein(ref, hyp))
 
 
-def _dp(a, b) -> int:
-    """Exact edit distance of two sequences, one numpy row at a time."""
-    n, m = len(a), len(b)
-    if n == 0 or m == 0:
-        return n + m
-    b = np.asarray(b, dtype=object)
-    prev = np.arange(m + 1, dtype=np.int64)
-    for i in range(1, n + 1):
-        sub = prev[:-1] + (b != a[i - 1])
-        cur = np.empty(m + 1, dtype=np.int64)
-        cur[0] = i
-        best = np.minimum(sub, prev[1:] + 1)
-        # insertions chain left to right
-        for j in range(1, m + 1):
-            v = best[j - 1]
-            w = cur[j - 1] + 1
-            cur[j] = v if v < w else w
-        prev = cur
-    return int(prev[m])
-
-
-def _word_edits_batch(ref: pd.Series, hyp: pd.Series) -> pd.Series:
-    out = [None if r is None or h is None else _dp(list(r), list(h)) for r, h in zip(ref, hyp)]
-    return pd.Series(out, dtype="Int64")
-
-
-_ARROW_UDF = None
-
-
-def word_edits_arrow(ref: Column, hyp: Column) -> Column:
-    """Arrow-batched exact word edit distance (created lazily on the driver)."""
-    global _ARROW_UDF
-    if _ARROW_UDF is None:
-        _ARROW_UDF = F.pandas_udf(_word_edits_batch, "long")
-    return _ARROW_UDF(ref, hyp)
-
-
-def _many_edits_batch(pairs: pd.Series) -> pd.Series:
-    """``pairs`` holds, per row, [ref, hyp_1, ..., hyp_k] word lists or null."""
-    out = []
-    for p in pairs:
-        if p is None:
-            out.append(None)
-        else:
-            ref = list(p[0])
-            out.append([_dp(ref, list(h)) for h in p[1:]])
-    return pd.Series(out)
-
-
-_MANY_UDF = None
-
-
-def many_word_edits_arrow(pairs: Column) -> Column:
-    """Arrow fallback for one row's reference against several hypotheses in
-    one call (one column crosses to Python, null for every ordinary row)."""
-    global _MANY_UDF
-    if _MANY_UDF is None:
-        _MANY_UDF = F.pandas_udf(_many_edits_batch, "array<long>")
-    return _MANY_UDF(pairs)
-
-
 def encode_words(arr: Column, vocab: Column) -> Column:
     """Each word as one code point (its 1-based position in ``vocab``)."""
     return _encode(arr, vocab)
-
-
-def word_edits_exact(ref_words: Column, hyp_words: Column) -> Column:
-    """Word edit distance for any pair size.
-
-    Pairs within the code-point budget use the JVM path.  Only oversized
-    pairs are handed to the Arrow fallback: every other row reaches it as a
-    null, so the Python side sees a validity bitmap and nothing else.
-    """
-    big = vocab_size(ref_words, hyp_words) > MAX_CODED_WORDS
-    slow = word_edits_arrow(F.when(big, ref_words), F.when(big, hyp_words))
-    return F.when(big, slow).otherwise(word_edits(ref_words, hyp_words))

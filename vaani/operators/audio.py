@@ -18,7 +18,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TARGET_SR = 16000
 # Arrow batches are capped by size, so batches of large audio rows stay
 # small while batches of short text rows keep their usual row count.
 ARROW_BATCH_BYTES = str(64 * 1024 * 1024)
@@ -64,17 +63,6 @@ def encode_wav(x: np.ndarray, sr: int) -> bytes:
     return buf.getvalue()
 
 
-def resample(x: np.ndarray, sr: int, target: int = TARGET_SR) -> np.ndarray:
-    """Band-limited resampling by FFT (length ``round(n * target / sr)``)."""
-    if sr == target or len(x) == 0:
-        return x.astype(np.float32)
-    n_out = int(round(len(x) * target / sr))
-    spec = np.fft.rfft(x)
-    keep = min(len(spec), n_out // 2 + 1)
-    out = np.fft.irfft(spec[:keep], n=n_out) * (n_out / len(x))
-    return out.astype(np.float32)
-
-
 def sample_range(start: float, end: float, sr: int, n: int, rounding: str) -> tuple[int, int]:
     """P10: start/end sample, truncated (preparation) or rounded half-even
     (disfluency clips), clamped to the audio."""
@@ -85,55 +73,6 @@ def sample_range(start: float, end: float, sr: int, n: int, rounding: str) -> tu
     return max(0, s), min(n, e)
 
 
-def _mel_filters(sr: int = TARGET_SR, n_fft: int = 400, n_mels: int = 80) -> np.ndarray:
-    """Slaney-style triangular mel filters (as in the published Whisper
-    front end: 80 bins, 25 ms window, 10 ms hop)."""
-    def hz_to_mel(f):
-        f = np.asarray(f, dtype=np.float64)
-        lin = f / (200.0 / 3)
-        log = 15.0 + np.log(np.maximum(f, 1e-10) / 1000.0) / (np.log(6.4) / 27.0)
-        return np.where(f >= 1000.0, log, lin)
-
-    def mel_to_hz(m):
-        m = np.asarray(m, dtype=np.float64)
-        lin = m * (200.0 / 3)
-        log = 1000.0 * np.exp((np.log(6.4) / 27.0) * (m - 15.0))
-        return np.where(m >= 15.0, log, lin)
-
-    freqs = np.fft.rfftfreq(n_fft, 1.0 / sr)
-    pts = mel_to_hz(np.linspace(hz_to_mel(0.0), hz_to_mel(sr / 2), n_mels + 2))
-    fb = np.zeros((n_mels, len(freqs)))
-    for i in range(n_mels):
-        lo, c, hi = pts[i], pts[i + 1], pts[i + 2]
-        up = (freqs - lo) / (c - lo)
-        down = (hi - freqs) / (hi - c)
-        fb[i] = np.maximum(0, np.minimum(up, down)) * (2.0 / (hi - lo))
-    return fb
-
-
-_MEL = None
-
-
-def log_mel(x: np.ndarray, n_fft: int = 400, hop: int = 160) -> np.ndarray:
-    """Log-mel spectrogram (80 x frames): centred frames (reflect
-    padding), periodic Hann window, power spectrum, mel projection, log10,
-    clamped to 8 below the maximum, scaled as (v + 4) / 4; the last frame is
-    dropped."""
-    global _MEL
-    if _MEL is None:
-        _MEL = _mel_filters().astype(np.float32)
-    pad = n_fft // 2
-    x = x.astype(np.float32)
-    xp = np.pad(x, (pad, pad), mode="reflect") if len(x) > pad else np.pad(x, (pad, pad))
-    frames = np.lib.stride_tricks.sliding_window_view(xp, n_fft)[::hop]
-    spec = np.fft.rfft(frames * np.hanning(n_fft + 1)[:-1].astype(np.float32), axis=1)
-    power = (spec.real ** 2 + spec.imag ** 2).astype(np.float32)
-    mel = _MEL @ (power[:-1] if power.shape[0] > 1 else power).T
-    lg = np.log10(np.maximum(mel, 1e-10))
-    lg = np.maximum(lg, lg.max() - 8.0)
-    return ((lg + 4.0) / 4.0).astype(np.float32)
-
-
 # ---------------------------------------------------------------- Spark jobs
 
 # Output batches are cut by size: input batches are small rows (segment
@@ -163,8 +102,8 @@ CLIP_SCHEMA = ("id string, recording_id string, sample_rate int, n_samples long,
 
 
 def cut_clips(segments: DataFrame, audio: DataFrame, rounding: str = "truncate",
-              target_sr: int | None = TARGET_SR, carry: tuple[str, ...] = ()) -> DataFrame:
-    """U3 (+U1, U2): one row per clip.  Segments (``id, recording_id, start,
+              carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per clip at the recording's own rate.  Segments (``id, recording_id, start,
     end``) are grouped per recording -- a recording's segments already form
     one transcript array -- and joined to its audio (``recording_id,
     content``): the only shuffle that carries audio bytes.  A recording
@@ -189,8 +128,6 @@ def cut_clips(segments: DataFrame, audio: DataFrame, rounding: str = "truncate",
                 for rec, segs, content in zip(b["recording_id"], b["segs"], b["content"]):
                     try:
                         x, sr = decode_wav(bytes(content))
-                        if target_sr:
-                            x, sr = resample(x, sr, target_sr), target_sr
                     except Exception as exc:  # noqa: BLE001 - isolate the recording
                         yield (None, rec, None, None, None, f"recording_id={rec}: {exc}", *[None] * len(carry)), 0
                         continue
@@ -206,114 +143,19 @@ def cut_clips(segments: DataFrame, audio: DataFrame, rounding: str = "truncate",
     return j.mapInPandas(run, schema)
 
 
-def resample_audio(audio: DataFrame, target_sr: int = TARGET_SR, keep_audio: bool = True) -> DataFrame:
-    """Canonical 16 kHz mono WAV per recording (``keep_audio=False``
-    reports rates and lengths only)."""
-    small_batches(audio.sparkSession)
-
-    cols = ["recording_id", "source_rate", "source_samples", "sample_rate", "n_samples", "audio", "error"]
-
-    def run(batches):
-        def rows():
-            for b in batches:
-                for rec, content in zip(b["recording_id"], b["content"]):
-                    try:
-                        x, sr = decode_wav(bytes(content))
-                        y = resample(x, sr, target_sr)
-                        w = encode_wav(y, target_sr) if keep_audio else None
-                        yield (rec, sr, len(x), target_sr, len(y), w, None), len(w or b"")
-                    except Exception as exc:  # noqa: BLE001
-                        yield (rec, None, None, None, None, None, str(exc)), 0
-        yield from chunked_frames(rows(), cols)
-
-    return audio.mapInPandas(run, "recording_id string, source_rate int, source_samples long, sample_rate int, "
-                                  "n_samples long, audio binary, error string")
-
-
-def features(clips: DataFrame, tokenize: Callable[[str], list[int]] | None = None,
-             max_label_length: int = 448, keep_matrix: bool = True, chunk_sec: float | None = 30.0) -> DataFrame:
-    """``input_features`` (80 x frames log-mel) per clip and ``labels``
-    (token ids of ``sentence`` cut at ``max_label_length``).  Audio is
-    padded with zeros or cut to ``chunk_sec`` first (30 s gives the model's
-    fixed 80 x 3000 input); ``chunk_sec=None`` keeps the clip's own length.
-    The tokenizer is pluggable; the default uses UTF-8 bytes."""
-    small_batches(clips.sparkSession)
-    tok = tokenize or (lambda s: list((s or "").encode("utf-8")))
-
-    cols = ["id", "n_frames", "mel_mean", "mel_max", "input_features", "labels"]
-
-    def run(batches):
-        def rows():
-            for b in batches:
-                for cid, clip, sentence in zip(b["id"], b["clip"], b["sentence"]):
-                    x, _ = decode_wav(bytes(clip))
-                    if chunk_sec:
-                        n = int(chunk_sec * TARGET_SR)
-                        x = np.pad(x[:n], (0, max(0, n - len(x))))
-                    m = log_mel(x)
-                    ids = tok(sentence)[:max_label_length]
-                    yield ((cid, m.shape[1], float(m.mean()), float(m.max()),
-                            [r.tolist() for r in m] if keep_matrix else None, ids),
-                           (m.nbytes if keep_matrix else 0) + 8 * len(ids))
-        yield from chunked_frames(rows(), cols)
-
-    return clips.select("id", "clip", "sentence").mapInPandas(
-        run, "id string, n_frames int, mel_mean double, mel_max double, "
-             "input_features array<array<float>>, labels array<int>")
-
-
-def transcribe(clips: DataFrame, load_model: Callable[[], Callable[[list[np.ndarray]], list[str]]]) -> DataFrame:
-    """Batch transcription; ``load_model`` runs once per task and returns
-    a function from a list of 16 kHz arrays to texts.  Results are stripped."""
-    return transcribe_many(clips, {"prediction": load_model})
-
-
-def transcribe_many(clips: DataFrame, loaders: dict, carry: tuple[str, ...] = ()) -> DataFrame:
-    """U6 for several systems in one pass: each clip is decoded once and fed
-    to every model; one output column per system name.  ``carry`` names
-    string columns passed through unchanged (no second pass to join them)."""
-    names = list(loaders)
-
-    def run(batches):
-        models = {n: loaders[n]() for n in names}
-        for b in batches:
-            arrays = [decode_wav(bytes(c))[0] for c in b["clip"]]
-            out = {"id": b["id"], **{c: b[c] for c in carry}}
-            for n in names:
-                out[n] = [str(p).strip() for p in models[n](arrays)]
-            yield pd.DataFrame(out)
-
-    schema = ", ".join(["id string", *[f"`{c}` string" for c in carry], *[f"`{n}` string" for n in names]])
-    return clips.select("id", "clip", *carry).mapInPandas(run, schema)
-
-
-def tone_model():
-    """A stand-in model for tests: names the dominant frequency of a clip."""
-    def predict(arrays):
-        out = []
-        for x in arrays:
-            if len(x) == 0:
-                out.append("")
-                continue
-            spec = np.abs(np.fft.rfft(x))
-            out.append(f" tone {int(round(np.argmax(spec) * TARGET_SR / len(x), -1))} ")
-        return out
-    return predict
-
-
 def segment_clips(detected: DataFrame, audio: DataFrame) -> DataFrame:
     # ``audio``: ``recording_id, content`` (in-table WAV) or ``recording_id,
     # path`` (files read from storage by window)
     """Disfluency clips: one clip per segment with at least one hit, cut with
     half-even rounding of the sample index at the recording's own rate
-    (no resampling).  Every hit of a segment refers to the same audio, so it
+.  Every hit of a segment refers to the same audio, so it
     is stored once per segment rather than once per hit."""
     seg = (detected.where((F.col("end") > F.col("start")) & (F.size("hits") > 0))
            .select(F.format_string("%s_%04d", F.col("recording_id"), F.col("segment_idx")).alias("id"),
                    "recording_id", "start", "end"))
     if "content" in audio.columns:
-        return cut_clips(seg, audio, rounding="round", target_sr=None)
-    return cut_clips_from_storage(seg, audio, rounding="round", target_sr=None)
+        return cut_clips(seg, audio, rounding="round")
+    return cut_clips_from_storage(seg, audio, rounding="round")
 
 
 def write_clip_files(clips: DataFrame, root: str, overwrite: bool = True) -> None:
@@ -370,15 +212,13 @@ def _read_window(f, first: int, last: int) -> tuple[np.ndarray, int, int]:
 
 
 def cut_clips_from_storage(segments: DataFrame, audio_index: DataFrame, rounding: str = "truncate",
-                           target_sr: int | None = TARGET_SR, window_sec: float = WINDOW_SEC) -> DataFrame:
+                           window_sec: float = WINDOW_SEC) -> DataFrame:
     """U3 at scale: segments (``id, recording_id, start, end``) are grouped
     by recording *and* a ``window_sec`` window of their start time, so no
     group grows with the recording's length (a recording with a third of
     all segments becomes many small groups).  Only the audio path travels
     through the shuffle; each task seeks into the file and reads the frames
-    its segments need.  Sample indices are taken at ``target_sr`` (as if
-    the whole file had been resampled), and each clip is resampled to
-    exactly that length."""
+    its segments need, at the recording's own rate."""
     per = segments.groupBy("recording_id", F.floor(F.col("start") / window_sec).alias("_w")).agg(
         F.collect_list(F.struct("id", "start", "end")).alias("segs"))
     # groups are small in bytes but heavy in CPU: spread them round-robin
@@ -394,36 +234,17 @@ def cut_clips_from_storage(segments: DataFrame, audio_index: DataFrame, rounding
                         with _open(path) as f:
                             with wave.open(f, "rb") as w:
                                 sr, n = w.getframerate(), w.getnframes()
-                            out_sr = target_sr or sr
-                            total = int(round(n * out_sr / sr))
                             for s in segs:
-                                lo, hi = sample_range(s["start"], s["end"], out_sr, total, rounding)
+                                lo, hi = sample_range(s["start"], s["end"], sr, n, rounding)
                                 if hi <= lo:
                                     continue
                                 f.seek(0)
-                                x, _, _ = _read_window(f, int(np.floor(lo * sr / out_sr)), int(np.ceil(hi * sr / out_sr)))
-                                y = resample(x, sr, out_sr) if out_sr != sr else x
-                                y = y[:hi - lo] if len(y) >= hi - lo else np.pad(y, (0, hi - lo - len(y)))
-                                w = encode_wav(y, out_sr)
-                                yield (s["id"], rec, out_sr, hi - lo, w, None), len(w)
+                                x, _, _ = _read_window(f, lo, hi)
+                                w = encode_wav(x, sr)
+                                yield (s["id"], rec, sr, hi - lo, w, None), len(w)
                     except Exception as exc:  # noqa: BLE001 - isolate the recording
                         yield (None, rec, None, None, None, f"recording_id={rec}: {exc}"), 0
         yield from chunked_frames(rows(), ["id", "recording_id", "sample_rate", "n_samples", "clip", "error"])
 
     return j.mapInPandas(run, PATH_CLIP_SCHEMA)
 
-
-_ARRAY_WAV_UDF = None
-
-
-def array_to_wav(samples, rate) -> "Column":
-    """U4: audio given as a float array plus its sampling rate (the third
-    accepted form besides WAV bytes and file paths), as canonical mono
-    16-bit WAV bytes (Arrow UDF; null in, null out)."""
-    global _ARRAY_WAV_UDF
-    if _ARRAY_WAV_UDF is None:
-        def run(xs: pd.Series, rates: pd.Series) -> pd.Series:
-            return pd.Series([None if x is None or r is None else encode_wav(np.asarray(x, dtype=np.float32), int(r))
-                              for x, r in zip(xs, rates)])
-        _ARRAY_WAV_UDF = F.pandas_udf(run, "binary")
-    return _ARRAY_WAV_UDF(samples, rate)

@@ -15,8 +15,6 @@ there is no shuffle.  Two modes:
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +24,7 @@ from ..functions.pyregex import PY_B, PY_WS_CLASS, PY_WS_RUN, WORD_OR_DEV_CLASS
 W = WORD_OR_DEV_CLASS                       # [\wऀ-ॿ]
 NOT_W = "[^" + W[1:]                        # its complement
 SEP = PY_WS_CLASS[:-1] + r"\-]+"            # [\s\-]+
+SIGNS = "[^" + PY_WS_CLASS[1:-1] + r"\-" + W[1:]   # neither word character, space nor hyphen
 
 # The detection rules as Python regular expressions (matched
 # on the normalized text; the false start reports group 1):
@@ -33,14 +32,16 @@ SEP = PY_WS_CLASS[:-1] + r"\-]+"            # [\s\-]+
 #   prolongation  ([\u0900-\u097fa-z])\1{2,}
 #   false start   \b([\w\u0900-\u097f]+-)\b
 # Restated below for the JVM with explicit classes for Python's \w, \s, \b.
-REPETITION = PY_B + "(" + W + "+)(?:" + SEP + r"\1)+" + PY_B
+# The repeated group is possessive, with its end condition inside: the JVM then
+# walks a chain of any length in a loop instead of recursing for each word.
+REPETITION = PY_B + "(" + W + "+)(?:" + SEP + r"\1(?=" + SEP + r"\1|" + PY_B + "))++" + PY_B
 PROLONGATION = r"([\x{0900}-\x{097F}a-z])\1{2,}"
 FALSE_START = PY_B + "(" + W + "+-)" + PY_B
 
 # strict_tokens: a token is a maximal run of W; equal tokens separated by
 # spaces/hyphens; a false start is a token followed by "-" and then a
 # separator or the end of the text.
-STRICT_REPETITION = "(?<!" + W + ")(" + W + "+)(?:" + SEP + r"\1)+(?!" + W + ")"
+STRICT_REPETITION = "(?<!" + W + ")(" + W + "+)(?:" + SEP + r"\1(?!" + W + "))++"
 STRICT_FALSE_START = "(?<!" + W + ")(" + W + "+-)(?=" + PY_WS_CLASS + "|$)"
 
 # Hit types and rule names.
@@ -56,10 +57,6 @@ OUTPUT_COLUMNS = [
     "transcription_snippet", "transcription_url", "audio_url", "user_id", "language",
 ]
 
-# Lexicons up to this many phrases are matched with literal patterns inside
-# one projection; larger ones go through the n-gram join.
-MAX_LITERAL_PHRASES = 500
-
 
 def _escape(ch: str) -> str:
     return "\\" + ch if (ch.isascii() and not ch.isalnum() and ch != "_") else ch
@@ -122,64 +119,13 @@ def build_lexicon(long: DataFrame) -> DataFrame:
                     F.col("phrase_ord").cast("int").alias("phrase_ord")))
 
 
-def collect_lexicon(lexicon: DataFrame, limit: int = MAX_LITERAL_PHRASES) -> list[tuple[str, str]] | None:
-    """The lexicon in hit order, or None when it has more than ``limit``
-    phrases (then :func:`lexicon_hits_join` is used).  Only ``limit + 1``
-    rows ever reach the driver."""
-    rows = lexicon.orderBy("type_ord", "phrase_ord").limit(limit + 1).collect()
-    if len(rows) > limit:
-        return None
-    return [(r["type"], r["phrase"]) for r in rows]
-
-
 def _hit(t, text, rule) -> Column:
     return F.struct(F.lit(t).alias("disfluency_type"), text.alias("matched_text"), F.lit(rule).alias("match_rule"))
 
 
-def lexicon_hits_literal(text_norm: Column, phrases: Sequence[tuple[str, str]]) -> Column:
-    """D3 form (a): one ``rlike`` per phrase, each pattern compiled once."""
-    if not phrases:
-        return F.array().cast("array<struct<disfluency_type:string,matched_text:string,match_rule:string>>")
-    cands = [F.when(text_norm.rlike(phrase_pattern(p)), _hit(t, F.lit(p), LEXICON_RULE)) for t, p in phrases]
-    return F.filter(F.array(*cands), lambda h: h.isNotNull())
-
-
-# Java matches each iteration of ``(?:sep\1)+`` recursively: with a 1 MB
-# thread stack the repetition rule overflows between 1,200 and 1,500
-# repeated words (measured).  A guard with exactly LONG_CHAIN repeats
-# (bounded depth, about 3x below that) finds such rows; only they are
-# matched by Python's engine, which does not recurse per repetition.
-LONG_CHAIN = 400
-_PY_REPETITION = {
-    "parity": r"\b([\w\u0900-\u097f]+)(?:[\s\-]+\1){1,}\b",
-    "strict_tokens": r"(?<![\w\u0900-\u097f])([\w\u0900-\u097f]+)(?:[\s\-]+\1)+(?![\w\u0900-\u097f])",
-}
-_REP_UDF = {}
-
-
-def _python_repetition(mode: str):
-    if mode not in _REP_UDF:
-        source = _PY_REPETITION[mode]
-
-        def run(texts):
-            import pandas as pd
-            pat = re.compile(source)
-            return pd.Series([None if t is None else [m.group(0) for m in pat.finditer(t)] for t in texts])
-        _REP_UDF[mode] = F.pandas_udf(run, "array<string>")
-    return _REP_UDF[mode]
-
-
 def repetition_matches(text_norm: Column, mode: str = "parity") -> Column:
-    """Every non-overlapping repetition match, safe for any chain length."""
-    rep = REPETITION if mode == "parity" else STRICT_REPETITION
-    head = rep[: rep.index(r"\1)+") + 3]                       # pattern up to the repeated group
-    guard = head + "{%d}" % LONG_CHAIN
-    # a chain of LONG_CHAIN + 1 words has at least LONG_CHAIN separators: the
-    # cheap count keeps the guard regex off almost every text
-    seps = F.length(text_norm) - F.length(F.regexp_replace(text_norm, SEP, ""))
-    long_chain = (seps >= LONG_CHAIN) & text_norm.rlike(guard)
-    slow = _python_repetition(mode)(F.when(long_chain, text_norm))
-    return F.when(long_chain, slow).otherwise(F.regexp_extract_all(text_norm, F.lit(rep), 0))
+    """Every non-overlapping repetition match, in one pass over the text."""
+    return F.regexp_extract_all(text_norm, F.lit(REPETITION if mode == "parity" else STRICT_REPETITION), 0)
 
 
 def regex_hits(text_norm: Column, mode: str = "parity") -> Column:
@@ -192,14 +138,6 @@ def regex_hits(text_norm: Column, mode: str = "parity") -> Column:
         F.transform(F.regexp_extract_all(text_norm, F.lit(fs), 1), lambda m: _hit(FALSE_START_TYPE, m, FALSE_START_RULE)))
 
 
-def detect(segments: DataFrame, phrases: Sequence[tuple[str, str]], text_col: str = "raw_text",
-           mode: str = "parity") -> DataFrame:
-    """Add ``text_norm`` and ordered, de-duplicated ``hits``."""
-    s = segments.withColumn("text_norm", norm_disfluency(F.coalesce(F.col(text_col), F.lit(""))))
-    hits = F.concat(lexicon_hits_literal(F.col("text_norm"), phrases), regex_hits(F.col("text_norm"), mode))
-    return s.withColumn("hits", F.array_distinct(hits)).withColumn("has_disfluency", F.size("hits") > 0)
-
-
 def occurrences(detected: DataFrame, clips_root: str = "clips") -> DataFrame:
     """One row per hit with the 16 output columns; ids
     ``{recording}_{segment:04d}_{hit:02d}``; times rounded to 3 places."""
@@ -229,19 +167,25 @@ def type_counts(occ: DataFrame) -> DataFrame:
 def _key(col: Column) -> Column:
     """Join key: the phrase/n-gram with every non-word character removed
     (hyphens may glue or split tokens, so only the word characters are
-    invariant)."""
-    return F.array_join(F.regexp_extract_all(col, F.lit(W + "+"), 0), "")
+    invariant).  A phrase without word characters has its first character
+    that is neither space nor hyphen as key, behind a mark; one of spaces and
+    hyphens only may match anywhere and has the mark alone."""
+    word = F.array_join(F.regexp_extract_all(col, F.lit(W + "+"), 0), "")
+    return F.when(word != "", word).otherwise(F.concat(F.lit(_SIGN), F.substring(F.regexp_replace(col, SEP, ""), 1, 1)))
+
+
+_SIGN = "\x00"
 
 
-def detect_join(segments: DataFrame, lexicon: DataFrame, text_col: str = "raw_text",
+def detect(segments: DataFrame, lexicon: DataFrame, text_col: str = "raw_text",
                 mode: str = "parity", seg_keys=("recording_id", "segment_idx"), rules: bool = True) -> DataFrame:
-    """D3 form (b) for lexicons too large for literal patterns.
+    """Add ``text_norm`` and ordered, de-duplicated ``hits``.
 
-    Each segment emits the keys of its 1..k token n-grams (k = most word
-    runs in any phrase); phrases emit their key; an equi-join finds
-    candidates, which are verified with the exact phrase pattern.  Phrases
-    without word characters have no key and are matched literally.  The
-    verified hits are re-assembled per segment in lexicon order.
+    Each segment emits the keys of its token n-grams and of its signs;
+    phrases emit their key; an equi-join finds candidates, which are
+    verified with the exact phrase pattern.  The verified hits are
+    re-assembled per segment in lexicon order.  One matcher serves lexicons of
+    any size.
     """
     keys = list(seg_keys)
     s = segments.withColumn("text_norm", norm_disfluency(F.coalesce(F.col(text_col), F.lit(""))))
@@ -249,17 +193,12 @@ def detect_join(segments: DataFrame, lexicon: DataFrame, text_col: str = "raw_te
         "n_runs", F.size(F.regexp_extract_all(F.col("phrase"), F.lit(W + "+"), 0)))
     # a phrase spans between (space-separated parts with word characters)
     # and (word runs) text tokens: spaces never glue, hyphens may.  One small
-    # job over the lexicon gives both bounds and the number of key-less
-    # phrases (no word characters), which are matched literally like form (a)
+    # job over the lexicon gives both bounds and whether any phrase has no
+    # word characters
     parts = F.size(F.filter(F.split(F.col("phrase"), " "), lambda x: x.rlike(W)))
-    keyed = F.col("k") != ""
+    keyed = ~F.col("k").startswith(_SIGN)
     bounds = lex.agg(F.min(F.when(keyed, parts)).alias("lo"), F.max(F.when(keyed, F.col("n_runs"))).alias("hi"),
                      F.count_if(~keyed).alias("keyless")).first()
-    if bounds["keyless"] > MAX_LITERAL_PHRASES:
-        raise ValueError("lexicon has more than %d phrases without word characters" % MAX_LITERAL_PHRASES)
-    keyless = [] if not bounds["keyless"] else [
-        (r["type"], r["phrase"], r["type_ord"], r["phrase_ord"])
-        for r in lex.where(~keyed).orderBy("type_ord", "phrase_ord").collect()]
     min_n, max_n = max(bounds["lo"] or 1, 1), bounds["hi"] or 1
     toks = F.regexp_extract_all(F.col("text_norm"), F.lit(W + "+"), 0)
     # n-gram keys are built inside one array per segment (no per-token copy
@@ -269,10 +208,13 @@ def detect_join(segments: DataFrame, lexicon: DataFrame, text_col: str = "raw_te
         return F.when(F.size("_t") >= n, F.transform(
             F.sequence(F.lit(0), F.size("_t") - n),
             lambda i: F.array_join(F.slice("_t", i + 1, n), ""))).otherwise(F.array().cast("array<string>"))
-    keys_arr = F.array_distinct(F.flatten(F.array(*[grams_of(n) for n in range(min_n, max_n + 1)])))
-    grams = (s.select(*keys, toks.alias("_t"))
+    signs = F.concat(F.array(F.lit(_SIGN)), F.transform(F.regexp_extract_all(F.col("text_norm"), F.lit(SIGNS), 0),
+                                                        lambda c: F.concat(F.lit(_SIGN), c)))
+    signs = signs if bounds["keyless"] else F.array().cast("array<string>")
+    keys_arr = F.array_distinct(F.concat(F.flatten(F.array(*[grams_of(n) for n in range(min_n, max_n + 1)])), F.col("_s")))
+    grams = (s.select(*keys, toks.alias("_t"), signs.alias("_s"))
              .select(*keys, F.explode_outer(keys_arr).alias("k")).where(F.col("k").isNotNull()))
-    cand = (grams.join(lex.where(F.col("k") != "").select("k", "type", "type_ord", "phrase", "phrase_ord"), "k")
+    cand = (grams.join(lex.select("k", "type", "type_ord", "phrase", "phrase_ord"), "k")
             .select(*keys, "type_ord", "phrase_ord", "type", "phrase").distinct())
     # candidates per segment are bounded by the lexicon size; one join brings
     # them to the text, where each is verified with its exact pattern
@@ -280,13 +222,7 @@ def detect_join(segments: DataFrame, lexicon: DataFrame, text_col: str = "raw_te
         F.struct("type_ord", "phrase_ord", "type", "phrase")).alias("_cand"))
     out = s.join(per_seg, keys, "left")
     out = out.withColumn("_lex", F.filter(F.col("_cand"), lambda c: _matches(F.col("text_norm"), c["phrase"])))
-    keyless_hits = [F.when(F.col("text_norm").rlike(phrase_pattern(p)),
-                           F.struct(F.lit(to).alias("type_ord"), F.lit(po).alias("phrase_ord"),
-                                    F.lit(t).alias("type"), F.lit(p).alias("phrase")))
-                    for t, p, to, po in keyless]
-    every = F.array_sort(F.concat(F.coalesce(F.col("_lex"), F.array().cast(
-        "array<struct<type_ord:int,phrase_ord:int,type:string,phrase:string>>")),
-        F.filter(F.array(*keyless_hits), lambda h: h.isNotNull()) if keyless_hits else F.array().cast(
+    every = F.array_sort(F.coalesce(F.col("_lex"), F.array().cast(
         "array<struct<type_ord:int,phrase_ord:int,type:string,phrase:string>>")))
     lex_hits = F.transform(every, lambda h: _hit_col(h["type"], h["phrase"]))
     # ``rules=False``: lexicon hits only (the regex rules are not evaluated)

@@ -5,20 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least the cluster's default parallelism when
-    its current split count is lower (a small file scanned as one split
-    would otherwise run all text work in one task).  Large inputs already
-    have more splits than cores and are returned unchanged: no shuffle."""
-    try:
-        sc = df.sparkSession.sparkContext
-        target = min_partitions or sc.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave as is
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target)
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over as many partitions as the session's setting
+    ``vaani.input.partitions`` names (for inputs of one small file, whose text
+    work would run in one task); without the setting, as it was scanned."""
+    n = df.sparkSession.conf.get("vaani.input.partitions", None)
+    return df.repartition(int(n)) if n else df
 
 
 def where_after(df: DataFrame, condition) -> DataFrame:

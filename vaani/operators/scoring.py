@@ -17,10 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import edit_distance as ED
-from ..functions.edit_distance import char_edits, encode_words, many_word_edits_arrow, wer_words
+from ..functions.edit_distance import char_edits, encode_words, wer_words
 from ..functions.normalize import norm_scoring, norm_strip, null_to_text
-from .partitioning import spread
 
 # The model columns of the evaluation sheet, in sheet order.
 MODEL_COLUMNS = ["Model H", "Model i", "Model k", "Model l", "Model m", "Model n"]
@@ -67,7 +65,7 @@ def score_sheet(sheet: DataFrame, models: Sequence[str] = MODEL_COLUMNS,
     """
     require_columns(sheet, [ref_col, *models])
     norm = _normalizer(profile, null_policy)
-    df = spread(sheet).withColumn("ref_norm", norm(F.col(f"`{ref_col}`")))
+    df = sheet.withColumn("ref_norm", norm(F.col(f"`{ref_col}`")))
     if on_empty_ref == "skip":
         df = df.where(F.col("ref_norm") != "")
     df = df.withColumn("_rw", wer_words("ref_norm"))
@@ -80,18 +78,13 @@ def score_sheet(sheet: DataFrame, models: Sequence[str] = MODEL_COLUMNS,
     df = df.select("*", *[wer_words(F.col(f"_h{i}")).alias(f"_hw{i}") for i in range(n)])
     df = df.withColumn("_voc", F.array_distinct(F.concat(F.col("_rw"), *[F.col(f"_hw{i}") for i in range(n)])))
     df = df.select("*", encode_words(F.col("_rw"), F.col("_voc")).alias("_rc"),
-                   *[encode_words(F.col(f"_hw{i}"), F.col("_voc")).alias(f"_hc{i}") for i in range(n)])
+                   *[F.when(F.col(f"_h{i}") != F.col("ref_norm"), encode_words(F.col(f"_hw{i}"), F.col("_voc"))).alias(f"_hc{i}")
+                     for i in range(n)])
     # ... and the next computes edit counts once per (reference, hypothesis)
     # pair (a separate projection: CollapseProject will not duplicate them)
-    # rows whose vocabulary exceeds the code-point budget go to the exact
-    # Arrow fallback in one call per row; every other row sends a null
-    big = F.size("_voc") > ED.MAX_CODED_WORDS
-    df = df.withColumn("_slow", many_word_edits_arrow(
-        F.when(big, F.array(F.col("_rw"), *[F.col(f"_hw{i}") for i in range(n)]))))
-    coded = lambda i: F.when(F.col("_rc") == F.col(f"_hc{i}"), F.lit(0)).otherwise(
-        F.levenshtein(F.col("_rc"), F.col(f"_hc{i}")))
-    df = df.select("*", *[F.when(big, F.col("_slow")[i]).otherwise(coded(i)).cast("long").alias(f"_we{i}")
-                          for i in range(n)],
+    # a hypothesis equal to the reference is not encoded and has no edits
+    df = df.select("*", *[F.when(F.col(f"_hc{i}").isNull(), F.lit(0)).otherwise(
+                              F.levenshtein(F.col("_rc"), F.col(f"_hc{i}"))).cast("long").alias(f"_we{i}") for i in range(n)],
                    *[char_edits(F.col("ref_norm"), F.col(f"_h{i}")).alias(f"_ce{i}") for i in range(n)])
     nw, nc = F.size("_rw"), F.length("ref_norm")
     entries = []
@@ -103,7 +96,7 @@ def score_sheet(sheet: DataFrame, models: Sequence[str] = MODEL_COLUMNS,
             _rate(we, nw, on_empty_ref).alias("wer"), _rate(ce, nc, on_empty_ref).alias("cer")))
     df = df.withColumn("scores", F.array(*entries))
     tmp = [f"_{p}{i}" for p in ("h", "hw", "hc", "we", "ce") for i in range(n)]
-    return df.drop("_rw", "_voc", "_rc", "_slow", *tmp)
+    return df.drop("_rw", "_voc", "_rc", *tmp)
 
 
 def pair_scores(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -150,7 +143,7 @@ def segment_analysis(scored: DataFrame, models: Sequence[str] = MODEL_COLUMNS,
         x["wer"].alias("wer"), x["cer"].alias("cer")))
     best = F.array_min(ranked)
     tied = F.array_sort(F.transform(
-        F.filter(ranked, lambda x: F.abs(x["w"] - best["w"]) < TIE_TOLERANCE), lambda x: x["m"]))
+        F.filter(ranked, lambda x: (x["w"] == best["w"]) | (F.abs(x["w"] - best["w"]) < TIE_TOLERANCE)), lambda x: x["m"]))
     out = scored.select(
         *keys, F.col(ref_col).alias("human_text"),
         best["m"].alias("best_model"), best["wer"].alias("best_model_wer"),

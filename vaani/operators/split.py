@@ -4,8 +4,8 @@ Validation = the ``ceil(ratio * n)`` rows with the smallest key, where key =
 ``md5(seed:id)`` (16 bytes, compared as unsigned bytes -- the same order as
 its hex text).  The cut is found top-down: a 65,536-bucket histogram of the
 key's first two bytes (bounded, collected), then, only inside the boundary
-bucket, a histogram of the next two bytes, and so on until the boundary
-bucket holds at most ``TOPK_ROWS`` rows, which one top-k resolves.  Every
+bucket, a histogram of the next two bytes, and so on until the cut falls on a
+bucket's end (at the latest, when a bucket is one key).  Every
 other row is classified by one comparison.  Size is exact, membership is
 repeatable for a seed, and no task holds more than one small bucket.
 
@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 LEVEL_BYTES = 2
-TOPK_ROWS = 50_000
 
 
 def split_key(id_col: Column, seed: int) -> Column:
@@ -40,7 +39,7 @@ def exact_split(df: DataFrame, id_col: str = "id", ratio: float = 0.1, seed: int
                 names=("train", "validation")) -> DataFrame:
     key = _binary_key(F.col(id_col), seed)
     # the 16-byte key alone is written to the shared checkpoint folder; the
-    # histograms and the top-k read it instead of recomputing the upstream
+    # histograms read it instead of recomputing the upstream
     # plan (and survive executor loss)
     checkpoint_dir(df.sparkSession)
     keys = df.select(key.alias("_k")).checkpoint(eager=True)
@@ -73,9 +72,8 @@ def _threshold(keys: DataFrame, ratio: float):
                 break
             cum += c
         scope = keys.where(F.substring("_k", 1, width) == F.lit(prefix))
-        if c <= TOPK_ROWS:
-            r = k - cum
-            return bytes(scope.orderBy("_k").limit(r).agg(F.max("_k")).first()[0])
+        if cum + c == k:
+            return prefix.ljust(16, b"\xff")
     # identical 16-byte keys only (duplicate ids): every row of the last
     # bucket shares the key, so the cut falls on it
     return prefix

@@ -369,57 +369,6 @@ def q_report_table(spark, sf_dir):
 
 # ---------------------------------------------------------------- audio (rows-only checks)
 
-@register
-def q_resample(spark, sf_dir):
-    """Decode, down-mix and resample every recording to 16 kHz."""
-    from ..operators import audio as A
-    return A.resample_audio(X.synthetic_audio(_conv(spark, sf_dir)), keep_audio=False).drop("audio")
-
-
-def _clips(spark, sf_dir):
-    from ..operators import audio as A
-    p = _prepared(spark, sf_dir).segments
-    return A.cut_clips(p.select("id", "recording_id", "start", "end", "sentence"),
-                       X.synthetic_audio(_conv(spark, sf_dir)), carry=("sentence",))
-
-
-@register
-def q_clip_cut(spark, sf_dir):
-    """One clip per prepared segment, cut from its decoded recording."""
-    return _clips(spark, sf_dir).select("id", "recording_id", "sample_rate", "n_samples", "error")
-
-
-@register
-def q_logmel(spark, sf_dir):
-    """Log-mel features and label ids per clip (shape and statistics
-    reported; the feature matrix stays in the feature table)."""
-    from ..operators import audio as A
-    f = A.features(_clips(spark, sf_dir), keep_matrix=False)
-    return f.select("id", "n_frames", "mel_mean", "mel_max", F.size("labels").alias("n_labels"))
-
-
-@register
-def q_batch_transcribe(spark, sf_dir):
-    """Batch transcription of every clip with the stand-in model."""
-    from ..operators import audio as A
-    return A.transcribe(_clips(spark, sf_dir), A.tone_model)
-
-
-@register
-def q_public_eval(spark, sf_dir):
-    """A public-style split (clip audio + its sentence)
-    transcribed by two stand-in systems and compared."""
-    from ..operators import audio as A
-    from .public_eval import evaluate_public_split
-    split = _clips(spark, sf_dir).select("id", F.col("clip").alias("audio"), F.col("sentence").alias("transcription"))
-
-    def tuned():
-        tone = A.tone_model()
-        return lambda arrays: [t + " " + t for t in tone(arrays)]
-    cmp, _ = evaluate_public_split(split, A.tone_model, tuned)
-    return cmp
-
-
 @register
 def q_benchmark_phrases(spark, sf_dir):
     """D3 form (b): a lexicon of every benchmark word bigram (thousands of
@@ -427,7 +376,7 @@ def q_benchmark_phrases(spark, sf_dir):
     verified with its exact phrase pattern."""
     from ..operators import disfluency as D
     lex = X.benchmark_bigram_lexicon(table(spark, sf_dir, "benchmark"))
-    det = D.detect_join(_docs(spark, sf_dir), lex, text_col="text", seg_keys=("doc_id",), rules=False)
+    det = D.detect(_docs(spark, sf_dir), lex, text_col="text", seg_keys=("doc_id",), rules=False)
     hits = det.select("doc_id", F.posexplode_outer("hits").alias("hit_idx", "h")).where(F.col("hit_idx").isNotNull())
     return hits.where(F.col("h.match_rule") == "lexicon").select(
         "doc_id", "hit_idx", F.col("h.matched_text").alias("phrase"))
@@ -501,24 +450,6 @@ def q_norm_devanagari(spark, sf_dir):
 
 # ---------------------------------------------------------------- focused views named in the survey
 
-@register
-def q_segment_bounds(spark, sf_dir):
-    """Id, rounded duration and sample range of each prepared segment."""
-    return _prepared(spark, sf_dir).segments.select("id", "duration_sec", "start_sample", "end_sample")
-
-
-@register
-def q_ties(spark, sf_dir):
-    """Per-segment tie set on WER (names sorted, "|"-joined) and its size."""
-    return _evaluation(spark, sf_dir).analysis.select("segment_url_link", "best_tie_models", "best_tie_count")
-
-
-@register
-def q_unique_wins(spark, sf_dir):
-    """Segments each model wins without a tie, zero-filled."""
-    return _evaluation(spark, sf_dir).wins.select("model", "unique_wins")
-
-
 @register
 def q_missing_audio(spark, sf_dir):
     """Hindi recordings whose raw audio object is absent (anti-join)."""

@@ -138,15 +138,11 @@ def object_manifest(conversations: DataFrame, base: str = "https://storage.examp
     return conversations.select(transcript_url(base).alias("url"), F.lit(True).alias("ok"), F.lit(True).alias("is_json"))
 
 
-# turns shorter than this have no raw audio object (missing-audio failures)
-AUDIO_MIN_CHARS = 60
-
-
 def audio_listing(conversations: DataFrame) -> DataFrame:
-    """(recording_id): recordings whose raw audio object exists -- turns
-    with at least AUDIO_MIN_CHARS characters of text."""
+    """(recording_id): recordings whose raw audio object exists -- all but those
+    whose key ends in "7_1" (conversation ...7, turn 1: missing-audio failures)."""
     rid = F.concat(F.lit("r"), F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string"))
-    return conversations.where(F.length("text") >= AUDIO_MIN_CHARS).select(rid.alias("recording_id"))
+    return conversations.select(rid.alias("recording_id")).where(F.right("recording_id", F.lit(3)) != "7_1")
 
 
 # A small disfluency lexicon (a parameter of the job, like the sheet it
@@ -170,55 +166,13 @@ def lexicon_wide(spark, devanagari: bool = False) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def synthetic_audio(conversations: DataFrame, sample_rate: int = 8000) -> DataFrame:
-    """(recording_id, content): a WAV per turn, long enough for its
-    transcript (2 s per piece + 1 s), a tone whose pitch follows the
-    conversation id; user turns are stereo so down-mixing is exercised.
-    Built by ``mapInPandas`` from the table rows."""
-    import numpy as np
-    import pandas as pd
-
-    from ..operators.audio import small_batches
-    small_batches(conversations.sparkSession)
-
-    def run(batches):
-        import io
-        import re
-        import wave
-
-        from ..operators.audio import chunked_frames
-
-        def rows():
-            for b in batches:
-                for cid, turn, role, text in zip(b["conv_id"], b["turn"], b["role"], b["text"]):
-                    pieces = len(re.split(r"[.\n]", text or ""))
-                    n = int((2.0 * pieces + 1.0) * sample_rate)
-                    t = np.arange(n) / sample_rate
-                    x = 0.4 * np.sin(2 * np.pi * (200.0 + 10.0 * (int(cid) % 50)) * t)
-                    ch = 2 if role == "user" else 1
-                    pcm = (np.repeat(x[:, None], ch, axis=1) * 32767).astype("<i2")
-                    buf = io.BytesIO()
-                    with wave.open(buf, "wb") as w:
-                        w.setnchannels(ch)
-                        w.setsampwidth(2)
-                        w.setframerate(sample_rate)
-                        w.writeframes(pcm.tobytes())
-                    data = buf.getvalue()
-                    yield (f"r{cid}_{turn}", data), len(data)
-        # one WAV per small text row: output batches are cut by size
-        yield from chunked_frames(rows(), ["recording_id", "content"])
-
-    return conversations.select("conv_id", "turn", "role", "text").mapInPandas(
-        run, "recording_id string, content binary")
-
-
 def benchmark_bigram_lexicon(benchmark: DataFrame) -> DataFrame:
     """A large phrase lexicon derived from the benchmark table: every pair of
     adjacent word runs of every normalized passage, one type."""
     from ..functions.normalize import norm_disfluency
     from ..operators.disfluency import W
     toks = F.regexp_extract_all(norm_disfluency(F.col("text")), F.lit(W + "+"), 0)
-    grams = benchmark.select(toks.alias("t")).select(F.explode(F.transform(
+    grams = benchmark.select(toks.alias("t")).where(F.size("t") > 1).select(F.explode(F.transform(
         F.sequence(F.lit(0), F.size("t") - 2), lambda i: F.concat(F.col("t")[i], F.lit(" "), F.col("t")[i + 1])))
         .alias("phrase")).where(F.col("phrase").isNotNull())
     return grams.distinct().select(F.lit("Benchmark").alias("type"), F.lit(0).alias("type_ord"), "phrase",

@@ -41,10 +41,10 @@ def _examples(failures: DataFrame, k: int) -> list[str]:
 def run_prepare(spark: SparkSession, metadata_csv: str, transcripts_dir: str, audio_dir: str, output_dir: str,
                 language: str = "hi", val_ratio: float = 0.1, seed: int = 42, max_rows: int | None = None,
                 min_segment_sec: float = 0.4, max_segment_sec: float = 30.0) -> dict:
-    """Segment-level training set with 16 kHz clips, split exactly, written
+    """Segment-level training set with clips at the recordings' rates, split exactly, written
     ``partitionBy("split")``; recordings whose audio is absent or whose
     transcript is invalid are reported as failures."""
-    recs = IO.read_csv(spark, metadata_csv, IO.RECORDINGS_SCHEMA)
+    recs = IO.read_csv(spark, metadata_csv, IO.RECORDINGS_SCHEMA, required=["recording_id", "language"])
     transcripts = IO.read_transcripts(spark, transcripts_dir)
     audio = IO.read_audio(spark, audio_dir)
     p = PR.prepare_segments(recs, transcripts, language, min_segment_sec, max_segment_sec,
@@ -87,14 +87,14 @@ def run_disfluency(spark: SparkSession, metadata_csv: str, lexicon_csv: str, tra
     """Occurrence sheet (CSV + Parquet), one clip per segment with hits, and
     the run summary.  The staged transcript files double as the object
     manifest for URL resolution."""
-    recs = IO.read_csv(spark, metadata_csv, IO.RECORDINGS_SCHEMA)
+    recs = IO.read_csv(spark, metadata_csv, IO.RECORDINGS_SCHEMA, required=["recording_id", "language"])
     transcripts = IO.read_transcripts(spark, transcripts_dir)
     audio = IO.read_audio(spark, audio_dir)
     lexicon = D.build_lexicon(D.wide_lexicon_to_long(IO.read_lexicon_sheet(spark, lexicon_csv)))
     if lexicon.isEmpty():                                  # S9
         raise ValueError(f"Lexicon load failed: no usable entries in {lexicon_csv}")
-    from ..operators.urls import DEFAULT_BASE, folder_id
-    r = recs.withColumn("_f", folder_id(recs))
+    from ..operators.urls import DEFAULT_BASE, DISFLUENCY_URL_COLUMNS, folder_id
+    r = recs.withColumn("_f", folder_id(recs, DISFLUENCY_URL_COLUMNS))
     manifest = (r.join(transcripts.select("recording_id"), "recording_id")
                 .select(F.concat(F.lit(DEFAULT_BASE + "/"), F.col("_f"), F.lit("/"), F.col("recording_id"),
                                  F.lit("_transcription.json")).alias("url"),
@@ -110,8 +110,6 @@ def run_disfluency(spark: SparkSession, metadata_csv: str, lexicon_csv: str, tra
     A.segment_clips(detected, audio.select("recording_id", "path")).write.mode("overwrite").parquet(
         os.path.join(output_dir, "segment_clips"))
     clips = spark.read.parquet(os.path.join(output_dir, "segment_clips"))
-    if export_clips:
-        A.write_clip_files(clips, clips_root)
     good = clips.where(F.col("error").isNull()).select(
         "recording_id", F.regexp_extract("id", r"_(\d+)$", 1).cast("int").alias("segment_idx"))
     bad_audio = clips.where(F.col("error").isNotNull()).select("recording_id", "error")
@@ -119,6 +117,11 @@ def run_disfluency(spark: SparkSession, metadata_csv: str, lexicon_csv: str, tra
     occ_all.join(good, ["recording_id", "segment_idx"], "left_semi").write.mode("overwrite").parquet(
         os.path.join(output_dir, "occurrences"))
     occ = spark.read.parquet(os.path.join(output_dir, "occurrences"))
+    if export_clips:
+        # a file for each row of the sheet, under the path that the sheet gives
+        segment = F.format_string("%s_%04d", F.col("recording_id"), F.col("segment_idx"))
+        A.write_clip_files(occ.select(F.col("occurrence_id"), "recording_id", segment.alias("id")).join(
+            clips.where(F.col("error").isNull()).select("id", "clip"), "id").select(F.col("occurrence_id").alias("id"), "recording_id", "clip"), clips_root)
     IO.write_sheet(occ.select(*D.OUTPUT_COLUMNS), os.path.join(output_dir, "occurrences_csv"))
     e.failures.unionByName(bad_audio).write.mode("overwrite").parquet(os.path.join(output_dir, "failures"))
     fails = spark.read.parquet(os.path.join(output_dir, "failures"))
@@ -144,13 +147,25 @@ def run_spelling(spark: SparkSession, words_csv: str, output_dir: str, na_values
         "incorrect_spelling_words": t["incorrect_spelling_words"], "reason_breakdown": reasons})
 
 
+def row_numbers(df: DataFrame, name: str = "segment_idx") -> DataFrame:
+    """Dense numbers in reading order: the place in the partition (the low bits
+    of the generated id) plus the sizes of the partitions before it."""
+    ids = df.withColumn("_id", F.monotonically_increasing_id())
+    part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    # one row per partition
+    counts = sorted((r["p"], r["n"]) for r in ids.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    base, total = {}, 0
+    for p, n in counts:
+        base[p], total = total, total + n
+    if not base:
+        return df.withColumn(name, F.lit(None).cast("int"))
+    before = F.element_at(F.create_map(*[F.lit(x) for kv in base.items() for x in kv]), part)
+    return ids.withColumn(name, (before + place).cast("int")).drop("_id")
+
+
 def run_evaluation(spark: SparkSession, sheet_csv: str, output_dir: str, null_policy: str = "empty") -> dict:
     """Model ranking, per-segment analysis (CSV + Parquet) and summary."""
-    # row number of the sheet: a multiLine CSV file is read as one partition,
-    # so the generated id follows the file order; it is fixed once the
-    # scored frame below is written
-    sheet = IO.read_csv(spark, sheet_csv, IO.MODEL_SHEET_SCHEMA).withColumn(
-        "segment_idx", F.monotonically_increasing_id().cast("int"))
+    sheet = row_numbers(IO.read_csv(spark, sheet_csv, IO.MODEL_SHEET_SCHEMA, required=[S.REFERENCE_COLUMN, *S.MODEL_COLUMNS]))
     ev = evaluate_models(sheet, ["segment_idx", "segment_url_link"], null_policy=null_policy)
     ev.scored.drop("ref_norm").write.mode("overwrite").parquet(os.path.join(output_dir, "scored"))
     scored = spark.read.parquet(os.path.join(output_dir, "scored"))
@@ -167,29 +182,3 @@ def run_evaluation(spark: SparkSession, sheet_csv: str, output_dir: str, null_po
         "per_segment_best_model_counts": {w["model"]: w["wins"] for w in wins if w["wins"]},
         "per_segment_unique_best_model_counts": {w["model"]: w["unique_wins"] for w in wins if w["unique_wins"]}})
 
-
-def _load_callable(spec: str):
-    """``package.module:function`` -> the function (a model loader)."""
-    import importlib
-    mod, _, fn = spec.partition(":")
-    return getattr(importlib.import_module(mod), fn)
-
-
-def run_public_eval(spark: SparkSession, split_path: str, output_dir: str, baseline: str, tuned: str,
-                    max_samples: int | None = None) -> dict:
-    """Public-split comparison of two systems: ``split_path`` is Parquet with
-    ``id, audio (WAV bytes), transcription``; ``baseline``/``tuned`` name
-    model loaders as ``module:function`` (each returns a function from a
-    list of 16 kHz arrays to texts).  Rates are reported x100."""
-    from .public_eval import evaluate_public_split
-    split = IO.read_prepared(spark, split_path).select("id", "audio", "transcription")
-    if max_samples:
-        split = split.orderBy("id").limit(max_samples)
-    cmp, sheet = evaluate_public_split(split, _load_callable(baseline), _load_callable(tuned))
-    sheet.write.mode("overwrite").parquet(os.path.join(output_dir, "predictions"))
-    rows = {r["system"]: r.asDict() for r in cmp.collect()}
-    return _summary(spark, os.path.join(output_dir, "public_eval_summary"), {
-        "baseline_model": baseline, "finetuned_model": tuned,
-        "baseline": {k: rows["baseline"][k] for k in ("samples_evaluated", "wer", "cer")},
-        "finetuned": {k: rows["tuned"][k] for k in ("samples_evaluated", "wer", "cer")},
-        "relative_improvement_pct": rows["tuned"]["improvement_pct"]})

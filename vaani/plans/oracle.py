@@ -136,7 +136,7 @@ ORACLE["q_exact_split"] = _SPLIT
 ORACLE["q_split_counts"] = f"SELECT split, count(*) AS rows FROM ({_SPLIT}) GROUP BY split"
 
 # ---------------------------------------------------------------- disfluency lexicon and rules
-from ..plans.fixtures import AUDIO_MIN_CHARS, DEVANAGARI_MAP, LATIN, LEXICON_WIDE  # noqa: E402
+from ..plans.fixtures import DEVANAGARI_MAP, LATIN, LEXICON_WIDE  # noqa: E402
 
 
 def _lexicon_sql() -> str:
@@ -218,7 +218,7 @@ _DIS_REC = (f"SELECT r.*, '{P.BASE}' || folder_id || '/' || recording_id || '_au
             f"'{P.BASE}' || folder_id || '/' || recording_id || '_transcription.json' AS transcription_url, e.error "
             f"FROM (SELECT *, {P.folder_sql(DISFLUENCY_URL_COLUMNS[:3])} AS folder_id FROM ({P.RECORDINGS})) r "
             f"JOIN ({P.recording_error_sql('disfluency')}) e USING (recording_id) "
-            f"WHERE lower(r.language) = 'hi' AND length(r.text) >= {AUDIO_MIN_CHARS} AND r.folder_id IS NOT NULL")
+            f"WHERE lower(r.language) = 'hi' AND right(r.recording_id, 3) <> '7_1' AND r.folder_id IS NOT NULL")
 
 
 def _hitrows_sql(devanagari: bool = False, mode: str = "parity") -> str:
@@ -258,10 +258,10 @@ ORACLE["q_occurrences"] = _OCC
 ORACLE["q_type_counts"] = f"SELECT disfluency_type, count(*) AS occurrences FROM ({_OCC}) GROUP BY ALL"
 ORACLE["q_disfluency_failures"] = (
     f"SELECT recording_id, 'Missing raw audio: ' || recording_id || '.wav' AS error FROM ({P.RECORDINGS}) "
-    f"WHERE lower(language) = 'hi' AND NOT coalesce(length(text) >= {AUDIO_MIN_CHARS}, false) UNION ALL "
+    f"WHERE lower(language) = 'hi' AND right(recording_id, 3) = '7_1' UNION ALL "
     f"SELECT recording_id, 'Unable to infer folder_id for recording_id=' || recording_id AS error FROM "
     f"(SELECT *, {P.folder_sql(DISFLUENCY_URL_COLUMNS[:3])} AS folder_id FROM ({P.RECORDINGS})) "
-    f"WHERE lower(language) = 'hi' AND length(text) >= {AUDIO_MIN_CHARS} AND folder_id IS NULL UNION ALL "
+    f"WHERE lower(language) = 'hi' AND right(recording_id, 3) <> '7_1' AND folder_id IS NULL UNION ALL "
     f"SELECT recording_id, error FROM ({_DIS_REC}) WHERE error IS NOT NULL")
 
 # ---------------------------------------------------------------- summaries, report, checkpoints
@@ -357,9 +357,6 @@ ORACLE["q_norm_devanagari"] = (
     f"{P.norm_word(_DEV_TEXT)} AS word, {P.norm_scoring(_DEV_TEXT)} AS scoring FROM documents")
 
 # focused views named in the survey
-ORACLE["q_segment_bounds"] = f"SELECT id, duration_sec, start_sample, end_sample FROM ({_SEGS})"
-ORACLE["q_ties"] = f"SELECT segment_url_link, best_tie_models, best_tie_count FROM ({ORACLE['q_best_model']})"
-ORACLE["q_unique_wins"] = f"SELECT model, unique_wins FROM ({ORACLE['q_win_counts']})"
 ORACLE["q_missing_audio"] = (
     f"SELECT recording_id, 'Missing raw audio: ' || recording_id || '.wav' AS error FROM ({P.RECORDINGS}) "
-    f"WHERE lower(language) = 'hi' AND NOT coalesce(length(text) >= {AUDIO_MIN_CHARS}, false)")
+    f"WHERE lower(language) = 'hi' AND right(recording_id, 3) = '7_1'")

@@ -94,11 +94,7 @@ def extract_disfluencies(recordings: DataFrame, transcripts: DataFrame, manifest
         j = j.join(transcripts.select("recording_id", "payload"), "recording_id", "left")
     segs, bad = T.valid_segments(T.parse_payload(j), "disfluency",
                                  ["recording_id", "user_id", "language", "audio_url", "transcription_url"])
-    phrases = D.collect_lexicon(lexicon)
-    if phrases is None:
-        detected = D.detect_join(segs, lexicon, mode=mode)
-    else:
-        detected = D.detect(segs, phrases, mode=mode)
+    detected = D.detect(segs, lexicon, mode=mode)
     occ = D.occurrences(detected, clips_root)
     failures = no_audio.unionByName(unresolved).unionByName(bad)
     return Extracted(detected, occ, failures, r)

@@ -3,8 +3,11 @@ its outputs (K1-K4).  Schemas are explicit: nothing is inferred."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 RECORDINGS_SCHEMA = ("user_id string, recording_id string, language string, rec_url_gcp string, "
                      "transcription_url_gcp string, metadata_url_gcp string, audio_url string, "
@@ -12,27 +15,43 @@ RECORDINGS_SCHEMA = ("user_id string, recording_id string, language string, rec_
 MODEL_SHEET_SCHEMA = ("segment_url_link string, Human string, `Model H` string, `Model i` string, "
                       "`Model k` string, `Model l` string, `Model m` string, `Model n` string")
 WORDS_SCHEMA = "word string"
-METRICS_LOG_SCHEMA = "run string, checkpoint string, step bigint, wer double, cer double"
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | None = None, na_values: bool = False) -> DataFrame:
-    """Header CSV, quoted newlines allowed, UTF-8 BOM stripped by the
-    reader.  ``na_values=True`` turns the usual missing-value spellings into
-    nulls (what a pandas reader does); off by default so real words such as
-    "NA" survive."""
-    r = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    df = r.schema(schema).csv(path) if schema else r.option("inferSchema", False).csv(path)
+#: What a pandas reader takes for a missing value.
+NA_VALUES = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+             "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+
+def read_csv(spark: SparkSession, path: str, schema: str | None = None, na_values: bool = False,
+             multiline: bool = True, required: Sequence[str] = ()) -> DataFrame:
+    """Header CSV, UTF-8 BOM stripped by the reader, columns bound by name.
+
+    All columns are read as strings under the header's names; with ``schema``
+    its columns are selected by name and cast, in any order, extra columns
+    dropped, absent ones null.  ``required`` names must be in the header
+    (S8).  ``multiline`` allows quoted newlines, at the price of one task per file; without
+    it the read is splittable.  ``na_values=True`` turns the usual
+    missing-value spellings into nulls (what a pandas reader does); off by
+    default so real words such as "NA" survive."""
+    df = (spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
+          .option("inferSchema", False).csv(path))
+    missing = sorted(set(required) - set(df.columns))
+    if missing:
+        raise ValueError(f"Missing required columns: {missing}")
     if na_values:
-        na = ["", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "n/a", "<NA>", "-NaN", "-nan"]
-        df = df.select(*[F.when(F.col(f"`{c}`").isin(na), None).otherwise(F.col(f"`{c}`")).alias(c)
+        df = df.select(*[F.when(F.col(f"`{c}`").isin(NA_VALUES), None).otherwise(F.col(f"`{c}`")).alias(c)
                          for c in df.columns])
-    return df
+    if schema is None:
+        return df
+    names = set(df.columns)
+    return df.select(*[(F.col(f"`{f.name}`") if f.name in names else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in StructType.fromDDL(schema)])
 
 
 def read_lexicon_sheet(spark: SparkSession, path: str) -> DataFrame:
     """X3 input: wide lexicon CSV, one partition per file, with a row
     ordinal (``row_ord``) taken from the file order."""
-    df = spark.read.option("header", True).option("multiLine", True).csv(path)
+    df = read_csv(spark, path)
     return df.withColumn("row_ord", F.monotonically_increasing_id())
 
 

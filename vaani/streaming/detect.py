@@ -21,21 +21,9 @@ def segment_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path)
 
 
-def detect_stream(segments: DataFrame, phrases, mode: str = "parity") -> DataFrame:
-    """Disfluency occurrences from a stream of segments."""
-    return D.occurrences(D.detect(segments, phrases, mode=mode))
+def run_detection(segments: DataFrame, lexicon: DataFrame, out_path: str, checkpoint: str, mode: str = "parity") -> None:
+    """Detect disfluencies in everything available now (D2-D8), append them to ``out_path`` and stop."""
+    def append(batch: DataFrame, _: int) -> None:
+        D.occurrences(D.detect(batch, lexicon, mode=mode)).write.mode("append").parquet(out_path)
 
-
-def label_stream(words: DataFrame, col: str = "word") -> DataFrame:
-    """Spelling labels for a stream of words (no de-duplication: a streaming
-    distinct would keep every word ever seen in state)."""
-    w, r = classify(F.col(col))
-    return words.select(w.alias("word"), r.alias("reason")).withColumn("spelling_label", spelling_label(F.col("reason")))
-
-
-def run_available(df: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet"):
-    """Process everything available now, append to ``out_path``, stop."""
-    q = (df.writeStream.format(fmt).option("path", out_path).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+    segments.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
