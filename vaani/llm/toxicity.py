@@ -33,6 +33,7 @@ MAX_LABELLED = 12_000
 REJECT = 0.7
 #: Bits of the hashed tables: counts, context totals, distinct followers; long and short order; shared.
 BITS = {"c6": 20, "s6": 18, "t6": 18, "c4": 16, "s4": 15, "t4": 15, "c3": 16, "s3": 14}
+TABLES = list(BITS)         # a table's number is its place here
 BOTH = 9            # the set of both folds
 STANDS_OUT = 3.0
 L2 = 1e-2
@@ -122,17 +123,12 @@ def _tables(grams: DataFrame, parts, keys: list[str]) -> DataFrame:
             for table, kept, dropped, counted in parts:
                 mask = np.uint64((1 << (8 * kept)) - 1)
                 b = bucket((gram & mask) >> np.uint64(8 * dropped), table)
-                yield pa.record_batch([*(pa.array(g) for g in group), pa.array([table] * len(b), pa.string()), pa.array(b),
+                yield pa.record_batch([*(pa.array(g) for g in group), pa.array(np.full(len(b), TABLES.index(table), np.int8)), pa.array(b),
                                        pa.array(n if counted else np.ones(len(b), np.int64))], [*keys, "table", "bucket", "n"])
-    schema = ", ".join(f"{k} int" for k in keys) + ", table string, bucket long, n long"
+    schema = ", ".join(f"{k} int" for k in keys) + ", table byte, bucket long, n long"
     return grams.select(*keys, "gram", "n").mapInArrow(add, schema.lstrip(", ")).groupBy(*keys, "table", "bucket").agg(F.sum("n").alias("n"))
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """In narrow types, for the way to the driver."""
-    return rows.withColumn("bucket", F.col("bucket").cast("int")).withColumn("n", F.col("n").cast("float"))
-
-
 class Model:
     """The two class models of one set, in tables of fixed size."""
 
@@ -178,12 +174,14 @@ class Model:
         return out
 
 
-def _filled(rows) -> dict[str, np.ndarray]:
-    """Tables of fixed size from a pandas frame (table, bucket, n)."""
+def _filled(rows: DataFrame) -> dict[str, np.ndarray]:
+    """Tables of fixed size from rows (table, bucket, n), of which there is at most one for each bucket."""
+    rows = rows.select("table", F.col("bucket").cast("int").alias("bucket"), F.col("n").cast("float").alias("n")).toPandas()
+    table, at, n = (rows[c].to_numpy() for c in ("table", "bucket", "n"))
     out = {}
-    for table, mine in rows.groupby("table"):
-        out[table] = np.zeros(1 << BITS[table], np.float32)
-        out[table][mine["bucket"].to_numpy()] = mine["n"].to_numpy()
+    for i in np.unique(table):
+        out[TABLES[i]] = np.zeros(1 << BITS[TABLES[i]], np.float32)
+        out[TABLES[i]][at[table == i]] = n[table == i]
     return out
 
 
@@ -220,15 +218,14 @@ class Scorer:
         short = stored(short, "short")
         rows = _tables(grams, [("c6", 6, 0, True), ("s6", 6, 1, True), ("t6", 6, 1, False)], keys).unionByName(
             _tables(short, [("c4", 4, 0, True), ("s4", 4, 1, True), ("t4", 4, 1, False)], keys))
-        # at most a row for each bucket of each table
-        rows = _numbered(rows).toPandas()
+        rows = stored(rows, "tables")
         ones = lambda df: {(r.toxic, r.set): r for r in df.groupBy(*keys).agg(F.sum(F.expr("int(n = 1)")).alias("a"), F.sum(F.expr("int(n = 2)")).alias("b")).collect()}
         counts = {"6": ones(grams), "4": ones(short)}
         four = stored(shared_grams(docs).withColumn("n", F.lit(1).cast("long")), "shared")
-        shared = _filled(_numbered(_tables(four, [("c3", 3, 0, True), ("s3", 3, 1, True)], [])).toPandas())
+        shared = _filled(_tables(four, [("c3", 3, 0, True), ("s3", 3, 1, True)], []))
         self.models = {}
         for s in (0, 2, BOTH):
-            tables = {t: _filled(rows[(rows["set"] == s) & (rows["toxic"] == t)]) for t in (0, 1)}
+            tables = {t: _filled(rows.where((F.col("set") == s) & (F.col("toxic") == t))) for t in (0, 1)}
             for t in (0, 1):
                 for name in ("c6", "s6", "t6", "c4", "s4", "t4"):
                     tables[t].setdefault(name, np.zeros(1 << BITS[name], np.float32))
@@ -248,6 +245,7 @@ class Scorer:
 
         seen = texts.select("toxic", "fold", "text").mapInArrow(measure, "toxic int, a double, b double, c double, d double, e double").collect()
         seen = np.array(sorted(tuple(r) for r in seen))         # at most ``limit`` rows
+        folds.unpersist()
         self.curve = fit(seen[:, 1:], seen[:, 0])
         self.given = spark.sparkContext.broadcast((self.models[BOTH], self.curve))
 
