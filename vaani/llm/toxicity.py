@@ -32,7 +32,7 @@ from vaani.llm.words import ALNUM_LOWER, coded, long_column, mix, slices, split_
 MAX_LABELLED = 12_000
 REJECT = 0.7
 #: Bits of the hashed tables: counts, context totals, distinct followers; long and short order; shared.
-BITS = {"c6": 20, "s6": 18, "t6": 18, "c4": 16, "s4": 15, "t4": 15, "c3": 16, "s3": 14}
+BITS = {"c6": 19, "s6": 17, "t6": 17, "c4": 16, "s4": 15, "t4": 15, "c3": 16, "s3": 14}
 TABLES = list(BITS)         # a table's number is its place here
 BOTH = 9            # the set of both folds
 STANDS_OUT = 3.0
@@ -175,14 +175,15 @@ class Model:
 
 
 def _filled(rows: DataFrame) -> dict[str, np.ndarray]:
-    """Tables of fixed size from rows (table, bucket, n), of which there is at most one for each bucket."""
-    rows = rows.select("table", F.col("bucket").cast("int").alias("bucket"), F.col("n").cast("float").alias("n")).toPandas()
-    table, at, n = (rows[c].to_numpy() for c in ("table", "bucket", "n"))
-    out = {}
-    for i in np.unique(table):
-        out[TABLES[i]] = np.zeros(1 << BITS[TABLES[i]], np.float32)
-        out[TABLES[i]][at[table == i]] = n[table == i]
-    return out
+    """Tables of fixed size from rows (table, bucket, n), each made by one task and fetched as bytes."""
+    def fill(table: pa.Table) -> pa.Table:
+        name = TABLES[table.column(0)[0].as_py()]
+        dense = np.zeros(1 << BITS[name], np.float32)       # at most 4 bytes for each of its buckets
+        dense[table.column(1).to_numpy()] = table.column(2).to_numpy()
+        return pa.table({"name": [name], "dense": [dense.tobytes()]})
+
+    made = rows.select("table", "bucket", "n").groupBy("table").applyInArrow(fill, "name string, dense binary")
+    return {r.name: np.frombuffer(r.dense, np.float32) for r in made.toLocalIterator()}
 
 
 def fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -245,7 +246,8 @@ class Scorer:
 
         seen = texts.select("toxic", "fold", "text").mapInArrow(measure, "toxic int, a double, b double, c double, d double, e double").collect()
         seen = np.array(sorted(tuple(r) for r in seen))         # at most ``limit`` rows
-        folds.unpersist()
+        folds.destroy()
+        self.models = {BOTH: self.models[BOTH]}
         self.curve = fit(seen[:, 1:], seen[:, 0])
         self.given = spark.sparkContext.broadcast((self.models[BOTH], self.curve))
 
