@@ -35,6 +35,8 @@ REJECT = 0.7
 BITS = {"c6": 19, "s6": 17, "t6": 17, "c4": 16, "s4": 15, "t4": 15, "c3": 16, "s3": 14}
 TABLES = list(BITS)         # a table's number is its place here
 BOTH = 9            # the set of both folds
+#: Text that one step within a task takes at once: six numbers are held for each byte of its distinct words.
+STEP_BYTES = 2 << 20
 STANDS_OUT = 3.0
 L2 = 1e-2
 
@@ -89,7 +91,7 @@ def class_grams(texts: DataFrame) -> DataFrame:
     """(toxic, set, gram, n): six-byte sequences by class, in each fold and in both."""
     def count(batches):
         for batch in batches:
-            for part in slices(batch, 2):
+            for part in slices(batch, 2, STEP_BYTES):
                 group = part.column(0).to_numpy() * 16 + part.column(1).to_numpy()
                 for g in np.unique(group):
                     words, _, _, n = _word_counts(part.column(2).filter(pa.array(group == g)))
@@ -106,7 +108,7 @@ def shared_grams(docs: DataFrame) -> DataFrame:
     def find(batches):
         seen = np.zeros(0, np.uint64)
         for batch in batches:
-            for part in slices(batch, 0):
+            for part in slices(batch, 0, STEP_BYTES):
                 six, _ = sequences(_word_counts(part.column(0))[0])
                 seen = np.union1d(seen, six & np.uint64(0xFFFFFFFF))
         yield pa.record_batch([long_column(seen)], ["gram"])
@@ -237,7 +239,7 @@ class Scorer:
 
         def measure(batches):
             for batch in batches:
-                for part in slices(batch, 2):
+                for part in slices(batch, 2, STEP_BYTES):
                     fold = part.column(1).to_numpy()
                     for f, model in folds.value.items():
                         mine = pa.array(fold == f)
@@ -272,7 +274,7 @@ def scored(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
     def look(batches):
         for batch in batches:
-            for part in slices(batch, 2):
+            for part in slices(batch, 2, STEP_BYTES):
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(score(part.column(2)))], ["doc_id", "held_out", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id").cast("long")).alias("held_out"), F.col("text").cast("string").alias("text"))
@@ -286,7 +288,7 @@ def accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
     def keep(batches):
         for batch in batches:
-            for part in slices(batch, at):
+            for part in slices(batch, at, STEP_BYTES):
                 yield part.filter(pa.array(score(part.column(at)) < REJECT))
 
     return docs.mapInArrow(keep, docs.schema)

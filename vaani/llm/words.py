@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
@@ -78,12 +78,15 @@ def coded(flat: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n - 1), modulo 2**64; kept for the next slice."""
+    """base**0 .. base**(n - 1), modulo 2**64; those of a usual slice are kept for the next one."""
+    usual = SLICE_BYTES + (64 << 10)
     have = _POWERS.get(base)
     if have is None or len(have) < n:
-        have = np.full(max(n, 2 * SLICE_BYTES), base, np.uint64)
+        have = np.full(max(n, usual), base, np.uint64)
         have[0] = 1
-        _POWERS[base] = have = np.multiply.accumulate(have)
+        np.multiply.accumulate(have, out=have)
+        if n <= usual:
+            _POWERS[base] = have
     return have[:n]
 
 
