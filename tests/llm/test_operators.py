@@ -156,6 +156,18 @@ def test_base_patterns_as_written():
     assert spans("f" * 31) == "" and spans("g" + "f" * 32 + "g") == "hex:1:33"
 
 
+def test_random_runs_inside_base_spans():
+    """With every run a discovery, those that one base span holds whole are left to it."""
+    rules = object.__new__(secrets.Rules)
+    rules.known, rules.level = {}, dict.fromkeys(range(len(secrets.BANDS)), 0.0)
+    run, f = "Zx9" * 8, "f" * 40
+    for text in (f"{run} token={run} {run}", f"token={f} {f}g{run}", f"token=ab-{f}{run}", run, "é" + f):
+        base = secrets.base_spans(text, dict.fromkeys(secrets.KINDS, True))
+        want = [(a, 3, b) for a, b, _ in secrets.candidates(text) if not any(s <= a and b <= e for s, _, e in base)]
+        got = rules.spans(text, dict.fromkeys(secrets.KINDS, True))
+        assert got == (sorted(base), sorted(base + want))
+
+
 def test_randomness():
     import random
     rng = random.Random(2)

@@ -25,7 +25,9 @@ exclusive; a null ``doc_id`` stays null; other columns are ignored, and
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import math
 import re
 
@@ -231,12 +233,16 @@ class Rules:
     def spans(self, text: str, maybe: dict[str, bool]) -> tuple[list, list]:
         """Base spans, and all spans, ordered by start, then kind."""
         base = sorted(base_spans(text, maybe))
+        starts = [s for s, _, _ in base]
+        reach = list(itertools.accumulate((t for _, _, t in base), max))       # the farthest end of the spans up to each
         more = []
         for start, end, run in candidates(text) if maybe["random"] else ():
             e, x = statistics(run)
             b = band(len(run))
             bucket = min(MOST_BUCKET, int(p_decibels(x, null_of(self.known, e, b), len(run)) / DECIBEL))
-            if bucket * DECIBEL >= self.level.get(b, math.inf) and not any(s <= start and end <= t for s, _, t in base):
+            before = bisect.bisect_right(starts, start)
+            inside = before > 0 and reach[before - 1] >= end
+            if bucket * DECIBEL >= self.level.get(b, math.inf) and not inside:
                 more.append((start, 3, end))
         return base, sorted(base + more)
 
