@@ -96,12 +96,11 @@ def buckets(words: Column) -> Column:
 def model(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(bucket, ratio): log of the trusted over the raw share of each bucket that occurs."""
     good = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("good")).where("good = 1").select("doc_id")
-    def counts(df, name):
-        return (df.select(F.explode(buckets(F.col("words"))).alias("bucket")).groupBy("bucket").agg(F.count("*").alias(name)))
     words = docs.select(F.col("doc_id").cast("long").alias("doc_id"), hashes_of(F.col("text").cast("string")).alias("words"))
-    raw = counts(words.select("words"), "raw")
-    trusted = counts(words.join(good, "doc_id", "left_semi").select("words"), "trusted")
-    both = raw.join(trusted, "bucket", "left").select("bucket", "raw", F.coalesce("trusted", F.lit(0)).alias("trusted"))
+    # both multinomials are counted in one pass over the words
+    marked = words.join(good.withColumn("good", F.lit(True)), "doc_id", "left").select("words", "good")
+    both = (marked.select(F.explode(buckets(F.col("words"))).alias("bucket"), "good").groupBy("bucket")
+            .agg(F.count("*").alias("raw"), F.count("good").alias("trusted")))
     both = stored(both, "ngrams")
     t = both.agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"), F.count("*").alias("n")).first()
     if not t.trusted:
