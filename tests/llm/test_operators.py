@@ -180,6 +180,39 @@ def test_randomness():
     assert secrets.benjamini_hochberg({(0, 2): 990})[0] == float("inf")
 
 
+def ordinary_runs(rng, n, count):
+    """Paths, identifiers, constants, names, numbers and joined words of ``n`` characters at least."""
+    words = ("the quick brown fox jumps over lazy dog water people market Zeitung wieder Haus Strasse maison toujours enfant ciudad trabajo user name file path "
+             "http client error handler index table column value test data model config service").split()
+    styles = (lambda w: "/".join(w), lambda w: "-".join(w), lambda w: "_".join(w).upper(), lambda w: w[0] + "".join(x.title() for x in w[1:]),
+              lambda w: "".join(w).lower(), lambda w: "_".join(w) + f"_{rng.randrange(2000, 2030)}", lambda w: "ab" * n, lambda w: "-" * n)
+    out = []
+    while len(out) < count:
+        w = [rng.choice(words) for _ in range(n // 4 + 2)]
+        while len("".join(w[:-1])) > n + 4:
+            w.pop()
+        run = styles[len(out) % len(styles)](w)
+        out.append(run)
+    return out
+
+
+def test_secrets_finds_random_keys_of_usual_length(spark):
+    """Keys outside the base patterns, one in fifty of the candidates, at each length."""
+    import random
+    rng = random.Random(7)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys, rows = {}, []
+    for n in (20, 32, 40, 64):
+        runs = ordinary_runs(rng, n, 980) + ["".join(rng.choice(alphabet) for _ in range(n)) for _ in range(20)]
+        rows += [(1000 * n + i, f"see the {run} in the people of the market") for i, run in enumerate(runs)]
+        keys[n] = {1000 * n + i for i in range(980, 1000)}
+    got = {r.doc_id: r for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert not [r for i, r in got.items() if r.n_random and not any(i in k for k in keys.values())]
+    recall = {n: sum(got[i].n_random for i in ids) / len(ids) for n, ids in keys.items()}
+    assert recall[20] >= 0.8 and min(recall[n] for n in (32, 40, 64)) >= 0.95
+    assert all(got[i].spans == f"random:8:{8 + n}" for n, ids in keys.items() for i in ids if got[i].n_random)
+
+
 def test_toxicity_on_hard_rows(docs, labels, nothing):
     got = toxicity.scored(docs, labels).collect()
     assert len(got) == len(ROWS) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got)

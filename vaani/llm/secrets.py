@@ -3,21 +3,31 @@
 Base spans come from three fixed patterns.  The method adds runs of 20 or
 more characters of an encoding alphabet that look random.  For each run the
 narrowest encoding that holds all its characters is inferred (digits, hex,
-base32, one-case letters and digits, base64, base64url), and three statistics
-are taken in its alphabet: chi-squared against uniform use, the number of
+base32, one-case letters and digits, base64, base64url).  The main test is a
+likelihood ratio: the chance of the run as evenly drawn characters of an
+encoding, against its chance as ordinary text.  What ordinary text is comes
+from the runs that are too short to be candidates, so that no share of secrets
+among the candidates weakens the test: a trigram model of their characters,
+which falls back to pairs, then to kinds of characters and the frequencies of
+letters.  It is mixed with one that has only the latter, as names, paths and other
+languages are ordinary too, and with runs that count up or repeat themselves.  If text is as the model says, the ratio is at least ``t`` with a chance of at
+most ``1 / t``, whatever the length, so its reciprocal is a p-value.
+
+Besides, three statistics are taken in its alphabet: chi-squared against uniform use, the number of
 runs above and below the alphabet's middle, and the lag-one serial
 correlation.  What ordinary text does in these tests is learnt from all
 candidates: by encoding and length band, the mean and the spread of each
 statistic over runs that are plain words (letters only) give a normal null;
 the excess of chi-squared grows with a run's length and its spread with the
-root, so a null carries over to other lengths.  A run's p-value is that of ordinary text coming as near to
-randomness as it does, the three combined by Fisher's method, so short runs
-need to look more random than long ones; and the Benjamini-Hochberg procedure
+root, so a null carries over to other lengths.  Their p-value is that of ordinary text coming as near to
+randomness as the run does, the three combined by Fisher's method.  They tell
+little below 64 characters, so a run's p-value is the lesser of the two after
+division by ``SHARES`` (Bonferroni, with weights); and the Benjamini-Hochberg procedure
 over all candidates of the corpus, by length band, sets the level at
 false-discovery rate ``FDR``.
 
-Only sums of bounded size reach the driver: moments by stratum and counts by
-stratum and p-value bucket.  Defined results: a null text is empty and has no
+Only sums of bounded size reach the driver: counts of trigrams of 66
+characters, moments by stratum and counts by stratum and p-value bucket.  Defined results: a null text is empty and has no
 spans; equal rows are scanned one by one; spans are code points with the end
 exclusive; a null ``doc_id`` stays null; other columns are ignored, and
 ``redacted`` keeps them.
@@ -75,6 +85,29 @@ LEAST_NULL = 30
 #: standard errors) and their mean length, where the corpus has too few.
 PRIOR = ((0.06, 0.026), (0.65, 0.45), (0.6, 0.42), 21.0)
 
+#: Characters of the text model; 0 stands for all others.
+SYMBOLS = _LOWER + _UPPER + _DIGITS + "+/-_"
+_SYMBOL = {c: i for i, c in enumerate(SYMBOLS, 1)}
+_OF_BYTE = np.zeros(256, np.uint8)
+_OF_BYTE[[ord(c) for c in SYMBOLS]] = range(1, len(SYMBOLS) + 1)
+_WIDTH = len(SYMBOLS) + 1
+#: Kinds of characters (lower, upper, digit, sign), and how they follow each
+#: other where nothing is known: after a start, then after each kind.
+_KINDS = np.array([0] * 26 + [1] * 26 + [2] * 10 + [3] * 4)
+KIND_AFTER = np.array([(0.7, 0.2, 0.08, 0.02), (0.9, 0.03, 0.04, 0.03), (0.45, 0.45, 0.05, 0.05), (0.05, 0.05, 0.88, 0.02), (0.5, 0.2, 0.2, 0.1)])
+#: Letters in a hundred of English, German, French and Spanish text, about.
+FREQUENCY = dict(e=14.5, a=8, n=8, i=7.5, t=7, s=7, r=6.8, o=6, u=4.5, d=4.5, l=4.3, h=3.5, c=3.2, m=2.8, p=2.2, g=2.2, f=1.6, b=1.6,
+                 v=1.3, w=1.2, k=1.1, y=1, z=0.8, q=0.5, j=0.4, x=0.4)
+_WITHIN = np.array([FREQUENCY.get(c.lower(), 1) for c in SYMBOLS])
+_WITHIN = _WITHIN / np.bincount(_KINDS, _WITHIN)[_KINDS]
+#: Weight, in characters, of the pairs in the trigram model and of the kinds in the pairs.
+BACK_OFF = (16.0, 64.0)
+#: In text: shares of characters that count on (or repeat the last), and that
+#: follow the last two as they did before; for prose, and for patterned runs.
+HABITS = ((0.01, 0.01), (0.3, 0.3))
+#: Weights of the likelihood ratio and of the three statistics.
+SHARES = (0.9, 0.1)
+
 
 def band(n: int) -> int:
     return max(i for i, e in enumerate(BANDS) if n >= e)
@@ -113,6 +146,48 @@ def _log_phi(z: float) -> float:
     return -z * z / 2 - math.log(-z * math.sqrt(2 * math.pi))
 
 
+def text_model(counts: dict[int, float]) -> np.ndarray:
+    """Natural log of the chance of each character of ``SYMBOLS`` after the two before it, from counts of trigrams."""
+    third = np.zeros(_WIDTH ** 3)
+    third[list(counts)] = list(counts.values())
+    third = third.reshape(_WIDTH, _WIDTH, _WIDTH)[:, :, 1:]
+    kinds = np.array([0, *(_KINDS + 1)])
+    guess = (KIND_AFTER[:, _KINDS] * _WITHIN)[kinds]
+    second = third.sum(0)
+    second = (second + BACK_OFF[1] * guess) / (second.sum(1, keepdims=True) + BACK_OFF[1])
+    third = (third + BACK_OFF[0] * second) / (third.sum(2, keepdims=True) + BACK_OFF[0])
+    return np.log(third).astype(np.float32)
+
+
+_UNTAUGHT = text_model({})
+
+
+def ratio_decibels(run: str, model: np.ndarray | None) -> float:
+    """10 log10 of how much likelier the run is as evenly drawn characters of an encoding than as text."""
+    body = run.rstrip("=") or run
+    x = np.array([_SYMBOL.get(c, 0) for c in body])
+    if not x.all():
+        return 0.0
+    n = len(x)
+    before = np.concatenate([[0, 0], x])
+    texts = [np.exp(m[before[:-2], before[1:-1], x - 1].astype(float)) for m in (_UNTAUGHT, model) if m is not None]
+    step = np.diff([ord(c) for c in body])
+    counts_on = np.concatenate([[False, False], step[1:] == step[:-1]])[:n]
+    known, again = np.zeros(n, bool), np.zeros(n, bool)
+    seen: dict[str, str] = {}
+    for i in range(2, n):
+        pair = body[i - 2:i]
+        if pair in seen:
+            known[i], again[i] = True, seen[pair] == body[i]
+        seen[pair] = body[i]
+    later = np.arange(n) >= 2
+    as_text = [float(np.log((1 - a * later - b * known) * text + a * counts_on + b * again).sum()) for text in texts for a, b in HABITS]
+    letters = frozenset(body)
+    as_random = [-n * math.log(len(alphabet)) for (_, alphabet), s in zip(ENCODINGS, _SETS) if letters <= s]
+    logs = np.logaddexp.reduce(as_random) - math.log(len(ENCODINGS)) - np.logaddexp.reduce(as_text) + math.log(len(as_text))
+    return 10 * float(logs) / math.log(10)
+
+
 def p_decibels(stats, null, n: int) -> float:
     """-10 log10 of the chance that ordinary text of ``n`` characters looks as random in all three tests."""
     narrow = (math.sqrt(null[3] / n), 1, 1)
@@ -122,6 +197,13 @@ def p_decibels(stats, null, n: int) -> float:
     return max(0.0, -10 * tail / math.log(10))
 
 
+def evidence(run: str, known: dict, model: np.ndarray | None) -> float:
+    """-10 log10 of the p-value of the run: the better of the likelihood ratio and the three statistics, by their weights."""
+    e, x = statistics(run)
+    each = ratio_decibels(run, model), p_decibels(x, null_of(known, e, band(len(run))), len(run))
+    return max(0.0, *(d + 10 * math.log10(w) for d, w in zip(each, SHARES)))
+
+
 def base_spans(text: str, maybe: dict[str, bool]) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the base spans of one text."""
     out = []
@@ -152,6 +234,34 @@ def _plain(run: str) -> bool:
     return run.isalpha()
 
 
+def trigrams(texts: list[str | None]) -> np.ndarray:
+    """Counts of the trigrams within runs that are too short to be candidates."""
+    x = _OF_BYTE[np.frombuffer("\n".join(["", *(t or "" for t in texts), ""]).encode("utf-8", "replace"), np.uint8)].astype(np.int32)
+    gaps = np.flatnonzero(x == 0)
+    runs = np.diff(gaps) - 1
+    use = np.zeros(len(x), bool)
+    use[gaps[0]:gaps[-1]] = np.repeat(runs < BANDS[0], runs + 1)
+    use &= x > 0
+    at = np.flatnonzero(use)                    # the first is after a gap
+    one = x[at - 1]
+    two = np.where(one > 0, x[at - 2], 0)
+    return np.bincount((two * _WIDTH + one) * _WIDTH + x[at], minlength=_WIDTH ** 3)
+
+
+def taught(docs: DataFrame) -> np.ndarray:
+    """The text model of the corpus."""
+    def count(batches):
+        total = np.zeros(_WIDTH ** 3, np.int64)
+        for batch in batches:
+            for part in slices(batch, 0):
+                total += trigrams(part.column(0).to_pylist())
+        found = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(found, pa.int32()), pa.array(total[found], pa.int64())], ["gram", "n"])
+
+    rows = _text(docs).mapInArrow(count, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return text_model({r.gram: r.n for r in rows.collect()})           # at most 67 ** 3 rows
+
+
 def nulls(docs: DataFrame) -> dict[tuple[int, int], tuple]:
     """By (encoding, band): (mean, spread) of the three statistics over plain words."""
     def measure(batches):
@@ -190,7 +300,7 @@ def null_of(known: dict, e: int, b: int) -> tuple:
     return PRIOR
 
 
-def levels(docs: DataFrame, known: dict) -> dict[int, float]:
+def levels(docs: DataFrame, known: dict, model: np.ndarray | None = None) -> dict[int, float]:
     """By band: the decibels from which a candidate is a discovery at ``FDR``."""
     def count(batches):
         seen: dict[tuple[int, int], int] = {}
@@ -198,9 +308,7 @@ def levels(docs: DataFrame, known: dict) -> dict[int, float]:
             for part in slices(batch, 0):
                 for text, maybe in zip(part.column(0).to_pylist(), _maybe(part.column(0))):
                     for _, _, run in candidates(text) if maybe["random"] else ():
-                        e, x = statistics(run)
-                        b = band(len(run))
-                        key = (b, min(MOST_BUCKET, int(p_decibels(x, null_of(known, e, b), len(run)) / DECIBEL)))
+                        key = (band(len(run)), min(MOST_BUCKET, int(evidence(run, known, model) / DECIBEL)))
                         seen[key] = seen.get(key, 0) + 1
         yield pa.record_batch([pa.array([k[0] for k in seen], pa.int32()), pa.array([k[1] for k in seen], pa.int32()),
                                pa.array(list(seen.values()), pa.int64())], ["b", "bucket", "n"])
@@ -226,9 +334,12 @@ def benjamini_hochberg(counts: dict[tuple[int, int], int], rate: float = FDR) ->
 class Rules:
     """What the corpus says about ordinary runs; small enough for every task."""
 
+    model: np.ndarray | None = None
+
     def __init__(self, docs: DataFrame):
         self.known = nulls(docs)
-        self.level = levels(docs, self.known)
+        self.model = taught(docs)
+        self.level = levels(docs, self.known, self.model)
 
     def spans(self, text: str, maybe: dict[str, bool]) -> tuple[list, list]:
         """Base spans, and all spans, ordered by start, then kind."""
@@ -237,9 +348,8 @@ class Rules:
         reach = list(itertools.accumulate((t for _, _, t in base), max))       # the farthest end of the spans up to each
         more = []
         for start, end, run in candidates(text) if maybe["random"] else ():
-            e, x = statistics(run)
             b = band(len(run))
-            bucket = min(MOST_BUCKET, int(p_decibels(x, null_of(self.known, e, b), len(run)) / DECIBEL))
+            bucket = min(MOST_BUCKET, int(evidence(run, self.known, self.model) / DECIBEL))
             before = bisect.bisect_right(starts, start)
             inside = before > 0 and reach[before - 1] >= end
             if bucket * DECIBEL >= self.level.get(b, math.inf) and not inside:
