@@ -116,6 +116,85 @@ def test_licences(docs, nothing):
     assert licences.scan(nothing).count() == 0
 
 
+MIT_TEXT = """The MIT License
+
+Copyright (c) 2019 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+"""
+APACHE_TEXT = """#!/bin/sh
+#
+# Copyright 2020 Some Company, Inc.
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+"""
+GPL2_TEXT = """/* tool.c
+ *
+ * This program is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation; either version 2 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU General Public License for more details.
+ *
+ * You should have received a copy of the GNU General Public License
+ * along with this program; if not, write to the Free Software
+ * Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA. */
+"""
+BSD2_TEXT = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+  * Redistributions of source code must retain the above copyright
+    notice, this list of conditions and the following disclaimer.
+  * Redistributions in binary form must reproduce the above copyright
+    notice, this list of conditions and the following disclaimer in the
+    documentation and/or other materials provided with the distribution.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT OWNER OR CONTRIBUTORS BE LIABLE FOR
+ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES
+(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON
+ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT
+(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+
+
+def test_standard_licence_texts(spark):
+    bsd3 = BSD2_TEXT.replace("THIS SOFTWARE IS", "  * Neither the name of Foo nor the names of its contributors may be used to\n    endorse or promote "
+                             "products derived from this software without\n    specific prior written permission.\nTHIS SOFTWARE IS", 1)
+    shared = "Copyright 2020 X. All rights reserved. Licensed under the Apache License, Version 2.0. See the manual for more about the tool."
+    rows = [(1, MIT_TEXT), (2, APACHE_TEXT), (3, GPL2_TEXT), (4, BSD2_TEXT), (5, bsd3), (6, shared), (7, None), (8, "one"), (9, ""), (10, "the use of the software " * 300),
+            (11, "some prose\n" * 40 + "int main() {} " + MIT_TEXT.replace("\n", " ") + " more of it" * 50), (12, shared + "\n" + MIT_TEXT)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = {1: "MIT", 2: "Apache-2.0", 3: "GPL-2.0", 4: "BSD-2-Clause", 5: "BSD-3-Clause", 7: "", 8: "", 9: "", 10: ""}
+    got = licences.scan(d).collect()
+    assert bag(got) == bag(in_duckdb(licences.oracle(), documents=d))
+    assert {i: {r.doc_id: r.best or "" for r in got}[i] for i in want} == want
+    inside = {r.doc_id: (r.licences, r.best or "") for r in licences.windows(d).collect()}
+    assert inside == {**{i: (n, n) for i, n in want.items()}, 6: ("Apache-2.0", "Apache-2.0"), 11: ("MIT", "MIT"), 12: ("Apache-2.0,MIT", "Apache-2.0")}
+    assert licences.windows(d.limit(0)).count() == 0
+
+
 def test_warc(spark):
     big = "x" * 1200
     rows = [(1, "http://a/1", "<p>WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.1\r\n" + big), (2, "http://a/2", None), (3, None, big),

@@ -20,6 +20,10 @@ def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
+def op3_licence_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.windows(table(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -54,7 +58,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_jaccard_join, op3_licences, op4_warc, op5_secrets, op6_toxicity,
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_jaccard_join, op3_licences, op3_licence_windows, op4_warc, op5_secrets, op6_toxicity,
                                    op7_extraction, op8_quality, op9_mixing, op10_substrings, pipeline)}
 
 #: The others need hashes, models or string edits that SQL lacks; brute-force tests stand for them.
