@@ -322,6 +322,19 @@ def test_extraction(spark):
     assert extraction.extracted(pages.limit(0)).count() == 0
 
 
+def test_marks_inside_an_article_leave_its_text():
+    text = lambda body: [t for t, _ in extraction.blocks(f"<nav>n</nav><article>{body}</article>")]
+    assert text('<section id="search"><h2>Search</h2><p>how it works</p></section>') == ["Search", "how it works"]
+    assert text('<div id="related-work"><p>others</p></div><h4 id="login">Login</h4>') == ["others", "Login"]
+    assert text('<blockquote class="share">said</blockquote><p>a <span class="share">b</span></p>') == ["said", "a b"]
+    assert text('<pre><code>x = 1 <span class="hljs-comment"># one</span> <span class="token comment"># two</span></code></pre>') == ["x = 1 # one # two"]
+    assert text('<figure><figcaption>seen</figcaption></figure><address>street</address><p>if <math><mi>x</mi></math> is</p><dialog>d</dialog>') == ["seen", "street", "if x is", "d"]
+    assert text('<p>t</p><div class="share">tell</div><section class="comments">c</section><div role="navigation">n</div><aside>s</aside><form>f</form>') == ["t"]
+    assert text("<p>t</p><math><mi>y</mi>") == ["t", "y"]
+    outside = extraction.blocks('<div class="menu">m</div><pre>y <span class="token comment"># z</span></pre><address>a</address>')
+    assert outside == [("y # z", False)]
+
+
 def test_longest_common_subsequences():
     import random
     rng = random.Random(3)
