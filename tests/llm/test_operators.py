@@ -335,6 +335,16 @@ def test_marks_inside_an_article_leave_its_text():
     assert outside == [("y # z", False)]
 
 
+def test_a_teaser_is_not_the_article(spark):
+    card = '<article class="teaser"><p>Read our other story</p></article>'
+    page = lambda i: f"<div><p>story {i} {f'and more of {i} ' * 9}</p><p>its end {i}</p></div>{card}<div>Terms of use</div>"
+    pages = spark.createDataFrame([(i, f"http://h.example/a/b{i}", page(i)) for i in range(4)], "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in extraction.extracted(pages).collect()}
+    assert got == {i: f"story {i} {f'and more of {i} ' * 9}".strip() + f"\nits end {i}" for i in range(4)}
+    assert extraction.blocks(page(1))[-2:] == [("Read our other story", False), ("Terms of use", False)]
+    assert extraction.blocks("<p>x</p><article><p>long enough</p></article>") == [("long enough", True)]
+
+
 def test_longest_common_subsequences():
     import random
     rng = random.Random(3)
