@@ -80,8 +80,8 @@ def _gnu(kind: str, version: str, what: str = "program") -> tuple[str, str]:
                    f"See the GNU {kind} for more details. You should have received a copy of the GNU {kind} along with this {what}. If not, see <https://www.gnu.org/licenses/>.")
 
 
-#: Whole notice paragraphs, notices and licence bodies, as their publishers word
-#: them.  What several licences share (the disclaimer of BSD, the later
+#: Whole notice paragraphs, notices and licence bodies, written out by hand and
+#: not compared with the published files.  What several licences share (the disclaimer of BSD, the later
 #: paragraphs of GNU notices) is only in the wholes.  The bodies of Apache, GNU
 #: and Mozilla licences are known by their titles.
 TEMPLATES += (
