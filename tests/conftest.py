@@ -12,7 +12,3 @@ def spark():
     s = get_spark("vaani-tests", master="local[*]", shuffle_partitions=8)
     s.sparkContext.setLogLevel("OFF")
     yield s
-
-
-def one_col(spark, values, name="s"):
-    return spark.createDataFrame([(v,) for v in values], f"{name} string")

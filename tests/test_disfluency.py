@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import one_col
+from frames import one_col
 from vaani.functions.normalize import norm_disfluency
 from vaani.operators import disfluency as D
 

@@ -5,7 +5,7 @@ import unicodedata
 
 from pyspark.sql import functions as F
 
-from conftest import one_col
+from frames import one_col
 from vaani.functions.normalize import norm_asr_basic, norm_disfluency, norm_scoring, norm_word
 
 ALPHABET = ["a", "B", "é", "é", "क", "़", "ड़", "क़", " ", "\t", "\n", " ", " ",

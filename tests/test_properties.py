@@ -6,8 +6,8 @@ import unicodedata
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from conftest import one_col
-from vaani.functions.edit_distance import _dp, word_edits, words
+from frames import one_col, plain_distance
+from vaani.functions.edit_distance import word_edits, words
 from vaani.functions.normalize import norm_disfluency, norm_scoring, norm_word
 from vaani.operators import disfluency as D
 from vaani.operators import scoring as S
@@ -51,7 +51,7 @@ def test_segment_edits_sum_to_corpus(spark):
            .agg(F.sum("word_edits").alias("e")).collect()}
     corpus = {r["model"]: r["word_edits"] for r in S.corpus_metrics(scored).collect()}
     assert per == corpus
-    py = {m: sum(_dp(r[1].split(), r[2 + i].split()) for r in rows) for i, m in enumerate(S.MODEL_COLUMNS)}
+    py = {m: sum(plain_distance(r[1].split(), r[2 + i].split()) for r in rows) for i, m in enumerate(S.MODEL_COLUMNS)}
     assert corpus == py
 
 
@@ -103,4 +103,4 @@ def test_char_distance_counts_code_points(spark):
     got = spark.createDataFrame(rows, "a string, b string").select(
         "a", "b", char_edits(F.col("a"), F.col("b")).alias("d"), F.length("a").alias("n")).collect()
     for r in got:
-        assert r["d"] == _dp(list(r["a"]), list(r["b"])) and r["n"] == len(r["a"])
+        assert r["d"] == plain_distance(list(r["a"]), list(r["b"])) and r["n"] == len(r["a"])
