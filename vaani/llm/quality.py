@@ -3,8 +3,8 @@
 Base rules count words, their code points, symbols, repeated lines and words
 in repeated 5-word windows.  The model compares two multinomials over
 ``BUCKETS`` hashed word n-grams (one and two words): that of the trusted
-texts (label ``quality`` = 1) and that of the whole raw corpus.  A document's
-score is the mean log ratio of its n-grams; the cut is the histogram edge
+texts (label ``quality`` = 1, at most ``MOST_TRUSTED`` of them) and that of
+the whole raw corpus.  A document's score is the mean log ratio of its n-grams; the cut is the histogram edge
 that tells the labelled good from the labelled bad best (balanced accuracy),
 so every document is decided by one fixed number.
 
@@ -34,21 +34,28 @@ BUCKETS = 1 << 16
 SMOOTHING = 0.1
 #: Scores are cut at multiples of this.
 GRAIN = 0.01
+#: At most so many good documents make up the trusted counts (their ids, 16 bytes each, are broadcast).
+MOST_TRUSTED = 20_000
+MILLION = 1_000_000
 
 
-def hashes_of(text: Column) -> Column:
-    """Hashes of the words, in order; the splitter's empty ends are no words."""
-    parts = F.filter(F.split(F.coalesce(text, F.lit("")), BLANK + "+"), lambda w: w != "")
-    return F.transform(parts, lambda w: F.xxhash64(w))
+def words_of(text: Column) -> Column:
+    """The words, in order; the splitter's empty ends are no words."""
+    return F.filter(F.split(F.coalesce(text, F.lit("")), BLANK + "+"), lambda w: w != "")
 
 
-def _gram(words: Column, first: Column, n: int) -> Column:
-    """Hash of ``n`` words from the 1-based place ``first``."""
-    return F.xxhash64(*(F.get(words, first + (j - 1)) for j in range(n)))
+def hashes_of(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _chars(text: Column, chars: str) -> Column:
-    return F.char_length(text) - F.char_length(F.translate(text, chars, ""))
+def _tail(values: Column, n: int) -> Column:
+    """``values`` without its first ``n``."""
+    return F.slice(values, n + 1, F.greatest(F.size(values) - n, F.lit(0)))
+
+
+def _neighbours(values: Column, others: Column) -> Column:
+    """Hash of each value and the other at its place; the last places, without another, mean nothing."""
+    return F.zip_with(values, others, lambda a, b: F.xxhash64(a, b))
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
@@ -56,15 +63,16 @@ def base_counts(docs: DataFrame) -> DataFrame:
     text = F.col("_text")
     df = docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    df = df.select("doc_id", hashes_of(text).alias("words"), lines.alias("lines"),
-                   F.char_length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
-                   _chars(text, SYMBOLS).cast("long").alias("n_symbols"))
-    # The list is named twice in each step, or the optimizer would split the text anew for each window
-    n = F.size("words")
-    places = F.when(n >= WINDOW, F.sequence(F.lit(1), n - (WINDOW - 1))).otherwise(F.array().cast("array<int>"))
-    df = df.select("doc_id", "words", "word_chars", "n_symbols", n.cast("long").alias("n_words"),
-                   (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-                   F.transform(places, lambda i: _gram(F.col("words"), i, WINDOW)).alias("hashes"))
+    df = df.select("doc_id", words_of(text).alias("words"), lines.alias("lines"),
+                   (F.char_length(text) - F.char_length(F.regexp_replace(text, f"[{SYMBOLS}]+", ""))).cast("long").alias("n_symbols"))
+    df = df.select("doc_id", hashes_of(F.col("words")).alias("words"), F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
+                   "n_symbols", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"))
+    # Windows of five grow from two words and four; each list is named twice, or the optimizer would build it anew for each step
+    w = F.col("words")
+    df = df.select("*", _neighbours(w, _tail(w, 1)).alias("two"))
+    df = df.select("*", _neighbours(F.col("two"), _tail(F.col("two"), 2)).alias("four")).drop("two")
+    df = df.select("*", F.size("words").cast("long").alias("n_words"),
+                   F.slice(_neighbours(F.col("four"), _tail(w, 4)), 1, F.greatest(F.size("words") - (WINDOW - 1), F.lit(0))).alias("hashes")).drop("four")
     # only texts that repeat a window sort their windows: equal ones come together
     none = F.array().cast("array<struct<h:bigint,i:int>>")
     pairs = F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
@@ -84,44 +92,57 @@ def base_counts(docs: DataFrame) -> DataFrame:
     return df.withColumn("base_failed", failed)
 
 
-def buckets(words: Column) -> Column:
-    """Buckets of all words and of all pairs of neighbouring words, as one array."""
-    n = F.size(words)
-    ones = F.transform(words, lambda w: F.pmod(w, F.lit(BUCKETS)).cast("int"))
-    pairs = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.pmod(_gram(words, i, 2), F.lit(BUCKETS)).cast("int"))
-                   ).otherwise(F.array().cast("array<int>"))
-    return F.concat(ones, pairs)
+def buckets(words: Column) -> tuple[Column, Column]:
+    """Buckets of all words, and of all pairs of neighbouring words."""
+    def bucket(h: Column) -> Column:
+        return h.bitwiseAND(F.lit(BUCKETS - 1).cast("long")).cast("int")
+
+    left = F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))
+    return F.transform(words, bucket), F.zip_with(left, _tail(words, 1), lambda a, b: bucket(F.xxhash64(a, b)))
+
+
+def trusted_ids(labels: DataFrame, most: int = MOST_TRUSTED) -> DataFrame:
+    """(doc_id): at most ``most`` documents that are labelled good, by the smallest hashes of their ids."""
+    marks = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("good"))
+    good = marks.where("good = 1 AND doc_id IS NOT NULL").select("doc_id")
+    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
-def model(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(bucket, ratio): log of the trusted over the raw share of each bucket that occurs."""
-    good = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("good")).where("good = 1").select("doc_id")
-    words = docs.select(F.col("doc_id").cast("long").alias("doc_id"), hashes_of(F.col("text").cast("string")).alias("words"))
-    # both multinomials are counted in one pass over the words
-    marked = words.join(good.withColumn("good", F.lit(True)), "doc_id", "left").select("words", "good")
-    both = (marked.select(F.explode(buckets(F.col("words"))).alias("bucket"), "good").groupBy("bucket")
+def model(docs: DataFrame, labels: DataFrame, most: int = MOST_TRUSTED) -> DataFrame:
+    """(bucket, ratio): log of the trusted over the raw share of each bucket that occurs, in millionths."""
+    # both multinomials are counted in one pass; a task sends at most BUCKETS partial counts
+    words = docs.select(F.col("doc_id").cast("long").alias("doc_id"), hashes_of(words_of(F.col("text").cast("string"))).alias("words"))
+    good = F.broadcast(stored(trusted_ids(labels, most), "trusted").withColumn("good", F.lit(True)))
+    marked = words.join(good, "doc_id", "left").select(F.concat(*buckets(F.col("words"))).alias("buckets"), "good")
+    both = (marked.select(F.explode("buckets").alias("bucket"), "good").groupBy("bucket")
             .agg(F.count("*").alias("raw"), F.count("good").alias("trusted")))
     both = stored(both, "ngrams")
     t = both.agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"), F.count("*").alias("n")).first()
     if not t.trusted:
-        return both.select("bucket", F.lit(0.0).alias("ratio"))
+        return both.select("bucket", F.lit(0).cast("long").alias("ratio"))
     add_raw, add_trusted = SMOOTHING * t.raw / t.n, SMOOTHING * t.trusted / t.n
     shift = math.log((t.raw + SMOOTHING * t.raw) / (t.trusted + SMOOTHING * t.trusted))
-    return both.select("bucket", (F.log((F.col("trusted") + add_trusted) / (F.col("raw") + add_raw)) + shift).alias("ratio"))
+    ratio = F.log((F.col("trusted") + add_trusted) / (F.col("raw") + add_raw)) + shift
+    return both.select("bucket", F.round(ratio * MILLION).cast("long").alias("ratio"))
 
 
-def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def scores(docs: DataFrame, labels: DataFrame, most: int = MOST_TRUSTED) -> DataFrame:
     """Base counts and ``score`` of every document."""
-    # the model has at most BUCKETS rows of 12 bytes
-    ratio = F.broadcast(stored(model(docs, labels), "ratios"))
-    base = base_counts(docs).withColumn("_row", F.monotonically_increasing_id())
-    names = ["_row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    rows = base.select(*names, F.explode_outer(buckets(F.col("words"))).alias("bucket")).join(ratio, "bucket", "left")
-    # summed in whole millionths: the order in which rows meet doesn't change a score
-    part = F.round(F.coalesce("ratio", F.lit(0.0)) * 1_000_000).cast("long")
-    return (rows.groupBy(*names).agg(F.sum(part).alias("total"), F.count("bucket").alias("n"))
-            .withColumn("score", F.when(F.col("n") > 0, F.col("total") / F.col("n") / 1_000_000).otherwise(0.0))
-            .drop("_row", "total", "n"))
+    spark = docs.sparkSession
+    # one array of BUCKETS numbers; a text's ratios are added up in its own row,
+    # in whole millionths, so their order doesn't change a score
+    every = spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(F.broadcast(model(docs, labels, most)), "bucket", "left")
+    filled = F.struct("bucket", F.coalesce("ratio", F.lit(0).cast("long")).alias("ratio"))
+    ratios = stored(every.agg(F.array_sort(F.collect_list(filled)).getField("ratio").alias("ratios")), "ratios")
+    base = base_counts(docs).withColumn("_ratios", ratios.scalar())
+    ones, pairs = buckets(F.col("words"))
+
+    def total(found: Column) -> Column:
+        return F.aggregate(found, F.lit(0).cast("long"), lambda a, b: a + F.get(F.col("_ratios"), b))
+
+    n = 2 * F.col("n_words") - 1
+    score = F.when(n > 0, (total(ones) + total(pairs)) / n / MILLION).otherwise(0.0)
+    return base.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", score.alias("score"))
 
 
 def cut(scored: DataFrame, labels: DataFrame) -> float | None:
