@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vaani.llm import decontamination, extraction, jaccard, licences, mixing, quality, secrets, substrings, toxicity, warc
+from vaani.llm import chat, decontamination, extraction, jaccard, licences, mixing, quality, secrets, substrings, toxicity, warc
 from vaani.sources.tables import table
 
 
@@ -53,15 +53,19 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.round_trip(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_jaccard_join, op3_licences, op3_licence_windows, op4_warc, op5_secrets, op6_toxicity,
-                                   op7_extraction, op8_quality, op9_mixing, op10_substrings, pipeline)}
+                                   op7_extraction, op8_quality, op9_mixing, op10_substrings, op11_chat, pipeline)}
 
 #: The others need hashes, models or string edits that SQL lacks; brute-force tests stand for them.
 ORACLE = {
-    "op3_licences": licences.oracle(), "op4_warc": warc.ORACLE, "op9_mixing": mixing.ORACLE,
+    "op3_licences": licences.oracle(), "op4_warc": warc.ORACLE, "op9_mixing": mixing.ORACLE, "op11_chat": chat.ORACLE,
 }
