@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vaani.llm import chat, decontamination, extraction, jaccard, licences, mixing, negatives, quality, secrets, substrings, toxicity, warc
+from vaani.llm import chat, decontamination, extraction, jaccard, licences, mixing, negatives, quality, ranked, secrets, substrings, toxicity, warc
 from vaani.sources.tables import table
 
 
@@ -61,15 +61,19 @@ def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mined(table(spark, sf_dir, "embeddings"))
 
 
+def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_jaccard_join, op3_licences, op3_licence_windows, op4_warc, op5_secrets, op6_toxicity,
-                                   op7_extraction, op8_quality, op9_mixing, op10_substrings, op11_chat, op12_negatives, pipeline)}
+                                   op7_extraction, op8_quality, op9_mixing, op10_substrings, op11_chat, op12_negatives, op13_ranked, pipeline)}
 
 #: The others need hashes, models or string edits that SQL lacks; brute-force tests stand for them.
 ORACLE = {
-    "op3_licences": licences.oracle(), "op4_warc": warc.ORACLE, "op9_mixing": mixing.ORACLE, "op11_chat": chat.ORACLE, "op12_negatives": negatives.ORACLE,
+    "op3_licences": licences.oracle(), "op4_warc": warc.ORACLE, "op9_mixing": mixing.ORACLE, "op11_chat": chat.ORACLE, "op12_negatives": negatives.ORACLE, "op13_ranked": ranked.ORACLE,
 }
