@@ -60,7 +60,7 @@ POSTINGS_SCHEMA = "doc_id long, n long, terms array<int>, counts array<int>"
 #: A shard: document ids; documents and parts of the posting lists, cut into blocks (``block_ends``), the lists'
 #: terms, first blocks and highest parts; and for each list's term the blocks that hold it with their maxima.
 INDEX = ["ids", "docs", "parts", "block_ends", "list_terms", "list_blocks", "list_most", "sum_ends", "sum_blocks", "sum_parts"]
-INDEX_SCHEMA = ", ".join(f"{name} array<{'long' if name == 'ids' else 'int'}>" for name in INDEX)
+INDEX_SCHEMA = "n_docs int, shard binary"
 ANSWER_SCHEMA = "item int, doc_id long, score long"
 
 
@@ -193,6 +193,20 @@ def shard(ids: np.ndarray, ends: np.ndarray, terms: np.ndarray, parts: np.ndarra
                             blocks[by_term], values[by_term])))
 
 
+def packed_shard(made: dict[str, np.ndarray]) -> bytes:
+    """A shard's arrays as one compressed value: readers that hold many rows of a table hold a few MB."""
+    row = pa.record_batch([list_column(pa.array(made[name].astype(np.int64 if name == "ids" else np.int32)), [0, len(made[name])]) for name in INDEX], INDEX)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, row.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(row)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked_shard(value: pa.Buffer) -> dict[str, np.ndarray]:
+    row = pa.ipc.open_stream(value).read_next_batch()
+    return {name: row.column(i).flatten().to_numpy(zero_copy_only=False) for i, name in enumerate(INDEX)}
+
+
 def build_index(posted: DataFrame, size: int, n_docs: int, n_terms: int) -> DataFrame:
     """A stored table with one row for each shard."""
     def row(kept: list[tuple]) -> pa.RecordBatch:
@@ -201,7 +215,7 @@ def build_index(posted: DataFrame, size: int, n_docs: int, n_terms: int) -> Data
         m = 75 + (25 * n * n_docs) // n_terms
         parts = (1_000_000_000 * tf) // (1000 * tf + 12 * np.repeat(m, widths))
         made = shard(ids, np.append(0, np.cumsum(widths)), terms.astype(np.int64), parts, size)
-        return pa.record_batch([list_column(pa.array(x.astype(np.int64 if name == "ids" else np.int32)), [0, len(x)]) for name, x in made.items()], list(made))
+        return pa.record_batch([pa.array([len(ids)], pa.int32()), pa.array([packed_shard(made)], pa.binary())], ["n_docs", "shard"])
 
     def build(batches):
         kept, held = [], 0
@@ -284,8 +298,8 @@ def search(index: DataFrame, queries: list[list[tuple[int, int]]], size: int, k:
         best = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(wanted)
         weights = np.zeros(size, np.int64)
         for batch in batches:
-            for i in range(batch.num_rows):
-                made = {name: batch.column(j)[i].values.to_numpy(zero_copy_only=False) for j, name in enumerate(INDEX)}
+            for value in batch.column(0):
+                made = unpacked_shard(value.as_buffer())
                 for q, (terms, worth) in enumerate(wanted):
                     weights[terms] = worth
                     best[q] = best_of(made, weights, best[q], k)
@@ -295,7 +309,7 @@ def search(index: DataFrame, queries: list[list[tuple[int, int]]], size: int, k:
         yield pa.record_batch([pa.array(item), pa.array(ids), pa.array(scores)], ["item", "doc_id", "score"])
 
     first = W.partitionBy("item").orderBy(F.desc("score"), "doc_id")
-    return index.mapInArrow(look, ANSWER_SCHEMA).withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k)
+    return index.select("shard").mapInArrow(look, ANSWER_SCHEMA).withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k)
 
 
 def weight(n_docs: int, df: int) -> int:
