@@ -70,7 +70,7 @@ def test_join_equals_one_pattern_per_phrase(spark):
     lex = spark.createDataFrame([("A", 0, "and the", 0), ("A", 0, "re-do", 1), ("B", 1, "the", 0), ("B", 1, "of it", 1),
                                  ("C", 2, "?!", 0)],
                                 "type string, type_ord int, phrase string, phrase_ord int")
-    a = {r["recording_id"]: r["hits"] for r in D.detect(seg, lex, rules=False).collect()}
+    a = {r["recording_id"]: [h for h in r["hits"] if h["match_rule"] == D.LEXICON_RULE] for r in D.detect(seg, lex).collect()}
     rows = lex.orderBy("type_ord", "phrase_ord").collect()
     for r in seg.select("recording_id", "raw_text", *[F.col("raw_text").rlike(D.phrase_pattern(p["phrase"])).alias(f"p{i}")
                                                     for i, p in enumerate(rows)]).collect():

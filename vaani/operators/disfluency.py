@@ -164,71 +164,115 @@ def type_counts(occ: DataFrame) -> DataFrame:
     return occ.groupBy("disfluency_type").agg(F.count(F.lit(1)).alias("occurrences"))
 
 
-def _key(col: Column) -> Column:
-    """Join key: the phrase/n-gram with every non-word character removed
-    (hyphens may glue or split tokens, so only the word characters are
-    invariant).  A phrase without word characters has its first character
-    that is neither space nor hyphen as key, behind a mark; one of spaces and
-    hyphens only may match anywhere and has the mark alone."""
-    word = F.array_join(F.regexp_extract_all(col, F.lit(W + "+"), 0), "")
-    return F.when(word != "", word).otherwise(F.concat(F.lit(_SIGN), F.substring(F.regexp_replace(col, SEP, ""), 1, 1)))
-
-
-_SIGN = "\x00"
+#: Begins the keys of phrases that are more than words and plain separators, and those of signs; ends a posting's key.
+_LOOSE, _SIGN, _MARK = "\x01", "\x00", "\x02"
+#: A word character that stands for the neighbouring words of a piece of text.
+_EDGE = "\u097f"
+#: An n-gram found in nearly every segment is dealt over so many tasks.
+SALTS = 16
+
+
+def _words_of(col: Column) -> Column:
+    return F.regexp_extract_all(col, F.lit(W + "+"), 0)
+
+
+def _is_plain(phrase: Column) -> Column:
+    """Begins and ends with a word character and has no hyphen: in normalized
+    text, whose spaces are single, such a phrase stands exactly as written."""
+    return phrase.rlike("^" + W + "(?:.*" + W + ")?$") & ~F.contains(phrase, F.lit("-"))
+
+
+def _phrase_key(phrase: Column) -> Column:
+    """What a phrase is joined by: itself if plain; else its word characters
+    (hyphens may glue or split words, so only these are invariant); without
+    any, its first character that is neither space nor hyphen, if it has one."""
+    word = F.array_join(_words_of(phrase), "")
+    return (F.when(_is_plain(phrase), phrase).when(word != "", F.concat(F.lit(_LOOSE), word))
+            .otherwise(F.concat(F.lit(_SIGN), F.substring(F.regexp_replace(phrase, SEP, ""), 1, 1))))
+
+
+def phrase_postings(segments: DataFrame, lexicon: DataFrame, keys: list[str], text_col: str = "text_norm",
+                    positions: bool = False) -> DataFrame:
+    """D3: the lexicon phrases found in each normalized text: ``keys``, type,
+    type_ord, phrase, phrase_ord, and with ``positions`` one row for each
+    place, ``start`` being the number of words before it.
+
+    A text is cut into words and the separators around them.  Its n-grams, of
+    the sizes that occur in the lexicon, are postings (segment, n-gram with
+    its separators, start) and are joined with the phrases by equality, which
+    proves a plain phrase.  Phrases with hyphens, or signs at an end, are
+    joined by their word characters and proved by the posting's own piece of
+    text, so no text is sent.  Each n-gram of a segment is sent once, and dealt over
+    ``SALTS`` tasks, so that one found everywhere has no task of its own.
+    """
+    lex = lexicon.withColumn("k", _phrase_key(F.col("phrase"))).withColumn("_n", F.size(_words_of(F.col("phrase"))))
+    plain, sign = _is_plain(F.col("phrase")), F.col("k").startswith(_SIGN)
+    # hyphens may glue, spaces never: a loose phrase is between (parts with words) and (words) n-grams long
+    parts = F.size(F.filter(F.split(F.col("phrase"), " "), lambda x: x.rlike(W)))
+    sizes = lex.agg(F.collect_set(F.when(plain, F.col("_n"))).alias("plain"), F.min(F.when(~plain & ~sign, parts)).alias("lo"),
+                    F.max(F.when(~plain & ~sign, F.col("_n"))).alias("hi"), F.count_if(sign).alias("signs")).first()
+    words, gaps = F.col("_w"), F.col("_g")
+    edge = lambda there: F.when(there, F.lit(_EDGE)).otherwise(F.lit(""))
+
+    def posting(k, piece, start):
+        # one string, because equal strings of a long array are found by hashing; a piece stands behind a mark
+        text = k if piece is None else F.concat(k, F.lit(_MARK), piece)
+        return F.struct(text.alias("p"), start.cast("int").alias("start")) if positions else text
+
+    def grams(n, of):
+        places = F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, of)          # ``of`` takes a place
+
+    def core(i, n):
+        return F.concat(F.get(words, i), *[x for j in range(1, n) for x in (F.get(gaps, i + j), F.get(words, i + j))])
+
+    def loose(n):
+        return grams(n, lambda i: posting(
+            F.concat(F.lit(_LOOSE), *[F.get(words, i + j) for j in range(n)]),
+            F.concat(edge(i > 0), F.get(gaps, i), core(i, n), F.get(gaps, i + n), edge(i + n < F.size(words))), i))
+
+    def signs(gap, i):
+        piece = F.concat(edge(i > 0), gap, edge(i < F.size(words)))
+        found = F.filter(F.array_distinct(F.split(F.regexp_replace(gap, SEP, ""), "")), lambda c: c != "")
+        return F.transform(F.concat(F.array(F.lit("")), found), lambda c: posting(F.concat(F.lit(_SIGN), c), piece, i))
+
+    def exact(n):
+        return grams(n, lambda i: posting(core(i, n), None, i))
+
+    lists = [exact(n) for n in sorted(sizes["plain"])]
+    lists += [loose(n) for n in range(max(sizes["lo"], 1), sizes["hi"] + 1)] if sizes["hi"] else []
+    lists += [F.flatten(F.transform(gaps, signs))] if sizes["signs"] else []
+    found = F.concat(*lists) if lists else F.array(posting(F.lit(""), None, F.lit(0)))
+    cut = segments.select(*keys, _words_of(F.col(text_col)).alias("_w"), F.split(F.col(text_col), W + "+", -1).alias("_g"))
+    # an outer explode keeps the filter off the projection that builds the list
+    rows = cut.select(*keys, F.explode_outer(found if positions else F.array_distinct(found)).alias("_p"))
+    text = F.col("_p.p") if positions else F.col("_p")
+    mark = F.instr(text, _MARK)
+    rows = rows.select(*keys, F.when(mark > 0, F.substring_index(text, _MARK, 1)).otherwise(text).alias("k"),
+                       F.when(mark > 0, F.substring(text, mark + 1, F.char_length(text))).alias("_piece"),
+                       *([F.col("_p.start").alias("start")] if positions else []), F.pmod(F.xxhash64(*keys), F.lit(SALTS)).alias("_salt"))
+    salted = lex.select("k", "type", "type_ord", "phrase", "phrase_ord", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_salt"))
+    hits = rows.join(salted, ["k", "_salt"]).where(F.col("_piece").isNull() | _stands(F.col("_piece"), F.col("phrase")))
+    return hits.select(*keys, "type", "type_ord", "phrase", "phrase_ord", *(["start"] if positions else []))
+
+
+def lexicon_hits(segments: DataFrame, lexicon: DataFrame, keys: list[str], text_col: str = "text_norm") -> DataFrame:
+    """Per segment with hits: ``_lex``, its phrases in lexicon order (at most the lexicon)."""
+    return phrase_postings(segments, lexicon, keys, text_col).groupBy(*keys).agg(
+        F.array_sort(F.collect_set(F.struct("type_ord", "phrase_ord", "type", "phrase"))).alias("_lex"))
 
 
 def detect(segments: DataFrame, lexicon: DataFrame, text_col: str = "raw_text",
-                mode: str = "parity", seg_keys=("recording_id", "segment_idx"), rules: bool = True) -> DataFrame:
-    """Add ``text_norm`` and ordered, de-duplicated ``hits``.
-
-    Each segment emits the keys of its token n-grams and of its signs;
-    phrases emit their key; an equi-join finds candidates, which are
-    verified with the exact phrase pattern.  The verified hits are
-    re-assembled per segment in lexicon order.  One matcher serves lexicons of
-    any size.
-    """
+           mode: str = "parity", seg_keys=("recording_id", "segment_idx")) -> DataFrame:
+    """Add ``text_norm`` and ordered, de-duplicated ``hits``: the
+    lexicon phrases in lexicon order, then the regex rules' matches."""
     keys = list(seg_keys)
     s = segments.withColumn("text_norm", norm_disfluency(F.coalesce(F.col(text_col), F.lit(""))))
-    lex = lexicon.withColumn("k", _key(F.col("phrase"))).withColumn(
-        "n_runs", F.size(F.regexp_extract_all(F.col("phrase"), F.lit(W + "+"), 0)))
-    # a phrase spans between (space-separated parts with word characters)
-    # and (word runs) text tokens: spaces never glue, hyphens may.  One small
-    # job over the lexicon gives both bounds and whether any phrase has no
-    # word characters
-    parts = F.size(F.filter(F.split(F.col("phrase"), " "), lambda x: x.rlike(W)))
-    keyed = ~F.col("k").startswith(_SIGN)
-    bounds = lex.agg(F.min(F.when(keyed, parts)).alias("lo"), F.max(F.when(keyed, F.col("n_runs"))).alias("hi"),
-                     F.count_if(~keyed).alias("keyless")).first()
-    min_n, max_n = max(bounds["lo"] or 1, 1), bounds["hi"] or 1
-    toks = F.regexp_extract_all(F.col("text_norm"), F.lit(W + "+"), 0)
-    # n-gram keys are built inside one array per segment (no per-token copy
-    # of the token array) and de-duplicated before exploding, so a phrase
-    # repeated throughout a long text yields one candidate row
-    def grams_of(n):
-        return F.when(F.size("_t") >= n, F.transform(
-            F.sequence(F.lit(0), F.size("_t") - n),
-            lambda i: F.array_join(F.slice("_t", i + 1, n), ""))).otherwise(F.array().cast("array<string>"))
-    signs = F.concat(F.array(F.lit(_SIGN)), F.transform(F.regexp_extract_all(F.col("text_norm"), F.lit(SIGNS), 0),
-                                                        lambda c: F.concat(F.lit(_SIGN), c)))
-    signs = signs if bounds["keyless"] else F.array().cast("array<string>")
-    keys_arr = F.array_distinct(F.concat(F.flatten(F.array(*[grams_of(n) for n in range(min_n, max_n + 1)])), F.col("_s")))
-    grams = (s.select(*keys, toks.alias("_t"), signs.alias("_s"))
-             .select(*keys, F.explode_outer(keys_arr).alias("k")).where(F.col("k").isNotNull()))
-    cand = (grams.join(lex.select("k", "type", "type_ord", "phrase", "phrase_ord"), "k")
-            .select(*keys, "type_ord", "phrase_ord", "type", "phrase").distinct())
-    # candidates per segment are bounded by the lexicon size; one join brings
-    # them to the text, where each is verified with its exact pattern
-    per_seg = cand.groupBy(*keys).agg(F.collect_list(
-        F.struct("type_ord", "phrase_ord", "type", "phrase")).alias("_cand"))
-    out = s.join(per_seg, keys, "left")
-    out = out.withColumn("_lex", F.filter(F.col("_cand"), lambda c: _matches(F.col("text_norm"), c["phrase"])))
-    every = F.array_sort(F.coalesce(F.col("_lex"), F.array().cast(
-        "array<struct<type_ord:int,phrase_ord:int,type:string,phrase:string>>")))
+    out = s.join(lexicon_hits(s, lexicon, keys), keys, "left")
+    every = F.coalesce(F.col("_lex"), F.array().cast("array<struct<type_ord:int,phrase_ord:int,type:string,phrase:string>>"))
     lex_hits = F.transform(every, lambda h: _hit_col(h["type"], h["phrase"]))
-    # ``rules=False``: lexicon hits only (the regex rules are not evaluated)
-    hits = F.concat(lex_hits, regex_hits(F.col("text_norm"), mode)) if rules else lex_hits
-    return (out.withColumn("hits", F.array_distinct(hits)).withColumn("has_disfluency", F.size("hits") > 0)
-            .drop("_lex", "_cand"))
+    hits = F.concat(lex_hits, regex_hits(F.col("text_norm"), mode))
+    return out.withColumn("hits", F.array_distinct(hits)).withColumn("has_disfluency", F.size("hits") > 0).drop("_lex")
 
 
 def _hit_col(t: Column, text: Column) -> Column:
@@ -239,16 +283,15 @@ def _quote_repl(s: str) -> str:
     return s.replace("\\", "\\\\").replace("$", "\\$")
 
 
-def _matches(text: Column, phrase: Column) -> Column:
-    """:func:`phrase_pattern` built from a phrase column, then matched."""
+def _stands(piece: Column, phrase: Column) -> Column:
+    """Whether a phrase that isn't plain stands in a posting's piece of text:
+    :func:`phrase_pattern` built from the phrase, over the whole piece if the
+    phrase has words (they are the piece's words), anywhere in it if not."""
     def body(p):
         esc = F.regexp_replace(p, r"([!-,./:-@\[-^`{-~])", r"\\$1")
         b = F.regexp_replace(esc, "-", _quote_repl(PY_WS_CLASS[:-1] + r"\-]*"))
         return F.regexp_replace(b, " ", _quote_repl(PY_WS_RUN))
     guard_end = F.lit("(?!" + W + ")")
-    literal_first = F.concat(F.substring(phrase, 1, 1), F.lit("(?<!" + W + ".)"),
-                             body(F.substring(phrase, 2, 1 << 30)),
-                             guard_end)
-    plain = F.concat(F.lit("(?<!" + W + ")"), body(phrase), guard_end)
-    pat = F.when(F.substring(phrase, 1, 1).rlike("^" + W + "$"), literal_first).otherwise(plain)
-    return F.regexp_like(text, pat)
+    pattern = F.concat(F.lit("(?<!" + W + ")"), body(phrase), guard_end)
+    around = F.concat(F.lit("^" + _EDGE + "?" + NOT_W + "*"), pattern, F.lit(NOT_W + "*" + _EDGE + "?$"))
+    return F.regexp_like(piece, F.when(phrase.rlike(W), around).otherwise(pattern))

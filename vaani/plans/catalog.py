@@ -26,7 +26,7 @@ def register(fn: Query) -> Query:
 
 
 def _evaluation(spark, sf_dir):
-    sheet = X.model_sheet(table(spark, sf_dir, "conversations"))
+    sheet = X.model_sheet(_conv(spark, sf_dir))
     return evaluate_models(sheet, X.SHEET_KEYS)
 
 
@@ -369,17 +369,27 @@ def q_report_table(spark, sf_dir):
 
 # ---------------------------------------------------------------- audio (rows-only checks)
 
-@register
-def q_benchmark_phrases(spark, sf_dir):
-    """D3 form (b): a lexicon of every benchmark word bigram (thousands of
-    phrases) matched over whole documents by the n-gram equi-join, each hit
-    verified with its exact phrase pattern."""
+def _benchmark_postings(spark, sf_dir, positions):
+    from ..functions.normalize import norm_disfluency
     from ..operators import disfluency as D
     lex = X.benchmark_bigram_lexicon(table(spark, sf_dir, "benchmark"))
-    det = D.detect(_docs(spark, sf_dir), lex, text_col="text", seg_keys=("doc_id",), rules=False)
-    hits = det.select("doc_id", F.posexplode_outer("hits").alias("hit_idx", "h")).where(F.col("hit_idx").isNotNull())
-    return hits.where(F.col("h.match_rule") == "lexicon").select(
-        "doc_id", "hit_idx", F.col("h.matched_text").alias("phrase"))
+    docs = _docs(spark, sf_dir).select("doc_id", norm_disfluency(F.col("text")).alias("text_norm"))
+    return (D.phrase_postings(docs, lex, ["doc_id"], positions=True) if positions else D.lexicon_hits(docs, lex, ["doc_id"]))
+
+
+@register
+def q_benchmark_phrases(spark, sf_dir):
+    """D3: a lexicon of every benchmark word bigram (thousands of phrases)
+    matched over whole documents by their n-gram postings."""
+    hits = _benchmark_postings(spark, sf_dir, False).select("doc_id", F.posexplode_outer("_lex").alias("hit_idx", "h"))
+    return hits.select("doc_id", "hit_idx", F.col("h.phrase").alias("phrase"))
+
+
+@register
+def q_phrase_positions(spark, sf_dir):
+    """D3: every place of every benchmark word bigram in whole documents:
+    ``start`` words come before it."""
+    return _benchmark_postings(spark, sf_dir, True).select("doc_id", "phrase", "start")
 
 
 @register

@@ -323,6 +323,11 @@ ORACLE["q_benchmark_phrases"] = (
     f"SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY phrase) - 1 AS INTEGER) AS hit_idx, phrase "
     f"FROM ({_DOC_BIGRAMS}) WHERE phrase IN ({_BENCH_LEX})")
 
+ORACLE["q_phrase_positions"] = (
+    f"SELECT doc_id, tk[i] || ' ' || tk[i + 1] AS phrase, CAST(i - 1 AS INTEGER) AS start FROM "
+    f"(SELECT doc_id, tk, gp, unnest(range(1, len(tk))) AS i FROM ({_DOCS_T})) "
+    f"WHERE regexp_full_match(gp[i + 1], {P.q(P.WS_RUN)}) AND tk[i] || ' ' || tk[i + 1] IN ({_BENCH_LEX})")
+
 # strict_tokens mode over Devanagari-transliterated documents: whole word
 # runs, so the chain restatement is exact for any script
 
