@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.edit_distance import char_edits, encode_words, wer_words
+from ..functions.edit_distance import banded, char_edits, encode_words, vocabulary, wer_words, words
 from ..functions.normalize import norm_scoring, norm_strip, null_to_text
 
 # The model columns of the evaluation sheet, in sheet order.
@@ -65,26 +65,28 @@ def score_sheet(sheet: DataFrame, models: Sequence[str] = MODEL_COLUMNS,
     """
     require_columns(sheet, [ref_col, *models])
     norm = _normalizer(profile, null_policy)
+    # the scoring profile leaves single spaces alone, which is all that splitting needs
+    split = words if profile == "scoring" else wer_words
     df = sheet.withColumn("ref_norm", norm(F.col(f"`{ref_col}`")))
     if on_empty_ref == "skip":
         df = df.where(F.col("ref_norm") != "")
-    df = df.withColumn("_rw", wer_words("ref_norm"))
     # one projection normalizes every hypothesis once ...
-    df = df.select("*", *[norm(F.col(f"`{m}`")).alias(f"_h{i}")
-                          for i, m in enumerate(models)])
-    # ... one vocabulary per sheet row encodes the reference once and each
-    # hypothesis once (one code point per word) ...
     n = len(models)
-    df = df.select("*", *[wer_words(F.col(f"_h{i}")).alias(f"_hw{i}") for i in range(n)])
-    df = df.withColumn("_voc", F.array_distinct(F.concat(F.col("_rw"), *[F.col(f"_hw{i}") for i in range(n)])))
-    df = df.select("*", encode_words(F.col("_rw"), F.col("_voc")).alias("_rc"),
-                   *[F.when(F.col(f"_h{i}") != F.col("ref_norm"), encode_words(F.col(f"_hw{i}"), F.col("_voc"))).alias(f"_hc{i}")
-                     for i in range(n)])
+    df = df.select("*", *[norm(F.col(f"`{m}`")).alias(f"_h{i}") for i, m in enumerate(models)])
+    # ... a hypothesis equal to the reference has no edits and isn't split ...
+    differs = [F.col(f"_h{i}") != F.col("ref_norm") for i in range(n)]
+    df = df.select("*", split("ref_norm").alias("_rw"),
+                   *[F.when(d, split(F.col(f"_h{i}"))).alias(f"_hw{i}") for i, d in enumerate(differs)])
+    # ... what the other texts of a row need to be coded is found once ...
+    every = F.concat(F.col("_rw"), *[F.coalesce(F.col(f"_hw{i}"), F.array().cast("array<string>")) for i in range(n)])
+    df = df.select("*", F.when(F.greatest(*[d.cast("int") for d in differs], F.lit(0)) == 1, vocabulary(every)).alias("_voc"))
+    # ... each text is coded once (one code point per word) ...
+    df = df.select("*", F.when(F.col("_voc").isNotNull(), encode_words(F.col("_rw"), F.col("_voc"))).alias("_rc"),
+                   *[F.when(F.col(f"_hw{i}").isNotNull(), encode_words(F.col(f"_hw{i}"), F.col("_voc"))).alias(f"_hc{i}") for i in range(n)])
     # ... and the next computes edit counts once per (reference, hypothesis)
     # pair (a separate projection: CollapseProject will not duplicate them)
-    # a hypothesis equal to the reference is not encoded and has no edits
-    df = df.select("*", *[F.when(F.col(f"_hc{i}").isNull(), F.lit(0)).otherwise(
-                              F.levenshtein(F.col("_rc"), F.col(f"_hc{i}"))).cast("long").alias(f"_we{i}") for i in range(n)],
+    df = df.select("*", *[F.when(F.col(f"_hc{i}").isNull(), F.lit(0)).otherwise(banded(F.col("_rc"), F.col(f"_hc{i}"))).cast("long").alias(f"_we{i}")
+                          for i in range(n)],
                    *[char_edits(F.col("ref_norm"), F.col(f"_h{i}")).alias(f"_ce{i}") for i in range(n)])
     nw, nc = F.size("_rw"), F.length("ref_norm")
     entries = []
