@@ -44,7 +44,7 @@ def run_prepare(spark: SparkSession, metadata_csv: str, transcripts_dir: str, au
     """Segment-level training set with clips at the recordings' rates, split exactly, written
     ``partitionBy("split")``; recordings whose audio is absent or whose
     transcript is invalid are reported as failures."""
-    recs = IO.read_csv(spark, metadata_csv, IO.RECORDINGS_SCHEMA, required=["recording_id", "language"])
+    recs = IO.read_csv(spark, metadata_csv, IO.RECORDINGS_SCHEMA, required=["recording_id", "language"], splittable=True)
     transcripts = IO.read_transcripts(spark, transcripts_dir)
     audio = IO.read_audio(spark, audio_dir)
     p = PR.prepare_segments(recs, transcripts, language, min_segment_sec, max_segment_sec,
@@ -87,7 +87,7 @@ def run_disfluency(spark: SparkSession, metadata_csv: str, lexicon_csv: str, tra
     """Occurrence sheet (CSV + Parquet), one clip per segment with hits, and
     the run summary.  The staged transcript files double as the object
     manifest for URL resolution."""
-    recs = IO.read_csv(spark, metadata_csv, IO.RECORDINGS_SCHEMA, required=["recording_id", "language"])
+    recs = IO.read_csv(spark, metadata_csv, IO.RECORDINGS_SCHEMA, required=["recording_id", "language"], splittable=True)
     transcripts = IO.read_transcripts(spark, transcripts_dir)
     audio = IO.read_audio(spark, audio_dir)
     lexicon = D.build_lexicon(D.wide_lexicon_to_long(IO.read_lexicon_sheet(spark, lexicon_csv)))
@@ -134,7 +134,7 @@ def run_disfluency(spark: SparkSession, metadata_csv: str, lexicon_csv: str, tra
 
 def run_spelling(spark: SparkSession, words_csv: str, output_dir: str, na_values: bool = False) -> dict:
     """Unique-word labels (CSV + Parquet) and the reason breakdown."""
-    words = IO.read_csv(spark, words_csv, na_values=na_values)
+    words = IO.read_csv(spark, words_csv, na_values=na_values, splittable=True)
     S.require_columns(words, ["word"])
     labeled = O.label_words(O.distinct_words(words))
     labeled.write.mode("overwrite").parquet(os.path.join(output_dir, "labels"))

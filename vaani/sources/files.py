@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .sheets import read_sheet
+
 RECORDINGS_SCHEMA = ("user_id string, recording_id string, language string, rec_url_gcp string, "
                      "transcription_url_gcp string, metadata_url_gcp string, audio_url string, "
                      "transcription_url string")
@@ -23,18 +25,18 @@ NA_VALUES = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | None = None, na_values: bool = False,
-             multiline: bool = True, required: Sequence[str] = ()) -> DataFrame:
+             multiline: bool = True, required: Sequence[str] = (), splittable: bool = False) -> DataFrame:
     """Header CSV, UTF-8 BOM stripped by the reader, columns bound by name.
 
     All columns are read as strings under the header's names; with ``schema``
     its columns are selected by name and cast, in any order, extra columns
     dropped, absent ones null.  ``required`` names must be in the header
-    (S8).  ``multiline`` allows quoted newlines, at the price of one task per file; without
-    it the read is splittable.  ``na_values=True`` turns the usual
+    (S8).  ``multiline`` allows quoted newlines, at the price of one task per file;
+    ``splittable`` allows them and reads a file in many tasks, in no fixed order.  ``na_values=True`` turns the usual
     missing-value spellings into nulls (what a pandas reader does); off by
     default so real words such as "NA" survive."""
-    df = (spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
-          .option("inferSchema", False).csv(path))
+    df = read_sheet(spark, path) if splittable else (
+        spark.read.option("header", True).option("multiLine", multiline).option("escape", '"').option("inferSchema", False).csv(path))
     missing = sorted(set(required) - set(df.columns))
     if missing:
         raise ValueError(f"Missing required columns: {missing}")
