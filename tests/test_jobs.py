@@ -89,7 +89,7 @@ def test_prepare_job(spark, inputs):
 def test_disfluency_job(spark, inputs):
     out = os.path.join(inputs, "out_dis")
     s = jobs.run_disfluency(spark, os.path.join(inputs, "meta.csv"), os.path.join(inputs, "lex.csv"),
-                            os.path.join(inputs, "t"), os.path.join(inputs, "a"), out, export_clips=True)
+                            os.path.join(inputs, "t"), os.path.join(inputs, "a"), out)
     occ = spark.read.parquet(os.path.join(out, "occurrences")).orderBy("occurrence_id").collect()
     got = [(o["occurrence_id"], o["disfluency_type"], o["matched_text"]) for o in occ]
     assert ("101_0000_00", "Repetition", "घर घर") in got
@@ -101,6 +101,16 @@ def test_disfluency_job(spark, inputs):
     assert all(os.path.exists(o["clip_path"]) for o in occ)      # a stored clip for every row of the sheet
 
 
+def test_a_broken_recording_is_one_failure(spark):
+    """The file ends early: a segment cut before the fault doesn't stay, and there is one failure with a message."""
+    from pyspark.sql import functions as F
+    cut = spark.createDataFrame([("a_0000", "a", b"x", None), (None, "a", None, "recording_id=a: EOFError"), (None, "a", None, "recording_id=a: later"),
+                                 ("b_0000", "b", b"y", None)], "id string, recording_id string, clip binary, error string")
+    good, bad = jobs._sound(cut)
+    assert [r.id for r in good.collect()] == ["b_0000"]
+    assert [(r.recording_id, r.error) for r in bad.collect()] == [("a", "recording_id=a: EOFError")]
+
+
 def test_spelling_job(spark, inputs):
     s = jobs.run_spelling(spark, os.path.join(inputs, "words.csv"), os.path.join(inputs, "out_sp"))
     assert s["total_unique_words"] == 4 and s["correct_spelling_words"] == 1

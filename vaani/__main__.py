@@ -36,7 +36,7 @@ def main(argv=None):
     d.add_argument("--language", default="hi")
     d.add_argument("--mode", choices=["parity", "strict_tokens"], default="parity")
     d.add_argument("--max_rows", type=int, default=None)
-    d.add_argument("--export_clips", action="store_true")
+    d.add_argument("--export_clips", action=argparse.BooleanOptionalAction, default=True)
 
     s = sub.add_parser("spelling", help="unique-word spelling labels")
     s.add_argument("--input_csv", required=True)

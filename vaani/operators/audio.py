@@ -129,7 +129,7 @@ def cut_clips(segments: DataFrame, audio: DataFrame, rounding: str = "truncate",
                     try:
                         x, sr = decode_wav(bytes(content))
                     except Exception as exc:  # noqa: BLE001 - isolate the recording
-                        yield (None, rec, None, None, None, f"recording_id={rec}: {exc}", *[None] * len(carry)), 0
+                        yield (None, rec, None, None, None, f"recording_id={rec}: {str(exc) or type(exc).__name__}", *[None] * len(carry)), 0
                         continue
                     for s in segs:
                         lo, hi = sample_range(s["start"], s["end"], sr, len(x), rounding)
@@ -158,25 +158,6 @@ def segment_clips(detected: DataFrame, audio: DataFrame) -> DataFrame:
     return cut_clips_from_storage(seg, audio, rounding="round")
 
 
-def write_clip_files(clips: DataFrame, root: str, overwrite: bool = True) -> None:
-    """K3: export clips as ``{root}/{recording}/{id}.wav`` files from the
-    executors (``root`` must be storage every executor can write)."""
-    import os
-
-    def write(rows):
-        for r in rows:
-            if r["clip"] is None:
-                continue
-            d = os.path.join(root, r["recording_id"])
-            os.makedirs(d, exist_ok=True)
-            path = os.path.join(d, f"{r['id']}.wav")
-            if overwrite or not os.path.exists(path):
-                with open(path, "wb") as f:
-                    f.write(bytes(r["clip"]))
-
-    clips.select("id", "recording_id", "clip").foreachPartition(write)
-
-
 # ---------------------------------------------------------------- windowed cutting from storage
 
 WINDOW_SEC = 600.0
@@ -243,7 +224,7 @@ def cut_clips_from_storage(segments: DataFrame, audio_index: DataFrame, rounding
                                 w = encode_wav(x, sr)
                                 yield (s["id"], rec, sr, hi - lo, w, None), len(w)
                     except Exception as exc:  # noqa: BLE001 - isolate the recording
-                        yield (None, rec, None, None, None, f"recording_id={rec}: {exc}"), 0
+                        yield (None, rec, None, None, None, f"recording_id={rec}: {str(exc) or type(exc).__name__}"), 0
         yield from chunked_frames(rows(), ["id", "recording_id", "sample_rate", "n_samples", "clip", "error"])
 
     return j.mapInPandas(run, PATH_CLIP_SCHEMA)

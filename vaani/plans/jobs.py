@@ -22,6 +22,7 @@ from ..operators import scoring as S
 from ..operators import spelling as O
 from ..operators.split import exact_split
 from ..sources import files as IO
+from ..sources.clips import write_clip_files
 from . import preparation as PR
 from .evaluation import evaluate_models
 
@@ -38,6 +39,13 @@ def _examples(failures: DataFrame, k: int) -> list[str]:
     return [f"{r['recording_id']}: {r['error']}" for r in failures.orderBy("recording_id").limit(k).collect()]
 
 
+def _sound(clips: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Clips of recordings that could be read throughout, and one failure for
+    each of the others (E1: a recording is kept whole or not at all)."""
+    failed = clips.where(F.col("error").isNotNull()).groupBy("recording_id").agg(F.min("error").alias("error"))
+    return clips.where(F.col("error").isNull()).join(failed.select("recording_id"), "recording_id", "left_anti"), failed
+
+
 def run_prepare(spark: SparkSession, metadata_csv: str, transcripts_dir: str, audio_dir: str, output_dir: str,
                 language: str = "hi", val_ratio: float = 0.1, seed: int = 42, max_rows: int | None = None,
                 min_segment_sec: float = 0.4, max_segment_sec: float = 30.0) -> dict:
@@ -64,9 +72,8 @@ def run_prepare(spark: SparkSession, metadata_csv: str, transcripts_dir: str, au
                                                  F.lit(".wav")).alias("error")))
     clips_path = os.path.join(output_dir, "_clips")
     clips.write.mode("overwrite").parquet(clips_path)
-    cut = spark.read.parquet(clips_path)
-    bad_audio = cut.where(F.col("error").isNotNull()).select("recording_id", "error")
-    written = staged.join(cut.where(F.col("error").isNull()).select("id", F.col("clip").alias("audio")), "id")
+    cut, bad_audio = _sound(spark.read.parquet(clips_path))
+    written = staged.join(cut.select("id", F.col("clip").alias("audio")), "id")
     if written.isEmpty():                                  # S9
         raise RuntimeError("No valid segment records were prepared.")
     IO.write_dataset(exact_split(written, "id", val_ratio, seed), os.path.join(output_dir, "dataset"))
@@ -83,9 +90,9 @@ def run_prepare(spark: SparkSession, metadata_csv: str, transcripts_dir: str, au
 
 def run_disfluency(spark: SparkSession, metadata_csv: str, lexicon_csv: str, transcripts_dir: str, audio_dir: str,
                    output_dir: str, language: str = "hi", mode: str = "parity", max_rows: int | None = None,
-                   export_clips: bool = False) -> dict:
-    """Occurrence sheet (CSV + Parquet), one clip per segment with hits, and
-    the run summary.  The staged transcript files double as the object
+                   export_clips: bool = True) -> dict:
+    """Occurrence sheet (CSV + Parquet), one clip per segment with hits and
+    (``export_clips``) a file for each occurrence, and the run summary.  The staged transcript files double as the object
     manifest for URL resolution."""
     recs = IO.read_csv(spark, metadata_csv, IO.RECORDINGS_SCHEMA, required=["recording_id", "language"], splittable=True)
     transcripts = IO.read_transcripts(spark, transcripts_dir)
@@ -109,10 +116,8 @@ def run_disfluency(spark: SparkSession, metadata_csv: str, lexicon_csv: str, tra
     detected = spark.read.parquet(os.path.join(output_dir, "_detected"))
     A.segment_clips(detected, audio.select("recording_id", "path")).write.mode("overwrite").parquet(
         os.path.join(output_dir, "segment_clips"))
-    clips = spark.read.parquet(os.path.join(output_dir, "segment_clips"))
-    good = clips.where(F.col("error").isNull()).select(
-        "recording_id", F.regexp_extract("id", r"_(\d+)$", 1).cast("int").alias("segment_idx"))
-    bad_audio = clips.where(F.col("error").isNotNull()).select("recording_id", "error")
+    clips, bad_audio = _sound(spark.read.parquet(os.path.join(output_dir, "segment_clips")))
+    good = clips.select("recording_id", F.regexp_extract("id", r"_(\d+)$", 1).cast("int").alias("segment_idx"))
     occ_all = D.occurrences(detected, clips_root)
     occ_all.join(good, ["recording_id", "segment_idx"], "left_semi").write.mode("overwrite").parquet(
         os.path.join(output_dir, "occurrences"))
@@ -120,8 +125,8 @@ def run_disfluency(spark: SparkSession, metadata_csv: str, lexicon_csv: str, tra
     if export_clips:
         # a file for each row of the sheet, under the path that the sheet gives
         segment = F.format_string("%s_%04d", F.col("recording_id"), F.col("segment_idx"))
-        A.write_clip_files(occ.select(F.col("occurrence_id"), "recording_id", segment.alias("id")).join(
-            clips.where(F.col("error").isNull()).select("id", "clip"), "id").select(F.col("occurrence_id").alias("id"), "recording_id", "clip"), clips_root)
+        write_clip_files(occ.select("occurrence_id", "recording_id", segment.alias("segment")).join(
+            clips.select(F.col("id").alias("segment"), "clip"), "segment").select(F.col("occurrence_id").alias("id"), "recording_id", "clip"), clips_root)
     IO.write_sheet(occ.select(*D.OUTPUT_COLUMNS), os.path.join(output_dir, "occurrences_csv"))
     e.failures.unionByName(bad_audio).write.mode("overwrite").parquet(os.path.join(output_dir, "failures"))
     fails = spark.read.parquet(os.path.join(output_dir, "failures"))
