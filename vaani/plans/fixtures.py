@@ -16,15 +16,20 @@ from ..operators.scoring import MODEL_COLUMNS
 
 # Sentence boundary for conversation turns: full stop or newline.
 SENTENCE_SPLIT = "[.\n]"
-# A sentence is kept when it has at least one letter or digit.
-HAS_ALNUM = r"[\p{L}\p{N}]"
+# Of so many turns (told by conversation and turn) one has its language in
+# capitals, one no folder in any URL, one its transcript wrapped in an object.
+CAPITALS_EVERY, NO_FOLDER_EVERY, WRAPPED_EVERY = 61, 53, 67
+
+
+def _one_of(every: int) -> Column:
+    return (F.col("conv_id") * 8 + F.col("turn")) % every == 1
 
 
 def sentences(conversations: DataFrame) -> DataFrame:
-    """(conv_id, turn, sent_idx, sentence) for every sentence of every turn."""
+    """(conv_id, turn, sent_idx, sentence) for every sentence of every turn, blank ones included."""
     s = conversations.select("conv_id", "turn", F.posexplode_outer(F.split("text", SENTENCE_SPLIT))
                              .alias("sent_idx", "sentence"))
-    return s.where(F.col("sent_idx").isNotNull() & F.col("sentence").rlike(HAS_ALNUM))
+    return s.where(F.col("sent_idx").isNotNull())
 
 
 def model_sheet(conversations: DataFrame, devanagari: bool = False) -> DataFrame:
@@ -75,23 +80,22 @@ def hindi_words(documents: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- recordings
 
 def recordings(conversations: DataFrame) -> DataFrame:
-    """One recording per conversation turn.  ``language`` is "HI" for
-    assistant turns (exact vs case-insensitive filters), "hi" otherwise.
+    """One recording per conversation turn.  ``language`` is "HI" for one of
+    ``CAPITALS_EVERY`` turns (exact vs case-insensitive filters), "hi" otherwise.
     User turns carry their folder in a media URL, assistant turns in an
-    upload-bucket transcript URL, system turns longer than 100 characters in
-    a metadata URL; shorter system turns carry none (no folder id)."""
+    upload-bucket transcript URL, system turns in a metadata URL; one of
+    ``NO_FOLDER_EVERY`` turns has none (no folder id)."""
     rid = F.concat(F.lit("r"), F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string"))
     folder = F.concat(F.lit("u"), F.col("conv_id").cast("string"))
-    role = F.col("role")
+    role = F.when(~_one_of(NO_FOLDER_EVERY), F.col("role"))
     return conversations.select(
         F.col("conv_id").cast("string").alias("user_id"), rid.alias("recording_id"),
-        F.when(role == "assistant", "HI").otherwise("hi").alias("language"),
+        F.when(_one_of(CAPITALS_EVERY), "HI").otherwise("hi").alias("language"),
         F.when(role == "user", F.concat(F.lit("https://media.example.org/hi/"), folder, F.lit("/"), rid,
                                           F.lit(".wav"))).alias("rec_url_gcp"),
         F.when(role == "assistant", F.concat(F.lit("https://storage.example.com/uploads/"), folder, F.lit("/"),
                                                rid, F.lit("_transcription.json"))).alias("transcription_url_gcp"),
-        F.when((role == "system") & (F.length("text") > 100),
-               F.concat(F.lit("https://meta.example.org/hi/"), folder, F.lit("/"), rid, F.lit(".json")))
+        F.when(role == "system", F.concat(F.lit("https://meta.example.org/hi/"), folder, F.lit("/"), rid, F.lit(".json")))
          .alias("metadata_url_gcp"))
 
 
@@ -105,7 +109,7 @@ def transcripts(conversations: DataFrame, devanagari: bool = False) -> DataFrame
     Loose typing as found in real payloads: the second entry's start is a
     JSON string; an empty piece has no "text" key; a blank piece has
     "text": null; a piece of exactly one character has "start": null.
-    System turns are wrapped in an object instead of a list.
+    One of ``WRAPPED_EVERY`` turns is wrapped in an object instead of a list.
     ``devanagari=True`` transliterates the lower-cased text letter by letter
     first (lengths, and so timings, are unchanged)."""
     text = F.translate(F.lower("text"), LATIN, DEVANAGARI_MAP) if devanagari else F.col("text")
@@ -123,7 +127,7 @@ def transcripts(conversations: DataFrame, devanagari: bool = False) -> DataFrame
         return F.concat(F.lit('{"start":'), start_json, F.lit(',"end":'), end.cast("string"), text_json, F.lit("}"))
 
     arr = F.concat(F.lit("["), F.array_join(F.transform(pieces, entry), ","), F.lit("]"))
-    payload = F.when(F.col("role") == "system", F.concat(F.lit('{"segments":'), arr, F.lit("}"))).otherwise(arr)
+    payload = F.when(_one_of(WRAPPED_EVERY), F.concat(F.lit('{"segments":'), arr, F.lit("}"))).otherwise(arr)
     return conversations.select(transcript_url().alias("url"), payload.alias("payload"))
 
 

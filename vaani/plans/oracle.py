@@ -38,7 +38,7 @@ _SEG = (f"WITH pairs AS ({pairs_sql()}), s AS (SELECT *, "
             ["model_h_wer", "model_i_wer", "model_k_wer", "model_l_wer", "model_m_wer", "model_n_wer"]))
         + " FROM s GROUP BY ALL), "
         "t AS (SELECT s.segment_url_link, list_sort(list(s.model)) AS tied FROM s JOIN b USING (segment_url_link) "
-        "WHERE abs(coalesce(s.wer, 'inf'::DOUBLE) - b.min_wer) < 1e-12 GROUP BY s.segment_url_link), "
+        "WHERE coalesce(s.wer, 'inf'::DOUBLE) = b.min_wer OR abs(coalesce(s.wer, 'inf'::DOUBLE) - b.min_wer) < 1e-12 GROUP BY s.segment_url_link), "
         "h AS (SELECT DISTINCT segment_url_link, \"Human\" AS human_text FROM (" )
 ORACLE["q_best_model"] = (
     _SEG + sheet_sql() + ")) SELECT b.conv_id, b.turn, b.sent_idx, b.segment_url_link, h.human_text, "

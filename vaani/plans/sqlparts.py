@@ -80,7 +80,7 @@ SENTENCES = r"""
   SELECT conv_id, turn, sent_idx, sentence FROM (
     SELECT conv_id, turn, unnest(p) AS sentence, CAST(unnest(range(0, len(p))) AS INTEGER) AS sent_idx
     FROM (SELECT conv_id, turn, regexp_split_to_array(text, '[.\n]') AS p FROM conversations)
-  ) WHERE regexp_matches(sentence, '[\p{L}\p{N}]')
+  )
 """
 
 
@@ -171,11 +171,11 @@ def orthography_reason_sql(w: str) -> str:
 RID = "('r' || conv_id || '_' || turn)"
 RECORDINGS = f"""
   SELECT CAST(conv_id AS VARCHAR) AS user_id, {RID} AS recording_id,
-    CASE WHEN role = 'assistant' THEN 'HI' ELSE 'hi' END AS language,
-    CASE WHEN role = 'user' THEN 'https://media.example.org/hi/u' || conv_id || '/' || {RID} || '.wav' END AS rec_url_gcp,
-    CASE WHEN role = 'assistant' THEN 'https://storage.example.com/uploads/u' || conv_id || '/' || {RID}
+    CASE WHEN (conv_id * 8 + turn) % 61 = 1 THEN 'HI' ELSE 'hi' END AS language,
+    CASE WHEN role = 'user' AND (conv_id * 8 + turn) % 53 <> 1 THEN 'https://media.example.org/hi/u' || conv_id || '/' || {RID} || '.wav' END AS rec_url_gcp,
+    CASE WHEN role = 'assistant' AND (conv_id * 8 + turn) % 53 <> 1 THEN 'https://storage.example.com/uploads/u' || conv_id || '/' || {RID}
          || '_transcription.json' END AS transcription_url_gcp,
-    CASE WHEN role = 'system' AND length(text) > 100 THEN 'https://meta.example.org/hi/u' || conv_id || '/'
+    CASE WHEN role = 'system' AND (conv_id * 8 + turn) % 53 <> 1 THEN 'https://meta.example.org/hi/u' || conv_id || '/'
          || {RID} || '.json' END AS metadata_url_gcp,
     conv_id, turn, role, text
   FROM conversations
@@ -192,7 +192,7 @@ BASE = "https://storage.example.com/uploads/"
 
 # one row per transcript piece with the parsed entry semantics:
 # start null for one-character pieces, text missing for empty pieces,
-# text null for blank pieces; system turns are not lists
+# text null for blank pieces; one of 67 turns is not a list
 PIECES = f"""
   SELECT recording_id, conv_id, turn, role, k AS segment_idx, p,
     CASE WHEN length(p) = 1 THEN NULL ELSE k * 2.0::DOUBLE END AS start_v,
@@ -216,7 +216,7 @@ def pieces_sql(devanagari: bool = False) -> str:
 # first error per recording for a given mode, null when the recording is fine
 def recording_error_sql(mode: str) -> str:
     text_rule = ("WHEN bool_or(text_null) THEN 'segment text is null or not a string' " if mode == "prepare" else "")
-    return (f"SELECT recording_id, CASE WHEN any_value(role) = 'system' THEN "
+    return (f"SELECT recording_id, CASE WHEN any_value((conv_id * 8 + turn) % 67) = 1 THEN "
             f"'unexpected transcript payload type: OBJECT' "
             f"WHEN bool_or(start_v IS NULL) THEN 'segment time is null or not a number' {text_rule}END AS error "
             f"FROM ({PIECES}) GROUP BY recording_id")
