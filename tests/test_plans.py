@@ -27,7 +27,8 @@ def test_no_cartesian_or_nested_loop_joins(spark, name):
 
 def test_scoring_computes_each_distance_once(spark):
     plan = _plan(spark, "q_model_rank")
-    assert plan.count("levenshtein") == 12           # 6 word + 6 character distances
+    from vaani.functions.edit_distance import WIDENINGS
+    assert plan.count("levenshtein") == 12 * (WIDENINGS + 1)     # 6 word + 6 character distances, each band once
     assert "Python" not in plan
 
 

@@ -88,7 +88,8 @@ def encode_words(arr: Column, known: Column) -> Column:
 def banded(a: Column, b: Column) -> Column:
     """``levenshtein(a, b)`` in bands: the first one that holds the distance gives it."""
     first = F.abs(F.char_length(a) - F.char_length(b)) + BAND
-    within = [F.nullif(F.call_function("levenshtein", a, b, (first * 4**k).cast("int")), F.lit(-1)) for k in range(WIDENINGS)]
+    # bound by a lambda, or a band that holds would be computed again for its value
+    within = [_let(F.call_function("levenshtein", a, b, (first * 4**k).cast("int")), lambda d: F.when(d >= 0, d)) for k in range(WIDENINGS)]
     return F.when(a == b, F.lit(0)).otherwise(F.coalesce(*within, F.levenshtein(a, b)))
 
 

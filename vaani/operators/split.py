@@ -21,9 +21,10 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..sources.tables import staged
 
 LEVEL_BYTES = 2
+_KEY = "_split_key"
 
 
 def split_key(id_col: Column, seed: int) -> Column:
@@ -36,19 +37,23 @@ def _binary_key(id_col: Column, seed: int) -> Column:
 
 
 def exact_split(df: DataFrame, id_col: str = "id", ratio: float = 0.1, seed: int = 42,
-                names=("train", "validation")) -> DataFrame:
+                names=("train", "validation"), ids: DataFrame | None = None) -> DataFrame:
+    """``df`` with a column ``split``.
+
+    The rows are staged once, with their keys, in the shared folder, and both
+    the histograms (which read the 16-byte keys alone) and the result come from
+    there, so the upstream plan runs once and survives lost executors.  Give
+    ``ids``, stored rows with the same ids, where ``df`` is wide and comes from
+    storage itself: then only the ids are read for the cut.
+    """
     key = _binary_key(F.col(id_col), seed)
-    # the 16-byte key alone is written to the shared checkpoint folder; the
-    # histograms read it instead of recomputing the upstream
-    # plan (and survive executor loss)
-    checkpoint_dir(df.sparkSession)
-    keys = df.select(key.alias("_k")).checkpoint(eager=True)
-    threshold = _threshold(keys, ratio)
-    if threshold is None:
-        split = F.lit(names[0])
+    if ids is None:
+        df = staged(df.withColumn(_KEY, key), "split")
+        threshold, key = _threshold(df.select(F.col(_KEY).alias("_k")), ratio), F.col(_KEY)
     else:
-        split = F.when(key <= F.lit(threshold), names[1]).otherwise(names[0])
-    return df.withColumn("split", split)
+        threshold = _threshold(ids.select(key.alias("_k")), ratio)
+    side = F.lit(names[0]) if threshold is None else F.when(key <= F.lit(threshold), names[1]).otherwise(names[0])
+    return df.withColumn("split", side).drop(_KEY)
 
 
 def _threshold(keys: DataFrame, ratio: float):

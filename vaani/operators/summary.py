@@ -11,6 +11,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def unpivoted(task: str, row: DataFrame) -> DataFrame:
+    """A5: the columns of a one-row frame as ``(task, metric, value)`` rows, read in one pass."""
+    cells = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in row.columns])
+    return row.select(F.lit(task).alias("task"), F.inline(cells))
+
+
 def metric_rows(task: str, pairs: list[tuple[str, DataFrame]]) -> DataFrame:
     """Union of single-value frames into ``task, metric, value`` rows."""
     out = None

@@ -316,23 +316,23 @@ def q_best_checkpoint(spark, sf_dir):
 
 def _prepare_rows(spark, sf_dir):
     from ..operators.split import exact_split
-    from ..operators.summary import count_of, metric_rows
+    from ..operators.summary import count_of, metric_rows, unpivoted
     p = _prepared(spark, sf_dir)
-    split = exact_split(p.segments.select("id"), "id", 0.1, 42)
-    return metric_rows("prepare", [
-        ("input_rows_hi", count_of(p.input_rows)), ("prepared_rows", count_of(p.segments)),
-        ("train_rows", count_of(split.where("split = 'train'"))),
-        ("validation_rows", count_of(split.where("split = 'validation'"))),
-        ("failures", count_of(p.failures))])
+    # the staged split gives three counts in one pass
+    split = exact_split(p.segments.select("id"), "id", 0.1, 42).agg(
+        F.count(F.lit(1)).alias("prepared_rows"), F.count_if(F.col("split") == "train").alias("train_rows"),
+        F.count_if(F.col("split") == "validation").alias("validation_rows"))
+    return unpivoted("prepare", split).unionByName(metric_rows("prepare", [
+        ("input_rows_hi", count_of(p.input_rows)), ("failures", count_of(p.failures))]))
 
 
 def _disfluency_rows(spark, sf_dir):
-    from ..operators.summary import count_of, metric_rows
+    from ..operators.summary import count_of, metric_rows, unpivoted
     e = _extracted(spark, sf_dir)
-    return metric_rows("disfluency", [
-        ("input_rows_hi", count_of(e.input_rows)), ("detected_disfluency_rows", count_of(e.occurrences)),
-        ("unique_recordings_with_hits", e.occurrences.agg(F.count_distinct("recording_id"))),
-        ("failures", count_of(e.failures))])
+    found = e.occurrences.agg(F.count(F.lit(1)).alias("detected_disfluency_rows"),
+                              F.count_distinct("recording_id").alias("unique_recordings_with_hits"))
+    return unpivoted("disfluency", found).unionByName(metric_rows("disfluency", [
+        ("input_rows_hi", count_of(e.input_rows)), ("failures", count_of(e.failures))]))
 
 
 @register
@@ -358,11 +358,11 @@ def q_failure_examples(spark, sf_dir):
 def q_report_table(spark, sf_dir):
     """A5: every task's headline numbers side by side."""
     from ..operators import spelling as O
-    from ..operators.summary import metric_rows
+    from ..operators.summary import unpivoted
     sp = O.spelling_summary(_labels(spark, sf_dir))
     ev = _evaluation(spark, sf_dir).summary
-    spelling = metric_rows("spelling", [(c, sp.select(c)) for c in sp.columns])
-    evaluation = metric_rows("evaluation", [(c, ev.select(c)) for c in ("input_rows", "best_model_wer", "best_model_cer")])
+    spelling = unpivoted("spelling", sp)
+    evaluation = unpivoted("evaluation", ev.select("input_rows", "best_model_wer", "best_model_cer"))
     return (_prepare_rows(spark, sf_dir).unionByName(_disfluency_rows(spark, sf_dir))
             .unionByName(spelling).unionByName(evaluation))
 

@@ -76,7 +76,9 @@ def run_prepare(spark: SparkSession, metadata_csv: str, transcripts_dir: str, au
     written = staged.join(cut.select("id", F.col("clip").alias("audio")), "id")
     if written.isEmpty():                                  # S9
         raise RuntimeError("No valid segment records were prepared.")
-    IO.write_dataset(exact_split(written, "id", val_ratio, seed), os.path.join(output_dir, "dataset"))
+    # the cut needs the ids alone: those of stored clips that have a stored segment
+    ids = cut.select("id").join(staged.select("id"), "id", "left_semi")
+    IO.write_dataset(exact_split(written, "id", val_ratio, seed, ids=ids), os.path.join(output_dir, "dataset"))
     failures = p.failures.unionByName(no_audio).unionByName(bad_audio)
     failures.write.mode("overwrite").parquet(os.path.join(output_dir, "failures"))
     fails = spark.read.parquet(os.path.join(output_dir, "failures"))
