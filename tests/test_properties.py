@@ -84,6 +84,9 @@ def test_recordings_are_conserved(spark):
         X.transcripts(c).withColumn("recording_id", F.regexp_extract("url", r"/(r[0-9]+_[0-9]+)_", 1)),
         "recording_id"))
     ok = {r["recording_id"] for r in parsed.where(T.recording_error("prepare").isNull()).collect()} & inputs
+    # A recording without a folder in any URL fails whatever its transcript
+    urls = ["rec_url_gcp", "transcription_url_gcp", "metadata_url_gcp"]
+    ok -= {r["recording_id"] for r in X.recordings(c).where(F.coalesce(*urls).isNull()).collect()}
     assert failed.isdisjoint(ok) and (failed | ok) == inputs
 
 
