@@ -7,18 +7,24 @@ the index is partitioned by document, so queries need no shuffle.
 window are shifted by the term's offset and intersected, rarest term first,
 so that most windows end after one missing term.  Term frequencies are those
 of the whole corpus.  The benchmark is the query set: it is taken in blocks of
-at most about ``block`` windows, the only data that is broadcast.
+at most about ``block`` windows, the only data that is broadcast.  With
+``slop``, a window also matches by proximity: all its terms, in any order,
+within as many consecutive words as it has plus ``slop``.  Places of its rarest
+term are kept while every other term, rarest first, has a posting near enough;
+a sweep over the postings around the places left decides.
 
 Words are runs of letters, digits and non-ASCII characters, A-Z in lower
 case.  Defined results: a null or empty text has no words and no hits; a null
-item or an item without words has no window; an item of fewer words than
-the window is one window; repeated rows are answered one by one; a null
-``doc_id`` stays null; other columns are ignored.
+text of an item or one without words has no window; an item of fewer words than
+the window is one window; an item without an id is searched like any other and
+counts for the words hit, but has no id to list; repeated rows are answered one
+by one; a null ``doc_id`` stays null; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections import defaultdict
 
 import numpy as np
@@ -32,6 +38,8 @@ from vaani.llm.words import ALNUM_LOWER, list_column, slices, split_words
 WINDOW = 10
 #: Windows of the benchmark in one block (each about 200 bytes where broadcast).
 BLOCK = 200_000
+#: Words that a proximity match of the query may have between those of the window.
+SLOP = 5
 
 INDEX_SCHEMA = "row long, doc_id long, n_words long, terms array<int>, positions array<int>"
 HITS_SCHEMA = "row long, doc_id long, n_words long, hits array<int>, items array<string>, near array<string>"
@@ -53,7 +61,7 @@ def windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
                                       ["item_id", "words"])
 
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    return (items.where("item_id IS NOT NULL").mapInArrow(cut, "item_id string, words array<string>").distinct())
+    return items.mapInArrow(cut, "item_id string, words array<string>").distinct()
 
 
 def build_index(docs: DataFrame, terms: list[str]) -> DataFrame:
@@ -105,7 +113,17 @@ def _plans(grams: dict[tuple, list[str]], code: dict[str, int], counts: dict[int
 
 
 def _near(lists: list[list[int]], span: int) -> bool:
-    """Whether some ``span`` consecutive positions hold a posting of every list."""
+    """Whether some ``span`` consecutive positions hold a posting of every list (sorted; the rarest term's first)."""
+    places = lists[0]
+    for other in lists[1:]:
+        places = [p for p in places if (k := bisect_left(other, p - span + 1)) < len(other) and other[k] < p + span]
+        if not places:
+            return False
+    return any(_together([o[bisect_left(o, p - span + 1):bisect_left(o, p + span)] for o in lists], span) for p in places)
+
+
+def _together(lists: list[list[int]], span: int) -> bool:
+    """The same by a sweep over all postings."""
     merged = sorted((p, i) for i, ps in enumerate(lists) for p in ps)
     have, missing, left = [0] * len(lists), len(lists), 0
     for p, i in merged:
@@ -122,13 +140,14 @@ def _near(lists: list[list[int]], span: int) -> bool:
 
 
 def match_document(terms: np.ndarray, positions: np.ndarray, plans: dict, slop: int | None = None):
-    """Positions covered by phrase matches, items with one, items with a proximity match."""
+    """Positions covered by phrase matches, items with one, items with a proximity match (each once; None: no id)."""
     if len(terms) == 0:
         return np.zeros(0, np.int32), [], []
     starts = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]]))
     ends = np.append(starts[1:], len(terms))
     where = {int(terms[s]): (s, e) for s, e in zip(starts, ends)}
     sets: dict[int, set] = {}
+    lists: dict[int, list] = {}
     found, items, near = [], set(), set()
     for term in where.keys() & plans.keys():
         s, e = where[term]
@@ -147,10 +166,15 @@ def match_document(terms: np.ndarray, positions: np.ndarray, plans: dict, slop:
             if begin:
                 items.update(ids)
                 found.extend((b, length) for b in begin)
-            if slop is not None and (begin or _near([positions[slice(*where[t])].tolist() for t in {term, *(t for t, _ in rest)}], length + slop)):
+            if slop is None or near.issuperset(ids):
+                continue
+            for t, _ in rest:
+                if t not in lists:
+                    lists[t] = positions[slice(*where[t])].tolist()
+            if begin or _near([mine, *(lists[t] for t in dict.fromkeys(t for t, _ in rest) if t != term)], length + slop):
                 near.update(ids)
     hit = {p for b, n in found for p in range(b, b + n)}
-    return np.array(sorted(hit), np.int32), sorted(items), sorted(near)
+    return np.array(sorted(hit), np.int32), sorted(items - {None}), sorted(near - {None})
 
 
 def search(index: DataFrame, plans: dict, slop: int | None = None) -> DataFrame:
@@ -207,7 +231,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: i
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """Per document: counts of hit words and of items, a digest of the item ids, the verdict."""
+    """Per document: counts of hit words and of items, a digest of the item ids, the verdict; items near by ``slop``."""
     def digest(batches):
         for batch in batches:
             items = batch.column(3).to_pylist()
@@ -217,11 +241,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
                 pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),
                 pc.greater(batch.column(2), 0),
                 pa.array([",".join(x) for x in items], pa.string()),
-            ], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items"])
+                *(pa.array([f(x) for x in batch.column(4).to_pylist()], t) for f, t in ((len, pa.int64()), (",".join, pa.string()))),
+            ], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "n_near", "near_items"])
 
     found = matches(docs, benchmark, **options)
-    return found.select("doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), "items").mapInArrow(
-        digest, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items string")
+    return found.select("doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), "items", "near").mapInArrow(
+        digest, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items string, n_near long, near_items string")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -9,7 +9,7 @@ from vaani.sources.tables import table
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slop=decontamination.SLOP)
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
