@@ -317,7 +317,7 @@ def test_extraction(spark):
     texts = {k[0]: k[1] for k in got}
     assert all(texts[i] == f"story {i} & more text " + " ".join(["and more"] * 9) for i in range(4))
     assert texts[4] == "alone" and texts[5] == "no host" and texts[6] == texts[7] == "" and texts[8] == texts[9] == "copy of all"
-    assert texts[10] == "T\na\nb" and texts[11].startswith("text <b> bold")
+    assert texts[10] == "T\na\nb\nout" and texts[11].startswith("text <b> bold")
     assert sum(got.values()) == 13 and all(k[2] == len(k[1]) for k in got)
     assert extraction.extracted(pages.limit(0)).count() == 0
 
@@ -342,7 +342,7 @@ def test_a_teaser_is_not_the_article(spark):
     got = {r.page_id: r.text for r in extraction.extracted(pages).collect()}
     assert got == {i: f"story {i} {f'and more of {i} ' * 9}".strip() + f"\nits end {i}" for i in range(4)}
     assert extraction.blocks(page(1))[-2:] == [("Read our other story", False), ("Terms of use", False)]
-    assert extraction.blocks("<p>x</p><article><p>long enough</p></article>") == [("long enough", True)]
+    assert extraction.blocks("<p>x</p><article><p>long enough</p></article>") == [("x", False), ("long enough", True)]
 
 
 def test_longest_common_subsequences():

@@ -1,42 +1,56 @@
-"""Main text of web pages: structure first, then differences between neighbouring pages.
+"""Main text of web pages: page furniture by structure, template lines by differences between neighbouring pages.
 
 A page is cut into blocks of text at block-level tags.  Blocks within
 navigation, headers, footers, sidebars, forms, scripts, styles, and elements
-whose class, id or role names a menu, notice, advert or comment section, are
-dropped.  Inside an article only block elements with such a word as a whole
-class or role are, not headings, quotes, inline text or code, and no ids, which
-are often made from headings.  The rest is compared with the nearest page of the host: pages are
-ordered by host and path, and of the two neighbours of a page the one whose
-path shares more leading segments is its partner.  The lines of the two
-are aligned by their longest common subsequence, and shared lines outside an
-explicit article element are deleted.  Article elements count as such if they
-hold at least half of the text that is not dropped; then all lines outside them
-are dropped too, else all are kept and compared.  Lines inside one are article text, also
-where another page repeats them, and two pages that share at least half
-their characters are copies, which say nothing about templates.
-
-Pages are put in order by a range-partitioned sort of line hashes, not of
-texts; a page's number in that order is its partition's offset plus its place,
-and neighbours meet by a join on the number.  Texts are shuffled once, packed.
+with a class, id or role that names a menu, notice, advert or comment section are
+dropped.  A name is judged whole: ``main-nav`` and ``comments-area`` are
+furniture, ``has-sidebar`` and ``search-results`` are not.  Inside an article only block
+elements are judged, by class and role; of ids, which are often made from
+headings, only those of comment sections count there.
+
+All other text is kept unless the nearest page repeats it.  Pages are ordered by
+host and path; the lines of a page and of its partner are aligned by their
+longest common subsequence, and shared lines are deleted.  Lines inside article
+elements are article text, also where another page repeats them, if the
+elements hold at least half of the page's text; else they may be cards or
+teasers and are compared like the rest.
+
+Copies of a page say nothing about templates, so the partner is the nearest
+page that is none.  What two pages share tells copies from templates by how
+common it is on the host: a line of L characters on n of the host's N pages weighs
+``L * ln((N + 1) / n)``, and two pages are copies if the lines they share
+weigh at least half of the lighter page.  Neighbours that are copies of each other form a run,
+and one page stands for the run on either side: the partner of a page is the last
+page of the run before its own or the first of the run after, that whose path
+shares more leading segments (the one before on a tie; the other if that one is a
+copy after all).
+
+Pages are parsed once; their lines are stored with hashes, and only hashes and
+lengths are sorted and joined.  A page's number in the order is its
+partition's offset plus its place.  Texts are shuffled once, packed.
 
 Defined results: a null html is empty and has no text; a null or unparsable
-url has an empty host and is compared with nothing; equal rows get equal
-texts; broken or cut-off markup is read as far as it goes; other columns
-are ignored.
+url has an empty host and is compared with nothing; a host's only page, or one
+with copies alone beside it, loses no line; equal rows get equal
+texts; broken or cut-off markup is read as far as it goes; a page of any length
+is parsed whole, by one task; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import html
+import math
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+import zstandard
+from pyspark.sql import DataFrame, Window, functions as F
 
 from vaani.llm.shared import ready, stored
-from vaani.llm.words import frames, packed, slices
+from vaani.llm.words import frames, slices
 
 # Element names and words in class, id or role that mark what is not article text.
 SKIPPED = frozenset("script style noscript template svg math iframe object canvas head title select option button textarea datalist".split())
@@ -45,42 +59,78 @@ ARTICLE = frozenset("article main".split())
 BLOCKS = frozenset("p div section article main ul ol li dl dt dd table thead tbody tfoot tr td th blockquote pre h1 h2 h3 h4 h5 h6 hr br "
                    "figure figcaption nav header footer aside form fieldset legend details summary address body html menu dialog center caption".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
-MARKS = re.compile(r"(?<![a-z])(nav|navbar|navigation|menu|header|masthead|footer|sidebar|side-bar|aside|breadcrumbs?|cookies?|consent|notice|banner|"
-                   r"ads?|advert\w*|sponsor\w*|promo\w*|popup|modal|newsletter|subscribe|signup|login|search|share|sharing|social|related|recommended|widget|"
-                   r"comments?|comment-list|respond|disqus|replies|pagination|pager|toolbar|skip-link)(?![a-z])")
-MAIN = re.compile(r"(?<![a-z])(article|main|main-content|post-content|entry-content|article-body|post-body|story-body)(?![a-z])")
+MARKS = frozenset("nav navbar navigation menu header masthead footer sidebar aside breadcrumb breadcrumbs cookie cookies consent notice notices banner "
+                  "ad ads advert adverts advertisement advertisements advertising sponsor sponsors sponsored promo promos promotion promotions promoted "
+                  "popup modal newsletter subscribe signup login search share sharing social related recommended widget widgets "
+                  "comment comments commentlist respond disqus replies pagination pager toolbar".split())
+#: With a mark before them, these still name furniture.
+PARTS = frozenset("area articles bar block body bottom box button buttons container content form group inner item items link links list message notice overlay "
+                  "panel posts section slot stories tabs text thread title top trail unit wrap wrapper".split())
+#: Before a mark, these tell of another element or a state.
+STATES = frozenset("has with without no is not show hide".split())
+#: Before "header", these name the page's; other headers hold titles of the text.
+SITE = frozenset("site page main top global masthead".split())
+#: Ids that count inside an article.
+REMARKS = frozenset("comments commentlist respond disqus replies".split())
+MAIN = frozenset("article main main-content post-content entry-content article-content story-content article-body post-body story-body".split())
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+ATTRIBUTE = re.compile(r"""(?<![\w:.-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 #: Furniture elsewhere, text inside an article.
 CONTENT = frozenset("address dialog figcaption math".split())
 #: What a class or role can mark as furniture inside an article.
 GROUPS = frozenset("div section ul ol dl table figure fieldset details center".split())
+#: Never furniture by their names.
+PLAIN = frozenset("html body h1 h2 h3 h4 h5 h6 p blockquote".split())
 CODE = frozenset("pre code".split())
 RAW = frozenset("script style template noscript textarea title svg math iframe".split())
 SPACE = re.compile(r"\s+")
-#: Of the characters of either page: from this share on, two pages are copies.
+HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+#: Of the weight of the lighter page: from this share on, two pages are copies.
 COPY = 0.5
+#: Groups into which the pages of one host, or the holders of one line, are dealt for joins.
+SALTS = 32
+#: Pages of a run that one row of its partner answers.
+SPAN = 1024
+
+
+def furniture(token: str) -> bool:
+    """Whether a class, id or role (lower case, hyphens only) names page furniture."""
+    parts = [p for p in token.split("-") if p and not p.isdigit()]
+    if not parts or parts[0] in STATES:
+        return False
+    if parts[-1] in MARKS:
+        return parts[-1] != "header" or len(parts) == 1 or parts[0] in SITE
+    return parts[0] in MARKS and all(p in PARTS for p in parts[1:])
+
+
+def _names(attributes: str) -> tuple[list[str], list[str]]:
+    """Classes and roles; ids."""
+    named, ids = [], []
+    for key, value in ATTRIBUTE.findall(attributes):
+        words = [HUMP.sub("-", w).lower().replace("_", "-") for w in value.strip("\"'").split()]
+        (ids if key.lower() == "id" else named).extend(words)
+    return named, ids
 
 
 def _mark(name: str, attributes: str, inside: bool) -> str | None:
     """What an element is; ``inside`` an article less is furniture."""
     if (name in SKIPPED or name in CHROME) and not (inside and name in CONTENT):
         return "chrome"
-    if inside and name not in GROUPS and name not in ARTICLE:
-        return None
-    if inside and name not in ARTICLE:
-        words = " ".join(v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes) if k.lower() != "id").lower().replace("_", "-").split()
-        return "chrome" if any(MARKS.fullmatch(w) for w in words) else None
-    found = " ".join(v.strip("\"'").lower().replace("_", "-") for _, v in ATTRIBUTE.findall(attributes)) if attributes.strip() else ""
-    if name in ARTICLE or (found and name not in ("body", "html") and MAIN.search(found)):
+    named, ids = _names(attributes) if "=" in attributes else ([], [])
+    if name == "article":
+        return "chrome" if any(map(furniture, named)) else "article"
+    if name == "main":
         return "article"
-    if found and name not in ("body", "html", "h1", "h2", "h3", "p") and MARKS.search(found):
+    if inside:
+        if name in GROUPS and (any(map(furniture, named)) or name != "section" and any(furniture(i) and REMARKS & set(i.split("-")) for i in ids)):
+            return "chrome"
+    elif name not in PLAIN and (any(map(furniture, named)) or name in GROUPS and name != "section" and any(map(furniture, ids))):
         return "chrome"
-    return None
+    return "article" if name in GROUPS and not MAIN.isdisjoint(named + ids) else None
 
 
 def blocks(page: str) -> list[tuple[str, bool]]:
-    """(text, whether it is in an article element) of each block that is not page furniture, in order."""
+    """(text, whether it is article text by its element) of each block that is not page furniture, in order."""
     out: list[tuple[str, bool]] = []
     piece: list[str] = []
     stack: list[tuple[str, str | None]] = []
@@ -135,11 +185,10 @@ def blocks(page: str) -> list[tuple[str, bool]]:
             chrome += mark == "chrome"
             article += mark == "article"
     close()
-    # text outside article elements is furniture if they hold at least half of the text; else they may be cards or teasers
-    within = sum(len(t) for t, a in out if a)
-    if 2 * within >= sum(len(t) for t, _ in out):
-        return [b for b in out if b[1]]
-    return [(t, False) for t, _ in out]
+    # article elements that hold less than half of the text may be cards or teasers
+    if 2 * sum(len(t) for t, a in out if a) < sum(len(t) for t, _ in out):
+        return [(t, False) for t, _ in out]
+    return out
 
 
 def line_hash(text: str) -> int:
@@ -187,42 +236,82 @@ def shared_lines(a: list[int], b: list[int]) -> list[int]:
     return out + list(range(len(a) - hi, len(a)))
 
 
-def _lines(batches):
-    """page key, host, path, line hashes, line lengths, article flags; texts are made again later."""
+def _parsed(batches):
+    """page key, page_id, url, packed lines, line hashes, line lengths, article flags."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
-        for part in slices(batch, 2):
-            rows = [blocks(h or "") for h in part.column(2).to_pylist()]
+        for part in slices(batch, 3):
+            rows = [blocks(h or "") for h in part.column(3).to_pylist()]
             yield pa.record_batch([
-                part.column(0), part.column(1),
+                part.column(0), part.column(1), part.column(2),
+                pa.array([squeeze("\n".join(t for t, _ in r).encode()) for r in rows], pa.binary()),
                 pa.array([[line_hash(t) for t, _ in r] for r in rows], pa.list_(pa.int64())),
                 pa.array([[len(t) for t, _ in r] for r in rows], pa.list_(pa.int32())),
                 pa.array([[a for _, a in r] for r in rows], pa.list_(pa.bool_())),
-            ], ["page", "url", "hashes", "lengths", "article"])
+            ], ["page", "page_id", "url", "lines", "hashes", "lengths", "article"])
 
 
-def _places(batches):
-    """Number the rows of a sorted partition."""
+def _placed(batches):
+    """Number the rows of a sorted partition, and weigh their lines."""
     at = 0
     for batch in batches:
-        yield pa.record_batch([*batch.columns, pa.array(np.arange(at, at + batch.num_rows))], names=[*batch.schema.names, "place"])
+        rows = batch.select(["hashes", "lengths", "often", "size"]).to_pylist()
+        weights = []
+        for r in rows:
+            often = {x["hash"]: x["n"] for x in r["often"] or ()}
+            weights.append([n * math.log((r["size"] + 1) / often.get(h, 1)) for h, n in zip(r["hashes"], r["lengths"])])
+        yield pa.record_batch([
+            *(batch.column(c) for c in ("page", "host", "path", "part", "hashes", "article")),
+            pa.array(weights, pa.list_(pa.float64())), pa.array(np.arange(at, at + batch.num_rows)),
+        ], ["page", "host", "path", "part", "hashes", "article", "weights", "place"])
         at += batch.num_rows
 
 
+def copies(mine: list[int], weights: list[float], theirs: list[int], their_weights: list[float]) -> bool:
+    """Whether the lines two pages share, repeats counted, weigh at least ``COPY`` of the lighter page."""
+    left = Counter(theirs)
+    shared = 0.0
+    for h, w in zip(mine, weights):
+        if left[h] > 0:
+            left[h] -= 1
+            shared += w
+    return shared >= COPY * min(sum(weights), sum(their_weights))
+
+
+def _starts(batches):
+    """Number, part and whether the page begins a run: its host's first, or no copy of the page before it."""
+    for batch in batches:
+        out = []
+        for r in batch.select(["host", "hashes", "weights", "before"]).to_pylist():
+            b = r["before"]
+            out.append(b is None or b["host"] != r["host"] or not copies(r["hashes"], r["weights"], b["hashes"], b["weights"]))
+        yield pa.record_batch([batch.column("number"), batch.column("part"), pa.array(out, pa.bool_())], ["number", "part", "begins"])
+
+
+def _likeness(a: str, b: str) -> int:
+    """Leading path segments in common."""
+    n = 0
+    for x, y in zip(a.split("/"), b.split("/")):
+        if x != y:
+            break
+        n += 1
+    return n
+
+
 def _deleted(batches):
-    """Places of the lines that the partner shares, outside article elements and not between copies."""
+    """Places of the lines that the partner shares and that are not article text."""
     for batch in batches:
-        rows = batch.to_pylist()
         out = []
-        for r in rows:
-            mine, theirs = r["hashes"], r["other"]
-            if not mine or not theirs or all(r["article"]):
-                out.append([])
-                continue
-            same = shared_lines(mine, theirs)
-            chars = sum(r["lengths"][i] for i in same)
-            copies = chars >= COPY * min(sum(r["lengths"]), sum(r["other_lengths"]))
-            out.append([] if copies else [i for i in same if not r["article"][i]])
-        yield pa.record_batch([batch.column(0), pa.array(out, pa.list_(pa.int32()))], ["page", "gone"])
+        for r in batch.to_pylist():
+            sides = [s for s in (r["before"], r["after"]) if s and s["host"] == r["host"]]
+            sides.sort(key=lambda s: -_likeness(r["path"], s["path"]))
+            gone = []
+            for s in sides:
+                if not copies(r["hashes"], r["weights"], s["hashes"], s["weights"]):
+                    gone = [i for i in shared_lines(r["hashes"], s["hashes"]) if not r["article"][i]]
+                    break
+            out.append(gone)
+        yield pa.record_batch([batch.column("page"), pa.array(out, pa.list_(pa.int32()))], ["page", "gone"])
 
 
 def _finish(batches):
@@ -231,58 +320,92 @@ def _finish(batches):
             texts = []
             for page, gone in zip(pages.to_pylist(), part.column(3).to_pylist()):
                 drop = set(gone or ())
-                texts.append("\n".join(t for i, (t, _) in enumerate(blocks(page or "")) if i not in drop))
+                texts.append("\n".join(t for i, t in enumerate(page.split("\n")) if i not in drop) if drop else page)
             yield pa.record_batch([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                   ["page_id", "url", "text", "n_chars"])
 
 
-def differences(pages: DataFrame) -> DataFrame:
-    """(page, gone): the places of the lines to delete, of pages that lose some; ``page`` hashes id, url and html."""
-    lines = pages.mapInArrow(_lines, "page long, url string, hashes array<long>, lengths array<int>, article array<boolean>")
-    # pages that are all article lose nothing, but are partners of others
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
-    path = F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    lines = lines.withColumn("host", host).withColumn("path", path).drop("url").where("host <> ''")
+def _ordered(lines: DataFrame) -> tuple[DataFrame, int]:
+    """Pages with a host in the order of host and path, numbered, their lines weighed; how many there are."""
+    url = F.coalesce("url", F.lit(""))
+    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
+    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    lines = lines.select("page", host.alias("host"), path.alias("path"), "hashes", "lengths", "article").where("host <> '' AND size(hashes) > 0")
+    salt = F.pmod("page", F.lit(SALTS))
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+
+    site = F.xxhash64("host").alias("site")
+    sizes = dealt(lines.groupBy(site).agg(F.count("*").alias("size")))
+    held = lines.select("page", site, salt.alias("salt"), F.explode(F.array_distinct("hashes")).alias("hash"))
+    common = dealt(held.groupBy("site", "hash").agg(F.count("*").alias("n")).where("n > 1"))
+    often = held.join(common, ["site", "hash", "salt"]).groupBy("page").agg(
+        F.collect_set(F.struct("hash", "n")).alias("often"))            # at most the page's own lines
+    known = (lines.withColumn("site", site).withColumn("salt", salt).join(sizes, ["site", "salt"]).drop("site", "salt").join(often, "page", "left"))
     order = ["host", "path", "page"]
-    placed = lines.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()).mapInArrow(
-        _places, "page long, hashes array<long>, lengths array<int>, article array<boolean>, host string, path string, part int, place long")
-    placed = stored(placed, "lines")
+    placed = stored(known.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()).mapInArrow(
+        _placed, "page long, host string, path string, part int, hashes array<long>, article array<boolean>, weights array<double>, place long"), "order")
     # one row for each partition
     counts = sorted((r.part, r.n) for r in placed.groupBy("part").agg(F.count("*").alias("n")).collect())
     offsets, total = [], 0
     for part, n in counts:
         offsets.append((part, total))
         total += n
-    offsets = pages.sparkSession.createDataFrame(offsets, "part int, base long")
-    numbered = placed.join(F.broadcast(offsets), "part").withColumn("number", F.col("base") + F.col("place"))
-
-    def beside(step: int, name: str) -> DataFrame:
-        return numbered.select((F.col("number") + step).alias("number"), F.struct("host", "path", "hashes", "lengths").alias(name))
-
-    both = numbered.where(F.exists("article", lambda a: ~a)).join(beside(1, "before"), "number", "left").join(beside(-1, "after"), "number", "left")
-
-    def nearness(side: str):
-        """Leading path segments in common; null on another host."""
-        a, b = F.split("path", "/"), F.split(f"{side}.path", "/")
-        same = F.transform(F.arrays_zip(a.alias("a"), b.alias("b")), lambda x, i: F.when(~x["a"].eqNullSafe(x["b"]), i))
-        return F.when(F.col(f"{side}.host") == F.col("host"), F.coalesce(F.array_min(same), F.size(a)))
-
-    use = F.when(nearness("before") >= F.coalesce(nearness("after"), F.lit(-1)), F.col("before")).when(nearness("after").isNotNull(), F.col("after"))
-    pairs = both.withColumn("use", use).where("use IS NOT NULL").select(
-        "page", "hashes", "lengths", "article", F.col("use.hashes").alias("other"), F.col("use.lengths").alias("other_lengths"))
-    return pairs.mapInArrow(_deleted, "page long, gone array<int>").where(F.size("gone") > 0).groupBy("page").agg(F.min("gone").alias("gone"))
+    offsets = lines.sparkSession.createDataFrame(offsets, "part int, base long")
+    return placed.join(F.broadcast(offsets), "part").withColumn("number", F.col("base") + F.col("place")).drop("base", "place"), total
+
+
+def _runs(pages: DataFrame) -> DataFrame:
+    """(number, first, next): each page's number, that of its run's first page, and that of the next run's (null: none)."""
+    before = pages.select((F.col("number") + 1).alias("number"), F.struct("host", "hashes", "weights").alias("before"))
+    begins = stored(pages.select("number", "part", "host", "hashes", "weights").join(before, "number", "left").mapInArrow(
+        _starts, "number long, part int, begins boolean"), "runs")
+    start = F.when(F.col("begins"), F.col("number"))
+    # one row for each partition: where its runs begin, and so what its neighbours need
+    ends = sorted((r.part, r.low, r.high) for r in begins.groupBy("part").agg(F.min(start).alias("low"), F.max(start).alias("high")).collect())
+    carried, last = {}, None
+    for part, _, high in ends:
+        carried[part] = [last, None]
+        last = last if high is None else high
+    following = None
+    for part, low, _ in reversed(ends):
+        carried[part][1] = following
+        following = following if low is None else low
+    carry = pages.sparkSession.createDataFrame([(p, a, b) for p, (a, b) in carried.items()], "part int, _first long, _next long")
+    along = Window.partitionBy("part").orderBy("number")           # a part is one range of the sort
+    first = F.max(start).over(along.rowsBetween(Window.unboundedPreceding, 0))
+    following = F.min(start).over(along.rowsBetween(1, Window.unboundedFollowing))
+    return (begins.withColumn("first", first).withColumn("next", following).join(F.broadcast(carry), "part").select(
+        "number", F.coalesce("first", "_first").alias("first"), F.coalesce("next", "_next").alias("next")))
+
+
+def differences(lines: DataFrame) -> DataFrame:
+    """(page, gone): the places of the lines to delete, of pages that lose some."""
+    ordered, total = _ordered(lines)
+    runs = _runs(ordered)
+    pages = ordered.join(runs, "number")
+    side = F.struct("host", "path", "hashes", "weights")
+    at = ordered.select("number", side.alias("side"))
+    # the pages on either side of each run, once for every SPAN of its pages
+    firsts = runs.where("number = first").select("first", "next")
+    beside = (firsts.join(at.select((F.col("number") + 1).alias("first"), F.col("side").alias("before")), "first", "left")
+              .join(at.select(F.col("number").alias("next"), F.col("side").alias("after")), "next", "left"))
+    spans = F.floor((F.coalesce("next", F.lit(total)) - F.col("first") - 1) / SPAN)
+    beside = beside.select("first", F.explode(F.sequence(F.lit(0).cast("long"), spans)).alias("span"), "before", "after")
+    open_pages = pages.where(F.exists("article", lambda a: ~a)).withColumn("span", F.floor((F.col("number") - F.col("first")) / SPAN))
+    pairs = open_pages.join(beside, ["first", "span"]).select("page", "host", "path", "hashes", "weights", "article", "before", "after")
+    return (pairs.mapInArrow(_deleted, "page long, gone array<int>").where(F.size("gone") > 0)
+            .groupBy("page").agg(F.min("gone").alias("gone")))
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """Per page: page_id, url, text, n_chars."""
     ready(pages.sparkSession)
-    known = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    page = F.xxhash64(F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")))
-    gone = stored(differences(known.select(page.alias("page"), "url", "html")), "shared")
-    rows = known.select(page.alias("page"), F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    if gone.isEmpty():                      # no text has to move
-        gone = None
-        packs = rows.select("page_id", "url", "html").mapInArrow(packed(3), "page_id long, url string, html binary").withColumn("gone", F.lit(None).cast("array<int>"))
-    else:
-        packs = rows.mapInArrow(packed(4), "page long, page_id long, url string, html binary").join(gone, "page", "left").drop("page")
-    return packs.mapInArrow(_finish, "page_id long, url string, text string, n_chars long")
+    known = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    page = F.xxhash64("page_id", "url", F.coalesce("html", F.lit("")))
+    lines = stored(known.select(page.alias("page"), "page_id", "url", "html").mapInArrow(
+        _parsed, "page long, page_id long, url string, lines binary, hashes array<long>, lengths array<int>, article array<boolean>"), "lines")
+    gone = stored(differences(lines), "shared")
+    return (lines.select("page", "page_id", "url", "lines").join(gone, "page", "left").select("page_id", "url", "lines", "gone")
+            .mapInArrow(_finish, "page_id long, url string, text string, n_chars long"))
