@@ -373,9 +373,10 @@ def _runs(pages: DataFrame) -> DataFrame:
         carried[part][1] = following
         following = following if low is None else low
     carry = pages.sparkSession.createDataFrame([(p, a, b) for p, (a, b) in carried.items()], "part int, _first long, _next long")
-    along = Window.partitionBy("part").orderBy("number")           # a part is one range of the sort
-    first = F.max(start).over(along.rowsBetween(Window.unboundedPreceding, 0))
-    following = F.min(start).over(along.rowsBetween(1, Window.unboundedFollowing))
+    part = Window.partitionBy("part")                               # one range of the sort
+    first = F.max(start).over(part.orderBy("number").rowsBetween(Window.unboundedPreceding, 0))
+    # what follows, from the end: a frame that ends at the last row would be added up anew for every row
+    following = F.min(start).over(part.orderBy(F.desc("number")).rowsBetween(Window.unboundedPreceding, -1))
     return (begins.withColumn("first", first).withColumn("next", following).join(F.broadcast(carry), "part").select(
         "number", F.coalesce("first", "_first").alias("first"), F.coalesce("next", "_next").alias("next")))
 
