@@ -125,6 +125,78 @@ def test_evaluation_job(spark, inputs):
     assert sorted((r["segment_idx"], r["segment_url_link"]) for r in rows) == [("0", "s1"), ("1", "s2")]
 
 
+def test_report_job(spark, inputs):
+    """Summaries written by two jobs; nested metrics come out by their paths."""
+    ev, sp = os.path.join(inputs, "rep_ev"), os.path.join(inputs, "rep_sp")
+    e = jobs.run_evaluation(spark, os.path.join(inputs, "sheet.csv"), ev)
+    w = jobs.run_spelling(spark, os.path.join(inputs, "words.csv"), sp)
+    broken = os.path.join(inputs, "broken.json")
+    with open(broken, "w") as f:
+        f.write("{not json")
+    out = os.path.join(inputs, "out_report")
+    s = jobs.run_report(spark, {"evaluation": os.path.join(ev, "evaluation_summary"), "spelling": os.path.join(sp, "spelling_summary"), "broken": broken},
+                        out, baseline_wer=0.83, tuned_wer=41.885734, tuned_cer=20.908851)
+    rows = {(r["task"], r["metric"]): (r["value"], r["number"]) for r in spark.read.parquet(os.path.join(out, "report")).collect()}
+    assert len(rows) == sum(s["metrics"].values()) and s["tasks_without_metrics"] == ["broken"]
+    assert len(e["model_ranking"]) == 6 and [m["rank"] for m in e["model_ranking"]] == [1, 2, 3, 4, 5, 6]
+    for i, m in enumerate(e["model_ranking"]):
+        assert rows["evaluation", f"model_ranking.{i}.model"] == (m["model"], None)
+        assert rows["evaluation", f"model_ranking.{i}.wer"][1] == pytest.approx(m["wer"])
+    assert rows["evaluation", "per_segment_best_model_counts.Model H"] == ("2", 2.0)
+    for reason, n in w["reason_breakdown"].items():
+        assert rows["spelling", f"reason_breakdown.{reason}"] == (str(n), n)
+    assert rows["asr", "relative_improvement"][1] == pytest.approx(0.4953526, abs=1e-6)
+    assert spark.read.option("header", True).csv(os.path.join(out, "report_csv")).count() == len(rows)
+    with pytest.raises(ValueError):
+        jobs.run_report(spark, {}, out)
+
+
+def test_nested_documents_become_metrics(spark):
+    from pyspark.sql import functions as F
+    from vaani.operators.summary import document_metrics
+    docs = ['{"a": 1, "b": {"c": [true, null, {"d": "x"}], "e": {}}, "f": 1.5}', "null", "[7, [8]]", "3", None, '{"p": {"q": {"r": {"s": 9}}}}']
+    df = spark.createDataFrame(list(enumerate(docs)), "k int, j string").select("k", F.parse_json("j").alias("doc"))
+    got = {(r["k"], r["metric"]): (r["value"], r["number"]) for r in document_metrics(df, ["k"]).collect()}
+    assert got == {(0, "a"): ("1", 1.0), (0, "b.c.0"): ("true", None), (0, "b.c.1"): (None, None), (0, "b.c.2.d"): ("x", None), (0, "f"): ("1.5", 1.5),
+                   (2, "0"): ("7", 7.0), (2, "1.0"): ("8", 8.0), (5, "p.q.r.s"): ("9", 9.0)}
+
+
+def test_disfluency_job_on_another_storage(spark, inputs):
+    """Folders by user id, other suffixes and base, and a manifest with objects that are absent or no JSON."""
+    from vaani.operators.urls import Storage
+    own = Storage(base="https://objects.example/bucket/", folder_column="user_id", marker="bucket", audio_suffix="_recording.wav")
+    path = os.path.join(inputs, "manifest.csv")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("url,ok,is_json,size\n"
+                "https://objects.example/bucket/u1/101_transcription.json,true,True,10\n"
+                "https://storage.example.com/uploads/f2/102_transcription.json,true,false,10\n"
+                "https://objects.example/bucket/u2/102_transcription.json,false,true,0\n"
+                "https://objects.example/bucket/u3/103_transcription.json,,yes,\n"
+                "https://objects.example/bucket/u5/105_transcription.json,1,1,5\n")
+    run = lambda out, **kw: jobs.run_disfluency(spark, os.path.join(inputs, "meta.csv"), os.path.join(inputs, "lex.csv"), os.path.join(inputs, "t"),
+                                                os.path.join(inputs, "a"), os.path.join(inputs, out), storage=own, **kw)
+    s = run("out_own", manifest_csv=path)
+    occ = spark.read.parquet(os.path.join(inputs, "out_own", "occurrences")).collect()
+    assert {o["recording_id"] for o in occ} == {"101"}
+    assert {o["audio_url"] for o in occ} == {"https://objects.example/bucket/u1/101_recording.wav"}
+    errs = {x.split(":")[0]: x for x in s["failure_examples"]}
+    assert "Cannot resolve transcription URL" in errs["102"] and s["unique_recordings_with_hits"] == 1
+    s = run("out_staged")
+    assert s["unique_recordings_with_hits"] == 2
+
+
+def test_storage_urls(spark):
+    from pyspark.sql import functions as F
+    from vaani.operators.urls import Storage
+    df = spark.createDataFrame([("7", "1", "https://x/in/deep/f9/1.wav"), (" ", "2", ""), (None, "3", None)], "user_id string, recording_id string, rec_url_gcp string")
+    by_user = Storage(base="s3://b", folder_column="user_id", audio_suffix="_recording.wav")
+    by_url = Storage(patterns=(r"/deep/([^/]+)/",))
+    rows = df.select(by_user.folder(df, ["rec_url_gcp"]).alias("u"), by_url.folder(df, ["rec_url_gcp"]).alias("p"),
+                     by_user.urls(by_user.folder(df, []), F.col("recording_id"))["audio_url"].alias("a")).collect()
+    assert [tuple(r) for r in rows] == [("7", "f9", "s3://b/7/1_recording.wav"), (None, None, None), (None, None, None)]
+    assert df.select(Storage(folder_column="absent").folder(df, []).alias("f")).where("f IS NOT NULL").count() == 0
+
+
 def test_cli_evaluate(inputs):
     import subprocess
     import sys

@@ -17,6 +17,25 @@ def unpivoted(task: str, row: DataFrame) -> DataFrame:
     return row.select(F.lit(task).alias("task"), F.inline(cells))
 
 
+def document_metrics(docs: DataFrame, keys: list[str], depth: int = 4) -> DataFrame:
+    """A5: every leaf of the VARIANT documents ``doc`` as ``keys, metric, value, number``.
+
+    ``metric`` is the leaf's path (``counts.Filler``, ``ranking.0.wer``), ``value`` its text (null for a JSON null) and ``number``
+    the text as a double where it is one.  What lies below ``depth`` levels stays one value, as JSON
+    text; empty objects, empty lists and documents that are null or no object have no row."""
+    spark = docs.sparkSession
+    level = docs.select(*keys, F.lit("").alias("_path"), F.col("doc").alias("_v"))
+    leaves = None
+    for step in range(depth):
+        below = level.alias("d").lateralJoin(spark.tvf.variant_explode(F.col("d._v").outer()).alias("x")).select(
+            *keys, F.concat("_path", F.coalesce("x.key", F.col("x.pos").cast("string"))).alias("_path"), F.col("x.value").alias("_v"))
+        nested = F.coalesce(F.schema_of_variant("_v").rlike("^(OBJECT|ARRAY)"), F.lit(False)) if step < depth - 1 else F.lit(False)
+        found = below.where(~nested).select(*keys, F.col("_path").alias("metric"), F.when(~F.is_variant_null("_v"), F.col("_v").cast("string")).alias("value"))
+        leaves = found if leaves is None else leaves.unionByName(found)
+        level = below.where(nested).withColumn("_path", F.concat("_path", F.lit(".")))
+    return leaves.withColumn("number", F.expr("try_cast(value AS double)"))
+
+
 def metric_rows(task: str, pairs: list[tuple[str, DataFrame]]) -> DataFrame:
     """Union of single-value frames into ``task, metric, value`` rows."""
     out = None

@@ -367,6 +367,20 @@ def q_report_table(spark, sf_dir):
             .unionByName(spelling).unionByName(evaluation))
 
 
+@register
+def q_summary_documents(spark, sf_dir):
+    """A5: one nested summary document per source of ``documents`` (texts, characters, texts by language), taken apart
+    into metrics without a schema, as the report job does with the other jobs' summaries."""
+    from ..operators.summary import document_metrics
+    none = lambda c: F.coalesce(F.col(c), F.lit("none")).alias(c)        # noqa: E731
+    parts = table(spark, sf_dir, "documents").groupBy(none("source"), none("lang")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.length("text"), F.lit(0)).cast("long")).alias("chars"))
+    docs = parts.groupBy("source").agg(F.to_json(F.struct(
+        F.sum("n").alias("texts"), F.struct(F.sum("chars").alias("chars"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang")).alias("of")
+    )).alias("doc"))
+    return document_metrics(docs.select("source", F.parse_json("doc").alias("doc")), ["source"])
+
+
 # ---------------------------------------------------------------- audio (rows-only checks)
 
 def _benchmark_postings(spark, sf_dir, positions):

@@ -20,7 +20,9 @@ from ..operators import audio as A
 from ..operators import disfluency as D
 from ..operators import scoring as S
 from ..operators import spelling as O
+from ..operators import urls as U
 from ..operators.split import exact_split
+from ..operators.summary import document_metrics
 from ..sources import files as IO
 from ..sources.clips import write_clip_files
 from . import preparation as PR
@@ -48,7 +50,7 @@ def _sound(clips: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def run_prepare(spark: SparkSession, metadata_csv: str, transcripts_dir: str, audio_dir: str, output_dir: str,
                 language: str = "hi", val_ratio: float = 0.1, seed: int = 42, max_rows: int | None = None,
-                min_segment_sec: float = 0.4, max_segment_sec: float = 30.0) -> dict:
+                min_segment_sec: float = 0.4, max_segment_sec: float = 30.0, storage: U.Storage = U.Storage()) -> dict:
     """Segment-level training set with clips at the recordings' rates, split exactly, written
     ``partitionBy("split")``; recordings whose audio is absent or whose
     transcript is invalid are reported as failures."""
@@ -56,7 +58,7 @@ def run_prepare(spark: SparkSession, metadata_csv: str, transcripts_dir: str, au
     transcripts = IO.read_transcripts(spark, transcripts_dir)
     audio = IO.read_audio(spark, audio_dir)
     p = PR.prepare_segments(recs, transcripts, language, min_segment_sec, max_segment_sec,
-                            join_on="recording_id", max_rows=max_rows)
+                            join_on="recording_id", max_rows=max_rows, storage=storage)
     # segments are staged first; clip cutting and the final join read them
     # from storage instead of re-running the transcript plan
     staged_path = os.path.join(output_dir, "_segments")
@@ -92,25 +94,25 @@ def run_prepare(spark: SparkSession, metadata_csv: str, transcripts_dir: str, au
 
 def run_disfluency(spark: SparkSession, metadata_csv: str, lexicon_csv: str, transcripts_dir: str, audio_dir: str,
                    output_dir: str, language: str = "hi", mode: str = "parity", max_rows: int | None = None,
-                   export_clips: bool = True) -> dict:
+                   export_clips: bool = True, storage: U.Storage = U.Storage(), manifest_csv: str | None = None) -> dict:
     """Occurrence sheet (CSV + Parquet), one clip per segment with hits and
-    (``export_clips``) a file for each occurrence, and the run summary.  The staged transcript files double as the object
-    manifest for URL resolution."""
+    (``export_clips``) a file for each occurrence, and the run summary.  ``manifest_csv`` lists the objects that
+    exist and are JSON; without it, every candidate URL of a recording with a staged transcript file counts as such."""
     recs = IO.read_csv(spark, metadata_csv, IO.RECORDINGS_SCHEMA, required=["recording_id", "language"], splittable=True)
     transcripts = IO.read_transcripts(spark, transcripts_dir)
     audio = IO.read_audio(spark, audio_dir)
     lexicon = D.build_lexicon(D.wide_lexicon_to_long(IO.read_lexicon_sheet(spark, lexicon_csv)))
     if lexicon.isEmpty():                                  # S9
         raise ValueError(f"Lexicon load failed: no usable entries in {lexicon_csv}")
-    from ..operators.urls import DEFAULT_BASE, DISFLUENCY_URL_COLUMNS, folder_id
-    r = recs.withColumn("_f", folder_id(recs, DISFLUENCY_URL_COLUMNS))
-    manifest = (r.join(transcripts.select("recording_id"), "recording_id")
-                .select(F.concat(F.lit(DEFAULT_BASE + "/"), F.col("_f"), F.lit("/"), F.col("recording_id"),
-                                 F.lit("_transcription.json")).alias("url"),
-                        F.lit(True).alias("ok"), F.lit(True).alias("is_json")))
+    if manifest_csv:
+        manifest = IO.read_manifest(spark, manifest_csv)
+    else:
+        urls = F.array(*U.transcript_candidates(recs, storage.folder(recs, U.DISFLUENCY_URL_COLUMNS), storage))
+        manifest = (recs.join(transcripts.select("recording_id"), "recording_id").select(F.explode(urls).alias("url"))
+                    .select("url", F.lit(True).alias("ok"), F.lit(True).alias("is_json")))
     clips_root = os.path.join(output_dir, "clips")
     e = PR.extract_disfluencies(recs, transcripts, manifest, audio.select("recording_id"), lexicon, language,
-                                mode, clips_root, join_on="recording_id", max_rows=max_rows)
+                                mode, clips_root, join_on="recording_id", max_rows=max_rows, storage=storage)
     # clips first (one per segment with hits); as in the source, a segment
     # whose clip is empty yields no rows, and a recording whose audio cannot
     # be decoded yields no rows and one failure
@@ -185,7 +187,33 @@ def run_evaluation(spark: SparkSession, sheet_csv: str, output_dir: str, null_po
     best = ranking[0]
     return _summary(spark, os.path.join(output_dir, "evaluation_summary"), {
         "input_rows": scored.count(), "best_model": best["model"], "best_model_wer": best["wer"],
-        "best_model_cer": best["cer"],
+        "best_model_cer": best["cer"], "model_ranking": ranking,
         "per_segment_best_model_counts": {w["model"]: w["wins"] for w in wins if w["wins"]},
         "per_segment_unique_best_model_counts": {w["model"]: w["unique_wins"] for w in wins if w["unique_wins"]}})
 
+
+def run_report(spark: SparkSession, summaries: dict[str, str], output_dir: str, baseline_wer: float | None = None,
+               tuned_wer: float | None = None, tuned_cer: float | None = None) -> dict:
+    """The written summaries of other jobs side by side, as ``task, metric, value, number`` rows
+    (Parquet + CSV); metrics of nested documents have dotted names, so new ones need no schema.
+
+    With ``baseline_wer`` (a ratio) and ``tuned_wer`` (in percent, as trainers print it) the relative improvement is added."""
+    docs = None
+    for task, path in summaries.items():
+        d = spark.read.option("wholetext", True).text(path).select(F.lit(task).alias("task"), F.try_parse_json("value").alias("doc"))
+        docs = d if docs is None else docs.unionByName(d)
+    if docs is None:                                       # S9
+        raise ValueError("No summaries were given.")
+    rows = document_metrics(docs, ["task"])
+    given = {"baseline_wer": baseline_wer, "tuned_wer": tuned_wer and tuned_wer / 100, "tuned_cer": tuned_cer and tuned_cer / 100}
+    if baseline_wer and tuned_wer is not None:
+        given["relative_improvement"] = (baseline_wer - tuned_wer / 100) / baseline_wer
+    extra = [("asr", k, repr(float(v)), float(v)) for k, v in given.items() if v is not None]
+    if extra:
+        rows = rows.unionByName(spark.createDataFrame(extra, "task string, metric string, value string, number double"))
+    rows.write.mode("overwrite").parquet(os.path.join(output_dir, "report"))
+    report = spark.read.parquet(os.path.join(output_dir, "report"))
+    IO.write_sheet(report.orderBy("task", "metric"), os.path.join(output_dir, "report_csv"))
+    per_task = {r["task"]: r["count"] for r in report.groupBy("task").count().collect()}
+    return _summary(spark, os.path.join(output_dir, "report_summary"), {
+        "metrics": per_task, "tasks_without_metrics": sorted(set(summaries) - set(per_task)), **{k: v for k, v in given.items() if v is not None}})

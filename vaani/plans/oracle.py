@@ -304,6 +304,13 @@ ORACLE["q_failure_examples"] = (f"SELECT * FROM ({ORACLE['q_disfluency_failures'
                                 f"ORDER BY recording_id, error LIMIT 20")
 _SP = ORACLE["q_spelling_summary"]
 _EV = ORACLE["q_eval_summary"]
+ORACLE["q_summary_documents"] = (
+    "WITH d AS (SELECT coalesce(source, 'none') AS source, coalesce(lang, 'none') AS lang, length(text) AS chars FROM documents), m AS ("
+    "SELECT source, 'texts' AS metric, count(*) AS n FROM d GROUP BY source UNION ALL "
+    "SELECT source, 'of.chars', CAST(sum(coalesce(chars, 0)) AS BIGINT) FROM d GROUP BY source UNION ALL "
+    "SELECT source, 'of.by_lang.' || lang, count(*) FROM d GROUP BY source, lang) "
+    "SELECT source, metric, CAST(n AS VARCHAR) AS value, CAST(n AS DOUBLE) AS number FROM m")
+
 ORACLE["q_report_table"] = " UNION ALL ".join([
     _PREP_ROWS, _DIS_ROWS,
     _rows("spelling", [(c, f"SELECT {c} FROM ({_SP})") for c in

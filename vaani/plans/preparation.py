@@ -39,17 +39,17 @@ def cap_rows(df: DataFrame, max_rows: int | None, key: str = "recording_id") ->
 
 def prepare_segments(recordings: DataFrame, transcripts: DataFrame, language: str = "hi",
                      min_sec: float = 0.4, max_sec: float = 30.0, join_on: str = "url",
-                     max_rows: int | None = None, base: str = U.DEFAULT_BASE) -> Prepared:
+                     max_rows: int | None = None, storage: U.Storage = U.Storage()) -> Prepared:
     """``transcripts`` is ``(url, payload)`` joined on the canonical
     transcript URL, or ``(recording_id, payload)`` for files staged by
     recording id (``join_on="recording_id"``)."""
     require_columns(recordings, ["user_id", "recording_id", "language"])
     filtered = cap_rows(language_filter(recordings, language), max_rows)
-    r = filtered.withColumn("folder_id", U.folder_id(filtered, U.PREPARE_URL_COLUMNS))
+    r = filtered.withColumn("folder_id", storage.folder(filtered, U.PREPARE_URL_COLUMNS))
     no_folder = r.where(F.col("folder_id").isNull()).select(
         "recording_id", F.concat(F.lit("Could not infer folder id for recording_id="),
                                  F.col("recording_id")).alias("error"))
-    b = U.built_urls(F.col("folder_id"), F.col("recording_id"), base)
+    b = storage.urls(F.col("folder_id"), F.col("recording_id"))
     r = r.where(F.col("folder_id").isNotNull()).select(
         "recording_id", F.col("user_id").cast("string").alias("user_id"),
         F.col("language").cast("string").alias("language"), b["audio_url"].alias("audio_url"),
@@ -75,7 +75,7 @@ class Extracted:
 def extract_disfluencies(recordings: DataFrame, transcripts: DataFrame, manifest: DataFrame,
                          audio_listing: DataFrame, lexicon: DataFrame, language: str = "hi",
                          mode: str = "parity", clips_root: str = "clips", join_on: str = "url",
-                         max_rows: int | None = None, base: str = U.DEFAULT_BASE) -> Extracted:
+                         max_rows: int | None = None, storage: U.Storage = U.Storage()) -> Extracted:
     """``manifest`` lists the transcript objects that exist and parse; with
     files staged by recording id (``join_on="recording_id"``) the staged
     transcript is used whatever URL the resolution chose."""
@@ -83,7 +83,7 @@ def extract_disfluencies(recordings: DataFrame, transcripts: DataFrame, manifest
     r = cap_rows(language_filter(recordings, language, ignore_case=True), max_rows)
     no_audio = U.missing_audio(r, audio_listing)
     with_audio = r.join(audio_listing.select("recording_id"), "recording_id", "left_semi")
-    resolved, unresolved = U.resolve_candidates(with_audio, manifest, base)
+    resolved, unresolved = U.resolve_candidates(with_audio, manifest, storage)
     uid = F.col("user_id").cast("string") if "user_id" in with_audio.columns else F.lit(None).cast("string")
     meta = with_audio.select("recording_id", F.coalesce(uid, F.lit("")).alias("user_id"),
                              F.col("language").cast("string").alias("language"))

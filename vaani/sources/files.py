@@ -78,6 +78,13 @@ def read_summaries(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).json(path)
 
 
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The object listing ``(url, ok, is_json)``, one CSV row an object; what isn't a truth value counts as false."""
+    df = read_csv(spark, path, "url string, ok string, is_json string", required=["url", "ok", "is_json"], splittable=True)
+    true = lambda c: F.coalesce(F.lower(F.trim(c)).isin("true", "1", "yes"), F.lit(False)).alias(c)      # noqa: E731
+    return df.select(F.trim("url").alias("url"), true("ok"), true("is_json"))
+
+
 def read_prepared(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
     """A prepared data set; the split filter prunes partitions."""
     df = spark.read.parquet(path)
