@@ -306,6 +306,24 @@ def test_toxicity_on_hard_rows(docs, labels, nothing):
     assert toxicity.scored(nothing, labels).count() == 0 and toxicity.accepted(docs, labels.limit(0)).count() == len(ROWS)
 
 
+def test_toxicity_jobs_do_not_follow_the_partitions(spark, docs, labels):
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    plain = {r.doc_id: r.score for r in toxicity.scored(docs, labels).collect()}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("toxicity-jobs", "")
+        scorer = toxicity.Scorer(docs, labels)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("toxicity-jobs")
+        assert scorer.ready and len(jobs) < 100         # one for each table and partition were 280
+        assert {r.doc_id: r.score for r in toxicity.scored(docs, labels).collect()} == plain
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_extraction(spark):
     page = lambda body: f"<html><body><div class='menu'>Home</div><nav>n</nav>{body}<footer>f</footer></body></html>"
     rows = [(i, f"http://h.example/a/b{i}", page(f"<p>Subscribe now</p><p>story {i} &amp; more\n text {'and more ' * 9}</p><div>Terms of use</div>")) for i in range(4)]

@@ -176,16 +176,21 @@ class Model:
         return out
 
 
-def _filled(rows: DataFrame) -> dict[str, np.ndarray]:
-    """Tables of fixed size from rows (table, bucket, n), each made by one task and fetched as bytes."""
+def _dense(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, name, dense): tables of fixed size from rows (keys, table, bucket, n), each made by one task, all in one pass and stored."""
     def fill(table: pa.Table) -> pa.Table:
-        name = TABLES[table.column(0)[0].as_py()]
+        name = TABLES[table.column("table")[0].as_py()]
         dense = np.zeros(1 << BITS[name], np.float32)       # at most 4 bytes for each of its buckets
-        dense[table.column(1).to_numpy()] = table.column(2).to_numpy()
-        return pa.table({"name": [name], "dense": [dense.tobytes()]})
+        dense[table.column("bucket").to_numpy()] = table.column("n").to_numpy()
+        return pa.table({k: table.column(k).slice(0, 1) for k in keys} | {"name": [name], "dense": [dense.tobytes()]})
 
-    made = rows.select("table", "bucket", "n").groupBy("table").applyInArrow(fill, "name string, dense binary")
-    return {r.name: np.frombuffer(r.dense, np.float32) for r in made.toLocalIterator()}
+    schema = "".join(f"{k} int, " for k in keys) + "name string, dense binary"
+    return stored(rows.select(*keys, "table", "bucket", "n").groupBy(*keys, "table").applyInArrow(fill, schema), "dense")
+
+
+def _fetched(dense: DataFrame) -> dict[str, np.ndarray]:
+    """The tables of one model, by one job however many partitions there are."""
+    return {r.name: np.frombuffer(r.dense, np.float32) for r in dense.select("name", "dense").collect()}
 
 
 def fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -225,10 +230,11 @@ class Scorer:
         ones = lambda df: {(r.toxic, r.set): r for r in df.groupBy(*keys).agg(F.sum(F.expr("int(n = 1)")).alias("a"), F.sum(F.expr("int(n = 2)")).alias("b")).collect()}
         counts = {"6": ones(grams), "4": ones(short)}
         four = stored(shared_grams(docs).withColumn("n", F.lit(1).cast("long")), "shared")
-        shared = _filled(_tables(four, [("c3", 3, 0, True), ("s3", 3, 1, True)], []))
+        shared = _fetched(_dense(_tables(four, [("c3", 3, 0, True), ("s3", 3, 1, True)], []), []))
+        dense = _dense(rows, keys)
         self.models = {}
         for s in (0, 2, BOTH):
-            tables = {t: _filled(rows.where((F.col("set") == s) & (F.col("toxic") == t))) for t in (0, 1)}
+            tables = {t: _fetched(dense.where((F.col("set") == s) & (F.col("toxic") == t))) for t in (0, 1)}
             for t in (0, 1):
                 for name in ("c6", "s6", "t6", "c4", "s4", "t4"):
                     tables[t].setdefault(name, np.zeros(1 << BITS[name], np.float32))
