@@ -109,3 +109,34 @@ def test_random_strings_match_python(spark):
         if want != have:
             bad.append((t, want, have))
     assert not bad, bad[:5]
+
+
+def test_false_starts_take_linear_time(spark):
+    """A long run of letters and signs is tried once, not from each of its boundaries."""
+    import time
+    from vaani.operators import disfluency as D
+    run = "\u093e" + "\u0915\u093e" * 40000
+    df = spark.createDataFrame([(f"{run} a-b {run}-c",), ("\u093e-a \u093e\u0915-\u093e",), ("no hyphen",), (None,)], "t string").coalesce(1)
+    began = time.time()
+    got = [r[0] for r in df.select(D.false_start_matches(df["t"])).collect()]
+    assert time.time() - began < 8
+    assert got == [["a-", run[1:] + "-"], [], [], None]
+
+
+def test_every_character_as_space_dash_or_neither(spark):
+    from vaani.functions.normalize import norm_disfluency
+    chars = [chr(i) for i in range(1, 0xD800)]
+    texts = ["a" + c * 2 + "b" for c in chars]
+    df = spark.createDataFrame([(c, t) for c, t in zip(chars, texts)], "c string, t string")
+    bad = []
+    for r in df.select("c", "t", norm_disfluency(df["t"]).alias("n")).collect():
+        if r.c.isspace():
+            want = "a b"
+        elif r.c in "\u2013\u2014\u2015\u2011":
+            want = "a--b"
+        else:
+            continue
+        if r.n != want:
+            bad.append((hex(ord(r.c)), r.n))
+    kept = {r.c for r in df.select("c", norm_disfluency(df["t"]).alias("n")).where("n = 'a b'").collect()}
+    assert not bad and kept == {c for c in chars if c.isspace()}

@@ -10,10 +10,13 @@ are NFC already and skip the reflective call.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .pyregex import NFC_SAFE, PY_WS_CLASS, PY_WS_EDGES, PY_WS_RUN
+from .pyregex import JVM_WS_PARTS, NFC_SAFE, PY_WS_CLASS, PY_WS_EDGES, PY_WS_RUN
 
 # Dash characters folded to "-" by each profile.
 DASHES_DISFLUENCY = "–—―‑"  # en dash, em dash, horizontal bar, non-breaking hyphen
@@ -33,6 +36,7 @@ def nfc(col) -> Column:
     c = _c(col)
     composed = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(False))
     return F.when(c.isNull(), F.lit(None).cast("string")) \
+            .when(F.octet_length(c) == F.char_length(c), c) \
             .when(c.rlike(NFC_SAFE), c) \
             .otherwise(composed)
 
@@ -47,8 +51,12 @@ def collapse_ws(col, repl: str = " ") -> Column:
     return F.regexp_replace(_c(col), PY_WS_RUN, repl)
 
 
-def _dashes(col, chars: str) -> Column:
-    return F.translate(_c(col), chars, "-" * len(chars))
+def _dashes(col, chars: str, text) -> Column:
+    """``col``, made from ``text`` by steps that neither add nor remove a dash:
+    where the text's bytes hold none of ``chars``, it stays as it is."""
+    c = _c(col)
+    some = reduce(or_, (F.contains(_c(text), F.lit(d)) for d in chars))
+    return F.when(some, F.translate(c, chars, "-" * len(chars))).otherwise(c)
 
 
 def null_to_text(col, null_policy: str = "empty") -> Column:
@@ -65,8 +73,7 @@ def _collapse_trim(c: Column, extra_class: str = "") -> Column:
     after the collapse the only whitespace left is single spaces."""
     # one character class (no alternation inside the repetition, which the
     # JVM engine would match recursively on long runs)
-    cls = PY_WS_CLASS[:-1] + extra_class[1:] if extra_class else PY_WS_CLASS
-    run = cls + "+"
+    run = "[" + extra_class[1:-1] + JVM_WS_PARTS + "]++"
     return F.trim(F.regexp_replace(c, run, " "))
 
 
@@ -77,19 +84,20 @@ def norm_asr_basic(col) -> Column:
 
 def norm_disfluency(col) -> Column:
     """NFC, strip, lower, CR/LF to space, dashes to "-", collapse."""
-    return _dashes(F.lower(_collapse_trim(nfc(col))), DASHES_DISFLUENCY)
+    return _dashes(F.lower(_collapse_trim(nfc(col))), DASHES_DISFLUENCY, col)
 
 
 def norm_word(col) -> Column:
     """NFC, strip, dashes to "-", delete every whitespace character
     (the strip is implied by the deletion)."""
-    return _dashes(F.regexp_replace(nfc(col), PY_WS_CLASS, ""), DASHES_WORD)
+    return _dashes(F.regexp_replace(nfc(col), PY_WS_CLASS, ""), DASHES_WORD, col)
 
 
 def norm_scoring(col, null_policy: str = "empty") -> Column:
     """NFC, LF to space, dashes, punctuation to space, collapse, strip,
     lower -- with punctuation and whitespace replaced in one pass."""
-    t = _dashes(nfc(null_to_text(col, null_policy)), DASHES_SCORING)
+    text = null_to_text(col, null_policy)
+    t = _dashes(nfc(text), DASHES_SCORING, text)
     return F.lower(_collapse_trim(t, SCORING_PUNCT_CLASS))
 
 

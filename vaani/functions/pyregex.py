@@ -16,6 +16,12 @@ PY_WS_CLASS = (r"[\t\n\x0B\x0C\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
 PY_WS_RUN = PY_WS_CLASS + "+"
 PY_WS_EDGES = "^" + PY_WS_RUN + "|" + PY_WS_RUN + "$"
 
+# The same white space for the JVM's engine, which tests the parts of a class one
+# after another: single low characters are one table, and what is left
+# is behind one range, so a letter is refused after two tests.
+JVM_WS_PARTS = (r"\t\n\x0B\x0C\r\x1C\x1D\x1E\x1F \x{85}\x{A0}"
+                r"[\x{1680}-\x{3000}&&[\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]]")
+
 # Python \w on str: letters, numbers, underscore.
 PY_WORD_CLASS = r"[\p{L}\p{N}_]"
 PY_NOT_WORD_CLASS = r"[^\p{L}\p{N}_]"
@@ -25,6 +31,10 @@ DEVANAGARI_RANGE = r"\x{0900}-\x{097F}"
 # "word or Devanagari" as used by the disfluency patterns.
 WORD_OR_DEV_CLASS = r"[\p{L}\p{N}_" + DEVANAGARI_RANGE + "]"
 
+# The same two classes for the JVM's engine: frequent ranges are tested first.
+JVM_WORD_CLASS = r"[\x{0905}-\x{0939}[a-z0-9[\p{L}\p{N}_]]]"
+JVM_WORD_OR_DEV_CLASS = "[" + DEVANAGARI_RANGE + r"[a-z0-9[\p{L}\p{N}_]]]"
+
 
 def py_boundary(word_class: str = PY_WORD_CLASS) -> str:
     """Python ``\\b`` for a given word class, as explicit look-arounds."""

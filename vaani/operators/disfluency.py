@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.normalize import norm_disfluency
-from ..functions.pyregex import PY_B, PY_WS_CLASS, PY_WS_RUN, WORD_OR_DEV_CLASS
+from ..functions.pyregex import (JVM_WORD_CLASS, JVM_WORD_OR_DEV_CLASS, JVM_WS_PARTS, PY_WS_CLASS, PY_WS_RUN,
+                                 WORD_OR_DEV_CLASS, py_boundary)
 
 W = WORD_OR_DEV_CLASS                       # [\wऀ-ॿ]
 NOT_W = "[^" + W[1:]                        # its complement
@@ -34,9 +35,16 @@ SIGNS = "[^" + PY_WS_CLASS[1:-1] + r"\-" + W[1:]   # neither word character, spa
 # Restated below for the JVM with explicit classes for Python's \w, \s, \b.
 # The repeated group is possessive, with its end condition inside: the JVM then
 # walks a chain of any length in a loop instead of recursing for each word.
-REPETITION = PY_B + "(" + W + "+)(?:" + SEP + r"\1(?=" + SEP + r"\1|" + PY_B + "))++" + PY_B
+# Word characters and separators exclude each other, so a run of either never
+# gives characters back (possessive).  A repetition first looks for its second
+# occurrence, which nearly every place lacks, and only then for the boundary.
+_W, _SEP, _B = JVM_WORD_OR_DEV_CLASS, "[" + r"\-" + JVM_WS_PARTS + "]++", py_boundary(JVM_WORD_CLASS)
+REPETITION = "(?=(" + _W + "++)" + _SEP + r"\1)" + _B + r"\1(?:" + _SEP + r"\1(?=" + _SEP + r"\1|" + _B + "))++" + _B
 PROLONGATION = r"([\x{0900}-\x{097F}a-z])\1{2,}"
-FALSE_START = PY_B + "(" + W + "+-)" + PY_B
+# A hyphen is no word character, so one follows it (\b), and the first boundary
+# in the run before it is at the run's first word character, after its leading
+# signs: each run is tried once, from its beginning.
+FALSE_START = ("(?<!" + _W + r")[\x{0900}-\x{097F}&&[^\p{L}\p{N}_]]*+(" + JVM_WORD_CLASS + _W + "*+-)(?=" + JVM_WORD_CLASS + ")")
 
 # strict_tokens: a token is a maximal run of W; equal tokens separated by
 # spaces/hyphens; a false start is a token followed by "-" and then a
@@ -128,14 +136,19 @@ def repetition_matches(text_norm: Column, mode: str = "parity") -> Column:
     return F.regexp_extract_all(text_norm, F.lit(REPETITION if mode == "parity" else STRICT_REPETITION), 0)
 
 
+def false_start_matches(text_norm: Column, mode: str = "parity") -> Column:
+    """Every non-overlapping false start; a text without a hyphen has none."""
+    found = F.regexp_extract_all(text_norm, F.lit(FALSE_START if mode == "parity" else STRICT_FALSE_START), 1)
+    return F.when(~F.contains(text_norm, F.lit("-")), F.array().cast("array<string>")).otherwise(found)
+
+
 def regex_hits(text_norm: Column, mode: str = "parity") -> Column:
     """All non-overlapping matches, in rule order."""
-    fs = FALSE_START if mode == "parity" else STRICT_FALSE_START
     return F.concat(
         F.transform(repetition_matches(text_norm, mode), lambda m: _hit(REPETITION_TYPE, m, REPETITION_RULE)),
         F.transform(F.regexp_extract_all(text_norm, F.lit(PROLONGATION), 0),
                     lambda m: _hit(PROLONGATION_TYPE, m, PROLONGATION_RULE)),
-        F.transform(F.regexp_extract_all(text_norm, F.lit(fs), 1), lambda m: _hit(FALSE_START_TYPE, m, FALSE_START_RULE)))
+        F.transform(false_start_matches(text_norm, mode), lambda m: _hit(FALSE_START_TYPE, m, FALSE_START_RULE)))
 
 
 def occurrences(detected: DataFrame, clips_root: str = "clips") -> DataFrame:

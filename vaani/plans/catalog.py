@@ -77,6 +77,11 @@ def _docs(spark, sf_dir):
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def _devanagari_docs(spark, sf_dir):
+    """Every document transliterated letter by letter (a projection of its own: normalizing names its text several times)."""
+    return _docs(spark, sf_dir).select("doc_id", F.translate(F.lower("text"), X.LATIN, X.DEVANAGARI_MAP).alias("text"))
+
+
 def _norm_query(profile):
     from ..functions.normalize import normalize
 
@@ -415,12 +420,11 @@ def q_devanagari_rules(spark, sf_dir):
     regular expressions on the smallest tables."""
     from ..functions.normalize import norm_disfluency
     from ..operators import disfluency as D
-    d = _docs(spark, sf_dir).select(
-        "doc_id", norm_disfluency(F.translate(F.lower("text"), X.LATIN, X.DEVANAGARI_MAP)).alias("t"))
+    d = _devanagari_docs(spark, sf_dir).select("doc_id", norm_disfluency(F.col("text")).alias("t"))
     rules = F.array(
         F.struct(F.lit("repetition").alias("rule"), D.repetition_matches(F.col("t")).alias("m")),
         F.struct(F.lit("prolongation").alias("rule"), F.regexp_extract_all("t", F.lit(D.PROLONGATION), 0).alias("m")),
-        F.struct(F.lit("false_start").alias("rule"), F.regexp_extract_all("t", F.lit(D.FALSE_START), 1).alias("m")))
+        F.struct(F.lit("false_start").alias("rule"), D.false_start_matches(F.col("t")).alias("m")))
     r = d.select("doc_id", F.inline_outer(rules))
     m = r.select("doc_id", "rule", F.posexplode_outer("m").alias("match_idx", "matched_text"))
     return m.where(F.col("match_idx").isNotNull())
@@ -433,13 +437,11 @@ def q_strict_rules(spark, sf_dir):
     Devanagari."""
     from ..functions.normalize import norm_disfluency
     from ..operators import disfluency as D
-    d = _docs(spark, sf_dir).select(
-        "doc_id", norm_disfluency(F.translate(F.lower("text"), X.LATIN, X.DEVANAGARI_MAP)).alias("t"))
+    d = _devanagari_docs(spark, sf_dir).select("doc_id", norm_disfluency(F.col("text")).alias("t"))
     rules = F.array(
         F.struct(F.lit("repetition").alias("rule"), D.repetition_matches(F.col("t"), "strict_tokens").alias("m")),
         F.struct(F.lit("prolongation").alias("rule"), F.regexp_extract_all("t", F.lit(D.PROLONGATION), 0).alias("m")),
-        F.struct(F.lit("false_start").alias("rule"),
-                 F.regexp_extract_all("t", F.lit(D.STRICT_FALSE_START), 1).alias("m")))
+        F.struct(F.lit("false_start").alias("rule"), D.false_start_matches(F.col("t"), "strict_tokens").alias("m")))
     m = d.select("doc_id", F.inline_outer(rules)).select(
         "doc_id", "rule", F.posexplode_outer("m").alias("match_idx", "matched_text"))
     return m.where(F.col("match_idx").isNotNull())
@@ -467,9 +469,8 @@ def q_norm_devanagari(spark, sf_dir):
     """N1-N4 on every document transliterated into Devanagari (NFC through
     ICU where nukta compositions occur)."""
     from ..functions.normalize import normalize
-    t = F.translate(F.lower("text"), X.LATIN, X.DEVANAGARI_MAP)
-    return _docs(spark, sf_dir).select(
-        "doc_id", *[normalize(t, p).alias(p) for p in ("asr_basic", "disfluency", "word", "scoring")])
+    return _devanagari_docs(spark, sf_dir).select(
+        "doc_id", *[normalize(F.col("text"), p).alias(p) for p in ("asr_basic", "disfluency", "word", "scoring")])
 
 
 # ---------------------------------------------------------------- focused views named in the survey
