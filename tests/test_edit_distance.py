@@ -47,3 +47,16 @@ def test_vocabularies_beyond_any_code_table_are_scored(spark):
     df = spark.range(1).select(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.concat(F.lit("w"), i)), " ").alias("a"))
     df = df.select("a", F.concat(F.lit("x "), F.col("a")).alias("b"))
     assert df.select(E.word_edits(E.words("a"), E.words("b")).alias("d")).first().d == 1
+
+
+def test_text_within_the_other_needs_no_table(spark):
+    """Its edits are the difference in length; a table of 40,000 by 80,000 would take minutes."""
+    import time
+    from pyspark.sql import functions as F
+    from vaani.functions.edit_distance import char_edits
+    rows = [("ab" * 40000, "ab" * 20000), ("xbcy", "bc"), ("bc", "xbcy"), ("", "abc"), ("", ""), ("कख", "ख"), ("abc", "axc"), (None, "a")]
+    df = spark.createDataFrame(rows, "a string, b string").coalesce(1)
+    began = time.time()
+    got = [r[0] for r in df.select(char_edits(F.col("a"), F.col("b"))).collect()]
+    assert time.time() - began < 8
+    assert got == [40000, 2, 2, 3, 0, 1, 1, None]

@@ -80,17 +80,22 @@ def encode_words(arr: Column, known: Column) -> Column:
         return F.when(F.array_contains(known["shared"], _bucket(w)), F.concat(F.lit("00"), F.hex(numbered))).otherwise(
             F.concat(F.lit("000"), F.hex(_bucket(w) + HASHED)))
 
-    # four bytes a word, decoded in one go
-    digits = F.array_join(F.transform(arr, code), "")
+    # four bytes a word, decoded in one go; nearly always no hashes meet, and nothing is looked up
+    plain = F.transform(arr, lambda w: F.hex(_bucket(w) + HASHED))
+    digits = F.when(F.size(known["shared"]) > 0, F.array_join(F.transform(arr, code), "")).when(
+        F.size(arr) > 0, F.concat(F.lit("000"), F.array_join(plain, "000"))).otherwise("")
     return F.decode(F.unhex(digits), "UTF-32")
 
 
 def banded(a: Column, b: Column) -> Column:
-    """``levenshtein(a, b)`` in bands: the first one that holds the distance gives it."""
+    """``levenshtein(a, b)`` in bands: the first one that holds the distance gives it.
+
+    A text that stands whole in the other differs by what is around it, as many edits as the lengths differ."""
+    inside = F.contains(a, b) | F.contains(b, a)
     first = F.abs(F.char_length(a) - F.char_length(b)) + BAND
     # bound by a lambda, or a band that holds would be computed again for its value
     within = [_let(F.call_function("levenshtein", a, b, (first * 4**k).cast("int")), lambda d: F.when(d >= 0, d)) for k in range(WIDENINGS)]
-    return F.when(a == b, F.lit(0)).otherwise(F.coalesce(*within, F.levenshtein(a, b)))
+    return F.when(a == b, F.lit(0)).when(inside, F.abs(F.char_length(a) - F.char_length(b))).otherwise(F.coalesce(*within, F.levenshtein(a, b)))
 
 
 def word_edits(ref_words: Column, hyp_words: Column) -> Column:
