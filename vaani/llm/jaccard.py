@@ -47,6 +47,8 @@ FACTORS = (0.8, 0.8, 0.5, 0.5, 0.5, 0.5)
 BUCKET = 2000
 BLOCK = 256
 BINS = 64
+#: Text that a task describes at once: hashing holds some thirty bytes for each of its bytes.
+STEP_BYTES = 1 << 20
 
 
 def runs(threshold: float = THRESHOLD, recall: float = RECALL) -> int:
@@ -103,7 +105,7 @@ def _describe(size: int, threshold: float, recall: float):
 
     def describe(batches):
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, STEP_BYTES):
                 ids, prints, paths = [], [], []
                 for tokens in shingles(part.column(1), size):
                     if not len(tokens):
@@ -335,7 +337,7 @@ def _plus(docs: DataFrame, doc: str, tag: str):
 def _with_set(size: int, column: int):
     def add(batches):
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, STEP_BYTES):
                 ids = [set_id(t) if len(t) else None for t in shingles(part.column(column), size)]
                 yield pa.record_batch([*part.columns, pa.array(ids, pa.binary())], names=[*part.schema.names, "_"])
     return add

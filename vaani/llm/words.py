@@ -78,11 +78,12 @@ def coded(flat: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n - 1), modulo 2**64; those of a usual slice are kept for the next one."""
+    """base**0 .. base**(n - 1), modulo 2**64; those of the largest usual slice so far are kept for the next one."""
     usual = SLICE_BYTES + (64 << 10)
     have = _POWERS.get(base)
     if have is None or len(have) < n:
-        have = np.full(max(n, usual), base, np.uint64)
+        # an eighth more, so that slices of about one length don't grow it again and again
+        have = np.full(n if n > usual else min(usual, n + n // 8 + 1024), base, np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
         if n <= usual:
@@ -102,7 +103,9 @@ def word_hashes(flat: pa.Array) -> np.ndarray:
     data = np.frombuffer(flat.buffers()[2], dtype=np.uint8)[offs[0]:offs[-1]]
     offs -= offs[0]
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * _powers(_BASE, len(data)), out=sums[1:])
+    np.take(_BYTE_VALUES, data, out=sums[1:], mode="clip")      # in place: this is eight times the text already
+    sums[1:] *= _powers(_BASE, len(data))
+    np.cumsum(sums[1:], out=sums[1:])
     h = (sums[offs[1:]] - sums[offs[:-1]]) * _powers(_BASE_INVERSE, len(data) + 1)[offs[:-1]]
     return mix(h + (offs[1:] - offs[:-1]).astype(np.uint64))
 
