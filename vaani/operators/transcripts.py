@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.normalize import norm_asr_basic
+from ..sources.tables import staged
 from .partitioning import where_after
 
 SEGMENT_FIELDS = ("start", "end", "text")
@@ -77,6 +78,13 @@ def recording_error(mode: str) -> Column:
     return err
 
 
+def _segment(s: Column) -> list[Column]:
+    """Times and text of an entry, with defaults for missing keys."""
+    return [F.coalesce(_get(s, "start", "double"), F.lit(0.0)).alias("start"),
+            F.coalesce(_get(s, "end", "double"), F.lit(0.0)).alias("end"),
+            F.coalesce(_get(s, "text", "string"), F.lit("")).alias("raw_text")]
+
+
 def explode_segments(ok: DataFrame, keep: list[str]) -> DataFrame:
     """One row per array entry with its original index (X1) and defaults
     for missing keys (P8).  Index counts entries that are later rejected."""
@@ -84,30 +92,29 @@ def explode_segments(ok: DataFrame, keep: list[str]) -> DataFrame:
     # size(_segs) > 0 and push it below the projection, parsing JSON twice
     e = ok.select(*keep, F.posexplode_outer("_segs").alias("segment_idx", "_seg"))
     e = e.where(F.col("segment_idx").isNotNull())
-    s = F.col("_seg")
-    return e.select(*keep, "segment_idx",
-                    F.coalesce(_get(s, "start", "double"), F.lit(0.0)).alias("start"),
-                    F.coalesce(_get(s, "end", "double"), F.lit(0.0)).alias("end"),
-                    F.coalesce(_get(s, "text", "string"), F.lit("")).alias("raw_text"))
+    return e.select(*keep, "segment_idx", *_segment(F.col("_seg")))
 
 
-def valid_segments(parsed: DataFrame, mode: str, keep: list[str]) -> tuple[DataFrame, DataFrame]:
+def valid_segments(parsed: DataFrame, mode: str, keep: list[str], stage: bool = False) -> tuple[DataFrame, DataFrame]:
     """(segments of valid recordings, failures) in one pass over the parse.
 
     Only valid recordings' arrays are exploded (``when(error is null)``) and
     the filter is on the generated index.  A filter on the error column
     itself would be pushed below the projection and parse every payload
-    twice."""
+    twice.  ``stage`` writes the parsed recordings once in the shared folder,
+    for plans that read more than one of the outputs, or one of them more
+    than once; without it each reading joins and parses again."""
     d = parsed.withColumn("_error", recording_error(mode))
+    if stage:
+        times = F.when(F.col("_error").isNull(), F.transform("_segs", lambda s: F.struct(*_segment(s))))
+        d = staged(d.select(*keep, "_error", times.alias("_segs")), "parsed")
+        failures = d.where(F.col("_error").isNotNull()).select("recording_id", F.col("_error").alias("error"))
+        segs = d.select(*keep, F.posexplode_outer("_segs").alias("segment_idx", "_seg")).where(F.col("segment_idx").isNotNull())
+        return segs.select(*keep, "segment_idx", "_seg.start", "_seg.end", "_seg.raw_text"), failures
     failures = where_after(d, F.col("_error").isNotNull()).select("recording_id", F.col("_error").alias("error"))
     g = d.select(*keep, F.posexplode_outer(F.when(F.col("_error").isNull(), F.col("_segs")))
                  .alias("segment_idx", "_seg")).where(F.col("segment_idx").isNotNull())
-    s = F.col("_seg")
-    segs = g.select(*keep, "segment_idx",
-                    F.coalesce(_get(s, "start", "double"), F.lit(0.0)).alias("start"),
-                    F.coalesce(_get(s, "end", "double"), F.lit(0.0)).alias("end"),
-                    F.coalesce(_get(s, "text", "string"), F.lit("")).alias("raw_text"))
-    return segs, failures
+    return g.select(*keep, "segment_idx", *_segment(F.col("_seg"))), failures
 
 
 def split_valid(df: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:

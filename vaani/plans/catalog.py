@@ -138,10 +138,10 @@ def _conv(spark, sf_dir):
     return spread(table(spark, sf_dir, "conversations"))
 
 
-def _prepared(spark, sf_dir):
+def _prepared(spark, sf_dir, stage: bool = False):
     from .preparation import prepare_segments
     c = _conv(spark, sf_dir)
-    return prepare_segments(X.recordings(c), X.transcripts(c))
+    return prepare_segments(X.recordings(c), X.transcripts(c), stage=stage)
 
 
 def _extracted(spark, sf_dir, devanagari: bool = False, mode: str = "parity"):
@@ -322,7 +322,7 @@ def q_best_checkpoint(spark, sf_dir):
 def _prepare_rows(spark, sf_dir):
     from ..operators.split import exact_split
     from ..operators.summary import count_of, metric_rows, unpivoted
-    p = _prepared(spark, sf_dir)
+    p = _prepared(spark, sf_dir, stage=True)
     # the staged split gives three counts in one pass
     split = exact_split(p.segments.select("id"), "id", 0.1, 42).agg(
         F.count(F.lit(1)).alias("prepared_rows"), F.count_if(F.col("split") == "train").alias("train_rows"),

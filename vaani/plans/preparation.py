@@ -39,10 +39,11 @@ def cap_rows(df: DataFrame, max_rows: int | None, key: str = "recording_id") ->
 
 def prepare_segments(recordings: DataFrame, transcripts: DataFrame, language: str = "hi",
                      min_sec: float = 0.4, max_sec: float = 30.0, join_on: str = "url",
-                     max_rows: int | None = None, storage: U.Storage = U.Storage()) -> Prepared:
+                     max_rows: int | None = None, storage: U.Storage = U.Storage(), stage: bool = False) -> Prepared:
     """``transcripts`` is ``(url, payload)`` joined on the canonical
     transcript URL, or ``(recording_id, payload)`` for files staged by
-    recording id (``join_on="recording_id"``)."""
+    recording id (``join_on="recording_id"``).  ``stage`` parses them once
+    for all outputs (:func:`~vaani.operators.transcripts.valid_segments`)."""
     require_columns(recordings, ["user_id", "recording_id", "language"])
     filtered = cap_rows(language_filter(recordings, language), max_rows)
     r = filtered.withColumn("folder_id", storage.folder(filtered, U.PREPARE_URL_COLUMNS))
@@ -59,7 +60,7 @@ def prepare_segments(recordings: DataFrame, transcripts: DataFrame, language: st
     else:
         j = r.join(transcripts.select("recording_id", "payload"), "recording_id", "left")
     segs, bad = T.valid_segments(T.parse_payload(j), "prepare",
-                                 ["recording_id", "user_id", "language", "audio_url", "transcription_url"])
+                                 ["recording_id", "user_id", "language", "audio_url", "transcription_url"], stage)
     prepared = T.prepared_segments(segs, min_sec, max_sec)
     return Prepared(prepared, no_folder.unionByName(bad), filtered)
 
